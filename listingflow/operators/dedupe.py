@@ -7,9 +7,10 @@ any other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .columns import stack
+from .ordering import sort_columns
 
 
 def exact(df: DataFrame) -> DataFrame:
@@ -20,41 +21,41 @@ def _orderable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
-def keep_first(df: DataFrame, keys: list[str], order: list[Column], ties: list[str] | None = None) -> DataFrame:
-    """One row per key: the first in ``order``; null keys form a group.
+def keep_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]], ties: list[str] | None = None) -> DataFrame:
+    """One row per key: the first in ``order`` (name, asc or desc; nulls last); null keys form a group.
 
     Rows equal in ``order`` are told apart by the remaining columns, so the result does not depend on partitioning.
     Pass ``ties`` to use a shorter total order.
     """
-    rest = ties if ties is not None else [c for c in _orderable(df) if c not in keys]
-    by = order + [F.col(f"`{c}`").asc_nulls_last() for c in rest]
-    window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*by)
+    used = {*keys, *[name for name, _ in order]}
+    rest = ties if ties is not None else [c for c in _orderable(df) if c not in used]
+    by = sort_columns(order + [(c, "asc") for c in rest])
+    window = Window.partitionBy(*keys).orderBy(*by)
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
 def latest(df: DataFrame, keys: list[str], stamp: str, ties: list[str] | None = None) -> DataFrame:
-    return keep_first(df, keys, [F.col(stamp).desc_nulls_last()], ties)
+    return keep_first(df, keys, [(stamp, "desc")], ties)
 
 
 def earliest_ignoring(df: DataFrame, ignored: list[str], order: list[str]) -> DataFrame:
     """Earliest of the rows that agree on everything but the ignored columns."""
-    keys = [c for c in df.columns if c not in ignored]
-    return keep_first(df, keys, [F.col(c).asc_nulls_last() for c in order])
+    return keep_first(df, [c for c in df.columns if c not in ignored], [(c, "asc") for c in order])
 
 
 def best_score(df: DataFrame, key: str, scores: list[str]) -> DataFrame:
-    return keep_first(df, [key], [F.col(s).desc_nulls_last() for s in scores])
+    return keep_first(df, [key], [(s, "desc") for s in scores])
 
 
 def lowest_price(df: DataFrame, key: str = "ticker", price: str = "price", stamp: str = "time_added") -> DataFrame:
     """The lowest price per key, unpriced rows last."""
-    return keep_first(df, [key], [F.col(price).asc_nulls_last(), F.col(stamp).asc_nulls_last()])
+    return keep_first(df, [key], [(price, "asc"), (stamp, "asc")])
 
 
 def keep_last(base: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Upsert: stack the updates after the base and keep the last row of each key."""
     tagged = stack([base.withColumn("_turn", F.lit(0)), updates.withColumn("_turn", F.lit(1))])
-    return keep_first(tagged, keys, [F.col("_turn").desc()]).drop("_turn")
+    return keep_first(tagged, keys, [("_turn", "desc")]).drop("_turn")
 
 
 def refresh(existing: DataFrame, new: DataFrame, keys: list[str], stamp: str, trim: list[str] = ()) -> DataFrame:

@@ -116,3 +116,82 @@ def redirect_superseded(
             number: F.when(moved, F.col("_other")).otherwise(F.col(number)),
         }
     ).select(*ledger.columns)
+
+
+def fold_polls(
+    snapshots: DataFrame,
+    source: str = "source",
+    open_rows: DataFrame | None = None,
+    closed_rows: DataFrame | None = None,
+    polls: DataFrame | None = None,
+) -> DataFrame:
+    """Any number of polls of any number of sources folded into a history at once.
+
+    Gives what ``snapshot_diff`` would after being run poll by poll: a row is added at the first poll that has it and
+    closed at the first later poll of its source that lacks it, for good.  ``snapshots`` carries ``source`` and
+    ``time_checked``.  ``open_rows`` and ``closed_rows`` are the history so far; the result holds the rows open before or
+    seen now, closed ones with their stamp.  ``polls`` (source, time_checked) adds polls that returned nothing.
+
+    One aggregate per row identity, combined map-side, and a join with the list of poll times of each source.
+    """
+    keys = [c for c in snapshots.columns if c not in STAMPS]
+    seen = snapshots.select(*keys, CHECKED, F.lit(None).cast("timestamp_ntz").alias("_was"))
+    if open_rows is not None:
+        before = open_rows.select(*keys, F.lit(None).cast("timestamp_ntz").alias(CHECKED), F.col(ADDED).alias("_was"))
+        seen = seen.unionByName(before)
+    per_row = seen.groupBy(*keys).agg(F.collect_set(CHECKED).alias("_seen"), F.min("_was").alias("_was"))
+    if closed_rows is not None:
+        closed = closed_rows.select(row_key(keys).alias("_key")).distinct()
+        per_row = per_row.withColumn("_key", row_key(keys)).join(closed, "_key", "left_anti").drop("_key")
+
+    times = snapshots.select(source, CHECKED)
+    if polls is not None:
+        times = times.unionByName(polls.select(source, CHECKED))
+    times = times.groupBy(source).agg(F.collect_set(CHECKED).alias("_times"))
+    joined = per_row.join(times, source, "left")
+    first = F.array_min("_seen")
+    missed = F.filter(F.array_except("_times", "_seen"), lambda t: F.col("_was").isNotNull() | (t > first))
+    return joined.select(
+        *keys, F.coalesce("_was", first).alias(ADDED), F.array_min(missed).alias(REMOVED)
+    )
+
+
+class HistoryStore:
+    """A history on shared storage that grows by what changes.
+
+    Every fold writes a folder of its own with the open rows and the rows it closed.  Closed rows are never rewritten: the
+    current history is the open part of the newest version and the closed parts of all.  Folding the same version again
+    gives the same folder.
+    """
+
+    def __init__(self, spark, root: str, source: str = "source"):
+        from ..sources.writers import VersionedTable
+
+        self.spark, self.source = spark, source
+        self.root = root.rstrip("/")
+        self.log = VersionedTable(spark, self.root)
+
+    def _data(self, current: int) -> DataFrame:
+        rows = self.spark.read.option("basePath", f"{self.root}/data").parquet(f"{self.root}/data")
+        return rows.where(F.col("version") <= current)
+
+    def open_rows(self, before: int | None = None) -> DataFrame | None:
+        current = self.log.current(before)
+        if current is None:
+            return None
+        rows = self._data(current).where((F.col("version") == current) & ~F.col("is_closed"))
+        return rows.drop("version", "is_closed")
+
+    def closed_rows(self, before: int | None = None) -> DataFrame | None:
+        current = self.log.current(before)
+        return None if current is None else self._data(current).where("is_closed").drop("version", "is_closed")
+
+    def history(self) -> DataFrame:
+        return self.open_rows().unionByName(self.closed_rows())
+
+    def fold(self, snapshots: DataFrame, version: int, polls: DataFrame | None = None) -> None:
+        folded = fold_polls(
+            snapshots, self.source, self.open_rows(version), self.closed_rows(version), polls
+        ).withColumn("is_closed", F.col(REMOVED).isNotNull())
+        folded.write.mode("overwrite").partitionBy("is_closed").parquet(f"{self.root}/data/version={version}")
+        self.log.record(version)

@@ -37,7 +37,7 @@ def match_manual_tickets(tickets: DataFrame, listings: DataFrame) -> DataFrame:
 def ledger(listings: DataFrame, *ticket_rows: DataFrame) -> DataFrame:
     """Listings and ticket rows in one list, one row per normalised name; the oldest ticket wins, listings come last."""
     rows = stack([listings, *ticket_rows], schemas.TICKET_LEDGER)
-    return keep_first(rows, [_NAME], [F.col("ticket_created").asc_nulls_last()])
+    return keep_first(rows, [_NAME], [("ticket_created", "asc")])
 
 
 def withdrawn_tickets(withdrawn: DataFrame, tickets: DataFrame) -> DataFrame:

@@ -1,0 +1,93 @@
+"""The standing batch job: histories -> listings -> entities -> reconciliation -> work items and tickets.
+
+Every step is a lazy frame; the only writes are those of ``run``.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
+
+from ..operators import reconcile, tickets, workitems
+from ..operators.entities import unmapped
+from ..sources.normalise import COMBINED, SINGLE, combine_all
+
+
+@dataclass
+class Listings:
+    frame: DataFrame
+    failed: dict[str, str]
+
+
+def normalise_all(raw: dict[str, DataFrame], as_of) -> Listings:
+    """Clean and combine every source there is.
+
+    A source that is absent or lacks a column is reported and left out; the others are not affected.
+    """
+    done, failed = [], {}
+    jobs = {**{n: (lambda f=f: f(raw, as_of)) for n, f in COMBINED.items()}}
+    for name, function in SINGLE.items():
+        jobs[name] = lambda f=function, n=name: f(raw[n], as_of) if n == "TMX" else f(raw[n])
+    for name, job in jobs.items():
+        try:
+            done.append(job())
+        except (KeyError, PySparkException) as problem:
+            failed[name] = str(problem).splitlines()[0]
+    if not done:
+        raise ValueError(f"no source could be read: {failed}")
+    return Listings(combine_all(done, as_of), failed)
+
+
+@dataclass
+class Outcome:
+    """Everything a run decides; nothing has been computed yet."""
+
+    reconciled: DataFrame
+    current: DataFrame
+    withdrawn: DataFrame
+    work_items: DataFrame
+    entity_worklist: DataFrame
+
+
+def decide(listings: DataFrame, entity_map: DataFrame, deals: DataFrame, as_of, recheck_all: bool = True) -> Outcome:
+    per_entity = reconcile.deals_per_entity(deals)
+    external = reconcile.with_entities(listings, entity_map, per_entity)
+    both = reconcile.reconcile(external, per_entity)
+    return Outcome(
+        reconciled=both,
+        current=reconcile.current_rows(both, as_of),
+        withdrawn=reconcile.withdrawn_rows(both),
+        work_items=workitems.upload_layout(workitems.upcoming(listings, entity_map, deals, as_of), as_of),
+        entity_worklist=unmapped(listings, entity_map, recheck_all),
+    )
+
+
+@dataclass
+class TicketOutcome:
+    ledger: DataFrame
+    to_withdraw: DataFrame
+    to_update: DataFrame
+    to_open: DataFrame
+
+
+def decide_tickets(
+    current: DataFrame, withdrawn: DataFrame, stored_ledger: DataFrame, manual: DataFrame, feed: DataFrame, link_base: str
+) -> TicketOutcome:
+    """The ledger after one run, and the outbox rows that go with it."""
+    from ..operators.columns import conform, stack
+    from ..operators.history import apply_updates, redirect_superseded
+    from .. import schemas
+
+    listed = reconcile.ticket_listings(current)
+    gone = reconcile.ticket_listings(withdrawn)
+    by_hand = conform(tickets.match_manual_tickets(manual, listed), schemas.TICKET_LEDGER)
+    known = stack([stored_ledger, by_hand], schemas.TICKET_LEDGER)
+
+    closing = tickets.withdrawn_tickets(gone, known)
+    changed = tickets.ticket_updates(listed, known)
+    main = tickets.mark_withdrawn(tickets.ledger(listed, known), closing)
+    main = apply_updates(main, changed, ["ticket_number", "formatted_company_name"])
+    main = redirect_superseded(main, feed, link_base)
+    return TicketOutcome(main, closing, changed, tickets.new_tickets(main))
