@@ -179,12 +179,12 @@ class HistoryStore:
         current = self.log.current(before)
         if current is None:
             return None
-        rows = self._data(current).where((F.col("version") == current) & ~F.col("is_closed"))
-        return rows.drop("version", "is_closed")
+        rows = self._data(current).where((F.col("version") == current) & (F.col("closed") == 0))
+        return rows.drop("version", "closed")
 
     def closed_rows(self, before: int | None = None) -> DataFrame | None:
         current = self.log.current(before)
-        return None if current is None else self._data(current).where("is_closed").drop("version", "is_closed")
+        return None if current is None else self._data(current).where("closed = 1").drop("version", "closed")
 
     def history(self) -> DataFrame:
         return self.open_rows().unionByName(self.closed_rows())
@@ -192,6 +192,6 @@ class HistoryStore:
     def fold(self, snapshots: DataFrame, version: int, polls: DataFrame | None = None) -> None:
         folded = fold_polls(
             snapshots, self.source, self.open_rows(version), self.closed_rows(version), polls
-        ).withColumn("is_closed", F.col(REMOVED).isNotNull())
-        folded.write.mode("overwrite").partitionBy("is_closed").parquet(f"{self.root}/data/version={version}")
+        ).withColumn("closed", F.col(REMOVED).isNotNull().cast("int"))
+        folded.write.mode("overwrite").partitionBy("closed").parquet(f"{self.root}/data/version={version}")
         self.log.record(version)

@@ -205,8 +205,8 @@ def _read(first: str, second: str) -> str:
 
 @query(
     "date_parse",
-    f"""SELECT o_orderkey, CAST(CASE WHEN cell LIKE '____-%' THEN try_strptime(cell, '%Y-%m-%d') WHEN cell LIKE '%/%' THEN {_read('%m/%d/%Y', '%d/%m/%Y')} ELSE {_read('%m-%d-%Y', '%d-%m-%Y')} END AS DATE) AS month_first,
-        CAST(CASE WHEN cell LIKE '____-%' THEN try_strptime(cell, '%Y-%m-%d') WHEN cell LIKE '%/%' THEN {_read('%d/%m/%Y', '%m/%d/%Y')} ELSE {_read('%d-%m-%Y', '%m-%d-%Y')} END AS DATE) AS day_first FROM ({_TEXT_DATES})""",
+    f"""SELECT o_orderkey, CAST(CASE WHEN regexp_matches(trim(cell), '^[0-9][0-9][0-9][0-9]-') THEN try_strptime(cell, '%Y-%m-%d') WHEN cell LIKE '%/%' THEN {_read('%m/%d/%Y', '%d/%m/%Y')} ELSE {_read('%m-%d-%Y', '%d-%m-%Y')} END AS DATE) AS month_first,
+        CAST(CASE WHEN regexp_matches(trim(cell), '^[0-9][0-9][0-9][0-9]-') THEN try_strptime(cell, '%Y-%m-%d') WHEN cell LIKE '%/%' THEN {_read('%d/%m/%Y', '%m/%d/%Y')} ELSE {_read('%d-%m-%Y', '%m-%d-%Y')} END AS DATE) AS day_first FROM ({_TEXT_DATES})""",
 )
 def date_parse(t: Tables) -> DataFrame:
     return t.sql(_TEXT_DATES).select("o_orderkey", dates.parse_date("cell").alias("month_first"), dates.parse_date("cell", dayfirst=True).alias("day_first"))

@@ -7,15 +7,20 @@ for regular markup with two regular expressions, entirely in the JVM.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import strip
 from ..operators.columns import blanks_to_null
 
+# The tag reader travels with the job, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: elements that have no content.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 

@@ -72,8 +72,7 @@ class PollStore:
 
     def report(self, n: int = RECENT_POLLS) -> DataFrame:
         """The health report over everything stored; copies of a poll row count as often as they arrived."""
-        weighted = self.polls().withColumn("result", F.col("result") * F.col("copies"))
-        return health_report(weighted, n)
+        return health_report(self.polls(), n, weight="copies")
 
 
 def polls_to_store(polls: DataFrame, store: PollStore, checkpoint: str, every: str | None = None) -> StreamingQuery:
