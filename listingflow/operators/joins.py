@@ -64,22 +64,38 @@ def add_only_new(base: DataFrame, extra: DataFrame, symbol: str = "ticker", null
     return only_in_left(extra.withColumn(key, clean_symbol(symbol)), known, [key], null_safe).drop(key)
 
 
+def first_known(frames: list[DataFrame], symbol: str = "ticker") -> DataFrame:
+    """Stack frames in which each only adds symbols that no earlier one has; rows without a symbol count as one symbol.
+
+    The same rows as repeated ``add_only_new``, but each frame is read twice however many there are: once for the smallest
+    frame number of each symbol, once to keep the rows of that frame.
+    """
+    from .columns import stack
+
+    numbered = [f.withColumns({"_frame": F.lit(i), "_symbol": clean_symbol(symbol)}) for i, f in enumerate(frames)]
+    rows = stack(numbered)
+    first = rows.groupBy("_symbol").agg(F.min("_frame").alias("_frame"))
+    wanted = first.select(row_key(["_symbol", "_frame"]).alias("_key"))
+    keyed = rows.withColumn("_key", row_key(["_symbol", "_frame"]))
+    return keyed.join(wanted, "_key", "left_semi").drop("_key", "_symbol", "_frame")
+
+
+_SPREAD = 200
+
+
 def full_outer(left_df: DataFrame, right_df: DataFrame, on: str, suffixes=("_left", "_right")) -> DataFrame:
     """Full outer join on one key; null keys never match.
 
-    Written as (left outer) + (right rows whose key the left lacks).  Rows with a null key, often the largest group, skip
-    the joins altogether.
+    Written as (left outer) + (right rows whose key the left lacks), both of which can be split when a key is hot.  Rows
+    with a null key, often the largest group, are spread by a second key part that no row of the other side has.
     """
     a, b = _suffixed(left_df, right_df, [on], suffixes)
-    has_key = F.col(on).isNotNull()
-    matched = a.where(has_key).join(b.where(has_key), on, "left")
-    right_only = only_in_left(b.where(has_key), a.where(has_key), [on])
-    columns = matched.columns
-    parts = [matched, a.where(~has_key), right_only, b.where(~has_key)]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part, allowMissingColumns=True)
-    return result.select(*columns)
+    spread = F.when(F.col(on).isNull(), F.pmod(F.xxhash64(*a.columns), F.lit(_SPREAD)) + 1).otherwise(0)
+    matched = a.withColumn("_part", spread).join(b.withColumn("_part", F.lit(0).cast("long")), [on, "_part"], "left")
+    spread = F.when(F.col(on).isNull(), F.pmod(F.xxhash64(*b.columns), F.lit(_SPREAD)) + 1).otherwise(0)
+    known = a.select(on).where(F.col(on).isNotNull()).distinct().withColumn("_part", F.lit(0).cast("long"))
+    right_only = b.withColumn("_part", spread).join(known, [on, "_part"], "left_anti")
+    return matched.drop("_part").unionByName(right_only.drop("_part"), allowMissingColumns=True)
 
 
 def left_on_either(left_df: DataFrame, right_df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions.dates import any_on_or_after
 from ..functions.text import normalise_company, null_if_in
 from .aggregates import concat_distinct
 from .columns import conform, fill_from, rename
-from .dedupe import exact, latest
+from .dedupe import latest
 from .joins import enrich_with_fallback, full_outer, left
 
 # Exchanges whose listings carry localised names, and texts that stand for a missing ticker.
@@ -60,8 +60,11 @@ MATCH_COLUMNS = [
 
 
 def deals_per_entity(deals: DataFrame) -> DataFrame:
-    """Deals with their entity's tickers, exchanges and security ids each joined into one text; latest per (entity, deal)."""
-    cleaned = exact(deals).withColumns(
+    """Deals with their entity's tickers, exchanges and security ids each joined into one text; latest per (entity, deal).
+
+    Copies of a deal need no clean-up of their own: neither the distinct texts nor the latest row is changed by them.
+    """
+    cleaned = deals.withColumns(
         {"ticker": null_if_in("ticker", _MISSING_TICKERS), "exchange": F.trim("exchange")}
     )
     texts = concat_distinct(cleaned, "iconum", ["ticker", "exchange", "cusip"])

@@ -10,7 +10,7 @@ from ...functions.text import contains, contains_any, extract, is_not, remove_ph
 from ...operators.columns import rename, stack
 from ...operators.dedupe import earliest_ignoring, keep_first, latest
 from ...operators.history import close_out
-from ...operators.joins import add_only_new
+from ...operators.joins import first_known
 from .common import listings, prepare
 
 # Patterns, labels and names of these sources.
@@ -128,17 +128,20 @@ def feed(raw: DataFrame) -> DataFrame:
 
 def united_states(raw: dict[str, DataFrame], as_of) -> DataFrame:
     """The exchanges first; each aggregator only adds symbols not known yet."""
-    known = stack(
+    exchanges = [
+        nasdaq(raw["Nasdaq"]),
+        nasdaq_priced(raw["Nasdaq Priced"]),
+        nasdaq_withdrawn(raw["Nasdaq Withdrawn"]),
+        nyse(raw["NYSE"]),
+        nyse_withdrawn(raw["NYSE Withdrawn"]),
+    ]
+    known = first_known(
         [
-            listings(nasdaq(raw["Nasdaq"])),
-            listings(nasdaq_priced(raw["Nasdaq Priced"])),
-            listings(nasdaq_withdrawn(raw["Nasdaq Withdrawn"])),
-            listings(nyse(raw["NYSE"])),
-            listings(nyse_withdrawn(raw["NYSE Withdrawn"])),
+            stack([listings(e) for e in exchanges]),
+            listings(iposcoop(raw["IPOScoop"])),
+            listings(feed(raw["AlphaVantage"])),
         ]
     )
-    for clean in (iposcoop(raw["IPOScoop"]), feed(raw["AlphaVantage"])):
-        known = stack([known, add_only_new(known, listings(clean))])
     return price_expected(latest(known, ["company_name", "ticker"], "time_added"), as_of)
 
 
