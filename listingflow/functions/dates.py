@@ -8,33 +8,25 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .text import col_of, strip
 
-# Accepted layouts.  Each pairs the shape a text must have with the pattern that reads it, so a row is
+# Accepted shapes, and the layouts tried for each.  Separators are brought to one form first.  A text is
 # handed only to parsers that can succeed.
 _ISO_SHAPE = r"^\d{4}(-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,6})?)?)?)?)?$"
-_OTHER = [
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-    (r"^\d{8}$", "yyyyMMdd"),
-]
-_MONTH_FIRST = [
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
-    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "M.d.yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"),
-]
-_DAY_FIRST = [
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
-    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy"),
-]
-_NAMED_MONTH = [
-    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
-    (r"^[A-Za-z]{3,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
-    (r"^\d{1,2}[ -][A-Za-z]{3}[ -]\d{4}$", "d[ ][-]MMM[ ][-]yyyy"),
-    (r"^\d{1,2}[ -][A-Za-z]{3}[ -]\d{2}$", "d[ ][-]MMM[ ][-]yy"),
-    (r"^\d{1,2} [A-Za-z]{3,} \d{4}$", "d MMMM yyyy"),
-    (r"^\d{1,2} [A-Za-z]{3,} \d{2}$", "d MMMM yy"),
-]
+_NUMERIC_SHAPE = r"^\d{1,2}([/.-])\d{1,2}\1\d{4}$"
+_NUMERIC_SHORT_SHAPE = r"^\d{1,2}([/.-])\d{1,2}\1\d{2}$"
+_MONTH_NAME_SHAPE = r"^[A-Za-z]{3,9} \d{1,2},? \d{4}$"
+_DAY_NAME_SHAPE = r"^\d{1,2}[ -][A-Za-z]{3,9}[ -]\d{4}$"
+_DAY_NAME_SHORT_SHAPE = r"^\d{1,2}[ -][A-Za-z]{3,9}[ -]\d{2}$"
+_YEAR_FIRST_SHAPE = r"^\d{4}/\d{1,2}/\d{1,2}$"
+_DIGITS_SHAPE = r"^\d{8}$"
+_OVER_TWELVE_FIRST = r"^(1[3-9]|[2-9]\d)/"
+_OVER_TWELVE_SECOND = r"^\d{1,2}/(1[3-9]|[2-9]\d)/"
+_LONG_MONTH = r"[A-Za-z]{4}"
+_MONTH_FIRST, _DAY_FIRST, _YEAR, _SHORT_YEAR = "M/d/", "d/M/", "yyyy", "yy"
+_MONTH_NAME = ("MMM d yyyy", "MMMM d yyyy")
+_DAY_NAME = ("d MMM yyyy", "d MMMM yyyy")
+_DAY_NAME_SHORT = ("d MMM yy", "d MMMM yy")
+_YEAR_FIRST = "yyyy/M/d"
+_DIGITS = "yyyyMMdd"
 
 
 def as_of_stamp(as_of: datetime | date | str) -> Column:
@@ -46,18 +38,41 @@ def as_of_date(as_of: datetime | date | str) -> Column:
     return as_of_stamp(as_of).cast("date")
 
 
+def _read(text: Column, layout: str) -> Column:
+    return F.try_to_timestamp(text, F.lit(layout)).cast("timestamp_ntz")
+
+
+def _read_numeric(text: Column, year: str, dayfirst: bool) -> Column:
+    """By the asked-for convention, unless a number over twelve stands where the month should be."""
+    day_first, month_first = _read(text, _DAY_FIRST + year), _read(text, _MONTH_FIRST + year)
+    if dayfirst:
+        return F.when(text.rlike(_OVER_TWELVE_SECOND), month_first).otherwise(day_first)
+    return F.when(text.rlike(_OVER_TWELVE_FIRST), day_first).otherwise(month_first)
+
+
+def _read_named(text: Column, layouts: tuple[str, str]) -> Column:
+    short, full = layouts
+    return F.when(text.rlike(_LONG_MONTH), _read(text, full)).otherwise(_read(text, short))
+
+
 def parse_stamp(value: Column | str, dayfirst: bool = False) -> Column:
     """Tolerant parse: null when no layout fits.
 
-    An ambiguous text is read by the asked-for convention first and by the other one when that gives no date.
+    An ambiguous text is read by the asked-for convention, any other by the one that gives a date.  The value is looked at
+    several times; put anything costlier than a column into a column of its own first.
     """
     text = strip(value)
-    numeric = _DAY_FIRST + _MONTH_FIRST if dayfirst else _MONTH_FIRST + _DAY_FIRST
-    tries = [F.when(text.rlike(_ISO_SHAPE), text.try_cast("timestamp_ntz"))]
-    for shape, layout in _OTHER + numeric + _NAMED_MONTH:
-        read = F.try_to_timestamp(text, F.lit(layout)).cast("timestamp_ntz")
-        tries.append(F.when(text.rlike(shape), read))
-    return F.coalesce(*tries)
+    slashed, spaced = F.translate(text, "-.", "//"), F.translate(text, "-,", " ")
+    return (
+        F.when(text.rlike(_ISO_SHAPE), text.try_cast("timestamp_ntz"))
+        .when(text.rlike(_NUMERIC_SHAPE), _read_numeric(slashed, _YEAR, dayfirst))
+        .when(text.rlike(_DAY_NAME_SHAPE), _read_named(spaced, _DAY_NAME))
+        .when(text.rlike(_MONTH_NAME_SHAPE), _read_named(spaced, _MONTH_NAME))
+        .when(text.rlike(_NUMERIC_SHORT_SHAPE), _read_numeric(slashed, _SHORT_YEAR, dayfirst))
+        .when(text.rlike(_DAY_NAME_SHORT_SHAPE), _read_named(spaced, _DAY_NAME_SHORT))
+        .when(text.rlike(_YEAR_FIRST_SHAPE), _read(text, _YEAR_FIRST))
+        .when(text.rlike(_DIGITS_SHAPE), _read(text, _DIGITS))
+    )
 
 
 def parse_date(value: Column | str, dayfirst: bool = False) -> Column:

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .text import col_of, contains
 
 
+# Fixed value: what counts as a number.
+_NUMBER = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
+
+
 def tolerant_double(value: Column | str) -> Column:
-    """Per-cell numeric parse: null for anything that is not a finite plain number."""
-    text = F.trim(col_of(value).cast("string"))
-    parsed = F.when(~text.rlike("[a-zA-Z]$"), text.try_cast("double"))
-    return F.when(~F.isnan(parsed), parsed)
+    """Per-cell numeric parse: null for anything that is not a plain number (the cell is looked at once)."""
+    return F.regexp_extract(col_of(value).cast("string"), _NUMBER, 1).try_cast("double")
+
+
+def double_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The listed columns as doubles; text is parsed tolerantly, numbers are only cast."""
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    return df.withColumns({c: tolerant_double(c) if c in text else F.col(c).cast("double") for c in columns})
 
 
 def thousands(value: Column | str) -> Column:
@@ -65,5 +73,5 @@ def price_from_bounds(low: Column | str, high: Column | str, zero_is_unpriced: b
     """Two bounds: equal ones are the price, different ones a range; zero may mean "not priced yet"."""
     lo, hi = col_of(low), col_of(high)
     priced = F.coalesce(lo != 0, F.lit(False)) if zero_is_unpriced else F.lit(True)
-    price = F.when(priced & (lo == hi), tolerant_double(hi))
+    price = F.when(priced & (lo == hi), hi.try_cast("double"))
     return price, F.when(priced & (lo != hi), range_text(lo, hi))

@@ -7,9 +7,11 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-# What counts as outer white space (with the non-breaking space), and as a blank cell.
-_OUTER_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_BLANK = r"(?U)^\s*$"
+# The white space of Unicode, the non-breaking space included.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Asset-type phrases removed from company names, in this order.
 ASSET_PHRASES = [
@@ -58,7 +60,8 @@ def replace_text(value: Column | str, text: str, replacement: str = "", ignore_c
     """Literal replacement."""
     if ignore_case:
         safe = replacement.replace("\\", "\\\\").replace("$", "\\$")
-        return F.regexp_replace(col_of(value), "(?iu)" + re.escape(text), safe)
+        flags = "(?i)" if text.isascii() else "(?iu)"
+        return F.regexp_replace(col_of(value), flags + re.escape(text), safe)
     return F.replace(col_of(value), F.lit(text), F.lit(replacement))
 
 
@@ -69,12 +72,12 @@ def remove_phrases(value: Column | str, phrases: list[str] = ASSET_PHRASES, igno
 
 def strip(value: Column | str) -> Column:
     """Drop outer white space of any kind, the non-breaking space included."""
-    return F.regexp_replace(col_of(value), _OUTER_SPACE, "")
+    return F.trim(col_of(value), F.lit(WHITE_SPACE))
 
 
 def blank_to_null(value: Column | str) -> Column:
     c = col_of(value)
-    return F.when(~c.rlike(_BLANK), c)
+    return F.when(strip(c) != "", c)
 
 
 def null_if_in(value: Column | str, placeholders: list[str]) -> Column:

@@ -8,7 +8,7 @@ from ..functions.dates import as_of_stamp
 from .columns import stack
 from .dedupe import keep_last
 from .filters import latest_batch
-from .joins import row_key
+from .joins import ROW_KEY, keyed, keys_of
 
 ADDED, REMOVED, CHECKED = "time_added", "time_removed", "time_checked"
 STAMPS = (CHECKED, ADDED, REMOVED)
@@ -32,25 +32,25 @@ def snapshot_diff(history: DataFrame, snapshot: DataFrame, checked_at, reopen: b
     Both joins have the history or the snapshot on the splittable side and a de-duplicated key list on the other.
     """
     keys = [c for c in snapshot.columns if c not in STAMPS]
-    seen = snapshot.select(row_key(keys).alias("_key")).distinct()
-    known = history.select(*keys, ADDED, REMOVED).distinct().withColumn("_key", row_key(keys))
+    seen = keys_of(snapshot, keys)
+    known = keyed(history.select(*keys, ADDED, REMOVED).distinct(), keys)
     now = as_of_stamp(checked_at)
 
-    flagged = known.join(seen.withColumn("_seen", F.lit(True)), "_key", "left")
+    flagged = known.join(seen.withColumn("_seen", F.lit(True)), ROW_KEY, "left")
     gone = F.col("_seen").isNull()
     removed = F.when(gone & F.col(REMOVED).isNull(), now).otherwise(F.col(REMOVED))
     if reopen:
         removed = F.when(gone, removed)
     kept = flagged.select(*keys, ADDED, removed.alias(REMOVED))
 
-    added = seen.join(known.select("_key").distinct(), "_key", "left_anti").select("_key.*")
+    added = seen.join(known.select(*ROW_KEY).distinct(), ROW_KEY, "left_anti").select("_key.*")
     return stack([kept, added.select("*", now.alias(ADDED), F.lit(None).cast("timestamp_ntz").alias(REMOVED))])
 
 
 def close_out(df: DataFrame, key: str, label: str, checked_at, length: int = 8) -> DataFrame:
     """Close the open rows whose id is not in the newest batch."""
-    current = latest_batch(df, label, length).select(row_key([key]).alias("_key")).distinct()
-    flagged = df.withColumn("_key", row_key([key])).join(current.withColumn("_now", F.lit(True)), "_key", "left")
+    current = keys_of(latest_batch(df, label, length), [key]).withColumn("_now", F.lit(True))
+    flagged = keyed(df, [key]).join(current, ROW_KEY, "left")
     closing = F.col("_now").isNull() & F.col(REMOVED).isNull()
     return flagged.withColumn(REMOVED, F.when(closing, as_of_stamp(checked_at)).otherwise(F.col(REMOVED))).select(
         *df.columns
@@ -141,8 +141,7 @@ def fold_polls(
         seen = seen.unionByName(before)
     per_row = seen.groupBy(*keys).agg(F.collect_set(CHECKED).alias("_seen"), F.min("_was").alias("_was"))
     if closed_rows is not None:
-        closed = closed_rows.select(row_key(keys).alias("_key")).distinct()
-        per_row = per_row.withColumn("_key", row_key(keys)).join(closed, "_key", "left_anti").drop("_key")
+        per_row = keyed(per_row, keys).join(keys_of(closed_rows, keys), ROW_KEY, "left_anti").drop(*ROW_KEY)
 
     times = snapshots.select(source, CHECKED)
     if polls is not None:

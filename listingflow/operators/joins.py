@@ -12,9 +12,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import clean_symbol
 
 
-def row_key(columns: list[str]) -> Column:
-    """Several columns as one join key in which null equals null (as fields of a struct do)."""
-    return F.struct(*[F.col(f"`{c}`") for c in columns])
+# Helper columns that identify a row: a hash that sorts and compares fast, and the exact values behind it.
+ROW_KEY = ["_hash", "_key"]
+
+
+def keyed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Add a join key over several columns in which null equals null (as fields of a struct do)."""
+    values = [F.col(f"`{c}`") for c in columns]
+    return df.withColumns({"_hash": F.xxhash64(*values), "_key": F.struct(*values)})
+
+
+def keys_of(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The distinct keys of a frame; copies are folded before they are shuffled."""
+    return keyed(df, columns).select(*ROW_KEY).distinct()
 
 
 def suffix_clashes(df: DataFrame, clashes: set[str], suffix: str) -> DataFrame:
@@ -53,8 +63,7 @@ def only_in_left(left_df: DataFrame, right_df: DataFrame, on: list[str], null_sa
     """Set difference by key.  With ``null_safe`` a null key on the right removes null keys on the left."""
     if not null_safe:
         return left_df.join(right_df.select(*on).distinct(), on, "left_anti")
-    keys = right_df.select(row_key(on).alias("_key")).distinct()
-    return left_df.withColumn("_key", row_key(on)).join(keys, "_key", "left_anti").drop("_key")
+    return keyed(left_df, on).join(keys_of(right_df, on), ROW_KEY, "left_anti").drop(*ROW_KEY)
 
 
 def add_only_new(base: DataFrame, extra: DataFrame, symbol: str = "ticker", null_safe: bool = True) -> DataFrame:
@@ -75,9 +84,8 @@ def first_known(frames: list[DataFrame], symbol: str = "ticker") -> DataFrame:
     numbered = [f.withColumns({"_frame": F.lit(i), "_symbol": clean_symbol(symbol)}) for i, f in enumerate(frames)]
     rows = stack(numbered)
     first = rows.groupBy("_symbol").agg(F.min("_frame").alias("_frame"))
-    wanted = first.select(row_key(["_symbol", "_frame"]).alias("_key"))
-    keyed = rows.withColumn("_key", row_key(["_symbol", "_frame"]))
-    return keyed.join(wanted, "_key", "left_semi").drop("_key", "_symbol", "_frame")
+    pair = ["_symbol", "_frame"]
+    return keyed(rows, pair).join(keyed(first, pair).select(*ROW_KEY), ROW_KEY, "left_semi").drop(*ROW_KEY, *pair)
 
 
 _SPREAD = 200

@@ -56,11 +56,12 @@ def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float) -> Data
     b = b.select(F.col("name").alias("candidate"), "gram", F.col("place").alias("at"))
     n, c = F.length("name"), F.length("candidate")
     longer = F.greatest(n, c)
-    close = F.abs(n - c) <= F.floor(longer * F.lit(1 - threshold) + F.lit(1e-9))
-    met = a.join(b, ["gram", "at"]).where(close & (F.col("name") != F.col("candidate"))).select("name", "candidate").distinct()
-    return met.withColumn("similarity", similarity("name", "candidate")).where(
-        F.col("similarity") >= F.lit(threshold - 1e-9)
-    )
+    allowed = F.floor(longer * F.lit(1 - threshold) + F.lit(1e-9)).cast("int")
+    met = a.join(b, ["gram", "at"]).where((F.abs(n - c) <= allowed) & (F.col("name") != F.col("candidate")))
+    # the bounded distance gives up early (-1), so pairs are measured where they meet and only near ones are shuffled
+    distance = F.call_function("levenshtein", F.col("name"), F.col("candidate"), allowed)
+    near = met.select("name", "candidate", distance.alias("distance")).where("distance >= 0").distinct()
+    return near.select("name", "candidate", (F.lit(1.0) - F.col("distance") / longer).alias("similarity"))
 
 
 def match_names(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ...functions.dates import as_of_stamp, dated_note, shift_days
-from ...functions.numbers import number_text, price_from_bounds, range_text, scaled, split_price, thousands, tolerant_double
+from ...functions.numbers import double_columns, number_text, price_from_bounds, range_text, scaled, split_price, thousands
 from ...functions.text import contains, contains_any, extract, is_not, remove_phrases, replace_text, strip, truncate
 from ...operators.columns import rename, stack
 from ...operators.dedupe import earliest_ignoring, keep_first, latest
@@ -100,22 +100,17 @@ def feed_raw(lines: DataFrame) -> DataFrame:
     for text, kind in _FEED_ASSETS:
         hit = contains("name", text)
         asset = F.when(hit, kind) if asset is None else asset.when(hit, kind)
-    typed = lines.withColumns(
-        {
-            "assetType": asset.otherwise("Shares"),
-            "priceRangeLow": tolerant_double("priceRangeLow"),
-            "priceRangeHigh": tolerant_double("priceRangeHigh"),
-        }
-    )
-    return rename(typed, _FEED_NAMES)
+    typed = double_columns(lines, ["priceRangeLow", "priceRangeHigh"])
+    return rename(typed.withColumn("assetType", asset.otherwise("Shares")), _FEED_NAMES)
 
 
 def feed(raw: DataFrame) -> DataFrame:
     """Zero bounds mean "not priced yet"; asset words are taken out of company names."""
-    low, high = tolerant_double("price_range_low"), tolerant_double("price_range_high")
+    bounded = double_columns(prepare(raw), ["price_range_low", "price_range_high"])
+    low, high = F.col("price_range_low"), F.col("price_range_high")
     price, _ = price_from_bounds(low, high, zero_is_unpriced=True)
     is_range = (low != 0) & (low != high)
-    return prepare(raw).withColumns(
+    return bounded.withColumns(
         {
             "price": price,
             "price_range": F.when(is_range, range_text(number_text(low), number_text(high))),

@@ -174,13 +174,10 @@ def krx(raw: DataFrame) -> DataFrame:
 
 def asx_raw(lines: DataFrame) -> DataFrame:
     """``name - date`` headings as records."""
-    return lines.withColumns(
-        {
-            "company_name": extract("listing_info", _ASX_NAME),
-            "ipo_date": parse_date(extract("listing_info", _ASX_DATE)),
-            "exchange": F.lit("Australian Stock Exchange"),
-        }
+    parts = lines.withColumns(
+        {"company_name": extract("listing_info", _ASX_NAME), "ipo_date": extract("listing_info", _ASX_DATE)}
     )
+    return parts.withColumns({"ipo_date": parse_date("ipo_date"), "exchange": F.lit("Australian Stock Exchange")})
 
 
 def asx(raw: DataFrame) -> DataFrame:
