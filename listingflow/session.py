@@ -14,20 +14,29 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # pages differ in size by orders of magnitude, so Arrow batches are bounded by bytes as well as by rows
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.ui.enabled": "false",
 }
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", checkpoint_dir: str | None = None
+) -> SparkSession:
     """A single-machine session for tests and the benchmark; on a cluster use the session you are given."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("listingflow")
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", memory)
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -38,9 +47,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="listingflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    session = spark.sparkContext.applicationId
+    if session not in _local_folders:
+        _local_folders[session] = tempfile.mkdtemp(prefix="listingflow-")
+    return _local_folders[session]
 
 
 def run_folder(spark: SparkSession, label: str) -> str:

@@ -1,7 +1,7 @@
 """Records out of HTML pages held in a ``pages`` frame.
 
 ``extract_rows`` follows an extraction setting (container, row and cell elements, link targets) and runs a small tag
-reader per page inside ``mapInPandas``; pages are independent, so there is no shuffle.  ``extract_regular`` does the same
+reader per page inside ``mapInArrow``; pages are independent, so there is no shuffle.  ``extract_regular`` does the same
 for regular markup with two regular expressions, entirely in the JVM.
 """
 
@@ -136,18 +136,23 @@ def extract_rows(pages: DataFrame, setting: dict, key: str = "page_id", html: st
     skip = 1 if setting.get("column_names_as_row") else 0
 
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         for batch in batches:
             keys, numbers, cells = [], [], []
-            for page, source in zip(batch[key], batch[html]):
-                for number, row in enumerate(page_rows(source or "", setting)[skip:]):
+            for page, source in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for number, row in enumerate(page_rows(source.as_py() or "", setting)[skip:]):
                     keys.append(page)
                     numbers.append(number)
                     cells.append(row)
-            yield pd.DataFrame({key: keys, "row_no": numbers, "cells": cells})
-
-    return pages.select(key, html).mapInPandas(run, f"{key} {key_type}, row_no int, cells array<string>")
+            columns = [
+                pa.array(keys, batch.schema.field(0).type),
+                pa.array(numbers, pa.int32()),
+                pa.array(cells, pa.list_(pa.string())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [key, "row_no", "cells"])
+
+    return pages.select(key, html).mapInArrow(run, f"{key} {key_type}, row_no int, cells array<string>")
 
 
 def extract_regular(
