@@ -132,7 +132,8 @@ def drop_zone(value: Column | str) -> Column:
 
 
 def on_or_after(value: Column | str, as_of) -> Column:
-    return F.coalesce(col_of(value).cast("date") >= as_of_date(as_of), F.lit(False))
+    """On the day of ``as_of`` or later; a plain comparison, so it reaches the scan (null for a null date)."""
+    return col_of(value) >= as_of_date(as_of)
 
 
 def any_on_or_after(values: list[Column | str], as_of) -> Column:
@@ -149,4 +150,4 @@ def within_days(value: Column | str, as_of, days: int) -> Column:
 
 def text_on_or_after(value: Column | str, bound: str) -> Column:
     """ISO date texts compare as text."""
-    return F.coalesce(col_of(value) >= F.lit(bound), F.lit(False))
+    return col_of(value) >= F.lit(bound)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import as_of_stamp
 from .columns import stack
@@ -118,6 +118,11 @@ def redirect_superseded(
     ).select(*ledger.columns)
 
 
+def poll_times(snapshots: DataFrame, source: str = "source") -> DataFrame:
+    """The polls a log of snapshots shows: one row per source and time."""
+    return snapshots.select(source, CHECKED).distinct()
+
+
 def fold_polls(
     snapshots: DataFrame,
     source: str = "source",
@@ -130,28 +135,31 @@ def fold_polls(
     Gives what ``snapshot_diff`` would after being run poll by poll: a row is added at the first poll that has it and
     closed at the first later poll of its source that lacks it, for good.  ``snapshots`` carries ``source`` and
     ``time_checked``.  ``open_rows`` and ``closed_rows`` are the history so far; the result holds the rows open before or
-    seen now, closed ones with their stamp.  ``polls`` (source, time_checked) adds polls that returned nothing.
+    seen now, closed ones with their stamp.  ``polls`` (source, time_checked) lists all polls, those that returned nothing
+    included; without it the list is taken from the snapshots.
 
-    One aggregate per row identity, combined map-side, and a join with the list of poll times of each source.
+    Every sighting is told which poll of its source came next; a row is gone at the first such poll that did not see it.
+    That takes a join with the short list of polls and one aggregate, combined map-side.
     """
     keys = [c for c in snapshots.columns if c not in STAMPS]
-    seen = snapshots.select(*keys, CHECKED, F.lit(None).cast("timestamp_ntz").alias("_was"))
+    polls = poll_times(snapshots, source) if polls is None else polls.select(source, CHECKED).distinct()
+    following = F.lead(CHECKED).over(Window.partitionBy(source).orderBy(CHECKED))
+    steps = polls.select(source, CHECKED, following.alias("_next"))
+    sightings = snapshots.select(*keys, CHECKED).join(steps, [source, CHECKED], "left")
+    sightings = sightings.select(*keys, CHECKED, "_next", F.lit(None).cast("timestamp_ntz").alias("_was"))
     if open_rows is not None:
-        before = open_rows.select(*keys, F.lit(None).cast("timestamp_ntz").alias(CHECKED), F.col(ADDED).alias("_was"))
-        seen = seen.unionByName(before)
-    per_row = seen.groupBy(*keys).agg(F.collect_set(CHECKED).alias("_seen"), F.min("_was").alias("_was"))
+        starts = polls.groupBy(source).agg(F.min(CHECKED).alias("_next"))
+        before = open_rows.select(*keys, F.col(ADDED).alias("_was")).join(starts, source, "left")
+        sightings = sightings.unionByName(before, allowMissingColumns=True)
+    per_row = sightings.groupBy(*keys).agg(
+        F.collect_set(CHECKED).alias("_seen"), F.collect_set("_next").alias("_due"), F.min("_was").alias("_was")
+    )
     if closed_rows is not None:
         per_row = keyed(per_row, keys).join(keys_of(closed_rows, keys), ROW_KEY, "left_anti").drop(*ROW_KEY)
-
-    times = snapshots.select(source, CHECKED)
-    if polls is not None:
-        times = times.unionByName(polls.select(source, CHECKED))
-    times = times.groupBy(source).agg(F.collect_set(CHECKED).alias("_times"))
-    joined = per_row.join(times, source, "left")
-    first = F.array_min("_seen")
-    missed = F.filter(F.array_except("_times", "_seen"), lambda t: F.col("_was").isNotNull() | (t > first))
-    return joined.select(
-        *keys, F.coalesce("_was", first).alias(ADDED), F.array_min(missed).alias(REMOVED)
+    return per_row.select(
+        *keys,
+        F.coalesce("_was", F.array_min("_seen")).alias(ADDED),
+        F.array_min(F.array_except("_due", "_seen")).alias(REMOVED),
     )
 
 
@@ -188,9 +196,19 @@ class HistoryStore:
     def history(self) -> DataFrame:
         return self.open_rows().unionByName(self.closed_rows())
 
-    def fold(self, snapshots: DataFrame, version: int, polls: DataFrame | None = None) -> None:
+    def fold(self, snapshots: DataFrame, version: int, empty_polls: DataFrame | None = None) -> None:
+        # the list of polls is stored first: read back, its size is known and Spark can tell whether to broadcast it
+        times = poll_times(snapshots, self.source)
+        if empty_polls is not None:
+            times = times.unionByName(empty_polls.select(self.source, CHECKED))
+        polls = f"{self.root}/polls/version={version}"
+        times.write.mode("overwrite").parquet(polls)
         folded = fold_polls(
-            snapshots, self.source, self.open_rows(version), self.closed_rows(version), polls
+            snapshots,
+            self.source,
+            self.open_rows(version),
+            self.closed_rows(version),
+            self.spark.read.schema(times.schema).parquet(polls),
         ).withColumn("closed", F.col(REMOVED).isNotNull().cast("int"))
         folded.write.mode("overwrite").partitionBy("closed").parquet(f"{self.root}/data/version={version}")
         self.log.record(version)

@@ -1,10 +1,11 @@
 """The standing batch job: histories -> listings -> entities -> reconciliation -> work items and tickets.
 
-Every step is a lazy frame; the only writes are those of ``run``.
+Every step is a lazy frame; the only writes are those of ``staged`` and ``run``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -12,7 +13,9 @@ from pyspark.sql import DataFrame
 
 from ..operators import reconcile, tickets, workitems
 from ..operators.entities import unmapped
+from ..session import run_folder
 from ..sources.normalise import COMBINED, SINGLE, combine_all
+from ..sources.writers import VersionedTable
 
 
 @dataclass
@@ -51,10 +54,18 @@ class Outcome:
     entity_worklist: DataFrame
 
 
-def decide(listings: DataFrame, entity_map: DataFrame, deals: DataFrame, as_of, recheck_all: bool = True) -> Outcome:
-    per_entity = reconcile.deals_per_entity(deals)
-    external = reconcile.with_entities(listings, entity_map, per_entity)
-    both = reconcile.reconcile(external, per_entity)
+def decide(
+    listings: DataFrame,
+    entity_map: DataFrame,
+    deals: DataFrame,
+    as_of,
+    recheck_all: bool = True,
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
+) -> Outcome:
+    """``stage`` stores an intermediate frame that several results read and gives it back (see ``staged``)."""
+    per_entity = stage(reconcile.deals_per_entity(deals), "deals")
+    external = stage(reconcile.with_entities(listings, entity_map, per_entity), "external")
+    both = stage(reconcile.reconcile(external, per_entity), "reconciled")
     return Outcome(
         reconciled=both,
         current=reconcile.current_rows(both, as_of),
@@ -64,6 +75,36 @@ def decide(listings: DataFrame, entity_map: DataFrame, deals: DataFrame, as_of,
     )
 
 
+def staged(folder: str) -> Callable[[DataFrame, str], DataFrame]:
+    """Store frames under a folder all executors share: computed once, with known size, and safe when an executor goes."""
+
+    def stage(df: DataFrame, label: str) -> DataFrame:
+        path = f"{folder}/{label}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    return stage
+
+
+def run(raw: dict[str, DataFrame], entity_map: DataFrame, deals: DataFrame, as_of, root: str) -> dict[str, str]:
+    """One scheduled run: combine, reconcile and save.  Returns the sources that failed."""
+    spark = deals.sparkSession
+    stage = staged(run_folder(spark, "run"))
+    combined = normalise_all(raw, as_of)
+    listings = stage(combined.frame, "listings")
+    outcome = decide(listings, entity_map, deals, as_of, stage=stage)
+    results = {
+        "all_listings": listings,
+        "current": outcome.current,
+        "withdrawn": outcome.withdrawn,
+        "work_items": outcome.work_items,
+        "entity_worklist": outcome.entity_worklist,
+    }
+    for name, frame in results.items():
+        VersionedTable(spark, f"{root}/{name}").write(frame)
+    return combined.failed
+
+
 @dataclass
 class TicketOutcome:
     ledger: DataFrame

@@ -82,7 +82,7 @@ def test_store_in_batches_equals_one_fold_and_survives_replay(spark, tmp_path):
 def test_an_empty_poll_closes_rows(spark):
     seen = spark.createDataFrame([("s", "a", T0)], SCHEMA)
     later = T0 + dt.timedelta(hours=1)
-    polls = spark.createDataFrame([("s", later)], "source string, time_checked timestamp_ntz")
+    polls = spark.createDataFrame([("s", T0), ("s", later), ("other", later)], "source string, time_checked timestamp_ntz")
     assert rows(history.fold_polls(seen, polls=polls), "time_removed") == [(later,)]
 
 

@@ -8,6 +8,7 @@ from listingflow.operators import health, reconcile, registry, tickets, workitem
 from listingflow.operators.columns import conform
 from listingflow.plans import pipeline
 from listingflow.session import run_folder
+from listingflow.sources.writers import VersionedTable
 from listingflow.streaming import jobs
 
 from conftest import rows
@@ -181,5 +182,19 @@ def test_whole_run(spark):
     assert conform(out.ledger, schemas.TICKET_LEDGER).columns == out.ledger.columns
 
 
+def test_a_run_saves_its_results(spark, tmp_path):
+    names = "company_name string, ticker string, ipo_date string, exchange string, location string, time_added string, time_removed string"
+    source = spark.createDataFrame([("A", "t", "20/06/2024", "Euronext", "Paris", "2024-01-01", None)], names)
+    deals = frame(spark, schemas.DEALS, dict(iconum=1, company_name="A", master_deal=10, last_updated_date_utc=T))
+    for _ in range(2):  # a later run replaces what the first one saved
+        failed = pipeline.run({"Euronext": source}, frame(spark, schemas.ENTITY_MAP), deals, NOW, str(tmp_path))
+    assert "KRX" in failed
+    saved = {n: VersionedTable(spark, f"{tmp_path}/{n}") for n in ("all_listings", "work_items", "current", "withdrawn")}
+    assert saved["all_listings"].current() == 2
+    assert rows(saved["all_listings"].read(), "company_name", "status") == [("A", "Upcoming")]
+    assert rows(saved["work_items"].read(), "COMPANY_NAME", "MASTER_DEAL") == [("A", 10)]
+    assert saved["current"].read().count() == 1 and saved["withdrawn"].read().count() == 0
+
+
 def test_folders_are_new_each_time(spark):
     assert run_folder(spark, "x") != run_folder(spark, "x")
