@@ -8,7 +8,7 @@ from ..functions.dates import as_of_stamp
 from .columns import stack
 from .dedupe import keep_last
 from .filters import latest_batch
-from .joins import ROW_KEY, keyed, keys_of
+from .joins import ROW_KEY, keyed, keys_of, left
 
 ADDED, REMOVED, CHECKED = "time_added", "time_removed", "time_checked"
 STAMPS = (CHECKED, ADDED, REMOVED)
@@ -43,7 +43,7 @@ def snapshot_diff(history: DataFrame, snapshot: DataFrame, checked_at, reopen: b
         removed = F.when(gone, removed)
     kept = flagged.select(*keys, ADDED, removed.alias(REMOVED))
 
-    added = seen.join(known.select(*ROW_KEY).distinct(), ROW_KEY, "left_anti").select("_key.*")
+    added = seen.join(keys_of(history, keys), ROW_KEY, "left_anti").select("_key.*")
     return stack([kept, added.select("*", now.alias(ADDED), F.lit(None).cast("timestamp_ntz").alias(REMOVED))])
 
 
@@ -84,8 +84,8 @@ def apply_updates(base: DataFrame, updates: DataFrame, keys: list[str]) -> DataF
 
 def mark_members(df: DataFrame, keys: DataFrame, on: str, changes: dict[str, Column]) -> DataFrame:
     """Set columns on the rows whose key is in ``keys``."""
-    members = keys.select(on).where(F.col(on).isNotNull()).distinct().withColumn("_member", F.lit(True))
-    joined = df.join(members, on, "left")
+    members = keys.select(on).distinct().withColumn("_member", F.lit(True))
+    joined = left(df, members, on, right_unique=True)
     new = {
         c: F.when(F.col("_member"), v).otherwise(F.col(c) if c in df.columns else F.lit(None))
         for c, v in changes.items()
@@ -107,7 +107,7 @@ def redirect_superseded(
     news = feed.select(
         F.col("ticket_number").alias(number), F.col("status").alias("_status"), F.col("duplicate_of").alias("_other")
     )
-    joined = ledger.join(news, number, "left")
+    joined = left(ledger, news, number, right_unique=True)
     moved = F.coalesce((F.col("_status") == "Resolved") & F.col("_other").isNotNull(), F.lit(False))
     return joined.withColumns(
         {
@@ -149,7 +149,7 @@ def fold_polls(
     sightings = sightings.select(*keys, CHECKED, "_next", F.lit(None).cast("timestamp_ntz").alias("_was"))
     if open_rows is not None:
         starts = polls.groupBy(source).agg(F.min(CHECKED).alias("_next"))
-        before = open_rows.select(*keys, F.col(ADDED).alias("_was")).join(starts, source, "left")
+        before = left(open_rows.select(*keys, F.col(ADDED).alias("_was")), starts, source, right_unique=True)
         sightings = sightings.unionByName(before, allowMissingColumns=True)
     per_row = sightings.groupBy(*keys).agg(
         F.collect_set(CHECKED).alias("_seen"), F.collect_set("_next").alias("_due"), F.min("_was").alias("_was")

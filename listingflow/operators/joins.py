@@ -1,69 +1,110 @@
 """Joins with explicit null rules, written so that a hot key can be split.
 
-Adaptive execution splits skewed partitions of inner, left outer, semi and anti joins, but not of full outer ones, and an
-OR of two equalities plans as a nested loop.  Those two are rewritten here.  Nothing is forced to broadcast; Spark does it
-by itself when the measured size of a side is under its threshold.
+Adaptive execution splits a hot partition of an inner, left outer, semi or anti join when both inputs come straight from
+a shuffle.  It cannot when an input was already partitioned by the join key (the result of a ``distinct`` or ``groupBy`` on
+it, or of an earlier join), on the right of a left outer join, or in a full outer join.  Therefore:
+
+* joins here run on two helper columns made from the key, so both inputs are always shuffled for the join;
+* left and full outer joins are put together from an inner join and anti joins unless the right side is unique;
+* rows with a null key, which match nothing, are spread over all tasks;
+* an OR of two equalities, which would plan as a nested loop, becomes two inner joins and two anti joins.
+
+Nothing is forced to broadcast; Spark does it by itself when the measured size of a side is under its threshold.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import clean_symbol
 
-
-# Helper columns that identify a row: a hash that sorts and compares fast, and the exact values behind it.
+# Helper columns that stand for a key: a hash that sorts and compares fast, and the exact values behind it.
 ROW_KEY = ["_hash", "_key"]
 
 
-def keyed(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Add a join key over several columns in which null equals null (as fields of a struct do)."""
+def keyed(df: DataFrame, columns: list[str], spread_nulls: bool = False) -> DataFrame:
+    """Add a join key over several columns in which null equals null (as fields of a struct do).
+
+    With ``spread_nulls`` rows that miss a part of the key get a hash of the whole row instead, for joins in which they
+    match nothing.
+    """
     values = [F.col(f"`{c}`") for c in columns]
-    return df.withColumns({"_hash": F.xxhash64(*values), "_key": F.struct(*values)})
+    hashed = F.xxhash64(*values)
+    if spread_nulls:
+        whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        hashed = F.when(_any_null(columns), whole).otherwise(hashed)
+    return df.withColumns({"_hash": hashed, "_key": F.struct(*values)})
+
+
+def _any_null(columns: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in columns])
 
 
 def keys_of(df: DataFrame, columns: list[str]) -> DataFrame:
     """The distinct keys of a frame; copies are folded before they are shuffled."""
-    return keyed(df, columns).select(*ROW_KEY).distinct()
+    return keyed(df.select(*columns).distinct(), columns).select(*ROW_KEY)
+
+
+def _present(df: DataFrame, on: list[str]) -> DataFrame:
+    return df.where(~_any_null(on))
+
+
+def _listed(on: list[str] | str) -> list[str]:
+    return [on] if isinstance(on, str) else list(on)
 
 
 def suffix_clashes(df: DataFrame, clashes: set[str], suffix: str) -> DataFrame:
     return df.withColumnsRenamed({c: c + suffix for c in df.columns if c in clashes})
 
 
-def _suffixed(left: DataFrame, right: DataFrame, on: list[str], suffixes: tuple[str, str]):
-    clashes = (set(left.columns) & set(right.columns)) - set(on)
-    return suffix_clashes(left, clashes, suffixes[0]), suffix_clashes(right, clashes, suffixes[1])
+def _suffixed(left_df: DataFrame, right_df: DataFrame, on: list[str], suffixes: tuple[str, str]):
+    clashes = (set(left_df.columns) & set(right_df.columns)) - set(on)
+    return suffix_clashes(left_df, clashes, suffixes[0]), suffix_clashes(right_df, clashes, suffixes[1])
 
 
-def left(left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("", "_right")) -> DataFrame:
-    """Left join on equal, non-null keys; clashing columns get suffixes."""
-    on = [on] if isinstance(on, str) else on
+def inner(left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("", "_right")) -> DataFrame:
+    """Inner join on equal, non-null keys; clashing columns get suffixes."""
+    on = _listed(on)
     a, b = _suffixed(left_df, right_df, on, suffixes)
-    return a.join(b, on, "left")
+    b = keyed(_present(b, on), on).drop(*on)
+    return keyed(_present(a, on), on).join(b, ROW_KEY, "inner").drop(*ROW_KEY)
 
 
-def inner(left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("", "_right")) -> DataFrame:
-    on = [on] if isinstance(on, str) else on
+def left(
+    left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("", "_right"), right_unique: bool = False
+) -> DataFrame:
+    """Left join on equal, non-null keys; clashing columns get suffixes.
+
+    Say ``right_unique`` when the right has one row per key: the join is then a single one.
+    """
+    on = _listed(on)
     a, b = _suffixed(left_df, right_df, on, suffixes)
-    return a.join(b, on, "inner")
+    if right_unique:
+        b = keyed(_present(b, on), on).drop(*on)
+        return keyed(a, on, spread_nulls=True).join(b, ROW_KEY, "left").drop(*ROW_KEY)
+    matched = inner(a, b, on)
+    return matched.unionByName(only_in_left(a, b, on), allowMissingColumns=True)
 
 
 def natural_left(left_df: DataFrame, right_df: DataFrame) -> DataFrame:
     """Left join on every column the two frames share."""
-    return left_df.join(right_df, [c for c in left_df.columns if c in right_df.columns], "left")
+    return left(left_df, right_df, [c for c in left_df.columns if c in right_df.columns])
 
 
 def semi(left_df: DataFrame, right_df: DataFrame, on: list[str] | str) -> DataFrame:
-    on = [on] if isinstance(on, str) else on
-    return left_df.join(right_df.select(*on).distinct(), on, "left_semi")
+    """The left rows whose key the right has; null keys match nothing."""
+    on = _listed(on)
+    return keyed(_present(left_df, on), on).join(keys_of(_present(right_df, on), on), ROW_KEY, "left_semi").drop(*ROW_KEY)
 
 
 def only_in_left(left_df: DataFrame, right_df: DataFrame, on: list[str], null_safe: bool = False) -> DataFrame:
     """Set difference by key.  With ``null_safe`` a null key on the right removes null keys on the left."""
-    if not null_safe:
-        return left_df.join(right_df.select(*on).distinct(), on, "left_anti")
-    return keyed(left_df, on).join(keys_of(right_df, on), ROW_KEY, "left_anti").drop(*ROW_KEY)
+    if null_safe:
+        return keyed(left_df, on).join(keys_of(right_df, on), ROW_KEY, "left_anti").drop(*ROW_KEY)
+    known = keys_of(_present(right_df, on), on)
+    return keyed(left_df, on, spread_nulls=True).join(known, ROW_KEY, "left_anti").drop(*ROW_KEY)
 
 
 def add_only_new(base: DataFrame, extra: DataFrame, symbol: str = "ticker", null_safe: bool = True) -> DataFrame:
@@ -88,55 +129,34 @@ def first_known(frames: list[DataFrame], symbol: str = "ticker") -> DataFrame:
     return keyed(rows, pair).join(keyed(first, pair).select(*ROW_KEY), ROW_KEY, "left_semi").drop(*ROW_KEY, *pair)
 
 
-_SPREAD = 200
-
-
-def full_outer(left_df: DataFrame, right_df: DataFrame, on: str, suffixes=("_left", "_right")) -> DataFrame:
-    """Full outer join on one key; null keys never match.
-
-    Written as (left outer) + (right rows whose key the left lacks), both of which can be split when a key is hot.  Rows
-    with a null key, often the largest group, are spread by a second key part that no row of the other side has.
-    """
-    a, b = _suffixed(left_df, right_df, [on], suffixes)
-    spread = F.when(F.col(on).isNull(), F.pmod(F.xxhash64(*a.columns), F.lit(_SPREAD)) + 1).otherwise(0)
-    matched = a.withColumn("_part", spread).join(b.withColumn("_part", F.lit(0).cast("long")), [on, "_part"], "left")
-    spread = F.when(F.col(on).isNull(), F.pmod(F.xxhash64(*b.columns), F.lit(_SPREAD)) + 1).otherwise(0)
-    known = a.select(on).where(F.col(on).isNotNull()).distinct().withColumn("_part", F.lit(0).cast("long"))
-    right_only = b.withColumn("_part", spread).join(known, [on, "_part"], "left_anti")
-    return matched.drop("_part").unionByName(right_only.drop("_part"), allowMissingColumns=True)
+def full_outer(left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("_left", "_right")) -> DataFrame:
+    """Full outer join; null keys never match.  Clashing columns get suffixes."""
+    on = _listed(on)
+    a, b = _suffixed(left_df, right_df, on, suffixes)
+    parts = [inner(a, b, on), only_in_left(a, b, on), only_in_left(b, a, on)]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
 def left_on_either(left_df: DataFrame, right_df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """``left LEFT JOIN right ON l1 = r1 OR l2 = r2`` as equi-joins.
 
     One inner join per equality, each leaving out the pairs an earlier equality already gave, and the left rows that match
-    none.  Same rows, multiplicities included, without the nested loop.  Column names must not clash.
+    none.  Same rows, multiplicities included.  Column names must not clash.
     """
-    right_columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in right_df.schema.fields]
     parts, rest, seen = [], left_df, F.lit(False)
     for l_name, r_name in pairs:
-        equal = F.col(l_name) == F.col(r_name)
-        keyed_left = left_df.where(F.col(l_name).isNotNull())
-        keyed_right = right_df.where(F.col(r_name).isNotNull())
-        parts.append(keyed_left.join(keyed_right, equal & ~seen, "inner"))
-        seen = seen | F.coalesce(equal, F.lit(False))
-        keys = keyed_right.select(F.col(r_name).alias("_seen_key")).distinct()
-        rest = rest.join(keys, F.col(l_name) == F.col("_seen_key"), "left_anti")
-    parts.append(rest.select("*", *right_columns))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        both = inner(left_df.withColumn("_on", F.col(l_name)), right_df.withColumn("_on", F.col(r_name)), "_on").drop("_on")
+        parts.append(both.where(~seen))
+        seen = seen | F.coalesce(F.col(l_name) == F.col(r_name), F.lit(False))
+        rest = only_in_left(rest, right_df.select(F.col(r_name).alias(l_name)), [l_name])
+    parts.append(rest)
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
 def union_of_matches(left_df: DataFrame, right_df: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:
     """Inner matches by each key in turn, stacked: the key and the carried columns of the left, all columns of the right."""
-    result = None
-    for key in keys:
-        part = left_df.select(key, *carry).join(right_df, key, "inner")
-        part = part.select(*right_df.columns, *carry)
-        result = part if result is None else result.unionByName(part)
-    return result
+    parts = [inner(left_df.select(k, *carry), right_df, k).select(*right_df.columns, *carry) for k in keys]
+    return reduce(lambda x, y: x.unionByName(y), parts)
 
 
 def enrich_with_fallback(
@@ -147,7 +167,7 @@ def enrich_with_fallback(
     ``fills`` maps a column of ``df`` to the lookup column that backs it.  ``when`` limits the rows that may be filled.
     """
     helper = lookup.select(F.col(on), *[F.col(src).alias(f"_fill_{dst}") for dst, src in fills.items()])
-    joined = df.join(helper, on, "left")
+    joined = left(df, helper, on)
     allowed = F.lit(True) if when is None else F.coalesce(when, F.lit(False))
     filled = {dst: F.coalesce(F.col(dst), F.when(allowed, F.col(f"_fill_{dst}"))) for dst in fills}
     return joined.withColumns(filled).select(*df.columns)

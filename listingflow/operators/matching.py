@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import col_of, normalise_company
+from .joins import left
 
 _Q = 2
 
@@ -43,9 +44,9 @@ def _signature(grams: DataFrame, counts: DataFrame, threshold: float) -> DataFra
     return ranked.where(F.col("rank") <= reach * _Q + 1).select("name", "gram", "place", reach.cast("int").alias("reach"))
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+def candidate_pairs(names: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     """Distinct (name, candidate) pairs of unequal names whose similarity reaches the threshold."""
-    left_grams, right_grams = _grams(left), _grams(right)
+    left_grams, right_grams = _grams(names), _grams(known)
     counts = right_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     # only grams the universe has can meet; a left gram it lacks still takes up its place in the ranking, so count it as 0
     both = left_grams.select("gram").distinct().join(counts, "gram", "full_outer").na.fill(0, ["n"])
@@ -79,8 +80,8 @@ def match_names(
     """
     if threshold < 0.7:
         raise ValueError("threshold must be at least 0.7")
-    keyed = listings.withColumn("_name", normalise_company(name))
-    wanted = keyed.select(F.col("_name").alias("name")).where("name <> ''").distinct()
+    named = listings.withColumn("_name", normalise_company(name))
+    wanted = named.select(F.col("_name").alias("name")).where("name <> ''").distinct()
     # entities sharing a normalised name are one candidate, represented by the smallest id
     entities = (
         universe.select(normalise_company(entity_name).alias("name"), F.struct(entity_id, entity_name).alias("entity"))
@@ -116,4 +117,4 @@ def match_names(
         )
     )
     status = F.when(F.col("entity_id").isNotNull(), "MAPPED").otherwise("UNMAPPED")
-    return keyed.join(decided, "_name", "left").drop("_name").withColumn("mapstatus", status)
+    return left(named, decided, "_name", right_unique=True).drop("_name").withColumn("mapstatus", status)

@@ -69,7 +69,7 @@ def deals_per_entity(deals: DataFrame) -> DataFrame:
     )
     texts = concat_distinct(cleaned, "iconum", ["ticker", "exchange", "cusip"])
     newest = latest(cleaned.drop("ticker", "exchange", "cusip"), ["iconum", "master_deal"], "last_updated_date_utc")
-    return newest.join(texts, "iconum", "left").select(*[f.name for f in schemas.DEALS.fields])
+    return left(newest, texts, "iconum", right_unique=True).select(*[f.name for f in schemas.DEALS.fields])
 
 
 def with_entities(
@@ -86,7 +86,7 @@ def with_entities(
     rather than the whole text.
     """
     mapped = entity_map.select("company_name", "entityname", "iconum")
-    joined = listings.join(mapped, "company_name", "left")
+    joined = left(listings, mapped, "company_name")
     names = [F.lit(e) for e in LOCALISED_EXCHANGES]
     if each_exchange:
         local_deal = F.arrays_overlap(F.split("exchange", ", "), F.array(*names))

@@ -10,7 +10,7 @@ from ..functions.text import extract, is_not
 from .columns import conform, fill_from, stack
 from .dedupe import keep_first, latest
 from .history import changed_rows, mark_members
-from .joins import left, union_of_matches
+from .joins import inner, left, union_of_matches
 
 RESOLVED = "Resolved"
 _TICKET = [f.name for f in schemas.TICKET_COLUMNS.fields]
@@ -43,7 +43,7 @@ def ledger(listings: DataFrame, *ticket_rows: DataFrame) -> DataFrame:
 def withdrawn_tickets(withdrawn: DataFrame, tickets: DataFrame) -> DataFrame:
     """Withdrawn listings that still have an open ticket."""
     open_tickets = tickets.where(is_not("ticket_status", RESOLVED)).select(_NAME, *_TICKET)
-    return withdrawn.join(open_tickets, _NAME, "inner")
+    return inner(withdrawn, open_tickets, _NAME)
 
 
 def mark_withdrawn(ledger_rows: DataFrame, withdrawn: DataFrame) -> DataFrame:
@@ -60,9 +60,9 @@ def ticket_updates(listings: DataFrame, tickets: DataFrame) -> DataFrame:
 
     A listing without a security id or ticker does not count as changed in it; a missing date does.
     """
-    joined = left(listings, tickets, _NAME, ("", "_old"))
     is_open = F.col("ticket_number").isNotNull() & is_not("ticket_status", RESOLVED)
-    newest = latest(joined.where(is_open), ["ticket_number"], "last_checked")
+    joined = inner(listings, tickets.where(is_open), _NAME, ("", "_old"))
+    newest = latest(joined, ["ticket_number"], "last_checked")
     changed = changed_rows(newest, ["ipo_date"], ["cusip", "ticker"])
     return conform(changed, schemas.TICKET_LEDGER)
 

@@ -9,7 +9,7 @@ from ..functions.numbers import nullable_int
 from ..functions.text import differs_or_missing
 from .columns import first_column, upper_names
 from .filters import where_all
-from .joins import left_on_either
+from .joins import left, left_on_either
 from .ordering import page
 
 # Priority codes of the upload layout, and its columns that must be whole and present.
@@ -36,7 +36,7 @@ def upcoming(listings: DataFrame, entity_map: DataFrame, deals: DataFrame, as_of
         F.col("price").alias("_deal_price"),
     ).distinct()
     joined = left_on_either(
-        wanted.join(entities, "company_name", "left"),
+        left(wanted, entities, "company_name"),
         internal,
         [("company_name", "_deal_name"), ("_entity", "_deal_iconum")],
     )

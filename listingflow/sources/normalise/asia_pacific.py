@@ -9,6 +9,7 @@ from ...functions.numbers import scaled, split_price, thousands, tolerant_double
 from ...functions.text import concat_blank, contains, extract, replace_pattern, replace_text, strip
 from ...operators.columns import blanks_to_null, placeholders_to_null, stack
 from ...operators.dedupe import earliest_ignoring, latest, lowest_price
+from ...operators.joins import left
 from .common import labelled, listings, prepare
 
 # Patterns, labels and names of these sources.
@@ -105,7 +106,7 @@ def japan(raw: dict[str, DataFrame], as_of=None) -> DataFrame:
         "ticker", "ipo_date", "price", "price_range", F.col("notes").alias("notes_extra"), "time_added"
     )
     base = jpx(raw["JPX"]).drop("time_added", "price", "price_range")
-    joined = base.join(extra, ["ticker", "ipo_date"], "left")
+    joined = left(base, extra, ["ticker", "ipo_date"], right_unique=True)
     return listings(joined.withColumn("notes", concat_blank("notes_extra", "notes")))
 
 
@@ -150,7 +151,7 @@ def china(raw: dict[str, DataFrame], as_of) -> DataFrame:
     exchanges = stack([listings(shanghai(raw["Shanghai"])), listings(cninfo(raw["CNInfo"]))])
     dates = latest(east_money(raw["East Money"], as_of), ["ticker"], "time_added")
     dates = dates.where(F.col("ipo_date").isNotNull()).select("ticker", F.col("ipo_date").alias("_date"))
-    joined = exchanges.join(dates, "ticker", "left")
+    joined = left(exchanges, dates, "ticker", right_unique=True)
     filled = joined.withColumn("ipo_date", F.coalesce("ipo_date", "_date"))
     return latest(listings(filled), ["company_name", "ticker"], "time_added")
 
