@@ -85,7 +85,7 @@ def apply_updates(base: DataFrame, updates: DataFrame, keys: list[str]) -> DataF
 def mark_members(df: DataFrame, keys: DataFrame, on: str, changes: dict[str, Column]) -> DataFrame:
     """Set columns on the rows whose key is in ``keys``."""
     members = keys.select(on).distinct().withColumn("_member", F.lit(True))
-    joined = left(df, members, on, right_unique=True)
+    joined = left(df, members, on)
     new = {
         c: F.when(F.col("_member"), v).otherwise(F.col(c) if c in df.columns else F.lit(None))
         for c, v in changes.items()
@@ -107,7 +107,7 @@ def redirect_superseded(
     news = feed.select(
         F.col("ticket_number").alias(number), F.col("status").alias("_status"), F.col("duplicate_of").alias("_other")
     )
-    joined = left(ledger, news, number, right_unique=True)
+    joined = left(ledger, news, number)
     moved = F.coalesce((F.col("_status") == "Resolved") & F.col("_other").isNotNull(), F.lit(False))
     return joined.withColumns(
         {
@@ -149,7 +149,7 @@ def fold_polls(
     sightings = sightings.select(*keys, CHECKED, "_next", F.lit(None).cast("timestamp_ntz").alias("_was"))
     if open_rows is not None:
         starts = polls.groupBy(source).agg(F.min(CHECKED).alias("_next"))
-        before = left(open_rows.select(*keys, F.col(ADDED).alias("_was")), starts, source, right_unique=True)
+        before = left(open_rows.select(*keys, F.col(ADDED).alias("_was")), starts, source)
         sightings = sightings.unionByName(before, allowMissingColumns=True)
     per_row = sightings.groupBy(*keys).agg(
         F.collect_set(CHECKED).alias("_seen"), F.collect_set("_next").alias("_due"), F.min("_was").alias("_was")

@@ -5,7 +5,7 @@ a shuffle.  It cannot when an input was already partitioned by the join key (the
 it, or of an earlier join), on the right of a left outer join, or in a full outer join.  Therefore:
 
 * joins here run on two helper columns made from the key, so both inputs are always shuffled for the join;
-* left and full outer joins are put together from an inner join and anti joins unless the right side is unique;
+* a full outer join, and a left outer join to a side with hot keys, are put together from an inner join and anti joins;
 * rows with a null key, which match nothing, are spread over all tasks;
 * an OR of two equalities, which would plan as a nested loop, becomes two inner joins and two anti joins.
 
@@ -73,19 +73,29 @@ def inner(left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes
 
 
 def left(
-    left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("", "_right"), right_unique: bool = False
+    left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("", "_right"), hot_right: bool = False
 ) -> DataFrame:
     """Left join on equal, non-null keys; clashing columns get suffixes.
 
-    Say ``right_unique`` when the right has one row per key: the join is then a single one.
+    A hot key on the left is split.  Say ``hot_right`` when a key may hold a large part of a large right side: the join is
+    then an inner join and an anti join, which costs a second look at the left and the right keys.
     """
     on = _listed(on)
     a, b = _suffixed(left_df, right_df, on, suffixes)
-    if right_unique:
-        b = keyed(_present(b, on), on).drop(*on)
-        return keyed(a, on, spread_nulls=True).join(b, ROW_KEY, "left").drop(*ROW_KEY)
-    matched = inner(a, b, on)
-    return matched.unionByName(only_in_left(a, b, on), allowMissingColumns=True)
+    a, others = keyed(a, on, spread_nulls=True), keyed(_present(b, on), on).drop(*on)
+    if not hot_right:
+        return a.join(others, ROW_KEY, "left").drop(*ROW_KEY)
+    rest = a.join(keys_of(_present(b, on), on), ROW_KEY, "left_anti")
+    return a.join(others, ROW_KEY, "inner").unionByName(rest, allowMissingColumns=True).drop(*ROW_KEY)
+
+
+def left_folded(left_df: DataFrame, right_df: DataFrame, on: list[str] | str) -> DataFrame:
+    """Left join to a side that may hold many copies of a row: they are counted before the shuffle and put back after."""
+    on = _listed(on)
+    folded = right_df.groupBy(*right_df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    joined = left(left_df, folded, on)
+    copies = F.sequence(F.lit(1).cast("long"), F.coalesce("_copies", F.lit(1).cast("long")))
+    return joined.withColumn("_copy", F.explode(copies)).drop("_copies", "_copy")
 
 
 def natural_left(left_df: DataFrame, right_df: DataFrame) -> DataFrame:
@@ -167,7 +177,7 @@ def enrich_with_fallback(
     ``fills`` maps a column of ``df`` to the lookup column that backs it.  ``when`` limits the rows that may be filled.
     """
     helper = lookup.select(F.col(on), *[F.col(src).alias(f"_fill_{dst}") for dst, src in fills.items()])
-    joined = left(df, helper, on)
+    joined = left_folded(df, helper, on)
     allowed = F.lit(True) if when is None else F.coalesce(when, F.lit(False))
     filled = {dst: F.coalesce(F.col(dst), F.when(allowed, F.col(f"_fill_{dst}"))) for dst in fills}
     return joined.withColumns(filled).select(*df.columns)

@@ -117,4 +117,4 @@ def match_names(
         )
     )
     status = F.when(F.col("entity_id").isNotNull(), "MAPPED").otherwise("UNMAPPED")
-    return left(named, decided, "_name", right_unique=True).drop("_name").withColumn("mapstatus", status)
+    return left(named, decided, "_name").drop("_name").withColumn("mapstatus", status)

@@ -10,7 +10,7 @@ from ..functions.text import normalise_company, null_if_in
 from .aggregates import concat_distinct
 from .columns import conform, fill_from, rename
 from .dedupe import latest
-from .joins import enrich_with_fallback, full_outer, left
+from .joins import enrich_with_fallback, full_outer, left, left_folded
 
 # Exchanges whose listings carry localised names, and texts that stand for a missing ticker.
 LOCALISED_EXCHANGES = ["Shenzhen Stock Exchange", "Shanghai Stock Exchange", "Shanghai", "Shenzhen"]
@@ -69,7 +69,7 @@ def deals_per_entity(deals: DataFrame) -> DataFrame:
     )
     texts = concat_distinct(cleaned, "iconum", ["ticker", "exchange", "cusip"])
     newest = latest(cleaned.drop("ticker", "exchange", "cusip"), ["iconum", "master_deal"], "last_updated_date_utc")
-    return left(newest, texts, "iconum", right_unique=True).select(*[f.name for f in schemas.DEALS.fields])
+    return left(newest, texts, "iconum").select(*[f.name for f in schemas.DEALS.fields])
 
 
 def with_entities(
@@ -86,7 +86,7 @@ def with_entities(
     rather than the whole text.
     """
     mapped = entity_map.select("company_name", "entityname", "iconum")
-    joined = left(listings, mapped, "company_name")
+    joined = left_folded(listings, mapped, "company_name")
     names = [F.lit(e) for e in LOCALISED_EXCHANGES]
     if each_exchange:
         local_deal = F.arrays_overlap(F.split("exchange", ", "), F.array(*names))
@@ -129,7 +129,7 @@ def matches(internal: Column, external: Column) -> Column:
 
 def match_report(external: DataFrame, deals: DataFrame) -> DataFrame:
     """Which external dates and prices agree with the internal deal."""
-    joined = left(external.drop("ticker"), deals, "iconum", ("_external", "_internal"))
+    joined = left(external.drop("ticker"), deals, "iconum", ("_external", "_internal"), hot_right=True)
     dates = [f.name for f in joined.schema.fields if "date" in f.name.lower()]
     joined = joined.withColumns({c: F.col(c).cast("date") for c in dates})
     flagged = joined.withColumns(

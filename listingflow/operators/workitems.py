@@ -27,7 +27,7 @@ def upcoming(listings: DataFrame, entity_map: DataFrame, deals: DataFrame, as_of
     wanted = listings.where(F.col("ipo_date") >= as_of_date(as_of)).select(
         "company_name", "ticker", "exchange", "ipo_date", "price", "price_range", "shares_offered", "notes"
     )
-    entities = entity_map.select("company_name", F.col("iconum").alias("_entity"))
+    entities = entity_map.select("company_name", F.col("iconum").alias("_entity")).distinct()
     internal = deals.select(
         F.col("company_name").alias("_deal_name"),
         F.col("iconum").alias("_deal_iconum"),

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import normalise_company
 from ..operators import entities, health, matching, reconcile, workitems
+from ..session import run_folder
 from .catalog import AS_OF, Tables, query
 from .frames import DEAL, DEAL_PER_ENTITY, ENTITY, EXTERNAL, LISTING, POLLS
+from .pipeline import staged
 
 _UPCOMING = f"""
 SELECT DISTINCT coalesce(p.iconum, e.iconum) AS iconum, l.company_name, p.master_deal, l.ticker, l.exchange, l.ipo_date, l.price, l.price_range, l.shares_offered, l.notes
@@ -65,6 +67,13 @@ def fallback_enrich(t: Tables) -> DataFrame:
     return _external(t).select("company_name", "ticker", "exchange", "ipo_date", "price", "price_range", "shares_offered", "status", "notes", "time_added", "time_removed", "entityname", "iconum")
 
 
+def _sides(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Listings with entities, and deals, both stored as the batch job does because several joins read them."""
+    stage = staged(run_folder(t.spark, "reconcile"))
+    deals = stage(reconcile.deals_per_entity(t.sql(DEAL)), "deals")
+    return stage(reconcile.with_entities(t.sql(LISTING), t.sql(ENTITY), deals), "external"), deals
+
+
 def _external(t: Tables) -> DataFrame:
     return reconcile.with_entities(t.sql(LISTING), t.sql(ENTITY), reconcile.deals_per_entity(t.sql(DEAL)))
 
@@ -82,8 +91,7 @@ _RECONCILED_COLUMNS = (
 
 
 def _reconciled(t: Tables) -> DataFrame:
-    deals = reconcile.deals_per_entity(t.sql(DEAL))
-    return reconcile.reconcile(reconcile.with_entities(t.sql(LISTING), t.sql(ENTITY), deals), deals)
+    return reconcile.reconcile(*_sides(t))
 
 
 @query("outer_reconcile", _RECONCILED)
@@ -112,8 +120,7 @@ def reconcile_withdrawn(t: Tables) -> DataFrame:
         FROM ({EXTERNAL}) a LEFT JOIN ({DEAL_PER_ENTITY}) b ON a.iconum = b.iconum""",
 )
 def match_report(t: Tables) -> DataFrame:
-    deals = reconcile.deals_per_entity(t.sql(DEAL))
-    return reconcile.match_report(reconcile.with_entities(t.sql(LISTING), t.sql(ENTITY), deals), deals)
+    return reconcile.match_report(*_sides(t))
 
 
 _NORMAL = r"regexp_replace(regexp_replace(regexp_replace(lower(%s), '[.,()\\/]', '', 'g'), '\slimited$|\sltd|\ssa$|\sa/s$|\sinc$', '', 'g'), '^\s+|\s+$', '', 'g')"

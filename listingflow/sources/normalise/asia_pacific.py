@@ -106,7 +106,7 @@ def japan(raw: dict[str, DataFrame], as_of=None) -> DataFrame:
         "ticker", "ipo_date", "price", "price_range", F.col("notes").alias("notes_extra"), "time_added"
     )
     base = jpx(raw["JPX"]).drop("time_added", "price", "price_range")
-    joined = left(base, extra, ["ticker", "ipo_date"], right_unique=True)
+    joined = left(base, extra, ["ticker", "ipo_date"])
     return listings(joined.withColumn("notes", concat_blank("notes_extra", "notes")))
 
 
@@ -151,7 +151,7 @@ def china(raw: dict[str, DataFrame], as_of) -> DataFrame:
     exchanges = stack([listings(shanghai(raw["Shanghai"])), listings(cninfo(raw["CNInfo"]))])
     dates = latest(east_money(raw["East Money"], as_of), ["ticker"], "time_added")
     dates = dates.where(F.col("ipo_date").isNotNull()).select("ticker", F.col("ipo_date").alias("_date"))
-    joined = left(exchanges, dates, "ticker", right_unique=True)
+    joined = left(exchanges, dates, "ticker")
     filled = joined.withColumn("ipo_date", F.coalesce("ipo_date", "_date"))
     return latest(listings(filled), ["company_name", "ticker"], "time_added")
 
