@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.text import clean_symbol
 
@@ -33,7 +33,7 @@ def keyed(df: DataFrame, columns: list[str], spread_nulls: bool = False) -> Data
     values = [F.col(f"`{c}`") for c in columns]
     hashed = F.xxhash64(*values)
     if spread_nulls:
-        whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
         hashed = F.when(_any_null(columns), whole).otherwise(hashed)
     return df.withColumns({"_hash": hashed, "_key": F.struct(*values)})
 

@@ -147,9 +147,9 @@ def sql_text_scan(t: Tables) -> DataFrame:
     )
 
 
-@query("registry_load", "SELECT 'nation' AS source, count(*) AS n FROM nation UNION ALL SELECT 'region', count(*) FROM region UNION ALL SELECT 'supplier', count(*) FROM supplier")
+@query("registry_load", "SELECT 'part' AS source, count(*) AS n FROM part UNION ALL SELECT 'customer', count(*) FROM customer UNION ALL SELECT 'supplier', count(*) FROM supplier")
 def registry_load(t: Tables) -> DataFrame:
-    frames = readers.load_tables(t.spark, {n: t.path(n) for n in ("nation", "region", "supplier")})
+    frames = readers.load_tables(t.spark, {n: t.path(n) for n in ("part", "customer", "supplier")})
     counts = [df.agg(F.lit(n).alias("source"), F.count(F.lit(1)).alias("n")) for n, df in frames.items()]
     return counts[0].unionAll(counts[1]).unionAll(counts[2])
 
@@ -242,14 +242,14 @@ def conform_single_stamp(t: Tables) -> DataFrame:
     return conform(t.sql(LISTING).withColumnRenamed("time_added", "time_checked"), schemas.LISTING_SINGLE_STAMP)
 
 
-@query("catalog_tables", "SELECT 'audit_region' AS table_name, count(*) AS n FROM region UNION ALL SELECT 'audit_nation', count(*) FROM nation")
+@query("catalog_tables", "SELECT 'listingflow_audit_orders' AS table_name, count(*) AS n FROM orders UNION ALL SELECT 'listingflow_audit_customer', count(*) FROM customer")
 def catalog_tables(t: Tables) -> DataFrame:
     """Catalog tables found by listing them."""
-    for name in ("region", "nation"):
+    for name in ("orders", "customer"):
         folder = run_folder(t.spark, name)
         getattr(t, name).write.parquet(folder)
-        t.spark.sql(f"DROP TABLE IF EXISTS audit_{name}")
-        t.spark.catalog.createTable(f"audit_{name}", path=folder, source="parquet")
-    found = [n for n in readers.list_tables(t.spark) if n in ("audit_region", "audit_nation")]
+        t.spark.sql(f"DROP TABLE IF EXISTS listingflow_audit_{name}")
+        t.spark.catalog.createTable(f"listingflow_audit_{name}", path=folder, source="parquet")
+    found = [n for n in readers.list_tables(t.spark) if n in ("listingflow_audit_orders", "listingflow_audit_customer")]
     counts = [readers.read_table(t.spark, n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n")) for n in sorted(found)]
     return counts[0].unionAll(counts[1])

@@ -9,7 +9,7 @@ from ..operators import entities, health, matching, reconcile, workitems
 from ..session import run_folder
 from .catalog import AS_OF, Tables, query
 from .frames import DEAL, DEAL_PER_ENTITY, ENTITY, EXTERNAL, LISTING, POLLS
-from .pipeline import staged
+from .batch import staged
 
 _UPCOMING = f"""
 SELECT DISTINCT coalesce(p.iconum, e.iconum) AS iconum, l.company_name, p.master_deal, l.ticker, l.exchange, l.ipo_date, l.price, l.price_range, l.shares_offered, l.notes

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from listingflow import schemas
 from listingflow.operators import health, reconcile, registry, tickets, workitems
 from listingflow.operators.columns import conform
-from listingflow.plans import pipeline
+from listingflow.plans import batch
 from listingflow.session import run_folder
 from listingflow.sources.writers import VersionedTable
 from listingflow.streaming import jobs
@@ -141,7 +141,7 @@ def test_registry(spark, tmp_path):
 def test_a_failing_source_is_left_out(spark):
     names = "company_name string, ticker string, ipo_date string, exchange string, location string, time_added string, time_removed string"
     good = spark.createDataFrame([("A", "t", "02/03/2024", "Euronext", "Paris", "2024-01-01", None)], names)
-    made = pipeline.normalise_all({"Euronext": good, "KRX": good.drop("ticker", "company_name")}, NOW)
+    made = batch.normalise_all({"Euronext": good, "KRX": good.drop("ticker", "company_name")}, NOW)
     assert rows(made.frame, "company_name", "exchange") == [("A", "Euronext Paris")]
     assert "KRX" in made.failed and "Japan" in made.failed and "Euronext" not in made.failed
 
@@ -161,7 +161,7 @@ def test_whole_run(spark):
         dict(iconum=1, company_name="Acme", master_deal=10, ticker="A", cusip="C1", trading_date=dt.datetime(2024, 6, 21), price=1.0, last_updated_date_utc=T),
         dict(iconum=2, company_name="Beta", master_deal=20, ticker="B", last_updated_date_utc=T),
     )
-    done = pipeline.decide(listings, known, deals, NOW)
+    done = batch.decide(listings, known, deals, NOW)
     assert rows(done.work_items, "COMPANY_NAME") == [("Acme Ltd",), ("Unknown",)]
     assert rows(done.entity_worklist, "company_name") == [("Unknown",)]
     assert rows(done.current, "company_name_external") == [("Acme Ltd",), ("Unknown",)]
@@ -174,7 +174,7 @@ def test_whole_run(spark):
     )
     manual = spark.createDataFrame([("U\tx", None, 7, "l", T, "Open")], "ticker string, cusip string, ticket_number long, ticket_link string, ticket_created timestamp_ntz, ticket_status string")
     feed = spark.createDataFrame([(6, "Open", None)], schemas.TICKET_FEED)
-    out = pipeline.decide_tickets(done.current, done.withdrawn, stored, manual, feed, "https://t.example/")
+    out = batch.decide_tickets(done.current, done.withdrawn, stored, manual, feed, "https://t.example/")
     assert rows(out.to_withdraw, "ticket_number") == [(5,)]
     assert rows(out.to_update, "ticket_number", "cusip") == [(6, "C1")]
     assert rows(out.to_open, "company_name") == [("Unknown",)]
@@ -187,7 +187,7 @@ def test_a_run_saves_its_results(spark, tmp_path):
     source = spark.createDataFrame([("A", "t", "20/06/2024", "Euronext", "Paris", "2024-01-01", None)], names)
     deals = frame(spark, schemas.DEALS, dict(iconum=1, company_name="A", master_deal=10, last_updated_date_utc=T))
     for _ in range(2):  # a later run replaces what the first one saved
-        failed = pipeline.run({"Euronext": source}, frame(spark, schemas.ENTITY_MAP), deals, NOW, str(tmp_path))
+        failed = batch.run({"Euronext": source}, frame(spark, schemas.ENTITY_MAP), deals, NOW, str(tmp_path))
     assert "KRX" in failed
     saved = {n: VersionedTable(spark, f"{tmp_path}/{n}") for n in ("all_listings", "work_items", "current", "withdrawn")}
     assert saved["all_listings"].current() == 2
