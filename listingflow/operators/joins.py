@@ -136,7 +136,8 @@ def first_known(frames: list[DataFrame], symbol: str = "ticker") -> DataFrame:
     rows = stack(numbered)
     first = rows.groupBy("_symbol").agg(F.min("_frame").alias("_frame"))
     pair = ["_symbol", "_frame"]
-    return keyed(rows, pair).join(keyed(first, pair).select(*ROW_KEY), ROW_KEY, "left_semi").drop(*ROW_KEY, *pair)
+    # one row per symbol, so the inner join keeps rows as a semi join would; a semi join would be repeated for every frame
+    return keyed(rows, pair).join(keyed(first, pair).select(*ROW_KEY), ROW_KEY, "inner").drop(*ROW_KEY, *pair)
 
 
 def full_outer(left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("_left", "_right")) -> DataFrame:

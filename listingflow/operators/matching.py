@@ -15,9 +15,12 @@ This is a complete filter, so no candidate is lost and none needs to be capped.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import col_of, normalise_company
+from ..sources.writers import unstaged
 from .joins import left
 
 _Q = 2
@@ -72,11 +75,13 @@ def match_names(
     name: str = "company_name",
     entity_name: str = "entityname",
     entity_id: str = "entity_id",
+    stage: Callable[[DataFrame, str], DataFrame] = unstaged,
 ) -> DataFrame:
     """Each listing row with the best entity for its name: entity name, id, similarity, confidence, MAPPED/UNMAPPED.
 
     Ties go to the smallest normalised name, then the smallest entity id.  ``threshold`` must be at least 0.7: below it
-    short names can be similar without sharing two letters in a row.
+    short names can be similar without sharing two letters in a row.  ``stage`` may store the two lists of distinct names,
+    which are read several times (see ``sources.writers.staged``).
     """
     if threshold < 0.7:
         raise ValueError("threshold must be at least 0.7")
@@ -89,11 +94,12 @@ def match_names(
         .groupBy("name")
         .agg(F.min("entity").alias("entity"))
     )
+    entities = stage(entities, "entities")
     known = entities.select("name")
     equal = wanted.join(known, "name", "left_semi").select(
         "name", F.col("name").alias("candidate"), F.lit(1.0).alias("similarity"), F.lit(None).cast("double").alias("second")
     )
-    unequal = wanted.join(known, "name", "left_anti")
+    unequal = stage(wanted.join(known, "name", "left_anti"), "names")
     pairs = candidate_pairs(unequal, known, threshold)
     # the two best per name; the filter on the rank is applied before the shuffle as well
     by_score = Window.partitionBy("name").orderBy(F.desc("similarity"), "candidate")

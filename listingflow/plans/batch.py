@@ -1,6 +1,6 @@
 """The standing batch job: histories -> listings -> entities -> reconciliation -> work items and tickets.
 
-Every step is a lazy frame; the only writes are those of ``staged`` and ``run``.
+Every step is a lazy frame; the only writes are those of ``run``.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from ..operators import reconcile, tickets, workitems
 from ..operators.entities import unmapped
 from ..session import run_folder
 from ..sources.normalise import COMBINED, SINGLE, combine_all
-from ..sources.writers import VersionedTable
+from ..sources.writers import VersionedTable, staged, unstaged
 
 
 @dataclass
@@ -60,7 +60,7 @@ def decide(
     deals: DataFrame,
     as_of,
     recheck_all: bool = True,
-    stage: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
+    stage: Callable[[DataFrame, str], DataFrame] = unstaged,
 ) -> Outcome:
     """``stage`` stores an intermediate frame that several results read and gives it back (see ``staged``)."""
     per_entity = stage(reconcile.deals_per_entity(deals), "deals")
@@ -75,17 +75,6 @@ def decide(
     )
 
 
-def staged(folder: str) -> Callable[[DataFrame, str], DataFrame]:
-    """Store frames under a folder all executors share: computed once, with known size, and safe when an executor goes."""
-
-    def stage(df: DataFrame, label: str) -> DataFrame:
-        path = f"{folder}/{label}"
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-
-    return stage
-
-
 def run(raw: dict[str, DataFrame], entity_map: DataFrame, deals: DataFrame, as_of, root: str) -> dict[str, str]:
     """One scheduled run: combine, reconcile and save.  Returns the sources that failed."""
     spark = deals.sparkSession

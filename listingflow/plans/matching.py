@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.text import normalise_company
 from ..operators import entities, health, matching, reconcile, workitems
 from ..session import run_folder
+from ..sources.writers import staged
 from .catalog import AS_OF, Tables, query
 from .frames import DEAL, DEAL_PER_ENTITY, ENTITY, EXTERNAL, LISTING, POLLS
-from .batch import staged
 
 _UPCOMING = f"""
 SELECT DISTINCT coalesce(p.iconum, e.iconum) AS iconum, l.company_name, p.master_deal, l.ticker, l.exchange, l.ipo_date, l.price, l.price_range, l.shares_offered, l.notes
@@ -206,7 +206,7 @@ _UNIVERSE = """SELECT DISTINCT p_name AS entityname, p_name AS entity_id FROM {p
         FROM l LEFT JOIN b ON l.name = b.name""",
 )
 def fuzzy_match(t: Tables) -> DataFrame:
-    matched = matching.match_names(t.sql(_MISSPELT), t.sql(_UNIVERSE), 0.8)
+    matched = matching.match_names(t.sql(_MISSPELT), t.sql(_UNIVERSE), 0.8, stage=staged(run_folder(t.spark, "names")))
     return matched.withColumns({"similarity": F.round("similarity", 9), "confidence": F.round("confidence", 9)})
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -54,6 +54,22 @@ def display_listings(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(shown) for c, shown in LISTING_DISPLAY.items()])
 
 
+def staged(folder: str) -> Callable[[DataFrame, str], DataFrame]:
+    """Store frames under a folder all executors share: computed once, with known size, and safe when an executor goes."""
+
+    def stage(df: DataFrame, label: str) -> DataFrame:
+        path = f"{folder}/{label}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    return stage
+
+
+def unstaged(df: DataFrame, label: str) -> DataFrame:
+    """Leave the frame lazy."""
+    return df
+
+
 class VersionedTable:
     """A table that jobs read and then replace.
 
