@@ -128,6 +128,11 @@ def drop_zone(value: Column | str) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col_of(value).cast("timestamp_ntz"))
 
 
+def as_instant(value: Column | str) -> Column:
+    """A naive UTC stamp as an instant, whatever the session's zone (streams need one for event time)."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), col_of(value)).cast("timestamp")
+
+
 # --- predicates --------------------------------------------------------------------------------------------------
 
 

@@ -248,8 +248,7 @@ def date_shift_note(t: Tables) -> DataFrame:
     """SELECT event_id, ts FROM events""",
 )
 def drop_time_zone(t: Tables) -> DataFrame:
-    zoned = F.to_utc_timestamp(F.convert_timezone(F.lit("UTC"), F.current_timezone(), "ts").cast("timestamp"), "UTC")
-    return t.events.select("event_id", dates.drop_zone(zoned).alias("ts"))
+    return t.events.select("event_id", dates.drop_zone(dates.as_instant("ts")).alias("ts"))
 
 
 @query(

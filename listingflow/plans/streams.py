@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions import dates
 from ..operators.history import HistoryStore
 from ..session import run_folder
 from ..streaming import jobs
@@ -28,7 +29,7 @@ def stream_snapshot(t: Tables) -> DataFrame:
 @query("stream_first_seen", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_first_seen(t: Tables) -> DataFrame:
     folder = run_folder(t.spark, "stream-first")
-    listings = _events(t).select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    listings = _events(t).select("user_id", "event_type", dates.as_instant("ts").alias("ts"))
     first = jobs.first_seen(listings, ["user_id", "event_type"], "ts", "40 days")
     jobs.to_files(first, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return t.spark.read.parquet(f"{folder}/out").select("user_id", "event_type")
@@ -46,11 +47,11 @@ def stream_health_windows(t: Tables) -> DataFrame:
     polls = _events(t).select(
         F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("source"),
         F.when(F.col("event_type") == "error", 0).otherwise(1).alias("result"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        dates.as_instant("ts").alias("ts"),
     )
     windows = jobs.health_windows(polls, "ts", "1 day", "1 day")
     jobs.to_files(windows, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    return t.spark.read.parquet(f"{folder}/out").select("source", F.date_format("window_start", "yyyy-MM-dd").alias("window_day"), "polls", "successes")
+    return t.spark.read.parquet(f"{folder}/out").select("source", dates.iso_text(dates.drop_zone("window_start")).alias("window_day"), "polls", "successes")
 
 
 @query("stream_health", health_sql(10))
