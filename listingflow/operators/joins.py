@@ -128,16 +128,17 @@ def first_known(frames: list[DataFrame], symbol: str = "ticker") -> DataFrame:
     """Stack frames in which each only adds symbols that no earlier one has; rows without a symbol count as one symbol.
 
     The same rows as repeated ``add_only_new``, but each frame is read twice however many there are: once for the smallest
-    frame number of each symbol, once to keep the rows of that frame.
+    frame number of each symbol, once for its rows.  The rows of the first frame all stay, so they are not shuffled.
     """
     from .columns import stack
 
-    numbered = [f.withColumns({"_frame": F.lit(i), "_symbol": clean_symbol(symbol)}) for i, f in enumerate(frames)]
-    rows = stack(numbered)
-    first = rows.groupBy("_symbol").agg(F.min("_frame").alias("_frame"))
     pair = ["_symbol", "_frame"]
+    numbered = [f.withColumns({"_frame": F.lit(i), "_symbol": clean_symbol(symbol)}) for i, f in enumerate(frames)]
+    symbols = stack([f.select(*pair) for f in numbered])
+    first = keyed(symbols.groupBy("_symbol").agg(F.min("_frame").alias("_frame")), pair).select(*ROW_KEY)
     # one row per symbol, so the inner join keeps rows as a semi join would; a semi join would be repeated for every frame
-    return keyed(rows, pair).join(keyed(first, pair).select(*ROW_KEY), ROW_KEY, "inner").drop(*ROW_KEY, *pair)
+    added = keyed(stack(numbered[1:]), pair).join(first, ROW_KEY, "inner").drop(*ROW_KEY, *pair)
+    return stack([frames[0], added])
 
 
 def full_outer(left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("_left", "_right")) -> DataFrame:
