@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
-from collections.abc import Callable
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +23,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Gives the executors this package, once per application, through Spark's own file distribution."""
+    package, application = Path(__file__).resolve().parents[1], spark.sparkContext.applicationId
+    if application in _shipped or not package.is_dir():
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="listingflow-code-"), "listingflow_code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator reads, so other columns can't clash with its own."""
+    ship_code(docs.sparkSession)
     return docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")
     )
@@ -43,24 +66,40 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def text_groups(batch: pa.RecordBatch, column: str = "text", size: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of consecutive rows with at most ``size`` characters or one row; null texts are empty."""
+    group: list[str] = []
+    chars = first = 0
+    for row, value in enumerate(batch.column(column)):
+        text = value.as_py() or ""
+        if group and chars + len(text) > size:
+            yield first, group
+            group, chars, first = [], 0, row
+        group.append(text)
+        chars += len(text)
+    if group:
+        yield first, group
+
+
 class WordCache(dict):
     """Results per word, kept between the batches and tasks of one Python worker.
 
-    ``fill`` computes the results of a list of new words at once.  The cache is emptied when it holds ``limit`` words, so
-    its memory is bounded whatever the vocabulary; this changes speed only.
+    ``fill`` computes the results of a list of new words at once.  The cache is emptied when it holds ``limit`` words, and
+    words over ``longest`` characters stay only until the next call, so its memory is bounded whatever the vocabulary; this
+    changes speed only.
     """
 
     def __init__(self, fill: Callable[[list[str]], list], limit: int = 400_000, longest: int = 100):
         super().__init__()
         self.fill, self.limit, self.longest, self.passing = fill, limit, longest, []
 
-    def ready(self, words: list[str]) -> None:
-        """Makes every word of one document available; words over ``longest`` characters only until the next call."""
+    def ready(self, texts: Iterable[list[str]]) -> None:
+        """Makes the words of some texts available until the next call at least."""
         for w in self.passing:
             self.pop(w, None)
         if len(self) > self.limit:
             self.clear()
-        new = [w for w in set(words) if w not in self]
+        new = [w for w in set(chain.from_iterable(texts)) if w not in self]
         if new:
             self.update(zip(new, self.fill(new), strict=True))
         self.passing = [w for w in new if len(w) > self.longest]

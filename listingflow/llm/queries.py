@@ -6,12 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, sentencepiece_codec, token_counts
-from .common import documents
+from . import exact_dedup, packing, sentencepiece_codec, token_counts, token_store
+from .common import documents, new_folder
 
 PIECES = "piece_bpe_32k.model"
 
 
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-store")
+    token_store.write(documents(spark, sf_dir), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return token_store.directory(token_store.read(spark, folder))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(PIECES), limit=4096)
 
@@ -20,6 +26,12 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(documents(spark, sf_dir), public_tokenizers.path(PIECES))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.pack(documents(spark, sf_dir), words, capacity=4096, end_id=2)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.deduplicate(documents(spark, sf_dir))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -32,8 +44,10 @@ OP7_SQL = """
 """
 
 QUERIES = {
+    "op1_token_store": op1_token_store,
     "op4_token_counts": op4_token_counts,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
 }
 ORACLES = {"op7_exact_dedup": OP7_SQL}

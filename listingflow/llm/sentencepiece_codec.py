@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import WordCache, id_and_text
+from .common import WordCache, id_and_text, text_groups
 from .piece_model import PieceModel, decode_ids, encode_words, load
 
 _caches: dict[str, WordCache] = {}
@@ -53,12 +53,14 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         model, cache = _cache(model_path)
         kind = np.uint16 if model.size <= 1 << 16 else np.uint32
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                words = model.split(text.as_py() or "")
+            for first, texts in text_groups(batch):
+                words = [model.split(t) for t in texts]
                 cache.ready(words)
-                ids = np.frombuffer(b"".join([cache[w][1] for w in words]), kind).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([pa.array([doc_id.as_py()], pa.int64()), lists], ["doc_id", "ids"])
+                found = [np.frombuffer(b"".join([cache[x][1] for x in w]), kind) for w in words]
+                ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32)))
+                ids = batch.column("doc_id").slice(first, len(texts))
+                yield pa.RecordBatch.from_arrays([ids, lists], ["doc_id", "ids"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -72,16 +74,17 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
         decimal = [str(i) for i in range(model.size)]
         for batch in batches:
             n_tokens, ids_hash, text_hash = [], [], []
-            for text in batch.column("text"):
-                words = model.split(text.as_py() or "")
-                cache.ready(words)
-                found = [cache[w] for w in words]
-                ids = np.frombuffer(b"".join([x[1] for x in found]), kind)
-                raw = b"".join([x[2] for x in found])
-                raw = raw[1 if raw[:1] == b" " else 0 :]
-                n_tokens.append(len(ids))
-                ids_hash.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids.tolist())).encode()).hexdigest())
-                text_hash.append(hashlib.sha256(raw).hexdigest())
+            for _, texts in text_groups(batch):
+                split = [model.split(t) for t in texts]
+                cache.ready(split)
+                for words in split:
+                    found = [cache[w] for w in words]
+                    ids = np.frombuffer(b"".join([x[1] for x in found]), kind)
+                    raw = b"".join([x[2] for x in found])
+                    raw = raw[1 if raw[:1] == b" " else 0 :]
+                    n_tokens.append(len(ids))
+                    ids_hash.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids.tolist())).encode()).hexdigest())
+                    text_hash.append(hashlib.sha256(raw).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n_tokens, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, id_and_text
+from .common import WordCache, id_and_text, text_groups
 from .piece_model import encode_words, load
 
 _caches: dict[str, WordCache] = {}
@@ -32,12 +32,11 @@ def count_tokens(
         counts = _caches.setdefault(model_path, WordCache(lambda words: encode_words(model, words)[1].tolist()))
         for batch in batches:
             n_bytes, n_tokens = [], []
-            for text in batch.column("text"):
-                text = text.as_py() or ""
-                words = model.split(text)
+            for _, texts in text_groups(batch):
+                words = [model.split(t) for t in texts]
                 counts.ready(words)
-                n_bytes.append(len(text.encode()))
-                n_tokens.append(sum(map(counts.__getitem__, words)))
+                n_bytes += [len(t.encode()) for t in texts]
+                n_tokens += [sum(map(counts.__getitem__, w)) for w in words]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens"],
