@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, sentencepiece_codec, token_counts, token_store
-from .common import documents, new_folder
+from . import exact_dedup, packing, personal_data, quality, sentencepiece_codec, token_counts, token_store
+from .common import documents, id_and_text, new_folder, table
 
 PIECES = "piece_bpe_32k.model"
 
@@ -18,6 +18,10 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.directory(token_store.read(spark, folder))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digests(personal_data.spans_of(documents(spark, sf_dir)))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(PIECES), limit=4096)
 
@@ -37,6 +41,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    trees = quality.learn(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(id_and_text(docs), trees)
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
 OP7_SQL = """
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
            sha256(coalesce(text, '')) AS text_sha256
@@ -45,9 +57,11 @@ OP7_SQL = """
 
 QUERIES = {
     "op1_token_store": op1_token_store,
+    "op3_personal_data": op3_personal_data,
     "op4_token_counts": op4_token_counts,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_quality": op10_quality,
 }
 ORACLES = {"op7_exact_dedup": OP7_SQL}
