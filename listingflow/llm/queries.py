@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, personal_data, quality, sentencepiece_codec, token_counts, token_store
+from . import exact_dedup, jaccard_join, packing, personal_data, quality, sentencepiece_codec, token_counts, token_store
 from .common import documents, id_and_text, new_folder, table
 
 PIECES = "piece_bpe_32k.model"
@@ -18,6 +18,10 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.directory(token_store.read(spark, folder))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir), n=4, percent=85)
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.digests(personal_data.spans_of(documents(spark, sf_dir)))
 
@@ -57,6 +61,7 @@ OP7_SQL = """
 
 QUERIES = {
     "op1_token_store": op1_token_store,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_personal_data": op3_personal_data,
     "op4_token_counts": op4_token_counts,
     "op5_sentencepiece": op5_sentencepiece,
