@@ -190,3 +190,14 @@ def near_duplicates(
     own = F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), own)
     return out.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose id is the smallest of their group of near duplicates.
+
+    Rows with a null id all stay; of rows that agree in id, those stay or go together.
+    """
+    found = near_duplicates(docs, n, percent, id_col=id_col, text_col=text_col)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = stored(gone, "near-duplicates")
+    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("_gone"), "left_anti")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, packing, personal_data, quality, sentencepiece_codec, substring_dedup, token_counts, token_store
+from . import embedding_dedup, exact_dedup, jaccard_join, packing, personal_data, quality, sentencepiece_codec, substring_dedup, token_counts, token_store
 from .common import documents, id_and_text, new_folder, table
 
 PIECES = "piece_bpe_32k.model"
@@ -50,6 +50,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256)).drop("kept")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     trees = quality.learn(docs, table(spark, sf_dir, "labels"))
@@ -73,6 +77,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality": op10_quality,
 }
 ORACLES = {"op7_exact_dedup": OP7_SQL}
