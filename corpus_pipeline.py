@@ -16,7 +16,7 @@ from listingflow.llm.common import documents, new_folder, table
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labelled ones, finds good with a probability of 0.3 or more."""
     trees = quality.learn(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, trees, "_quality").where("_quality >= 0.3").drop("_quality")
+    return quality.score(docs, trees, "__quality__").where("__quality__ >= 0.3").drop("__quality__")
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,15 +80,15 @@ def deduplicate(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
 
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that exact de-duplication keeps: the largest id of each text."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_key")
-    fate = deduplicate(docs, None, id_col, text_col).select(key, F.col("digest").alias("_digest"), "kept")
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("__key__")
+    fate = deduplicate(docs, None, id_col, text_col).select(key, F.col("digest").alias("__digest__"), "kept")
     # rows to drop, and rows that occur repeatedly of which one stays: usually a small part of all rows
-    marked = fate.groupBy("_key", "_digest").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    marked = stored(marked.where("not kept or n > 1").select("_key", "_digest", "kept"), "marked")
+    marked = fate.groupBy("__key__", "__digest__").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    marked = stored(marked.where("not kept or n > 1").select("__key__", "__digest__", "kept"), "marked")
     own = F.coalesce(F.col(f"`{id_col}`").cast("long").cast("string"), F.lit("null"))
-    held = docs.withColumns({"_key": own, "_digest": text_digest(F.col(f"`{text_col}`").cast("string"))})
-    out = held.join(marked.select("_key", "_digest"), ["_key", "_digest"], "left_anti")
-    again = marked.where("kept").select("_key", "_digest")
+    held = docs.withColumns({"__key__": own, "__digest__": text_digest(F.col(f"`{text_col}`").cast("string"))})
+    out = held.join(marked.select("__key__", "__digest__"), ["__key__", "__digest__"], "left_anti")
+    again = marked.where("kept").select("__key__", "__digest__")
     if not again.isEmpty():
-        out = out.unionByName(held.join(again, ["_key", "_digest"], "left_semi").dropDuplicates(["_key", "_digest"]))
-    return out.drop("_key", "_digest")
+        out = out.unionByName(held.join(again, ["__key__", "__digest__"], "left_semi").dropDuplicates(["__key__", "__digest__"]))
+    return out.drop("__key__", "__digest__")

@@ -93,9 +93,9 @@ def fit(
 ) -> Trees:
     """Boosts logistic loss; the best split of a node comes from sums of gradients per statistic and bin."""
     n, width, inner = len(values), values.shape[1], 2**depth - 1
-    share = labels.mean() if n else 0.5
+    share = float(labels.mean()) if n else 0.5
     none = np.zeros((0, inner), np.int64)
-    if not 0 < share < 1:
+    if not n or not 0 < share < 1:
         return Trees([np.zeros(0)] * width, none, none, np.zeros((0, inner + 1)), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     edges = [np.unique(np.quantile(values[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(width)]
     out = Trees(edges, none, none, np.zeros((0, inner + 1)), float(np.log(share / (1 - share))))
