@@ -81,25 +81,27 @@ def text_groups(batch: pa.RecordBatch, column: str = "text", size: int = 2_000_0
         yield first, group
 
 
-class WordCache(dict):
-    """Results per word, kept between the batches and tasks of one Python worker.
+class WordCache:
+    """Results per word (``known``), kept between the batches and tasks of one Python worker.
 
     ``fill`` computes the results of a list of new words at once.  The cache is emptied when it holds ``limit`` words, and
     words over ``longest`` characters stay only until the next call, so its memory is bounded whatever the vocabulary; this
     changes speed only.
     """
 
-    def __init__(self, fill: Callable[[list[str]], list], limit: int = 400_000, longest: int = 100):
-        super().__init__()
-        self.fill, self.limit, self.longest, self.passing = fill, limit, longest, []
+    def __init__(self, fill: Callable[[list[str]], list], limit: int = 800_000, longest: int = 60):
+        self.fill, self.limit, self.longest = fill, limit, longest
+        self.known: dict = {}
+        self.passing: list[str] = []
 
-    def ready(self, texts: Iterable[list[str]]) -> None:
-        """Makes the words of some texts available until the next call at least."""
+    def ready(self, texts: Iterable[list[str]]) -> dict:
+        """``known`` with the words of some texts, which stay until the next call at least."""
         for w in self.passing:
-            self.pop(w, None)
-        if len(self) > self.limit:
-            self.clear()
-        new = [w for w in set(chain.from_iterable(texts)) if w not in self]
+            self.known.pop(w, None)
+        if len(self.known) > self.limit:
+            self.known.clear()
+        new = list(set(chain.from_iterable(texts)).difference(self.known))
         if new:
-            self.update(zip(new, self.fill(new), strict=True))
+            self.known.update(zip(new, self.fill(new), strict=True))
         self.passing = [w for w in new if len(w) > self.longest]
+        return self.known

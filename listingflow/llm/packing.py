@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import id_and_text, stored, text_groups
+from .common import id_and_text, stored
 from .library_tokens import WordTokens, load
+from .words import text_slices
 
 PIECES = "part int, piece long, doc_id long, start long, length long, doc_tokens long, rank_in_part long, ids binary"
 
@@ -127,10 +128,10 @@ def cut(
         end, seen, number = np.array([end_id], "<u4").tobytes(), np.zeros(capacity + 1, np.int64), 0
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
-            for row, texts in text_groups(batch):
+            for row, texts in text_slices(batch):
                 out = [[] for _ in range(8)]
-                for doc_id, ids in zip(doc_ids[row : row + len(texts)], tokens.encode(texts), strict=True):
-                    ids += end
+                for doc_id, found in zip(doc_ids[row : row + len(texts)], tokens.encode(texts), strict=True):
+                    ids = found.tobytes() + end
                     total = len(ids) // 4
                     for start in range(0, total, capacity):
                         length = min(capacity, total - start)

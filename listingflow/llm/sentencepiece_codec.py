@@ -43,7 +43,7 @@ def decode(model: PieceModel, ids: np.ndarray) -> str:
 
 def _cache(model_path: str) -> tuple[PieceModel, WordCache]:
     model = load(model_path)
-    return model, _caches.setdefault(model_path, WordCache(lambda words: encoded(model, words), limit=250_000))
+    return model, _caches.setdefault(model_path, WordCache(lambda words: encoded(model, words), limit=500_000))
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -55,8 +55,8 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         for batch in batches:
             for first, texts in text_groups(batch):
                 words = [model.split(t) for t in texts]
-                cache.ready(words)
-                found = [np.frombuffer(b"".join([cache[x][1] for x in w]), kind) for w in words]
+                known = cache.ready(words)
+                found = [np.frombuffer(b"".join([known[x][1] for x in w]), kind) for w in words]
                 ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32)))
                 ids = batch.column("doc_id").slice(first, len(texts))
@@ -76,9 +76,9 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
             n_tokens, ids_hash, text_hash = [], [], []
             for _, texts in text_groups(batch):
                 split = [model.split(t) for t in texts]
-                cache.ready(split)
+                known = cache.ready(split)
                 for words in split:
-                    found = [cache[w] for w in words]
+                    found = [known[w] for w in words]
                     ids = np.frombuffer(b"".join([x[1] for x in found]), kind)
                     raw = b"".join([x[2] for x in found])
                     raw = raw[1 if raw[:1] == b" " else 0 :]

@@ -34,9 +34,9 @@ def count_tokens(
             n_bytes, n_tokens = [], []
             for _, texts in text_groups(batch):
                 words = [model.split(t) for t in texts]
-                counts.ready(words)
+                known = counts.ready(words)
                 n_bytes += [len(t.encode()) for t in texts]
-                n_tokens += [sum(map(counts.__getitem__, w)) for w in words]
+                n_tokens += [sum(map(known.__getitem__, w)) for w in words]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens"],

@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import id_and_text, text_groups
+from .common import id_and_text
 from .library_tokens import ByteLevelTokens, load
+from .words import text_slices
 
 _MAGIC = b"DAC1"
 _BLOCK = 512  # bits of a bitmap per entry of its rank directory
@@ -125,20 +126,20 @@ def write(
 
     def shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part = load(ByteLevelTokens, tokenizer), TaskContext.get().partitionId()
-        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        end = np.array([] if end_id is None else [end_id], np.uint32)
         ids, lengths, held, size, first = [], [], [], 0, 0
 
         def shard() -> pa.RecordBatch:
-            codes = encode_codes(np.frombuffer(b"".join(held), "<u4"))
+            codes = encode_codes(np.concatenate(held))
             row = {"part": part, "first_token": first, "n_tokens": size, "doc_ids": ids, "doc_tokens": lengths, "codes": codes}
             return pa.RecordBatch.from_pylist([row], _arrow_schema())
 
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
-            for row, texts in text_groups(batch):
+            for row, texts in text_slices(batch):
                 for doc_id, found in zip(doc_ids[row : row + len(texts)], tokens.encode(texts), strict=True):
-                    held.append(found + end)
-                    ids.append(doc_id), lengths.append(len(held[-1]) // 4)
+                    held += [found, end]
+                    ids.append(doc_id), lengths.append(len(found) + len(end))
                     size += lengths[-1]
                     if size >= shard_tokens:
                         yield shard()
@@ -172,12 +173,11 @@ def directory(shards: DataFrame) -> DataFrame:
     def described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                codes, at = Codes(row["codes"]), 0
-                starts, sums = [], []
-                for n in row["doc_tokens"]:
-                    starts.append(row["first_token"] + at)
-                    sums.append(zlib.crc32(codes.slice(at, at + n).astype("<u4").tobytes()))
-                    at += n
+                codes = Codes(row["codes"])
+                ends = np.cumsum([0, *row["doc_tokens"]]).tolist()
+                ids = codes.slice(0, len(codes)).astype("<u4")
+                starts = [row["first_token"] + at for at in ends[:-1]]
+                sums = [zlib.crc32(ids[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
                 columns = [[row["part"]] * len(sums), row["doc_ids"], starts, row["doc_tokens"], sums]
                 kinds = [pa.int32(), *[pa.int64()] * 4]
                 yield pa.RecordBatch.from_arrays(

@@ -1,6 +1,6 @@
 """Words of many texts at once, as numpy arrays over the UTF-8 bytes of an Arrow column.
 
-A word is a run of bytes other than space and the control characters 9 to 13.  Its hash is a sum of its bytes, each times a
+A word is a run of bytes other than space and the control characters 9 to 13.  A hash is a sum of bytes, each times a
 pseudo-random number for its place, mixed at the end; so hashes are the same in every process and need no Python strings.
 """
 
@@ -30,6 +30,24 @@ def _numbers(first: int, count: int) -> np.ndarray:
     return mixed(np.arange(first + 1, first + count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
+def segment_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Hash of each segment of the bytes; segments lie end to end and are not empty."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    place = np.arange(len(data)) - np.repeat(start, length)
+    terms = (data.astype(np.uint64) + np.uint64(1)) * _numbers(0, int(length.max()))[place]
+    return mixed(np.add.reduceat(terms, start) + length.astype(np.uint64))
+
+
+def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(UTF-8 bytes, offsets) of a string column without nulls."""
+    column = column.cast(pa.large_string())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    buffer = column.buffers()[2]
+    data = np.frombuffer(buffer, np.uint8)[offsets[0] : offsets[-1]] if buffer is not None else np.zeros(0, np.uint8)
+    return data, offsets - offsets[0]
+
+
 class Words(NamedTuple):
     """Words of some texts end to end: ``first[i]`` to ``first[i + 1]`` are those of text i."""
 
@@ -42,11 +60,7 @@ class Words(NamedTuple):
 
 def words_of(column: pa.Array, lower: bool = False) -> Words:
     """Words of a string column without nulls; ``lower`` takes A to Z as a to z."""
-    column = column.cast(pa.large_string())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    buffer = column.buffers()[2]
-    data = np.frombuffer(buffer, np.uint8)[offsets[0] : offsets[-1]] if buffer is not None else np.zeros(0, np.uint8)
-    offsets = offsets - offsets[0]
+    data, offsets = column_bytes(column)
     if lower:
         data = _LOWER[data]
     inside = ~_WHITE[data]
@@ -61,13 +75,8 @@ def words_of(column: pa.Array, lower: bool = False) -> Words:
     first = np.searchsorted(start, offsets)
     if not len(start):
         return Words(data, start, end, np.zeros(0, np.uint64), first)
-    # hashes: only the bytes of words, each times the number of its place in the word
     length = end - start
-    at = np.flatnonzero(inside)
-    own = np.cumsum(length) - length
-    place = np.arange(len(at)) - np.repeat(own, length)
-    terms = (data[at].astype(np.uint64) + np.uint64(1)) * _numbers(0, int(length.max()))[place]
-    return Words(data, start, end, mixed(np.add.reduceat(terms, own) + length.astype(np.uint64)), first)
+    return Words(data, start, end, segment_hashes(data[inside], np.cumsum(length) - length, length), first)
 
 
 def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
