@@ -27,6 +27,16 @@ _DAY_NAME = ("d MMM yyyy", "d MMMM yyyy")
 _DAY_NAME_SHORT = ("d MMM yy", "d MMMM yy")
 _YEAR_FIRST = "yyyy/M/d"
 _DIGITS = "yyyyMMdd"
+_MONTH_YEAR_SHAPE = r"^[A-Za-z]{3,9},? \d{4}$"
+_MONTH_YEAR = ("MMM yyyy", "MMMM yyyy")
+# What may stand around a date and is cut away before the layouts are tried again.
+_WEEKDAY = r"(?i)^(mon|tue|tues|wed|thu|thur|thurs|fri|sat|sun|monday|tuesday|wednesday|thursday|friday|saturday|sunday)[.,]* +"
+_ORDINAL = r"(?i)\b(\d{1,2})(st|nd|rd|th)\b"
+_SEPT = r"(?i)\bsept\b"
+_MONTH_DOT = r"\b([A-Za-z]{3,9})\."
+_CLOCK = r"(?i)[ T,]+(\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?))?(?: ?([ap])\.?m\.?)?(?: ?(Z|UTC|GMT|[+-]\d{2}:?\d{2}))?$"
+# Two-digit years from this one on are of the last century.
+_PIVOT = 69
 
 
 def as_of_stamp(as_of: datetime | date | str) -> Column:
@@ -39,7 +49,10 @@ def as_of_date(as_of: datetime | date | str) -> Column:
 
 
 def _read(text: Column, layout: str) -> Column:
-    return F.try_to_timestamp(text, F.lit(layout)).cast("timestamp_ntz")
+    read = F.try_to_timestamp(text, F.lit(layout)).cast("timestamp_ntz")
+    if _YEAR in layout:
+        return read
+    return F.when(F.year(read) >= 2000 + _PIVOT, F.add_months(read.cast("date"), -1200).cast("timestamp_ntz")).otherwise(read)
 
 
 def _read_numeric(text: Column, year: str, dayfirst: bool) -> Column:
@@ -58,10 +71,41 @@ def _read_named(text: Column, layouts: tuple[str, str]) -> Column:
 def parse_stamp(value: Column | str, dayfirst: bool = False) -> Column:
     """Tolerant parse: null when no layout fits.
 
-    An ambiguous text is read by the asked-for convention, any other by the one that gives a date.  The value is looked at
-    several times; put anything costlier than a column into a column of its own first.
+    An ambiguous text is read by the asked-for convention, any other by the one that gives a date.  Texts that fit no layout
+    are tried again without weekday, ordinal endings, dots after months, time of day and zone; a zoned time is read as UTC.
+    The value is looked at several times; put anything costlier than a column into a column of its own first.
     """
     text = strip(value)
+    return F.coalesce(_read_plain(text, dayfirst), F.when(text.rlike(r"\d"), _read_loose(text, dayfirst)))
+
+
+def _read_loose(text: Column, dayfirst: bool) -> Column:
+    """The date inside a text with other things around it, and its time of day.  The cut text is worked out once."""
+    bare = F.regexp_replace(F.regexp_replace(text, _WEEKDAY, ""), _ORDINAL, "$1")
+    bare = F.regexp_replace(F.regexp_replace(bare, _SEPT, "Sep"), _MONTH_DOT, "$1")
+    return F.get(F.transform(F.array(bare), lambda cut: _read_day(cut, dayfirst) + _clock(cut)), F.lit(0))
+
+
+def _read_day(cut: Column, dayfirst: bool) -> Column:
+    day = F.transform(F.array(strip(F.regexp_replace(cut, _CLOCK, ""))), lambda d: _read_plain(d, dayfirst))
+    return F.get(day, F.lit(0))
+
+
+def _clock(cut: Column) -> Column:
+    """The time of day in a text, as an interval in UTC; none is midnight."""
+    part = [F.regexp_extract(cut, _CLOCK, i) for i in range(6)]
+    number = lambda c: F.coalesce(c.try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
+    hour, half = number(part[1]).cast("int"), F.lower(part[4])
+    hour = F.when(half == "p", hour % 12 + 12).when(half == "a", hour % 12).otherwise(hour)
+    offset = F.regexp_extract(part[5], r"([+-])(\d{2}):?(\d{2})", 2), F.regexp_extract(part[5], r"([+-])(\d{2}):?(\d{2})", 3)
+    away = number(offset[0]).cast("int") * 60 + number(offset[1]).cast("int")
+    away = F.when(F.startswith(part[5], F.lit("+")), -away).otherwise(away)
+    minute = number(part[2]).cast("int")
+    return F.when((hour < 24) & (minute < 60), F.make_dt_interval(F.lit(0), hour, minute + away, number(part[3])))
+
+
+def _read_plain(text: Column, dayfirst: bool) -> Column:
+    """By the first layout that fits."""
     slashed, spaced = F.translate(text, "-.", "//"), F.translate(text, "-,", " ")
     return (
         F.when(text.rlike(_ISO_SHAPE), text.try_cast("timestamp_ntz"))
@@ -72,6 +116,7 @@ def parse_stamp(value: Column | str, dayfirst: bool = False) -> Column:
         .when(text.rlike(_DAY_NAME_SHORT_SHAPE), _read_named(spaced, _DAY_NAME_SHORT))
         .when(text.rlike(_YEAR_FIRST_SHAPE), _read(text, _YEAR_FIRST))
         .when(text.rlike(_DIGITS_SHAPE), _read(text, _DIGITS))
+        .when(text.rlike(_MONTH_YEAR_SHAPE), _read_named(F.replace(text, F.lit(","), F.lit("")), _MONTH_YEAR))
     )
 
 

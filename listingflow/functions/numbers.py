@@ -36,8 +36,13 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
 
 
 def nullable_int(value: Column | str) -> Column:
-    """A whole number for systems that accept no missing value: 0 stands for null."""
-    return F.coalesce(tolerant_double(value).try_cast("bigint"), F.lit(0).cast("bigint"))
+    """A whole number for systems that accept no missing value: 0 stands for null.
+
+    Whole numbers and texts of whole numbers are taken as they are, so none is rounded on the way through a double.
+    """
+    text = col_of(value).cast("string")
+    whole = F.regexp_extract(text, r"^\s*([+-]?\d+)\s*$", 1).try_cast("bigint")
+    return F.coalesce(whole, tolerant_double(text).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def round_half_even(value: Column | str, places: int = 2) -> Column:

@@ -62,8 +62,9 @@ def placeholders_to_null(df: DataFrame, placeholders: list[str], columns: Iterab
     return _on_strings(df, lambda c: null_if_in(c, placeholders), columns)
 
 
-def nulls_to_blank(df: DataFrame) -> DataFrame:
-    return df.na.fill("", subset=string_columns(df))
+def nulls_to_blank(df: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Blanks for nulls in the named text columns, or in all of them."""
+    return df.na.fill("", subset=string_columns(df) if names is None else names)
 
 
 def update_where(df: DataFrame, condition: Column, changes: Mapping[str, Column]) -> DataFrame:

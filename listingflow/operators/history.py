@@ -8,7 +8,7 @@ from ..functions.dates import as_of_stamp
 from .columns import stack
 from .dedupe import keep_last
 from .filters import latest_batch
-from .joins import ROW_KEY, keyed, keys_of, left
+from .joins import ROW_KEY, common_types, keyed, keys_of, left
 
 ADDED, REMOVED, CHECKED = "time_added", "time_removed", "time_checked"
 STAMPS = (CHECKED, ADDED, REMOVED)
@@ -29,22 +29,26 @@ def snapshot_diff(history: DataFrame, snapshot: DataFrame, checked_at, reopen: b
     open rows it lacks are closed; all others stay as they are, and a row that was closed stays closed when it reappears
     unless ``reopen``.  Duplicates of either side are dropped before the comparison.
 
-    Both joins have the history or the snapshot on the splittable side and a de-duplicated key list on the other.
+    The two sides are read once each and meet in one aggregate; a row collects no more than its own periods in the history.
     """
     keys = [c for c in snapshot.columns if c not in STAMPS]
-    seen = keys_of(snapshot, keys)
-    known = keyed(history.select(*keys, ADDED, REMOVED).distinct(), keys)
     now = as_of_stamp(checked_at)
-
-    flagged = known.join(seen.withColumn("_seen", F.lit(True)), ROW_KEY, "left")
-    gone = F.col("_seen").isNull()
-    removed = F.when(gone & F.col(REMOVED).isNull(), now).otherwise(F.col(REMOVED))
+    types = common_types(history, snapshot, keys, keys)
+    if any(types):
+        same = {c: F.col(f"`{c}`").cast(t) for c, t in zip(keys, types, strict=True) if t}
+        history, snapshot = history.withColumns(same), snapshot.withColumns(same)
+    open_stamp = F.lit(None).cast("timestamp_ntz")
+    # one aggregate over both sides, combined before the shuffle: a row's periods, and whether the snapshot has it
+    period = F.struct(F.col(ADDED).cast("timestamp_ntz").alias(ADDED), F.col(REMOVED).cast("timestamp_ntz").alias(REMOVED))
+    known = history.select(*keys, period.alias("_period"), F.lit(False).alias("_now"))
+    polled = snapshot.select(*keys, F.lit(None).cast(known.schema["_period"].dataType).alias("_period"), F.lit(True).alias("_now"))
+    rows = known.unionByName(polled).groupBy(*keys).agg(F.collect_set("_period").alias("_periods"), F.max("_now").alias("_now"))
+    first = F.array(F.struct(now.alias(ADDED), open_stamp.alias(REMOVED)))
+    each = rows.select(*keys, "_now", F.inline(F.when(F.size("_periods") == 0, first).otherwise(F.col("_periods"))))
+    closed = F.when(~F.col("_now") & F.col(REMOVED).isNull(), now).otherwise(F.col(REMOVED))
     if reopen:
-        removed = F.when(gone, removed)
-    kept = flagged.select(*keys, ADDED, removed.alias(REMOVED))
-
-    added = seen.join(keys_of(history, keys), ROW_KEY, "left_anti").select("_key.*")
-    return stack([kept, added.select("*", now.alias(ADDED), F.lit(None).cast("timestamp_ntz").alias(REMOVED))])
+        closed = F.when(~F.col("_now"), closed)
+    return each.select(*keys, ADDED, closed.alias(REMOVED))
 
 
 def close_out(df: DataFrame, key: str, label: str, checked_at, length: int = 8) -> DataFrame:

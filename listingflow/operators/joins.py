@@ -6,6 +6,7 @@ it, or of an earlier join), on the right of a left outer join, or in a full oute
 
 * joins here run on two helper columns made from the key, so both inputs are always shuffled for the join;
 * a full outer join, and a left outer join to a side with hot keys, are put together from an inner join and anti joins;
+* keys of different types are brought to the type in which Spark's own ``=`` compares them, before they are hashed;
 * rows with a null key, which match nothing, are spread over all tasks;
 * an OR of two equalities, which would plan as a nested loop, becomes two inner joins and two anti joins.
 
@@ -24,13 +25,50 @@ from ..functions.text import clean_symbol
 ROW_KEY = ["_hash", "_key"]
 
 
-def keyed(df: DataFrame, columns: list[str], spread_nulls: bool = False) -> DataFrame:
+KeyTypes = list[T.DataType | None]
+
+
+def common_types(left_df: DataFrame, right_df: DataFrame, left_on: list[str], right_on: list[str]) -> KeyTypes:
+    """For each pair of key columns the type to compare them in; None where they agree.
+
+    Numbers are widened, as are dates and stamps; a text meets any other type as that type (a text that is no such value
+    matches nothing).  Other mixtures are an error.
+    """
+    return [
+        None if (a := left_df.schema[x].dataType) == (b := right_df.schema[y].dataType) else _common(left_df, x, a, y, b)
+        for x, y in zip(left_on, right_on, strict=True)
+    ]
+
+
+def _common(df: DataFrame, x: str, a: T.DataType, y: str, b: T.DataType) -> T.DataType:
+    for kinds in ((T.NumericType,), (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        if isinstance(a, kinds) and isinstance(b, kinds):
+            pair = df.sparkSession.createDataFrame([], T.StructType([T.StructField("a", a), T.StructField("b", b)]))
+            return pair.select(F.coalesce("a", "b").alias("c")).schema["c"].dataType
+    texts = [isinstance(t, (T.StringType, T.CharType, T.VarcharType)) for t in (a, b)]
+    other = b if texts[0] else a
+    if all(texts):
+        return T.StringType()
+    if any(texts) and isinstance(other, T.AtomicType):
+        return other
+    raise TypeError(f"keys {x} ({a.simpleString()}) and {y} ({b.simpleString()}) have no common type")
+
+
+def keyed(df: DataFrame, columns: list[str], spread_nulls: bool = False, types: KeyTypes | None = None) -> DataFrame:
     """Add a join key over several columns in which null equals null (as fields of a struct do).
 
     With ``spread_nulls`` rows that miss a part of the key get a hash of the whole row instead, for joins in which they
-    match nothing.
+    match nothing.  ``types`` are those of ``common_types``; the columns themselves keep theirs.
     """
-    values = [F.col(f"`{c}`") for c in columns]
+    values = []
+    for c, kind in zip(columns, types or [None] * len(columns), strict=True):
+        own = F.col(f"`{c}`")
+        if kind is None:
+            values.append(own.alias(c))
+            continue
+        same = own.try_cast(kind)
+        # a text that is no value of the type equals nothing, not even a null
+        values += [same.alias(c), (own.isNotNull() & same.isNull()).alias(f"{c}_odd")]
     hashed = F.xxhash64(*values)
     if spread_nulls:
         whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
@@ -42,9 +80,10 @@ def _any_null(columns: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in columns])
 
 
-def keys_of(df: DataFrame, columns: list[str]) -> DataFrame:
+def keys_of(df: DataFrame, columns: list[str], types: KeyTypes | None = None) -> DataFrame:
     """The distinct keys of a frame; copies are folded before they are shuffled."""
-    return keyed(df.select(*columns).distinct(), columns).select(*ROW_KEY)
+    keys = keyed(df.select(*columns).distinct(), columns, types=types).select(*ROW_KEY)
+    return keys.distinct() if any(types or []) else keys
 
 
 def _present(df: DataFrame, on: list[str]) -> DataFrame:
@@ -68,8 +107,9 @@ def inner(left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes
     """Inner join on equal, non-null keys; clashing columns get suffixes."""
     on = _listed(on)
     a, b = _suffixed(left_df, right_df, on, suffixes)
-    b = keyed(_present(b, on), on).drop(*on)
-    return keyed(_present(a, on), on).join(b, ROW_KEY, "inner").drop(*ROW_KEY)
+    types = common_types(a, b, on, on)
+    b = keyed(_present(b, on), on, types=types).drop(*on)
+    return keyed(_present(a, on), on, types=types).join(b, ROW_KEY, "inner").drop(*ROW_KEY)
 
 
 def left(
@@ -82,10 +122,11 @@ def left(
     """
     on = _listed(on)
     a, b = _suffixed(left_df, right_df, on, suffixes)
-    a, others = keyed(a, on, spread_nulls=True), keyed(_present(b, on), on).drop(*on)
+    types = common_types(a, b, on, on)
+    a, others = keyed(a, on, True, types), keyed(_present(b, on), on, types=types).drop(*on)
     if not hot_right:
         return a.join(others, ROW_KEY, "left").drop(*ROW_KEY)
-    rest = a.join(keys_of(_present(b, on), on), ROW_KEY, "left_anti")
+    rest = a.join(keys_of(_present(b, on), on, types), ROW_KEY, "left_anti")
     return a.join(others, ROW_KEY, "inner").unionByName(rest, allowMissingColumns=True).drop(*ROW_KEY)
 
 
@@ -106,15 +147,18 @@ def natural_left(left_df: DataFrame, right_df: DataFrame) -> DataFrame:
 def semi(left_df: DataFrame, right_df: DataFrame, on: list[str] | str) -> DataFrame:
     """The left rows whose key the right has; null keys match nothing."""
     on = _listed(on)
-    return keyed(_present(left_df, on), on).join(keys_of(_present(right_df, on), on), ROW_KEY, "left_semi").drop(*ROW_KEY)
+    types = common_types(left_df, right_df, on, on)
+    known = keys_of(_present(right_df, on), on, types)
+    return keyed(_present(left_df, on), on, types=types).join(known, ROW_KEY, "left_semi").drop(*ROW_KEY)
 
 
 def only_in_left(left_df: DataFrame, right_df: DataFrame, on: list[str], null_safe: bool = False) -> DataFrame:
     """Set difference by key.  With ``null_safe`` a null key on the right removes null keys on the left."""
+    types = common_types(left_df, right_df, on, on)
     if null_safe:
-        return keyed(left_df, on).join(keys_of(right_df, on), ROW_KEY, "left_anti").drop(*ROW_KEY)
-    known = keys_of(_present(right_df, on), on)
-    return keyed(left_df, on, spread_nulls=True).join(known, ROW_KEY, "left_anti").drop(*ROW_KEY)
+        return keyed(left_df, on, types=types).join(keys_of(right_df, on, types), ROW_KEY, "left_anti").drop(*ROW_KEY)
+    known = keys_of(_present(right_df, on), on, types)
+    return keyed(left_df, on, True, types).join(known, ROW_KEY, "left_anti").drop(*ROW_KEY)
 
 
 def add_only_new(base: DataFrame, extra: DataFrame, symbol: str = "ticker", null_safe: bool = True) -> DataFrame:
@@ -142,13 +186,24 @@ def first_known(frames: list[DataFrame], symbol: str = "ticker") -> DataFrame:
 
 
 def full_outer(left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("_left", "_right")) -> DataFrame:
-    """Full outer join; null keys never match.  Clashing columns get suffixes."""
+    """Full outer join; null keys never match.  Clashing columns get suffixes.
+
+    Both sides are read three times, the keys alone twice of them: store what is costly to work out first.  Keys of different
+    types come out in the common one, or as text where one side's are.
+    """
     on = _listed(on)
     a, b = _suffixed(left_df, right_df, on, suffixes)
-    parts = [inner(a, b, on), only_in_left(a, b, on), only_in_left(b, a, on)]
+    types = common_types(a, b, on, on)
+    shown = {c: T.StringType() if _is_text(a, c) or _is_text(b, c) else t for c, t in zip(on, types, strict=True) if t}
+    both, rest, others = inner(a, b, on), only_in_left(a, b, on), only_in_left(b, a, on)
+    parts = [p.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in shown.items()}) for p in (both, rest, others)]
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
+def _is_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (T.StringType, T.CharType, T.VarcharType))
+
+
 def left_on_either(left_df: DataFrame, right_df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """``left LEFT JOIN right ON l1 = r1 OR l2 = r2`` as equi-joins.
 

@@ -71,14 +71,14 @@ def regex_extract(t: Tables) -> DataFrame:
 
 @query(
     "document_words",
-    r"""SELECT doc_id, length(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS stripped, left(text, 200) AS head, nullif(regexp_extract(text, '(\d+)', 1), '') AS first_number,
+    r"""SELECT doc_id, length(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS stripped, left(lang || '-' || source, 5) AS short_label, nullif(regexp_extract(text, '(\d+)', 1), '') AS first_number,
         lower(lang) || '/' || upper(source) AS label FROM documents""",
 )
 def document_words(t: Tables) -> DataFrame:
     return t.documents.select(
         "doc_id",
         F.length(text.strip("text")).alias("stripped"),
-        text.truncate("text", 200).alias("head"),
+        text.truncate(F.concat("lang", F.lit("-"), "source"), 5).alias("short_label"),
         text.extract("text", r"([0-9]+)").alias("first_number"),
         F.concat(F.lower("lang"), F.lit("/"), F.upper("source")).alias("label"),
     )
@@ -125,13 +125,13 @@ def list_to_text(t: Tables) -> DataFrame:
 # --- numbers -----------------------------------------------------------------------------------------------------
 
 _FIGURES = """SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN CAST(o_totalprice AS STRING) WHEN 1 THEN '1,234,' || lpad(CAST(o_custkey % 1000 AS STRING), 3, '0')
-              WHEN 2 THEN 'n/a' WHEN 3 THEN NULL WHEN 4 THEN ' ' || CAST(o_custkey AS STRING) || ' ' WHEN 5 THEN '12d' ELSE '-' END AS cell FROM {orders}"""
+              WHEN 2 THEN 'n/a' WHEN 3 THEN '900719925474' || lpad(CAST(o_custkey % 10000 AS STRING), 4, '0') WHEN 4 THEN ' ' || CAST(o_custkey AS STRING) || ' ' WHEN 5 THEN '12d' ELSE '-' END AS cell FROM {orders}"""
 
 
 @query(
     "tolerant_numeric",
     f"""SELECT o_orderkey, TRY_CAST(trim(cell) AS DOUBLE) AS plain, TRY_CAST(trim(replace(cell, ',', '')) AS DOUBLE) AS separated,
-        TRY_CAST(trim(cell) AS DOUBLE) * 1000000 AS millions, coalesce(CAST(trunc(TRY_CAST(trim(cell) AS DOUBLE)) AS BIGINT), 0) AS whole FROM ({_FIGURES})""",
+        TRY_CAST(trim(cell) AS DOUBLE) * 1000000 AS millions, coalesce(TRY_CAST(CASE WHEN regexp_matches(trim(cell), '^[0-9]+$') THEN trim(cell) END AS BIGINT), CAST(trunc(TRY_CAST(trim(cell) AS DOUBLE)) AS BIGINT), 0) AS whole FROM ({_FIGURES})""",
 )
 def tolerant_numeric(t: Tables) -> DataFrame:
     return t.sql(_FIGURES).select(
@@ -190,12 +190,31 @@ def price_from_bounds(t: Tables) -> DataFrame:
 
 # --- dates -------------------------------------------------------------------------------------------------------
 
-_TEXT_DATES = """SELECT o_orderkey, CASE o_orderkey % 6
+_LOOSE_DATES = [
+    ("03/05/2020 09:30", "2020-03-05", "2020-05-03"),
+    ("Monday, March 2, 2020", "2020-03-02", "2020-03-02"),
+    ("2020/3/5 10:00", "2020-03-05", "2020-03-05"),
+    ("March 2020", "2020-03-01", "2020-03-01"),
+    ("Mar 5 2020 4:00 PM", "2020-03-05", "2020-03-05"),
+    ("5th March 2020", "2020-03-05", "2020-03-05"),
+    ("Sept 5, 2020", "2020-09-05", "2020-09-05"),
+    ("Mar. 5, 2020", "2020-03-05", "2020-03-05"),
+    ("2020-03-05T10:00:00Z", "2020-03-05", "2020-03-05"),
+    ("01/02/99", "1999-01-02", "1999-02-01"),
+    ("01/02/68", "2068-01-02", "2068-02-01"),
+]
+_LOOSE_TEXT = " ".join(f"WHEN {i} THEN '{text}'" for i, (text, *_) in enumerate(_LOOSE_DATES))
+_TEXT_DATES = f"""SELECT o_orderkey, CASE WHEN o_orderkey % 12 = 5 THEN CASE o_custkey % {len(_LOOSE_DATES)} {_LOOSE_TEXT} END ELSE CASE o_orderkey % 6
                  WHEN 0 THEN CAST(CAST(o_orderdate AS DATE) AS STRING)
                  WHEN 1 THEN CAST(day(o_orderdate) AS STRING) || '/' || CAST(month(o_orderdate) AS STRING) || '/' || CAST(year(o_orderdate) AS STRING)
                  WHEN 2 THEN ' ' || CAST(month(o_orderdate) AS STRING) || '-' || CAST(day(o_orderdate) AS STRING) || '-' || CAST(year(o_orderdate) AS STRING)
                  WHEN 3 THEN 'Week of ' || CAST(CAST(o_orderdate AS DATE) AS STRING)
-                 WHEN 4 THEN '2001-02-30' END AS cell FROM {orders}"""
+                 WHEN 4 THEN '2001-02-30' END END AS cell FROM {{orders}}"""
+
+
+def _loose(place: int) -> str:
+    """What the texts of another layout mean, month first (1) or day first (2)."""
+    return " ".join(f"WHEN '{row[0]}' THEN TIMESTAMP '{row[place]}'" for row in _LOOSE_DATES)
 
 
 def _read(first: str, second: str) -> str:
@@ -205,8 +224,8 @@ def _read(first: str, second: str) -> str:
 
 @query(
     "date_parse",
-    f"""SELECT o_orderkey, CAST(CASE WHEN regexp_matches(trim(cell), '^[0-9][0-9][0-9][0-9]-') THEN try_strptime(cell, '%Y-%m-%d') WHEN cell LIKE '%/%' THEN {_read('%m/%d/%Y', '%d/%m/%Y')} ELSE {_read('%m-%d-%Y', '%d-%m-%Y')} END AS DATE) AS month_first,
-        CAST(CASE WHEN regexp_matches(trim(cell), '^[0-9][0-9][0-9][0-9]-') THEN try_strptime(cell, '%Y-%m-%d') WHEN cell LIKE '%/%' THEN {_read('%d/%m/%Y', '%m/%d/%Y')} ELSE {_read('%d-%m-%Y', '%m-%d-%Y')} END AS DATE) AS day_first FROM ({_TEXT_DATES})""",
+    f"""SELECT o_orderkey, CAST(CASE cell {_loose(1)} ELSE CASE WHEN regexp_matches(trim(cell), '^[0-9][0-9][0-9][0-9]-') THEN try_strptime(cell, '%Y-%m-%d') WHEN cell LIKE '%/%' THEN {_read('%m/%d/%Y', '%d/%m/%Y')} ELSE {_read('%m-%d-%Y', '%d-%m-%Y')} END END AS DATE) AS month_first,
+        CAST(CASE cell {_loose(2)} ELSE CASE WHEN regexp_matches(trim(cell), '^[0-9][0-9][0-9][0-9]-') THEN try_strptime(cell, '%Y-%m-%d') WHEN cell LIKE '%/%' THEN {_read('%d/%m/%Y', '%m/%d/%Y')} ELSE {_read('%d-%m-%Y', '%m-%d-%Y')} END END AS DATE) AS day_first FROM ({_TEXT_DATES})""",
 )
 def date_parse(t: Tables) -> DataFrame:
     return t.sql(_TEXT_DATES).select("o_orderkey", dates.parse_date("cell").alias("month_first"), dates.parse_date("cell", dayfirst=True).alias("day_first"))

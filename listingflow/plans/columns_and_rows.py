@@ -101,14 +101,13 @@ def conditional_update(t: Tables) -> DataFrame:
 def fill_and_blank(t: Tables) -> DataFrame:
     made = t.sql(
         """SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS filled, nullif(o_orderpriority, '5-LOW') AS constant, o_orderstatus,
-           nullif(o_orderpriority, '5-LOW') AS noted,
+           'order ' || nullif(o_orderpriority, '5-LOW') AS noted,
            CASE WHEN o_orderkey % 4 = 0 THEN '-' WHEN o_orderkey % 4 = 1 THEN '  ' WHEN o_orderkey % 4 = 2 THEN 'nan' ELSE o_orderpriority END AS cleaned
            FROM {orders}"""
     )
     filled = columns.fill_from(made, {"filled": "o_orderstatus"}).na.fill({"constant": "none"})
     cleaned = columns.placeholders_to_null(columns.blanks_to_null(filled, ["cleaned"]), ["-", "nan"], ["cleaned"])
-    shown = cleaned.select("o_orderkey", "filled", "constant", "cleaned").transform(columns.nulls_to_blank)
-    return shown.join(made.select("o_orderkey", F.concat(F.lit("order "), "noted").alias("noted")), "o_orderkey")
+    return columns.nulls_to_blank(cleaned, ["filled", "constant", "cleaned"]).select("o_orderkey", "filled", "constant", "cleaned", "noted")
 
 
 @query(
@@ -690,13 +689,14 @@ _BACK = " + ".join(f"(strpos('{_ALPHABET}', substr(e, {6 - p}, 1)) - 1) * {31**p
 
 @query(
     "entity_codec",
-    f"""WITH a AS (SELECT o_orderkey, o_orderkey * 7919 + o_custkey AS n FROM orders), b AS (SELECT o_orderkey, n, {_DIGIT} || '-E' AS e FROM a)
-        SELECT o_orderkey, n, e, {_BACK} AS back FROM b""",
+    f"""WITH a AS (SELECT o_orderkey, o_orderkey * 7919 + o_custkey AS n FROM orders), b AS (SELECT o_orderkey, n, CASE WHEN n < {31**6} THEN {_DIGIT} || '-E' END AS e FROM a)
+        SELECT o_orderkey, n, e, {_BACK} AS back, CAST(NULL AS BIGINT) AS other FROM b""",
 )
 def entity_codec(t: Tables) -> DataFrame:
     numbered = t.orders.select("o_orderkey", (F.col("o_orderkey") * 7919 + F.col("o_custkey")).alias("n"))
     coded = numbered.withColumn("e", ids.number_to_entity_id("n"))
-    return coded.withColumn("back", ids.entity_id_to_number("e"))
+    other = ids.entity_id_to_number(F.replace("e", F.lit("-E"), F.lit("-A")))
+    return coded.withColumns({"back": ids.entity_id_to_number("e"), "other": other})
 
 
 @query(

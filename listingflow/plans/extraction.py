@@ -44,11 +44,18 @@ def html_regular_records(t: Tables) -> DataFrame:
 
 @query(
     "html_named_cells",
-    _NAV_SQL + "SELECT page_id, nullif(texts[1], '') AS first, nullif(texts[2], '') AS second, list_concat(texts, links)[3] AS Unnamed_column_0, list_concat(texts, links)[4] AS Unnamed_column_1 FROM c WHERE len(texts) + len(links) > 1",
+    _NAV_SQL
+    + """SELECT page_id, nullif(texts[1], '') AS first, nullif(texts[2], '') AS second,
+         array_to_string(list_transform(list_concat(texts, links)[3:], lambda x: coalesce(nullif(x, ''), '-')), '|') AS unnamed
+         FROM c WHERE len(texts) + len(links) > 1""",
 )
 def html_named_cells(t: Tables) -> DataFrame:
+    """The names cover two cells; the others are counted through to the widest row's last."""
     rows = html.extract_rows(t.pages, _NAV)
-    return html.name_cells(rows, ["first", "second"], 4, ["page_id"])
+    width = html.table_width(rows)
+    named = html.name_cells(rows, ["first", "second"], width, ["page_id", F.size("cells").alias("n")])
+    unnamed = [F.when(F.col("n") > i + 2, F.coalesce(F.col(f"Unnamed_column_{i}"), F.lit("-"))) for i in range(width - 2)]
+    return named.select("page_id", "first", "second", F.concat_ws("|", *unnamed).alias("unnamed"))
 
 
 @query(
@@ -79,12 +86,14 @@ _WORDS = """SELECT doc_id, unnest(string_split(text, ' ')) AS cell, unnest(range
     "marker_records",
     f"""WITH w AS ({_WORDS}), r AS (SELECT *, coalesce(max(CASE WHEN contains(cell, '.') THEN pos END) OVER (PARTITION BY doc_id ORDER BY pos), 0) AS record_start FROM w)
         SELECT doc_id, record_start, max(CASE WHEN pos - record_start = 0 THEN replace(cell, '.', '') END) AS a, max(CASE WHEN pos - record_start = 1 THEN replace(cell, '.', '') END) AS b,
-               max(CASE WHEN pos - record_start = 2 THEN replace(cell, '.', '') END) AS c, count(*) AS cell_count FROM r GROUP BY 1, 2""",
+               max(CASE WHEN pos - record_start = 2 THEN replace(cell, '.', '') END) AS c,
+               coalesce(string_agg(replace(cell, '.', ''), ' ' ORDER BY pos) FILTER (pos - record_start > 2), '') AS more_cells, count(*) AS cell_count FROM r GROUP BY 1, 2""",
 )
 def marker_records(t: Tables) -> DataFrame:
     cells = t.documents.select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "cell"))
     cells = cells.withColumn("pos", F.col("pos").cast("long"))
-    return records.marked_records(cells, ["doc_id"], "pos", "cell", ".", ["a", "b", "c"], block=1000)
+    found = records.marked_records(cells, ["doc_id"], "pos", "cell", ".", ["a", "b", "c"], block=1000)
+    return found.withColumn("more_cells", F.array_join("more_cells", " "))
 
 
 # --- nested and delimited text -----------------------------------------------------------------------------------
@@ -121,17 +130,19 @@ def json_stacked_lists(t: Tables) -> DataFrame:
     return readers.stack_lists(lists, ["HARD", "SOFT"], ["page_id"])
 
 
-_CALENDAR = """SELECT c_custkey, 'symbol,name,price' || chr(13) || chr(10) || 'T' || CAST(c_custkey AS STRING) || ',' || c_name || ',' || CAST(c_nationkey AS STRING) || chr(13) || chr(10)
-               || 'U' || CAST(c_custkey AS STRING) || ',' || c_mktsegment || ',0' || chr(13) || chr(10) AS body FROM {customer}"""
+_CALENDAR = """SELECT c_custkey, 'symbol|name|price' || chr(13) || chr(10) || 'T' || CAST(c_custkey AS STRING) || '|' || c_name || '|' || CAST(c_nationkey AS STRING) || chr(13) || chr(10)
+               || 'U' || CAST(c_custkey AS STRING) || '|' || c_mktsegment || '|0|x' || chr(13) || chr(10) AS body FROM {customer}"""
 
 
 @query(
     "delimited_text",
-    """SELECT c_custkey, 1 AS line_no, 'T' || c_custkey AS symbol, c_name AS name, CAST(c_nationkey AS STRING) AS price FROM customer
-       UNION ALL SELECT c_custkey, 2, 'U' || c_custkey, c_mktsegment, '0' FROM customer""",
+    """SELECT c_custkey, 1 AS line_no, 'T' || c_custkey AS symbol, c_name AS name, CAST(c_nationkey AS STRING) AS price, '' AS more FROM customer
+       UNION ALL SELECT c_custkey, 2, 'U' || c_custkey, c_mktsegment, '0', 'x' FROM customer""",
 )
 def delimited_text(t: Tables) -> DataFrame:
-    return readers.delimited_text(t.sql(_CALENDAR), "body", ["symbol", "name", "price"], ["c_custkey"])
+    """The separator is a character that patterns give a meaning of its own."""
+    lines = readers.delimited_text(t.sql(_CALENDAR), "body", ["symbol", "name", "price"], ["c_custkey"], "|")
+    return lines.withColumn("more", F.array_join("more_cells", "|")).drop("more_cells")
 
 
 @query(
@@ -165,12 +176,13 @@ def csv_round_trip(t: Tables) -> DataFrame:
     return readers.read_csv(t.spark, folder, noted.schema)
 
 
-@query("csv_folder", "SELECT p_partkey, p_name, 'part' AS source_name FROM part UNION ALL SELECT s_suppkey, s_name, 'part' FROM supplier")
+@query("csv_folder", "SELECT p_partkey, p_name, 'parts' AS source_name FROM part UNION ALL SELECT s_suppkey, s_name, 'suppliers' FROM supplier")
 def csv_folder(t: Tables) -> DataFrame:
+    """Two sources, each in files named after it."""
     folder = run_folder(t.spark, "csvs")
-    writers.export_csv(t.part.select("p_partkey", "p_name"), f"{folder}/a")
-    writers.export_csv(t.supplier.select(F.col("s_suppkey").alias("p_partkey"), F.col("s_name").alias("p_name")), f"{folder}/b")
-    read = readers.read_csv_folder(t.spark, f"{folder}/*", "p_partkey long, p_name string")
+    writers.export_named_csv(t.part.select("p_partkey", "p_name"), f"{folder}/all", "parts")
+    writers.export_named_csv(t.supplier.select(F.col("s_suppkey").alias("p_partkey"), F.col("s_name").alias("p_name")), f"{folder}/all", "suppliers")
+    read = readers.read_csv_folder(t.spark, f"{folder}/all", "p_partkey long, p_name string")
     return read.withColumn("source_name", F.regexp_extract("source_name", "^([a-z]+)", 1))
 
 

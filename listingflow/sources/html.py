@@ -185,6 +185,3 @@ def name_cells(rows: DataFrame, names: list[str], width: int, keep: list[str] =
     named = rows.select(*keep, *[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(fitted)])
     return blanks_to_null(named, fitted).na.drop(how="all", subset=fitted) if fitted else named
 
-
-def stamp_checked(df: DataFrame, checked_at: Column) -> DataFrame:
-    return df.withColumn("time_checked", checked_at)

@@ -27,7 +27,6 @@ _FEED_NAMES = {
 }
 _FEED_ASSETS = [(" Unit", "Units"), (" Right", "Rights"), (" Warrant", "Warrants")]
 _TMX_NAMES = {"list_symbol": "ticker", "effective_date": "ipo_date", "details": "notes"}
-_TMX_NOTE_LENGTH = 200
 _TMX_NO_COMPANY = [" ETF", " Fund"]
 _TMX_NO_SECURITY = ["Debentures", "Warrants", "Rights", "Common share purchase warrants"]
 _TORONTO_TYPES = [(" ETF", "ETF"), (" Fixed Income", "Fixed Income"), (" Private Pool", "Private Pool")]
@@ -147,17 +146,20 @@ def price_expected(df: DataFrame, as_of) -> DataFrame:
     return df.withColumn("notes", F.when(ahead, note).otherwise(F.col("notes")))
 
 
-def tmx(raw: DataFrame, as_of) -> DataFrame:
-    """Feed files pile up; what is not in the newest file is closed, then the earliest copy of each row is kept."""
-    named = rename(raw, _TMX_NAMES).withColumn("notes", truncate("notes", _TMX_NOTE_LENGTH))
-    closed = close_out(prepare(named, ["ipo_date", "entry_date", "modification_date"]), "identification", "file", as_of)
+def tmx(raw: DataFrame, as_of, note_length: int | None = None) -> DataFrame:
+    """Feed files pile up; what is not in the newest file is closed, then the earliest copy of each row is kept.
+
+    Rows are compared and filtered by their whole notes; ``note_length`` shortens them in the result.
+    """
+    closed = close_out(prepare(rename(raw, _TMX_NAMES), ["ipo_date", "entry_date", "modification_date"]), "identification", "file", as_of)
     first = earliest_ignoring(closed, ["time_added", "file"], ["entry_date", "file", "time_added"])
-    return first.where(
+    kept = first.where(
         (F.col("change_type") == "New Listing")
         & ~contains_any("notes", ["transfer"], ignore_case=True)
         & ~contains_any("company_name", _TMX_NO_COMPANY)
         & ~contains_any("security_description", _TMX_NO_SECURITY)
     )
+    return kept.withColumn("notes", truncate("notes", note_length)) if note_length else kept
 
 
 def toronto_older(raw: dict[str, DataFrame]) -> DataFrame:

@@ -21,9 +21,13 @@ def read_csv(
     schema: T.StructType | str | None = None,
     columns: list[str] | None = None,
     na_values: list[str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header row.  Literals such as ``NA`` stay text unless listed in ``na_values``."""
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    """CSV with a header row.  Literals such as ``NA`` stay text unless listed in ``na_values``.
+
+    Say ``multi_line`` when cells hold line breaks: such a file can't be split between tasks.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     df = (reader.schema(schema) if schema is not None else reader).csv(path)
     if na_values:
         df = df.replace(na_values, None)
@@ -103,13 +107,15 @@ def stack_lists(df: DataFrame, lists: list[str], keep: list[str] = ()) -> DataFr
 def delimited_text(df: DataFrame, text: Column | str, names: list[str], keep: list[str] = (), separator: str = ",") -> DataFrame:
     """Lines of a delimited text whose first line is the header; lines with a missing cell (a trailing one) are dropped.
 
-    ``names`` are the header's names as they are wanted in the frame.
+    ``names`` are the header's names as they are wanted in the frame; cells past them are kept in the array ``more_cells``.
+    The separator is a plain text.  Quoted separators are cut as well; where cells may hold them, use ``from_csv``.
     """
     body = F.regexp_replace(F.col(text) if isinstance(text, str) else text, "\r", "")
     lines = df.select(*keep, F.posexplode(F.split(body, "\n")).alias("line_no", "_line")).where("line_no > 0")
-    cells = F.split("_line", separator)
+    cells = F.split("_line", "\\Q" + separator + "\\E")
     filled = lines.where(F.size(cells) >= len(names))
-    return filled.select(*keep, "line_no", *[cells.getItem(i).alias(n) for i, n in enumerate(names)])
+    more = F.slice(cells, len(names) + 1, F.greatest(F.size(cells) - len(names), F.lit(0))).alias("more_cells")
+    return filled.select(*keep, "line_no", *[cells.getItem(i).alias(n) for i, n in enumerate(names)], more)
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.aggregates import running_last
 
@@ -25,10 +25,9 @@ def marked_records(
 ) -> DataFrame:
     """Records of a flat cell sequence in which a cell holding the marker starts a record.
 
-    The marker is cut from the first cell and cells are named by their place in the record; cells before the first marker
-    form a record of their own, and ``cell_count`` tells how many cells a record had.  The start of a record is a running
-    maximum taken block by block, and a record is put together by an aggregate with one slot per name, so neither a long
-    page nor a long record has to fit into a task.
+    The marker is cut from the first cell and cells are named by their place in the record; cells past the names follow in the
+    array ``more_cells``.  Cells before the first marker form a record of their own, and ``cell_count`` tells how many cells
+    a record had.  The start of a record is a running maximum taken block by block, so a long page need not fit into a task.
     """
     starts = F.when(F.col(cell).contains(marker), F.col(position))
     placed = running_last(cells, page, position, starts, "record_start", block)
@@ -37,5 +36,12 @@ def marked_records(
     text = F.replace(F.col(cell), F.lit(marker), F.lit(""))
     return placed.groupBy(*page, "record_start").agg(
         *[F.max(F.when(place == i, text)).alias(name) for i, name in enumerate(names)],
+        F.transform(F.array_sort(F.collect_list(F.when(place >= len(names), F.struct(place, text.alias("cell"))))), _cell).alias(
+            "more_cells"
+        ),
         F.count(F.lit(1)).alias("cell_count"),
     )
+
+
+def _cell(numbered: Column) -> Column:
+    return numbered["cell"]

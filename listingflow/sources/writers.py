@@ -49,6 +49,24 @@ def export_csv(df: DataFrame, path: str, bom: bool = False) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
+def export_named_csv(df: DataFrame, folder: str, stem: str, bom: bool = False) -> None:
+    """CSV files in ``folder`` that are named after their source: ``stem-0.csv`` and so on.
+
+    They are written aside and moved when all are there, through the file system that Spark itself uses.
+    """
+    aside = f"{folder.rstrip('/')}/_{stem}"
+    export_csv(df, aside, bom)
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    source = jvm.org.apache.hadoop.fs.Path(aside)
+    files = source.getFileSystem(conf)
+    parts = sorted(s.getPath().getName() for s in files.listStatus(source) if s.getPath().getName().startswith("part-"))
+    for number, part in enumerate(parts):
+        target = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{stem}-{number}.csv")
+        files.delete(target, False)
+        files.rename(jvm.org.apache.hadoop.fs.Path(f"{aside}/{part}"), target)
+    files.delete(source, True)
+
+
 def display_listings(df: DataFrame) -> DataFrame:
     """Listings under their display names, internal columns left out."""
     return df.select(*[F.col(c).alias(shown) for c, shown in LISTING_DISPLAY.items()])

@@ -58,7 +58,7 @@ def test_marked_records(spark):
     df = spark.createDataFrame([(1, i, c) for i, c in enumerate(cells)], "page int, pos long, cell string")
     for block in (2, 100):
         got = rows(records.marked_records(df, ["page"], "pos", "cell", "*", ["name", "x"], block))
-        assert got == [(1, 0, "lost", None, 1), (1, 1, "Acme", "1", 3), (1, 4, "Beta", "3", 2), (1, 6, "Gamma", None, 1)]
+        assert got == [(1, 0, "lost", None, [], 1), (1, 1, "Acme", "1", ["2"], 3), (1, 4, "Beta", "3", [], 2), (1, 6, "Gamma", None, [], 1)]
 
 
 def test_cards_keep_the_last_label(spark):
@@ -68,7 +68,9 @@ def test_cards_keep_the_last_label(spark):
 
 def test_delimited_text_and_lists(spark):
     df = spark.createDataFrame([("a,b\r\n1,2\r\n3,4\r\n",)], "t string")
-    assert rows(readers.delimited_text(df, "t", ["a", "b"])) == [(1, "1", "2"), (2, "3", "4")]
+    assert rows(readers.delimited_text(df, "t", ["a", "b"])) == [(1, "1", "2", []), (2, "3", "4", [])]
+    piped = spark.createDataFrame([("a|b\n1|2|x|y\n3|\n4",)], "t string")
+    assert rows(readers.delimited_text(piped, "t", ["a", "b"], separator="|")) == [(1, "1", "2", ["x", "y"]), (2, "3", "", [])]
     lists = spark.sql("SELECT array(named_struct('x', 1)) AS A, array(named_struct('x', 2, 'y', 3)) AS B")
     assert rows(readers.stack_lists(lists, ["A", "B"])) == [("A", 1, None), ("B", 2, 3)]
     nested = spark.sql("SELECT named_struct('b', named_struct('c', 1, 'd', array(1))) AS a, 2 AS e")
