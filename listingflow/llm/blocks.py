@@ -87,25 +87,28 @@ def forest(n: int, left: np.ndarray, right: np.ndarray) -> Pairs:
     return kept
 
 
-def overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+def overlaps(sets: list[np.ndarray], weights: list[np.ndarray] | None = None, columns: int = 4096) -> np.ndarray:
     """Sizes of all intersections: the product of the incidence matrix with its transpose, by blocks of columns.
 
-    Only elements in two sets or more become columns; counts are exact, as no block has more columns than a float can count.
+    With ``weights``, one for each element, entry (i, j) adds up set i's weights of what it shares with set j.  Only elements in
+    two sets or more become columns; no block has sums too large for a float to count exactly.
     """
     m = len(sets)
     total = np.zeros((m, m), np.int64)
     row = np.repeat(np.arange(m), [len(s) for s in sets])
     flat = np.concatenate(sets) if m else np.zeros(0, np.uint64)
+    value = np.concatenate(weights).astype(np.float32) if weights else np.ones(len(flat), np.float32)
     _, code, count = np.unique(flat, return_inverse=True, return_counts=True)
     code = code.reshape(-1)
     shared = count > 1
-    number = np.cumsum(shared) - 1
-    row, code = row[shared[code]], number[code[shared[code]]]
+    n = int(shared.sum())
+    number, use = np.cumsum(shared) - 1, shared[code]
+    row, code, value = row[use], number[code[use]], value[use]
     order = np.argsort(code, kind="stable")
-    row, code = row[order], code[order]
-    for begin in range(0, int(shared.sum()), columns):
+    row, code, value = row[order], code[order], value[order]
+    for begin in range(0, n, columns):
         a, b = np.searchsorted(code, (begin, begin + columns))
-        part = np.zeros((m, min(columns, int(shared.sum()) - begin)), np.float32)
-        part[row[a:b], code[a:b] - begin] = 1
-        total += (part @ part.T).astype(np.int64)
+        part = np.zeros((m, min(columns, n - begin)), np.float32)
+        part[row[a:b], code[a:b] - begin] = value[a:b]
+        total += (part @ ((part > 0).astype(np.float32) if weights else part).T).astype(np.int64)
     return total

@@ -8,8 +8,8 @@ n-gram incidence matrix with its transpose would give all overlaps; it is taken
    the first n - ceil(percent x n) + 1 of their n elements.  The rows that share such an element form a block with the one among
    them of the lowest hash, their centre; so any two rows that share an element meet in a block, and a row is sent
    to few blocks, because the elements of similar rows have the same centre.
-3. In a block the overlaps of the first elements are counted and pairs discarded whose sizes allow no link at that count.
-   What remains ties rows to families.
+3. A block counts the overlaps in the elements of its centre, adds what the two rows can share in other blocks at most, and
+   discards pairs whose sizes allow no link at that sum.  What remains ties rows to families.
 4. Only rows of families are read again; the product of their whole sets, block by block, gives exact overlaps and so the links.
 
 A block hands on no more pairs than connect its rows, so the links within a group of thousands never leave it one by one.
@@ -117,15 +117,41 @@ def _postings(rows: DataFrame) -> DataFrame:
     return rows.select("rep", "prefix").mapInArrow(run, "element long, rep long")
 
 
+STARS = "centre long, rep long, size long, behind long, elements binary, centres binary, weights binary"
+
+
 def _candidate_blocks(rows: DataFrame, block_rows: int) -> DataFrame:
-    """``block, rep, size, prefix``: any two rows that share a first element are together in a block."""
+    """``STARS`` and ``block``: any two rows that share a first element are together in the block of that element's centre.
+
+    A row comes with its elements of this centre and, for its other centres, the number of its elements that they have.
+    """
     postings = _postings(rows)
-    rank = F.struct(F.xxhash64("rep").alias("hash"), "rep")
-    centres = postings.groupBy("element").agg(F.min(rank)["rep"].alias("centre"), F.max(rank)["rep"].alias("other"))
-    shared = centres.where("centre <> other").select("element", "centre")
-    stars = postings.join(shared, "element").select("centre", "rep").distinct()
-    stars = stored(block_pairs(stars, "centre", "rep", block_rows).select("block", "rep"), "stars")
-    return stars.join(rows.select("rep", "size", "prefix"), "rep")
+    rank = F.xxhash64("rep")
+    centres = postings.groupBy("element").agg(F.min(rank).alias("centre"), F.count("*").alias("n"))
+    shared = postings.join(centres.where("n > 1").select("element", "centre"), "element")
+    by_row = shared.groupBy("rep").agg(F.collect_list(F.struct("centre", "element")).alias("found"))
+    # as many as the row has first elements, at most
+    by_row = by_row.select("rep", F.col("found.centre").alias("centres"), F.col("found.element").alias("elements"))
+    sizes = rows.select("rep", "size", (F.col("size") - F.length("prefix") / 8).cast("long").alias("behind"))
+
+    def stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [[] for _ in range(7)]
+            lists = (batch.column(c).to_pylist() for c in ("rep", "size", "behind", "centres", "elements"))
+            for rep, size, behind, centres, elements in zip(*lists, strict=True):
+                order = np.argsort(centres, kind="stable")
+                names, first, count = np.unique(np.array(centres)[order], return_index=True, return_counts=True)
+                elements = np.array(elements)[order]
+                for i, (name, begin, n) in enumerate(zip(names.tolist(), first.tolist(), count.tolist(), strict=True)):
+                    others = np.delete(names, i).tobytes(), np.delete(count, i).astype("<i4").tobytes()
+                    for column, value in zip(out, (name, rep, size, behind, elements[begin : begin + n].tobytes(), *others), strict=True):
+                        column.append(value)
+            kinds = [pa.int64()] * 4 + [pa.binary()] * 3
+            names = [c.split()[0] for c in STARS.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
+
+    found = stored(by_row.join(sizes, "rep").mapInArrow(stars, STARS), "stars")
+    return block_pairs(found, "centre", "rep", block_rows)
 
 
 def _edges(table: pa.Table, linked: np.ndarray) -> dict[str, np.ndarray]:
@@ -146,11 +172,14 @@ def near_duplicates(
     rows = stored(named.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("prefix").alias("prefix")), "rows")
 
     def survivors(table: pa.Table) -> dict[str, np.ndarray]:
-        prefixes, size = binary_views(table.column("prefix"), np.uint64), table.column("size").to_numpy()
-        common = overlaps(prefixes)
+        size, behind = table.column("size").to_numpy(), table.column("behind").to_numpy()
+        common = overlaps(binary_views(table.column("elements"), np.int64))
+        # in other blocks two rows can share no more than either has there of centres that both have
+        weights = binary_views(table.column("weights"), "<i4")
+        elsewhere = overlaps(binary_views(table.column("centres"), np.int64), weights) if any(map(len, weights)) else 0 * common
+        first = common + np.minimum(elsewhere, elsewhere.T)
         # what stands behind both first parts can add no more than the longer rest, nor than the smaller set allows
-        rest = size - np.array([len(p) for p in prefixes])
-        most = np.minimum(common + np.maximum(rest[:, None], rest), np.minimum(size[:, None], size))
+        most = np.minimum(first + np.maximum(behind[:, None], behind), np.minimum(size[:, None], size))
         return _edges(table, (common > 0) & can_link(most, size[:, None], size, percent))
 
     ties = each_block(_candidate_blocks(rows, block_rows), survivors, "a long, b long")
@@ -198,6 +227,6 @@ def keep_one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     Rows with a null id all stay; of rows that agree in id, those stay or go together.
     """
     found = near_duplicates(docs, n, percent, id_col=id_col, text_col=text_col)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone__")).distinct()
     gone = stored(gone, "near-duplicates")
-    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__gone__"), "left_anti")
