@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import round_half_even
@@ -44,12 +42,32 @@ def concat_distinct_newest(df: DataFrame, key: str, value: str, stamp: str, sepa
 
 
 def aligned(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Two per-key aggregates side by side."""
+    """Two per-key aggregates of different tables side by side."""
     from .joins import full_outer
 
     return full_outer(left, right, key)
 
 
+def distinct_counts_where(df: DataFrame, key: str, counts: dict[str, tuple[Column, str]]) -> DataFrame:
+    """Several per-key counts of distinct values of one table, side by side, each over the rows that meet its condition.
+
+    One pass over the table; a key is listed if any row of it meets a condition, and a count without such rows is null.
+    """
+    met = F.lit(False)
+    for condition, _ in counts.values():
+        met = met | F.coalesce(condition, F.lit(False))
+    found = df.where(met & F.col(key).isNotNull()).groupBy(key).agg(
+        *[F.countDistinct(F.when(condition, F.col(value))).alias(f"_{name}") for name, (condition, value) in counts.items()],
+        *[F.max(F.when(condition, True)).alias(f"_{name}_met") for name, (condition, _) in counts.items()],
+    )
+    return found.select(key, *[F.when(F.col(f"_{name}_met"), F.col(f"_{name}")).alias(name) for name in counts])
+
+
+def greatest(df: DataFrame, values: dict[str, str], count: str) -> DataFrame:
+    """The greatest value of each column in the whole table, and the number of rows: one row."""
+    return df.agg(*[F.max(c).alias(name) for name, c in values.items()], F.count(F.lit(1)).alias(count))
+
+
 def success_rate(total: Column, polls: int) -> Column:
     """Successes as a percentage of the polls asked for, even when fewer exist."""
     return round_half_even(total / F.lit(polls) * F.lit(100), 2)
@@ -87,13 +105,3 @@ def running_last(
     running = F.greatest(F.max("_value").over(inside), F.col("_before"))
     return joined.withColumn(name, running).drop("_block", "_value", "_before")
 
-
-def pivot_counts(df: DataFrame, rows: str, column: str, values: dict[str, str]) -> DataFrame:
-    """Counts by row and column value; ``values`` maps each expected column value to the output name."""
-    return df.groupBy(rows).agg(
-        *[F.count(F.when(F.col(column) == F.lit(v), 1)).alias(name) for v, name in values.items()]
-    )
-
-
-def total_of(columns: list[str]) -> Column:
-    return reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0)) for c in columns], F.lit(0))

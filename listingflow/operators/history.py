@@ -142,8 +142,8 @@ def fold_polls(
     seen now, closed ones with their stamp.  ``polls`` (source, time_checked) lists all polls, those that returned nothing
     included; without it the list is taken from the snapshots.
 
-    Every sighting is told which poll of its source came next; a row is gone at the first such poll that did not see it.
-    That takes a join with the short list of polls and one aggregate, combined map-side.
+    Every sighting is told which poll of its source came next; a row is gone at the first such poll that did not see it: the
+    next polls without a sighting come from one anti join, and two aggregates of single values, combined map-side, do the rest.
     """
     keys = [c for c in snapshots.columns if c not in STAMPS]
     polls = poll_times(snapshots, source) if polls is None else polls.select(source, CHECKED).distinct()
@@ -155,16 +155,21 @@ def fold_polls(
         starts = polls.groupBy(source).agg(F.min(CHECKED).alias("_next"))
         before = left(open_rows.select(*keys, F.col(ADDED).alias("_was")), starts, source)
         sightings = sightings.unionByName(before, allowMissingColumns=True)
-    per_row = sightings.groupBy(*keys).agg(
-        F.collect_set(CHECKED).alias("_seen"), F.collect_set("_next").alias("_due"), F.min("_was").alias("_was")
-    )
     if closed_rows is not None:
-        per_row = keyed(per_row, keys).join(keys_of(closed_rows, keys), ROW_KEY, "left_anti").drop(*ROW_KEY)
-    return per_row.select(
-        *keys,
-        F.coalesce("_was", F.array_min("_seen")).alias(ADDED),
-        F.array_min(F.array_except("_due", "_seen")).alias(REMOVED),
+        sightings = keyed(sightings, keys).join(keys_of(closed_rows, keys), ROW_KEY, "left_anti").drop(*ROW_KEY)
+    # a poll that was due and did not see the row: its sighting says so with a stamp, any other with none
+    due = sightings.where(F.col("_next").isNotNull()).select(*keys, F.col("_next").alias("_at"), F.lit(0).alias("_hit"))
+    seen = sightings.where(F.col(CHECKED).isNotNull()).select(*keys, F.col(CHECKED).alias("_at"), F.lit(1).alias("_hit"))
+    was = sightings.groupBy(*keys).agg(F.min("_was").alias("_was")).select(*keys, F.col("_was").alias("_at"), F.lit(2).alias("_hit"))
+    polled = due.unionByName(seen).groupBy(*keys, "_at").agg(F.max("_hit").alias("_hit"))
+    events = polled.unionByName(was)
+    at = F.col("_at")
+    first = events.groupBy(*keys).agg(
+        F.min(F.when(F.col("_hit") == 2, at)).alias("_was"),
+        F.min(F.when(F.col("_hit") == 1, at)).alias("_seen"),
+        F.min(F.when(F.col("_hit") == 0, at)).alias(REMOVED),
     )
+    return first.select(*keys, F.coalesce("_was", "_seen").alias(ADDED), REMOVED)
 
 
 class HistoryStore:

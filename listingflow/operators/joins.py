@@ -15,6 +15,7 @@ Nothing is forced to broadcast; Spark does it by itself when the measured size o
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -168,14 +169,20 @@ def add_only_new(base: DataFrame, extra: DataFrame, symbol: str = "ticker", null
     return only_in_left(extra.withColumn(key, clean_symbol(symbol)), known, [key], null_safe).drop(key)
 
 
-def first_known(frames: list[DataFrame], symbol: str = "ticker") -> DataFrame:
+def first_known(
+    frames: list[DataFrame], symbol: str = "ticker", stage: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
     """Stack frames in which each only adds symbols that no earlier one has; rows without a symbol count as one symbol.
 
     The same rows as repeated ``add_only_new``, but each frame is read twice however many there are: once for the smallest
-    frame number of each symbol, once for its rows.  The rows of the first frame all stay, so they are not shuffled.
+    frame number of each symbol, once for its rows.  The rows of the first frame all stay, so they are not shuffled.  ``stage``
+    may store the frames (see ``sources.writers.staged``), so that both times they are read and not worked out again.
     """
     from .columns import stack
 
+    if stage:
+        frames = [stage(f, f"frame-{i}") for i, f in enumerate(frames)]
+
     pair = ["_symbol", "_frame"]
     numbered = [f.withColumns({"_frame": F.lit(i), "_symbol": clean_symbol(symbol)}) for i, f in enumerate(frames)]
     symbols = stack([f.select(*pair) for f in numbered])
@@ -207,17 +214,33 @@ def _is_text(df: DataFrame, column: str) -> bool:
 def left_on_either(left_df: DataFrame, right_df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """``left LEFT JOIN right ON l1 = r1 OR l2 = r2`` as equi-joins.
 
-    One inner join per equality, each leaving out the pairs an earlier equality already gave, and the left rows that match
-    none.  Same rows, multiplicities included.  Column names must not clash.
+    Every row stands once for each of its keys, so one inner join on (which key, key) finds all matches; a pair that an earlier
+    equality gave already is left out.  The left rows that match none come from an anti join with the right keys.  Same rows,
+    multiplicities included; the left is read twice, the right twice, of which once its keys only.  Column names must not clash.
     """
-    parts, rest, seen = [], left_df, F.lit(False)
-    for l_name, r_name in pairs:
-        both = inner(left_df.withColumn("_on", F.col(l_name)), right_df.withColumn("_on", F.col(r_name)), "_on").drop("_on")
-        parts.append(both.where(~seen))
-        seen = seen | F.coalesce(F.col(l_name) == F.col(r_name), F.lit(False))
-        rest = only_in_left(rest, right_df.select(F.col(r_name).alias(l_name)), [l_name])
-    parts.append(rest)
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    types = common_types(left_df, right_df, [a for a, _ in pairs], [b for _, b in pairs])
+
+    def key(column: str, number: int) -> Column:
+        value = F.col(f"`{column}`")
+        return (value if types[number] is None else value.try_cast(types[number])).cast("string")
+
+    def each_key(df: DataFrame, names: list[str]) -> DataFrame:
+        keys = [F.struct(F.lit(i).alias("_which"), key(n, i).alias("_on")) for i, n in enumerate(names)]
+        return df.select("*", F.inline(F.array(*keys))).where(F.col("_on").isNotNull())
+
+    lefts, rights = [a for a, _ in pairs], [b for _, b in pairs]
+    both = inner(each_key(left_df, lefts), each_key(right_df, rights), ["_which", "_on"])
+    earlier = F.lit(False)
+    for i, (a, b) in enumerate(pairs[:-1]):
+        same = F.coalesce(key(a, i) == key(b, i), F.lit(False))
+        earlier = earlier | ((F.col("_which") > i) & same)
+    matched = both.where(~earlier).drop("_which", "_on")
+    known = each_key(right_df.select(*dict.fromkeys(rights)), rights).select("_which", "_on").distinct()
+    rest = left_df
+    for i, name in enumerate(lefts):
+        mine = known.where(F.col("_which") == i).select("_on")
+        rest = only_in_left(rest.withColumn("_on", key(name, i)), mine, ["_on"]).drop("_on")
+    return matched.unionByName(rest, allowMissingColumns=True)
 
 
 def union_of_matches(left_df: DataFrame, right_df: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -26,5 +28,27 @@ def top_distinct(df: DataFrame, column: str, n: int) -> DataFrame:
 
 
 def page(df: DataFrame, keys: list[tuple[str, str]], number: int = 0, size: int = 100) -> DataFrame:
-    """One page of an ordered result; ``keys`` must order the rows totally for pages to be stable."""
+    """One page of an ordered result; ``keys`` must order the rows totally for pages to be stable.
+
+    All pages before it go through one task as well; to walk through many pages use ``page_after``.
+    """
     return order(df, keys).offset(number * size).limit(size)
+
+
+def page_after(df: DataFrame, keys: list[tuple[str, str]], last: Mapping[str, object] | None = None, size: int = 100) -> DataFrame:
+    """The page that follows the row with the key values ``last`` (the first page without).
+
+    A filter and a top-n, however deep the page: every task keeps ``size`` rows.  Nulls come last, as in ``order``.
+    """
+    if last is not None:
+        behind, equal = F.lit(False), F.lit(True)
+        for name, direction in keys:
+            column, value = F.col(name), last[name]
+            if value is None:
+                past, same = F.lit(False), column.isNull()
+            else:
+                past = (column < F.lit(value) if direction == "desc" else column > F.lit(value)) | column.isNull()
+                same = column.eqNullSafe(F.lit(value))
+            behind, equal = behind | (equal & past), equal & same
+        df = df.where(F.coalesce(behind, F.lit(False)))
+    return order(df, keys).limit(size)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas
@@ -10,19 +13,24 @@ from ..functions.text import extract, is_not
 from .columns import conform, fill_from, stack
 from .dedupe import keep_first, latest
 from .history import changed_rows, mark_members
-from .joins import inner, left, union_of_matches
+from .joins import inner, left, only_in_left, union_of_matches
 
 RESOLVED = "Resolved"
 _TICKET = [f.name for f in schemas.TICKET_COLUMNS.fields]
 _NAME = "formatted_company_name"
 
-# Question ids, product id and codes of the ticket system's request format.
-QUESTIONS = {"cusip": 31407, "ipo_date": 31405, "exchange": 31406, "ticker": 31408}
-PRODUCT_ID = "106317"
-_REQUEST = {"Type": "EnhancementRequest", "Priority": "Medium", "Severity": "Medium"}
-_CLOSE_COMMENT = "Resolving ticket."
-_CLOSE_CODE = 10
-_CLOSE_TEXT = "Clarified Behavior/Answered Question"
+
+
+@dataclass(frozen=True)
+class TicketSystem:
+    """What the caller's ticket system calls things: ids of its questions by listing column, product, request and close code."""
+
+    questions: Mapping[str, int]
+    product: str
+    request: Mapping[str, str]
+    close_comment: str
+    close_code: int
+    close_text: str
 
 
 def match_manual_tickets(tickets: DataFrame, listings: DataFrame) -> DataFrame:
@@ -41,9 +49,9 @@ def ledger(listings: DataFrame, *ticket_rows: DataFrame) -> DataFrame:
 
 
 def withdrawn_tickets(withdrawn: DataFrame, tickets: DataFrame) -> DataFrame:
-    """Withdrawn listings that still have an open ticket."""
-    open_tickets = tickets.where(is_not("ticket_status", RESOLVED)).select(_NAME, *_TICKET)
-    return inner(withdrawn, open_tickets, _NAME)
+    """Withdrawn listings that still have an open ticket.  A name of which nothing is left after normalising ties nothing."""
+    open_tickets = tickets.where(is_not("ticket_status", RESOLVED) & (F.col(_NAME) != "")).select(_NAME, *_TICKET)
+    return inner(withdrawn.where(F.col(_NAME) != ""), open_tickets, _NAME)
 
 
 def mark_withdrawn(ledger_rows: DataFrame, withdrawn: DataFrame) -> DataFrame:
@@ -58,10 +66,12 @@ def mark_withdrawn(ledger_rows: DataFrame, withdrawn: DataFrame) -> DataFrame:
 def ticket_updates(listings: DataFrame, tickets: DataFrame) -> DataFrame:
     """The newest listing of every open ticket whose date, security id or ticker changed.
 
-    A listing without a security id or ticker does not count as changed in it; a missing date does.
+    A listing without a security id or ticker does not count as changed in it; a missing date does.  Only the newest listing of
+    a name meets its tickets.
     """
     is_open = F.col("ticket_number").isNotNull() & is_not("ticket_status", RESOLVED)
-    joined = inner(listings, tickets.where(is_open), _NAME, ("", "_old"))
+    newest_listings = latest(listings.where(F.col(_NAME) != ""), [_NAME], "last_checked")
+    joined = inner(newest_listings, tickets.where(is_open), _NAME, ("", "_old"))
     newest = latest(joined, ["ticket_number"], "last_checked")
     changed = changed_rows(newest, ["ipo_date"], ["cusip", "ticker"])
     return conform(changed, schemas.TICKET_LEDGER)
@@ -92,14 +102,24 @@ def _answer(question: int, value: Column) -> Column:
     )
 
 
-def question_answers() -> Column:
+def question_answers(system: TicketSystem) -> Column:
     values = {"ipo_date": F.coalesce(iso_text("ipo_date"), F.lit(""))}
-    return F.array(*[_answer(q, values.get(name, _blank(name))) for name, q in QUESTIONS.items()])
+    return F.array(*[_answer(q, values.get(name, _blank(name))) for name, q in system.questions.items()])
+
 
+def still_open(rows: DataFrame, feed: DataFrame) -> DataFrame:
+    """The rows whose ticket the status feed does not call resolved: nothing is sent to a resolved ticket."""
+    return only_in_left(rows, feed.where(F.col("status") == RESOLVED).select("ticket_number"), ["ticket_number"])
 
-def update_payload(rows: DataFrame) -> DataFrame:
+
+def update_payload(rows: DataFrame, system: TicketSystem) -> DataFrame:
     """One outbox row per ticket to update: its number and the answers as JSON."""
-    return rows.select("ticket_number", F.to_json(question_answers()).alias("payload"))
+    return rows.select("ticket_number", F.to_json(question_answers(system)).alias("payload"))
+
+
+def comment_payload(rows: DataFrame) -> DataFrame:
+    """One outbox row per ticket to update: its number and a comment that holds the listing."""
+    return rows.select("ticket_number", F.to_json(F.struct(listing_content().alias("Content"))).alias("payload"))
 
 
 def listing_content() -> Column:
@@ -108,14 +128,14 @@ def listing_content() -> Column:
     return F.to_json(F.struct(*[_blank(n).alias(n) for n in names]))
 
 
-def create_payload(rows: DataFrame) -> DataFrame:
+def create_payload(rows: DataFrame, system: TicketSystem) -> DataFrame:
     """One outbox row per ticket to open: the company and the request as JSON."""
     request = F.struct(
         F.concat(_blank("company_name"), F.lit(" - "), _blank("exchange")).alias("Title"),
-        F.array(F.struct(F.lit(PRODUCT_ID).alias("Id"))).alias("Products"),
+        F.array(F.struct(F.lit(system.product).alias("Id"))).alias("Products"),
         listing_content().alias("Content"),
-        *[F.lit(v).alias(k) for k, v in _REQUEST.items()],
-        question_answers().alias("Questions"),
+        *[F.lit(v).alias(k) for k, v in system.request.items()],
+        question_answers(system).alias("Questions"),
     )
     return rows.select("company_name", F.to_json(request).alias("payload"))
 
@@ -124,12 +144,12 @@ def withdrawn_payload(rows: DataFrame) -> DataFrame:
     return rows.select("ticket_number", F.to_json(F.struct(listing_content().alias("Content"))).alias("payload"))
 
 
-def close_payload(ledger_rows: DataFrame) -> DataFrame:
+def close_payload(ledger_rows: DataFrame, system: TicketSystem) -> DataFrame:
     """A close request for every ticket of the ledger."""
     request = F.struct(
-        F.lit(_CLOSE_COMMENT).alias("Content"),
+        F.lit(system.close_comment).alias("Content"),
         F.lit(RESOLVED).alias("Status"),
-        F.struct(F.lit(_CLOSE_CODE).alias("Code"), F.lit(_CLOSE_TEXT).alias("Description")).alias("Resolution"),
+        F.struct(F.lit(system.close_code).alias("Code"), F.lit(system.close_text).alias("Description")).alias("Resolution"),
         F.lit(0).alias("SendOption"),
     )
     return ledger_rows.where(F.col("ticket_number").isNotNull()).select("ticket_number", F.to_json(request).alias("payload"))

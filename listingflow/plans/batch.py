@@ -7,12 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame
-
-from ..operators import reconcile, tickets, workitems
-from ..operators.entities import unmapped
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from .. import schemas
+from ..operators import dedupe, reconcile, tickets, workitems
+from ..operators.columns import conform, database_names, stack
+from ..operators.entities import extend_map, match_decisions, unmapped
+from ..operators.health import health_report
+from ..operators.history import apply_updates, redirect_superseded
 from ..session import run_folder
 from ..sources.normalise import COMBINED, SINGLE, combine_all
 from ..sources.writers import VersionedTable, staged, unstaged
@@ -24,10 +29,11 @@ class Listings:
     failed: dict[str, str]
 
 
-def normalise_all(raw: dict[str, DataFrame], as_of) -> Listings:
+def normalise_all(raw: dict[str, DataFrame], as_of, stage: Callable[[DataFrame, str], DataFrame] = unstaged) -> Listings:
     """Clean and combine every source there is.
 
-    A source that is absent or lacks a column is reported and left out; the others are not affected.
+    A source that is absent or lacks a column is reported and left out; the others are not affected.  With a ``stage`` that
+    stores them, the clean sources become tables of their own, and so does a source that fails only while it is read.
     """
     done, failed = [], {}
     jobs = {**{n: (lambda f=f: f(raw, as_of)) for n, f in COMBINED.items()}}
@@ -35,7 +41,7 @@ def normalise_all(raw: dict[str, DataFrame], as_of) -> Listings:
         jobs[name] = lambda f=function, n=name: f(raw[n], as_of) if n == "TMX" else f(raw[n])
     for name, job in jobs.items():
         try:
-            done.append(job())
+            done.append(stage(job(), "clean-" + name.lower().replace(" ", "-")))
         except (KeyError, PySparkException) as problem:
             failed[name] = str(problem).splitlines()[0]
     if not done:
@@ -75,25 +81,63 @@ def decide(
     )
 
 
-def run(raw: dict[str, DataFrame], entity_map: DataFrame, deals: DataFrame, as_of, root: str) -> dict[str, str]:
-    """One scheduled run: combine, reconcile and save.  Returns the sources that failed."""
+@dataclass
+class TicketInputs:
+    """What the ticket stage needs besides the reconciliation."""
+
+    ledger: DataFrame
+    manual: DataFrame
+    feed: DataFrame
+    link_base: str
+    system: tickets.TicketSystem
+
+
+def run(
+    raw: dict[str, DataFrame],
+    entity_map: DataFrame,
+    deals: DataFrame,
+    as_of,
+    root: str,
+    new_deals: DataFrame | None = None,
+    universe: DataFrame | None = None,
+    polls: DataFrame | None = None,
+    ticketing: TicketInputs | None = None,
+) -> dict[str, str]:
+    """One scheduled run: clean, combine, map, reconcile, decide tickets and save.  Returns the sources that failed.
+
+    ``new_deals`` refresh the stored ones; names without an entity are matched against ``universe`` and what is found is added
+    to the entity map; ``polls`` give the health report; ``ticketing`` the ledger and the outbox.
+    """
     spark = deals.sparkSession
-    stage = staged(run_folder(spark, "run"))
-    combined = normalise_all(raw, as_of)
-    listings = stage(combined.frame, "listings")
-    outcome = decide(listings, entity_map, deals, as_of, stage=stage)
-    results = {
-        "all_listings": listings,
-        "current": outcome.current,
-        "withdrawn": outcome.withdrawn,
-        "work_items": outcome.work_items,
-        "entity_worklist": outcome.entity_worklist,
-    }
-    for name, frame in results.items():
-        VersionedTable(spark, f"{root}/{name}").write(frame)
+    store = staged(run_folder(spark, "run"))
+    saved = lambda df, name: _saved(spark, df, f"{root}/{name}")
+    combined = normalise_all(raw, as_of, saved)
+    listings = saved(combined.frame, "all_listings")
+    if new_deals is not None:
+        deals = saved(dedupe.refresh(deals, new_deals, ["master_deal"], "last_updated_date_utc"), "deals")
+    if universe is not None:
+        worklist = store(unmapped(listings, entity_map, True), "worklist")
+        entity_map = saved(extend_map(entity_map, match_decisions(worklist, universe, stage=store)), "entity_map")
+    outcome = decide(listings, entity_map, deals, as_of, stage=store)
+    current, withdrawn = saved(outcome.current, "current"), saved(outcome.withdrawn, "withdrawn")
+    saved(outcome.work_items, "work_items")
+    saved(outcome.entity_worklist, "entity_worklist")
+    if polls is not None:
+        saved(polls, "polls")
+        saved(database_names(health_report(polls)), "health")
+    if ticketing is not None:
+        done = decide_tickets(current, withdrawn, ticketing.ledger, ticketing.manual, ticketing.feed, ticketing.link_base)
+        saved(done.ledger, "ticket_ledger")
+        saved(outbox(done, ticketing.system), "ticket_outbox")
     return combined.failed
 
 
+def _saved(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """A new version of a table, read back."""
+    table = VersionedTable(spark, path)
+    return spark.read.schema(df.schema).parquet(table.path(table.write(df)))
+
+
 @dataclass
 class TicketOutcome:
     ledger: DataFrame
@@ -106,18 +150,30 @@ def decide_tickets(
     current: DataFrame, withdrawn: DataFrame, stored_ledger: DataFrame, manual: DataFrame, feed: DataFrame, link_base: str
 ) -> TicketOutcome:
     """The ledger after one run, and the outbox rows that go with it."""
-    from ..operators.columns import conform, stack
-    from ..operators.history import apply_updates, redirect_superseded
-    from .. import schemas
-
     listed = reconcile.ticket_listings(current)
-    gone = reconcile.ticket_listings(withdrawn)
     by_hand = conform(tickets.match_manual_tickets(manual, listed), schemas.TICKET_LEDGER)
     known = stack([stored_ledger, by_hand], schemas.TICKET_LEDGER)
+    return ticket_chain(listed, reconcile.ticket_listings(withdrawn), known, feed, link_base)
 
+
+def ticket_chain(listed: DataFrame, gone: DataFrame, known: DataFrame, feed: DataFrame, link_base: str) -> TicketOutcome:
+    """Withdrawals, changes, the status feed and new tickets, in this order, over listings and the tickets known so far."""
     closing = tickets.withdrawn_tickets(gone, known)
     changed = tickets.ticket_updates(listed, known)
     main = tickets.mark_withdrawn(tickets.ledger(listed, known), closing)
     main = apply_updates(main, changed, ["ticket_number", "formatted_company_name"])
     main = redirect_superseded(main, feed, link_base)
-    return TicketOutcome(main, closing, changed, tickets.new_tickets(main))
+    return TicketOutcome(main, closing, tickets.still_open(changed, feed), tickets.new_tickets(main))
+
+
+def outbox(out: TicketOutcome, system: tickets.TicketSystem) -> DataFrame:
+    """The calls to make: kind, ticket or company, and the request as JSON."""
+    calls = {
+        "withdraw": tickets.withdrawn_payload(out.to_withdraw),
+        "comment": tickets.comment_payload(out.to_update),
+        "answers": tickets.update_payload(out.to_update, system),
+        "open": tickets.create_payload(out.to_open, system),
+    }
+    parts = [rows.withColumn("kind", F.lit(kind)) for kind, rows in calls.items()]
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return whole.select("kind", "ticket_number", "company_name", "payload")

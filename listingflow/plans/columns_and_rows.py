@@ -374,9 +374,9 @@ def fallback_fill(t: Tables) -> DataFrame:
        (SELECT l_orderkey AS k, count(DISTINCT l_suppkey) AS exchanges FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) b ON a.k = b.k""",
 )
 def aligned_aggregates(t: Tables) -> DataFrame:
-    a = t.lineitem.where("l_returnflag = 'A'").groupBy(F.col("l_orderkey").alias("k")).agg(F.countDistinct("l_partkey").alias("tickers"))
-    b = t.lineitem.where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("k")).agg(F.countDistinct("l_suppkey").alias("exchanges"))
-    return aggregates.aligned(a, b, "k")
+    lines = t.lineitem.withColumn("k", F.col("l_orderkey"))
+    flag = F.col("l_returnflag")
+    return aggregates.distinct_counts_where(lines, "k", {"tickers": (flag == "A", "l_partkey"), "exchanges": (flag == "R", "l_suppkey")})
 
 
 @query(
@@ -429,7 +429,7 @@ def sum_and_rate(t: Tables) -> DataFrame:
 
 @query("global_max", "SELECT max(url) AS last_url, count(*) AS pages FROM pages")
 def global_max(t: Tables) -> DataFrame:
-    return t.pages.agg(F.max("url").alias("last_url"), F.count(F.lit(1)).alias("pages"))
+    return aggregates.greatest(t.pages, {"last_url": "url"}, "pages")
 
 
 @query("distinct_values", "SELECT DISTINCT l_shipdate FROM lineitem")
@@ -556,6 +556,23 @@ def page_window(t: Tables) -> DataFrame:
     return ordering.page(t.orders.select("o_orderkey", "o_totalprice"), [("o_totalprice", "desc"), ("o_orderkey", "asc")], 2, 100)
 
 
+@query(
+    "page_after_window",
+    """SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE (o_orderstatus, -o_totalprice, o_orderkey) > ('F', -100000.0, 0) ORDER BY o_orderstatus, o_totalprice DESC, o_orderkey LIMIT 100""",
+)
+def page_after_window(t: Tables) -> DataFrame:
+    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    keys = [("o_orderstatus", "asc"), ("o_totalprice", "desc"), ("o_orderkey", "asc")]
+    return ordering.page_after(rows, keys, {"o_orderstatus": "F", "o_totalprice": 100000.0, "o_orderkey": 0}, 100)
+
+
+@query("mixed_key_join", "SELECT l_orderkey, l_linenumber, o_totalprice FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+def mixed_key_join(t: Tables) -> DataFrame:
+    """A long key against an int."""
+    orders = t.orders.select(F.col("o_orderkey").cast("int").alias("l_orderkey"), "o_totalprice")
+    return joins.inner(t.lineitem.select("l_orderkey", "l_linenumber"), orders, "l_orderkey")
+
+
 @query("recent_batches", "SELECT DISTINCT CAST(CAST(ts AS DATE) AS STRING) AS day FROM events ORDER BY day DESC LIMIT 7")
 def recent_batches(t: Tables) -> DataFrame:
     return ordering.top_distinct(t.events.select(dates.iso_text("ts").alias("day")), "day", 7)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .. import schemas
 from ..functions.text import normalise_company
 from ..operators import entities, health, matching, reconcile, workitems
+from ..operators.columns import conform
 from ..session import run_folder
 from ..sources.writers import staged
 from .catalog import AS_OF, Tables, query
@@ -166,21 +168,30 @@ FROM {customer} JOIN {supplier} ON c_nationkey = s_nationkey JOIN {nation} ON c_
 _ID_NUMBER = " + ".join(f"(strpos('0123456789BCDFGHJKLMNPQRSTVWXYZ', substr(entityId, {i + 1}, 1)) - 1) * {31 ** (5 - i)}" for i in range(6))
 
 
-@query(
-    "confidence_gate",
-    f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY clientName ORDER BY confidenceScore DESC, similarityScore DESC, clientId, entityName, entityId, mapStatus) AS rn
+_GATE = f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY clientName ORDER BY confidenceScore DESC, similarityScore DESC, clientId, entityName, entityId, mapStatus) AS rn
                    FROM ({_DECISIONS}) WHERE upper(mapStatus) = 'MAPPED')
         SELECT clientName AS company_name, split_part(clientId, '_', 2) AS ticker, split_part(clientId, '_', 3) AS exchange,
                CASE WHEN confidenceScore > 0.75 THEN entityName END AS entityname, CASE WHEN confidenceScore > 0.75 THEN {_ID_NUMBER} END AS iconum,
                CASE WHEN confidenceScore > 0.75 THEN entityId END AS entity_id, CASE WHEN confidenceScore > 0.75 THEN mapStatus ELSE 'UNMAPPED' END AS mapstatus,
                CASE WHEN confidenceScore > 0.75 THEN similarityScore END AS similarityscore, CASE WHEN confidenceScore > 0.75 THEN confidenceScore END AS confidencescore,
                CASE WHEN confidenceScore > 0.75 THEN countryName END AS countryname, CASE WHEN confidenceScore > 0.75 THEN entityTypeDescription END AS entitytypedescription
-        FROM r WHERE rn = 1""",
-)
+        FROM r WHERE rn = 1"""
+
+
+@query("confidence_gate", _GATE)
 def confidence_gate(t: Tables) -> DataFrame:
     return entities.decisions_to_map(t.sql(_DECISIONS))
 
 
+@query(
+    "entity_map_append",
+    f"""SELECT company_name, ticker, exchange, entityname, iconum, entity_id, mapstatus, similarityscore, confidencescore, countryname, entitytypedescription FROM ({_GATE})
+        UNION ALL SELECT company_name, ticker, exchange, entityname, iconum, entity_id, mapstatus, NULL, NULL, NULL, NULL FROM ({ENTITY}) e""",
+)
+def entity_map_append(t: Tables) -> DataFrame:
+    return entities.extend_map(conform(t.sql(ENTITY), schemas.ENTITY_MAP), t.sql(_DECISIONS))
+
+
 @query("candidate_types", "SELECT s_suppkey, s_name FROM (SELECT *, CASE s_nationkey % 5 WHEN 0 THEN 'PUB' WHEN 1 THEN 'PVT' WHEN 2 THEN 'FND' WHEN 3 THEN 'HOL' END AS kind FROM supplier) WHERE kind IN ('PUB', 'PVT', 'HOL', 'SUB')")
 def candidate_types(t: Tables) -> DataFrame:
     typed = t.sql("SELECT s_suppkey, s_name, CASE s_nationkey % 5 WHEN 0 THEN 'PUB' WHEN 1 THEN 'PVT' WHEN 2 THEN 'FND' WHEN 3 THEN 'HOL' END AS entity_type FROM {supplier}")

@@ -17,20 +17,39 @@ def _events(t: Tables) -> DataFrame:
     return jobs.read_folder_stream(t.spark, t.folder, t.events.schema, glob="events.parquet")
 
 
-@query("stream_snapshot", POLL_HISTORY)
+# A source of its own is polled on two days: users on the first, nobody on the second.
+_EMPTIED = "UNION ALL SELECT 'emptied', user_id, TIMESTAMP '2023-01-01 00:00:00' AS time_added, TIMESTAMP '2023-01-02 00:00:00' AS time_removed FROM events GROUP BY user_id"
+
+
+@query("stream_snapshot", f"SELECT * FROM ({POLL_HISTORY}) h {_EMPTIED}")
 def stream_snapshot(t: Tables) -> DataFrame:
     folder = run_folder(t.spark, "stream-snapshot")
-    snapshots = _events(t).select(F.col("event_type").alias("source"), "user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("time_checked"))
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    polled = [
+        (F.col("event_type"), F.col("user_id"), day, False),
+        (F.lit("emptied"), F.col("user_id"), dates.as_of_stamp("2023-01-01"), False),
+        (F.lit("emptied"), F.lit(None).cast("long"), dates.as_of_stamp("2023-01-02"), True),
+    ]
+    names = ("source", "user_id", "time_checked", "nothing")
+    rows = F.array(*[F.struct(*[(F.lit(v) if isinstance(v, bool) else v).alias(n) for v, n in zip(p, names, strict=True)]) for p in polled])
     store = HistoryStore(t.spark, f"{folder}/history")
-    jobs.snapshots_to_history(snapshots, store, f"{folder}/checkpoint").awaitTermination()
+    jobs.snapshots_to_history(_events(t).select(F.inline(rows)), store, f"{folder}/checkpoint", empty="nothing").awaitTermination()
     return store.history()
 
 
-@query("stream_first_seen", "SELECT DISTINCT user_id, event_type FROM events")
+@query("stream_first_seen", "SELECT user_id, event_type, min(ts) AS ts FROM events GROUP BY ALL")
 def stream_first_seen(t: Tables) -> DataFrame:
     folder = run_folder(t.spark, "stream-first")
+    store = jobs.FirstSeenStore(t.spark, f"{folder}/seen", ["user_id", "event_type"], "ts")
+    jobs.first_seen(_events(t).select("user_id", "event_type", "ts"), store, f"{folder}/checkpoint").awaitTermination()
+    return store.rows()
+
+
+@query("stream_first_arrival", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_first_arrival(t: Tables) -> DataFrame:
+    folder = run_folder(t.spark, "stream-arrival")
     listings = _events(t).select("user_id", "event_type", dates.as_instant("ts").alias("ts"))
-    first = jobs.first_seen(listings, ["user_id", "event_type"], "ts", "40 days")
+    first = jobs.first_arrival(listings, ["user_id", "event_type"], "ts", "40 days")
     jobs.to_files(first, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return t.spark.read.parquet(f"{folder}/out").select("user_id", "event_type")
 

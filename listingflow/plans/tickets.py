@@ -7,13 +7,22 @@ from pyspark.sql import DataFrame, functions as F
 from .. import schemas
 from ..operators import history, tickets
 from ..operators.columns import conform
+from . import batch
 from .catalog import Tables, query
 from .frames import LEDGER, TICKET_LISTING
 
 _LINK = "https://tickets.example/"
 _LISTING_COLUMNS = ", ".join(f.name for f in schemas.TICKET_LISTING.fields)
 _LEDGER_COLUMNS = ", ".join(f.name for f in schemas.TICKET_LEDGER.fields)
-_REST = "iconum, cusip, company_name, ticker, exchange, ipo_date, price, price_range, status, notes, last_checked, ipo_deal_id, formatted_company_name, ticket_number, ticket_link, ticket_created, ticket_status"
+# A ticket system of these queries' own.
+SYSTEM = tickets.TicketSystem(
+    questions={"cusip": 1, "ipo_date": 2, "exchange": 3, "ticker": 4},
+    product="listings",
+    request={"Type": "Request", "Priority": "Medium"},
+    close_comment="Closed.",
+    close_code=10,
+    close_text="Answered",
+)
 
 
 def _listings(t: Tables) -> DataFrame:
@@ -109,7 +118,7 @@ def ticket_apply_updates(t: Tables) -> DataFrame:
     return history.apply_updates(_ledger(t), _updates(t), ["ticket_number", "formatted_company_name"])
 
 
-_ANSWERS = {31407: "coalesce(cusip, '')", 31405: "coalesce(CAST(ipo_date AS STRING), '')", 31406: "coalesce(exchange, '')", 31408: "coalesce(ticker, '')"}
+_ANSWERS = {1: "coalesce(cusip, '')", 2: "coalesce(CAST(ipo_date AS STRING), '')", 3: "coalesce(exchange, '')", 4: "coalesce(ticker, '')"}
 
 
 def _read_answers(payload: str, path: str) -> list:
@@ -125,15 +134,15 @@ _ANSWER_SQL = ", ".join(f"{q} AS id_{i}, {expr} AS answer_{i}" for i, (q, expr)
 
 @query("ticket_update_payload", f"SELECT ticket_number, {_ANSWER_SQL} FROM ({_UPDATES})")
 def ticket_update_payload(t: Tables) -> DataFrame:
-    return tickets.update_payload(_updates(t)).select("ticket_number", *_read_answers("payload", "$"))
+    return tickets.update_payload(_updates(t), SYSTEM).select("ticket_number", *_read_answers("payload", "$"))
 
 
 @query(
     "ticket_new_payload",
-    f"""SELECT company_name, company_name || ' - ' || exchange AS title, '106317' AS product, 'Medium' AS priority, ipo_deal_id AS deal_id, {_ANSWER_SQL} FROM ({_MAIN}) WHERE ticket_number IS NULL AND company_name <> ''""",
+    f"""SELECT company_name, company_name || ' - ' || exchange AS title, 'listings' AS product, 'Medium' AS priority, ipo_deal_id AS deal_id, {_ANSWER_SQL} FROM ({_MAIN}) WHERE ticket_number IS NULL AND company_name <> ''""",
 )
 def ticket_new_payload(t: Tables) -> DataFrame:
-    made = tickets.create_payload(tickets.new_tickets(_main(t)))
+    made = tickets.create_payload(tickets.new_tickets(_main(t)), SYSTEM)
     return made.select(
         "company_name",
         F.get_json_object("payload", "$.Title").alias("title"),
@@ -155,7 +164,7 @@ def ticket_withdrawn_payload(t: Tables) -> DataFrame:
 
 @query("ticket_close_payload", f"SELECT ticket_number, 'Resolved' AS status, 10 AS code, 0 AS send FROM ({LEDGER})")
 def ticket_close_payload(t: Tables) -> DataFrame:
-    made = tickets.close_payload(_ledger(t))
+    made = tickets.close_payload(_ledger(t), SYSTEM)
     return made.select(
         "ticket_number",
         F.get_json_object("payload", "$.Status").alias("status"),
@@ -192,3 +201,52 @@ _FEED = """SELECT c_custkey + 500000 AS ticket_number, CASE WHEN c_acctbal > 200
 )
 def ticket_redirect(t: Tables) -> DataFrame:
     return history.redirect_superseded(_ledger(t), t.sql(_FEED), _LINK)
+
+
+@query(
+    "ticket_comment_payload",
+    f"""SELECT ticket_number, company_name, coalesce(cusip, '') AS cusip, coalesce(CAST(ipo_date AS STRING), '') AS ipo_date FROM ({_UPDATES}) u
+        WHERE ticket_number NOT IN (SELECT ticket_number FROM ({_FEED}) f WHERE status = 'Resolved')""",
+)
+def ticket_comment_payload(t: Tables) -> DataFrame:
+    """Comments on changed tickets that the feed does not call resolved."""
+    made = tickets.comment_payload(tickets.still_open(_updates(t), t.sql(_FEED)))
+    made = made.withColumn("content", F.get_json_object("payload", "$.Content"))
+    return made.select("ticket_number", *[F.get_json_object("content", f"$.{c}").alias(c) for c in ("company_name", "cusip", "ipo_date")])
+
+
+_KNOWN = f"(SELECT * FROM ({LEDGER}) WHERE ticket_status IS NOT NULL)"
+_RUN_LEDGER = f"""
+WITH w AS ({_WITHDRAWN.replace(f"({LEDGER})", _KNOWN)}), u AS ({_UPDATES.replace(f"({LEDGER})", _KNOWN)}), f AS ({_FEED}),
+     m AS (SELECT * REPLACE (CASE WHEN ticket_number IN (SELECT ticket_number FROM w) THEN 'Withdrawn' ELSE status END AS status,
+                             CASE WHEN ticket_number IN (SELECT ticket_number FROM w) THEN 'Resolved' ELSE ticket_status END AS ticket_status) FROM ({_MAIN}) m0),
+     a AS (SELECT * FROM u UNION ALL SELECT m.* FROM m WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.ticket_number = m.ticket_number AND u.formatted_company_name = m.formatted_company_name))
+SELECT a.* REPLACE (
+  CASE WHEN f.status = 'Resolved' AND f.duplicate_of IS NOT NULL THEN f.duplicate_of ELSE a.ticket_number END AS ticket_number,
+  CASE WHEN f.status = 'Resolved' AND f.duplicate_of IS NOT NULL THEN '{_LINK}' || f.duplicate_of ELSE a.ticket_link END AS ticket_link,
+  CASE WHEN f.status = 'Resolved' AND f.duplicate_of IS NOT NULL THEN '' ELSE coalesce(f.status, a.ticket_status) END AS ticket_status)
+FROM a LEFT JOIN f ON a.ticket_number = f.ticket_number
+"""
+
+
+def _chain(t: Tables) -> batch.TicketOutcome:
+    listed, known = _listings(t), _ledger(t).where("ticket_status IS NOT NULL")
+    return batch.ticket_chain(listed, listed.where("status = 'Withdrawn'"), known, t.sql(_FEED), _LINK)
+
+
+@query("ticket_run_ledger", _RUN_LEDGER)
+def ticket_run_ledger(t: Tables) -> DataFrame:
+    """The ledger a run stores."""
+    return _chain(t).ledger
+
+
+@query(
+    "ticket_run_outbox",
+    f"""WITH l AS ({_RUN_LEDGER}), u AS ({_UPDATES.replace(f"({LEDGER})", _KNOWN)})
+        SELECT 'withdraw' AS kind, ticket_number, NULL AS company_name FROM ({_WITHDRAWN.replace(f"({LEDGER})", _KNOWN)}) w
+        UNION ALL SELECT kind, ticket_number, NULL FROM u, (VALUES ('comment'), ('answers')) k(kind) WHERE ticket_number NOT IN (SELECT ticket_number FROM ({_FEED}) f WHERE status = 'Resolved')
+        UNION ALL SELECT 'open', NULL, company_name FROM l WHERE ticket_number IS NULL AND company_name <> ''""",
+)
+def ticket_run_outbox(t: Tables) -> DataFrame:
+    """The calls a run stores, without their payloads."""
+    return batch.outbox(_chain(t), SYSTEM).drop("payload")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,23 +33,12 @@ def local_session(
     return builder.getOrCreate()
 
 
-_local_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    A temporary folder of this machine is used only when the setting is absent *and* the master is local.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or the one the context was told."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    session = spark.sparkContext.applicationId
-    if session not in _local_folders:
-        _local_folders[session] = tempfile.mkdtemp(prefix="listingflow-")
-    return _local_folders[session]
+    return named.rstrip("/")
 
 
 def run_folder(spark: SparkSession, label: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from ...functions.dates import as_of_stamp, dated_note, shift_days
@@ -120,8 +122,8 @@ def feed(raw: DataFrame) -> DataFrame:
     )
 
 
-def united_states(raw: dict[str, DataFrame], as_of) -> DataFrame:
-    """The exchanges first; each aggregator only adds symbols not known yet."""
+def united_states(raw: dict[str, DataFrame], as_of, stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """The exchanges first; each aggregator only adds symbols not known yet.  ``stage`` may store the cleaned sources."""
     exchanges = [
         nasdaq(raw["Nasdaq"]),
         nasdaq_priced(raw["Nasdaq Priced"]),
@@ -134,7 +136,8 @@ def united_states(raw: dict[str, DataFrame], as_of) -> DataFrame:
             stack([listings(e) for e in exchanges]),
             listings(iposcoop(raw["IPOScoop"])),
             listings(feed(raw["AlphaVantage"])),
-        ]
+        ],
+        stage=stage,
     )
     return price_expected(latest(known, ["company_name", "ticker"], "time_added"), as_of)
 

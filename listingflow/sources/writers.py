@@ -105,7 +105,9 @@ class VersionedTable:
         """The newest version (older than ``before``)."""
         try:
             log = self.spark.read.schema("version long").parquet(self._log())
-        except AnalysisException:
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise  # a log that can't be read is not an empty one
             return None
         if before is not None:
             log = log.where(F.col("version") < before)

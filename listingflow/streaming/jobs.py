@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.health import RECENT_POLLS, health_report
 from ..operators.history import HistoryStore
+from ..operators.joins import only_in_left
 
 
 def read_folder_stream(
@@ -28,22 +29,59 @@ def _start(writer, checkpoint: str, continuous: str | None) -> StreamingQuery:
 
 
 def snapshots_to_history(
-    snapshots: DataFrame, store: HistoryStore, checkpoint: str, every: str | None = None
+    snapshots: DataFrame, store: HistoryStore, checkpoint: str, every: str | None = None, empty: str | None = None
 ) -> StreamingQuery:
     """Fold each micro-batch of snapshots into the store.
 
     The batch id is the version, and a fold starts from the version before, so a replayed batch changes nothing.  Polls of
-    one source must arrive in time order; a batch may hold many of them.
+    one source must arrive in time order; a batch may hold many of them.  ``empty`` names a boolean column that marks the
+    polls that returned nothing: such a row gives a source and a time only, and closes what the source had.
     """
-    writer = snapshots.writeStream.foreachBatch(lambda batch, number: store.fold(batch, number))
-    return _start(writer, checkpoint, every)
 
+    def fold(batch: DataFrame, number: int) -> None:
+        if empty is None:
+            store.fold(batch, number)
+        else:
+            marked = F.coalesce(F.col(empty), F.lit(False))
+            store.fold(batch.where(~marked).drop(empty), number, batch.where(marked))
 
-def first_seen(listings: DataFrame, keys: list[str], stamp: str, delay: str) -> DataFrame:
-    """The first arrival of each key; copies arriving within ``delay`` are dropped and state older than that is freed."""
+    return _start(snapshots.writeStream.foreachBatch(fold), checkpoint, every)
+
+
+def first_arrival(listings: DataFrame, keys: list[str], stamp: str, delay: str) -> DataFrame:
+    """One row of each key, the first to arrive, not the earliest by its stamp.
+
+    Copies are dropped for as long as ``delay`` and the state then freed, so a key that stays away longer comes out again; where
+    that matters use ``FirstSeenStore``.
+    """
     return listings.withWatermark(stamp, delay).dropDuplicatesWithinWatermark(keys)
 
 
+class FirstSeenStore:
+    """Every key ever seen, once, with its earliest stamp in the batch that brought it first; one folder per micro-batch.
+
+    Keys known from earlier batches are left out by an anti join, so a replayed batch writes the same folder again.
+    """
+
+    def __init__(self, spark, root: str, keys: list[str], stamp: str):
+        self.spark, self.root, self.keys, self.stamp = spark, root.rstrip("/"), keys, stamp
+
+    def add(self, batch: DataFrame, number: int) -> None:
+        new = batch.groupBy(*self.keys).agg(F.min(self.stamp).alias(self.stamp))
+        if number > 0:
+            known = self.spark.read.schema(T.StructType([*new.schema.fields, T.StructField("batch", T.LongType())])).parquet(self.root)
+            new = only_in_left(new, known.where(F.col("batch") < number).select(*self.keys), self.keys, null_safe=True)
+        new.write.mode("overwrite").parquet(f"{self.root}/batch={number}")
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.parquet(self.root).drop("batch")
+
+
+def first_seen(listings: DataFrame, store: FirstSeenStore, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Keep the first sighting of each key for good."""
+    return _start(listings.writeStream.foreachBatch(lambda batch, number: store.add(batch, number)), checkpoint, every)
+
+
 def health_windows(polls: DataFrame, stamp: str, width: str, delay: str, source: str = "source") -> DataFrame:
     """Polls and successes per source and tumbling window, emitted when the window can no longer change."""
     windows = polls.withWatermark(stamp, delay).groupBy(F.window(stamp, width), source)

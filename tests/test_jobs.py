@@ -18,6 +18,9 @@ D = dt.date(2024, 6, 20)
 T = dt.datetime(2024, 6, 1)
 
 
+SYSTEM = tickets.TicketSystem({"cusip": 1, "ipo_date": 2, "exchange": 3, "ticker": 4}, "p", {"Type": "Request"}, "Closed.", 1, "Done")
+
+
 def frame(spark, schema, *data):
     """Rows given by name, all other columns null."""
     return spark.createDataFrame([tuple(d.get(f.name) for f in schema.fields) for d in data], schema)
@@ -107,9 +110,9 @@ def test_ticket_decisions(spark):
     made = spark.createDataFrame([("Fresh", 9, "l", T, "Pending")], "company_name string, ticket_number long, ticket_link string, ticket_created timestamp_ntz, ticket_status string")
     merged = tickets.merge_created(main, made)
     assert ("Fresh", 9, "Pending") in rows(merged, "company_name", "ticket_number", "ticket_status")
-    payload = tickets.create_payload(tickets.new_tickets(main)).first().payload
+    payload = tickets.create_payload(tickets.new_tickets(main), SYSTEM).first().payload
     assert '"Title":"Fresh - "' in payload and '"AnswerValue":"2024-06-20"' in payload
-    assert tickets.close_payload(main).count() == 4
+    assert tickets.close_payload(main, SYSTEM).count() == 4
 
 
 def test_health(spark):
@@ -196,5 +199,45 @@ def test_a_run_saves_its_results(spark, tmp_path):
     assert saved["current"].read().count() == 1 and saved["withdrawn"].read().count() == 0
 
 
+def test_a_whole_run_twice(spark, tmp_path):
+    """Deals refreshed, names mapped, health and tickets saved; the second run starts from what the first one saved."""
+    names = "company_name string, ticker string, ipo_date string, exchange string, location string, time_added string, time_removed string"
+    listed = [("Acme Bakery", "A", "20/06/2024"), ("Bravo Mining Group", "B", "21/06/2024")]
+    source = spark.createDataFrame([(n, t, d, "Euronext", "Paris", "2024-01-01", None) for n, t, d in listed], names)
+    universe = spark.createDataFrame([("Acme Bakery", "000001-E"), ("Bravo Mining Groop", "000002-E")], "entityname string, entity_id string")
+    old = frame(spark, schemas.DEALS, dict(iconum=1, company_name="Acme Bakery", master_deal=10, cusip="C1", ticker="A", last_updated_date_utc=T))
+    new = frame(spark, schemas.DEALS, dict(iconum=1, company_name="Acme Bakery", master_deal=10, cusip="C2", ticker="A", last_updated_date_utc=T + dt.timedelta(days=1)))
+    polls = spark.createDataFrame([("Euronext", 1, "2024-06-18"), ("Euronext", 0, "2024-06-17")], "source string, result int, time_checked string")
+    manual = spark.createDataFrame([], "ticker string, cusip string, ticket_number long, ticket_link string, ticket_created timestamp_ntz, ticket_status string")
+    feed = spark.createDataFrame([(7, "Resolved", None)], schemas.TICKET_FEED)
+    ledger = frame(
+        spark,
+        schemas.TICKET_LEDGER,
+        ticket(company_name="Acme Bakery", ticket_number=6, ticket_status="Open", ticket_created=T),
+        dict(company_name="Bravo Mining Group", formatted_company_name="bravo mining group", cusip="C0", ticket_number=7, ticket_status="Open", ticket_created=T),
+    )
+    known, deals = frame(spark, schemas.ENTITY_MAP), old
+    saved = {n: VersionedTable(spark, f"{tmp_path}/{n}") for n in "deals entity_map ticket_ledger ticket_outbox health clean-euronext".split()}
+    for version in (1, 2):
+        inputs = batch.TicketInputs(ledger, manual, feed, "https://t.example/", SYSTEM)
+        batch.run({"Euronext": source}, known, deals, NOW, str(tmp_path), new, universe, polls, inputs)
+        assert {t.current() for t in saved.values()} == {version}
+        known, deals, ledger = (saved[n].read() for n in ("entity_map", "deals", "ticket_ledger"))
+        assert rows(deals, "cusip") == [("C2",)]
+        assert rows(known.where("mapstatus = 'MAPPED'"), "company_name", "iconum") == [("Acme Bakery", 1), ("Bravo Mining Group", 2)]
+        assert rows(saved["health"].read(), "source", "result") == [("Euronext", 1)]
+        sent = saved["ticket_outbox"].read()
+        assert rows(sent.where("ticket_number = 7")) == []  # the feed calls it resolved
+        wanted = [("answers", 6), ("comment", 6)] if version == 1 else []
+        assert rows(sent.where("ticket_number = 6"), "kind", "ticket_number") == wanted
+        assert rows(ledger.where("ticket_number = 7"), "ticket_status") == [("Resolved",)]
+
+
+def test_nothing_is_sent_to_a_resolved_ticket(spark):
+    changed = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "ticket_number long, company_name string")
+    feed = spark.createDataFrame([(1, "Resolved", None), (2, "Completed", None)], schemas.TICKET_FEED)
+    assert rows(tickets.still_open(changed, feed), "ticket_number") == [(2,), (3,)]
+
+
 def test_folders_are_new_each_time(spark):
     assert run_folder(spark, "x") != run_folder(spark, "x")
