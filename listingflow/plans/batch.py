@@ -17,12 +17,45 @@ from ..operators import dedupe, reconcile, tickets, workitems
 from ..operators.columns import conform, database_names, stack
 from ..operators.entities import extend_map, match_decisions, unmapped
 from ..operators.health import health_report
-from ..operators.history import apply_updates, redirect_superseded
+from ..operators.history import STAMPS, apply_updates, redirect_superseded, snapshot_diff, start_history
+from ..operators.registry import registry_configs
 from ..session import run_folder
+from ..sources import html
 from ..sources.normalise import COMBINED, SINGLE, combine_all
 from ..sources.writers import VersionedTable, staged, unstaged
 
 
+def collect_histories(
+    registry: DataFrame,
+    pages: DataFrame,
+    stored: dict[str, DataFrame],
+    checked_at,
+    source: str = "source_name",
+    stage: Callable[[DataFrame, str], DataFrame] = unstaged,
+) -> dict[str, DataFrame]:
+    """The history of every source of the registry after one poll of its pages.
+
+    The registry says how a page of a source is read and what its cells are called; ``pages`` has a page's source in the column
+    ``source``, ``stored`` the histories so far.  A source of which no record was read is left as it was: a page that has
+    changed its layout must not close everything.  Columns that one side lacks are nulls.
+    """
+    found = {}
+    for name, setting in registry_configs(registry).items():
+        rows = stage(html.extract_rows(pages.where(F.col(source) == name), setting), "cells-" + name.replace(" ", "-"))
+        width, known = html.table_width(rows), stored.get(name)
+        if not width:
+            found |= {name: known} if known is not None else {}
+            continue
+        snapshot = html.name_cells(rows, setting.get("columns") or [], width, [])
+        if known is None:
+            found[name] = start_history(snapshot, checked_at)
+            continue
+        kinds = {f.name: f.dataType for df in (known, snapshot) for f in df.schema.fields}
+        wide = [df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in kinds.items() if c not in df.columns and c not in STAMPS]) for df in (known, snapshot)]
+        found[name] = snapshot_diff(*wide, checked_at)
+    return found
+
+
 @dataclass
 class Listings:
     frame: DataFrame

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .. import schemas
 from ..functions import dates, ids, numbers, text
 from ..operators import aggregates, columns, dedupe, filters, history, joins, ordering, registry
+from ..session import run_folder
 from .catalog import AS_OF, EVENTS_AS_OF, Tables, query
 from .frames import LISTING
 
@@ -680,6 +681,22 @@ def registry_table(t: Tables) -> DataFrame:
     return registry.source_table(_registry(t))
 
 
+@query(
+    "registry_saved",
+    f"""SELECT 'ref_columns' AS target, source_name, unnest(string_split(url, '/')) AS value FROM ({_REGISTRY})
+        UNION ALL SELECT 'ref_sources', source_name, url FROM ({_REGISTRY})""",
+)
+def registry_saved(t: Tables) -> DataFrame:
+    """Both tables of the registry as they are read back from where they were saved."""
+    from ..sources.writers import save_registry_tables
+
+    paths = save_registry_tables(_registry(t), run_folder(t.spark, "registry"))
+    columns, sources = (t.spark.read.parquet(paths[name]) for name in ("ref_columns", "ref_sources"))
+    saved = [columns.select(F.lit("ref_columns").alias("target"), "source_name", F.col("col_name").alias("value"))]
+    saved.append(sources.select(F.lit("ref_sources").alias("target"), "source_name", F.col("url").alias("value")))
+    return saved[0].unionByName(saved[1])
+
+
 @query(
     "registry_by_type",
     f"""SELECT source_name, source_type FROM ({_REGISTRY}) WHERE source_type = 'website'""",
