@@ -83,8 +83,18 @@ def test_tmx(spark):
         ("5", "New Listing", "E", "Eps", "Common", "2024-06-01", "A TRANSFER", "2024-05-01", None, "TSX", "20240602 x"),
         ("6", "Other", "F", "Zeta", "Common", "2024-06-01", None, "2024-05-01", None, "TSX", "20240602 x"),
     )
-    got = americas.tmx(df, NOW).select("ticker", "file", F.length("notes").alias("n"), "time_removed")
-    assert rows(got) == [("A", "20240601 x", 200, None), ("B", "20240601 x", None, dt.datetime(2024, 6, 15, 12))]
+    wanted = ["ticker", "file", F.length("notes").alias("n"), "time_removed"]
+    assert rows(americas.tmx(df, NOW).select(*wanted)) == [("A", "20240601 x", 300, None), ("B", "20240601 x", None, dt.datetime(2024, 6, 15, 12))]
+    # notes that differ only far behind are two rows, and words there count
+    late = raw(
+        spark,
+        names,
+        ("1", "New Listing", "A", "Acme", "Common", "2024-06-01", "n" * 300 + "1", "2024-05-01", None, "TSX", "20240602 x"),
+        ("1", "New Listing", "A", "Acme", "Common", "2024-06-01", "n" * 300 + "2", "2024-05-01", None, "TSX", "20240602 x"),
+        ("2", "New Listing", "B", "Beta", "Common", "2024-06-01", "n" * 300 + " transfer", "2024-05-01", None, "TSX", "20240602 x"),
+    )
+    short = americas.tmx(late, NOW, note_length=200).select("ticker", F.length("notes").alias("n"))
+    assert rows(short) == [("A", 200), ("A", 200)]
 
 
 def test_japan(spark):
