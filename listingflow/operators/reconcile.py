@@ -16,6 +16,7 @@ from .joins import enrich_with_fallback, full_outer, left, left_folded
 LOCALISED_EXCHANGES = ["Shenzhen Stock Exchange", "Shanghai Stock Exchange", "Shanghai", "Shenzhen"]
 _MISSING_TICKERS = ["nan", "None"]
 
+# The columns a deal brings to a reconciliation, in their order.
 _DEAL_COLUMNS = [
     "iconum",
     "cusip",

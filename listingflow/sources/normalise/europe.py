@@ -20,6 +20,7 @@ _FRA_SEGMENT = r"^([a-zA-Z\s]*)\s\("
 _FRA_FIRST_PRICE = r"Quotation: €\s(\d{1,3}\.\d{1,3})"
 _FRA_AMOUNT = r"/\s€\s([\d,\.]*)"
 _FRA_PRICE = r"Volume: €\s(\d{1,3}\.\d{1,3})"
+# the odd range from A to | is meant: it takes in letters and the signs between them
 _FRA_SECTOR = r"Sector:\n\t\t\t([a-zA-|&,\.\s]*)"
 _SPOTLIGHT_SINCE = "2020-01-01"
 _SPOTLIGHT_UNUSED = ["ExternalDocuments", "CompanyDocuments"]
