@@ -94,7 +94,7 @@ def overlaps(sets: list[np.ndarray], weights: list[np.ndarray] | None = None, co
     two sets or more become columns; no block has sums too large for a float to count exactly.
     """
     m = len(sets)
-    total = np.zeros((m, m), np.int64)
+    total = np.zeros((m, m), np.int32)
     row = np.repeat(np.arange(m), [len(s) for s in sets])
     flat = np.concatenate(sets) if m else np.zeros(0, np.uint64)
     value = np.concatenate(weights).astype(np.float32) if weights else np.ones(len(flat), np.float32)
@@ -110,5 +110,5 @@ def overlaps(sets: list[np.ndarray], weights: list[np.ndarray] | None = None, co
         a, b = np.searchsorted(code, (begin, begin + columns))
         part = np.zeros((m, min(columns, n - begin)), np.float32)
         part[row[a:b], code[a:b] - begin] = value[a:b]
-        total += (part @ ((part > 0).astype(np.float32) if weights else part).T).astype(np.int64)
+        total += (part @ ((part > 0).astype(np.float32) if weights else part).T).astype(np.int32)
     return total

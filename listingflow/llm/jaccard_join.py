@@ -51,9 +51,9 @@ def prefix_length(sizes: np.ndarray | int, percent: int) -> np.ndarray | int:
     return sizes - (-(-percent * sizes // 100)) + 1
 
 
-def can_link(common: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sizes x and y with this overlap reach the threshold."""
-    return 100 * common >= percent * (x + y - common)
+def can_link(common: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sets with these overlaps reach the threshold: (100 + percent) x common >= percent x both sizes."""
+    return (100 + percent) * common.astype(np.int64) >= percent * (sizes[:, None] + sizes)
 
 
 def frequent_elements(docs: DataFrame, n: int, share: int = 16, least: int = 6, most: int = 500_000) -> np.ndarray:
@@ -163,7 +163,7 @@ def _edges(table: pa.Table, linked: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def near_duplicates(
-    docs: DataFrame, n: int = 5, percent: int = 80, block_rows: int = 1024, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, n: int = 5, percent: int = 80, block_rows: int = 512, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: set size, and the smallest id that links reach."""
     docs = id_and_text(docs, id_col, text_col)
@@ -180,16 +180,19 @@ def near_duplicates(
         first = common + np.minimum(elsewhere, elsewhere.T)
         # what stands behind both first parts can add no more than the longer rest, nor than the smaller set allows
         most = np.minimum(first + np.maximum(behind[:, None], behind), np.minimum(size[:, None], size))
-        return _edges(table, (common > 0) & can_link(most, size[:, None], size, percent))
+        return _edges(table, (common > 0) & can_link(most, size, percent))
 
     ties = each_block(_candidate_blocks(rows, block_rows), survivors, "a long, b long")
     families = stored(components(ties), "families")
     # the same rows again, with whole sets
     wanted = rows.join(families.withColumnRenamed("node", "rep"), "rep").select("key", "rep", "component")
     sources = seen.join(wanted, "key").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("rep").alias("rep"), F.first("component").alias("family"))
-    sources = stored(sources.select("doc_id", "key", "rep", "family"), "wanted")
+    sources = stored(sources.select("doc_id", "key", "rep", "family"), "families-rows")
+    dealt = block_pairs(sources.select("family", "rep").distinct(), "family", "rep", block_rows)
+    dealt = dealt.groupBy("rep").agg(F.collect_list("block").alias("blocks"))  # as many as the family has parts
+    sources = stored(sources.join(dealt, "rep").select("doc_id", "key", "rep", "blocks"), "wanted")
     few = sources.count() <= 1_000_000  # 64 bytes a row: a table that may be sent to every task; beyond, texts are shuffled
-    texts = docs.join(F.broadcast(sources) if few else sources, "doc_id").select("rep", "family", "key", "text")
+    texts = docs.join(F.broadcast(sources) if few else sources, "doc_id").select("rep", "blocks", "key", "text")
 
     def whole_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,20 +201,19 @@ def near_duplicates(
                 sets = [s.tobytes() for s in element_sets(some, n)]
                 # an id may have several texts: only the one that was asked for
                 own = [hashlib.blake2b(s, digest_size=16).digest() == k for s, k in zip(sets, keys, strict=True)]
-                part = [batch.column(c).slice(row, len(some)).filter(pa.array(own)) for c in ("rep", "family")]
+                part = [batch.column(c).slice(row, len(some)).filter(pa.array(own)) for c in ("rep", "blocks")]
                 kept = pa.array([s for s, ok in zip(sets, own, strict=True) if ok], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part, kept], ["rep", "family", "elements"])
+                yield pa.RecordBatch.from_arrays([*part, kept], ["rep", "blocks", "elements"])
 
-    sets = texts.mapInArrow(whole_sets, "rep long, family long, elements binary")
-    sets = stored(sets, "whole-sets")
-    blocks = stored(block_pairs(sets.select("rep", "family").distinct(), "family", "rep", block_rows).select("block", "rep"), "family-blocks")
+    sets = texts.mapInArrow(whole_sets, "rep long, blocks array<long>, elements binary")
+    sets = sets.select("rep", F.explode("blocks").alias("block"), "elements")
 
     def links(table: pa.Table) -> dict[str, np.ndarray]:
         sets = binary_views(table.column("elements"), np.uint64)
         size = np.array([len(s) for s in sets])
-        return _edges(table, can_link(overlaps(sets), size[:, None], size, percent))
+        return _edges(table, can_link(overlaps(sets), size, percent))
 
-    found = stored(components(each_block(blocks.join(sets, "rep"), links, "a long, b long")), "classes")
+    found = stored(components(each_block(sets, links, "a long, b long")), "classes")
     classes = rows.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     classes = stored(classes.select("key", F.coalesce("component", "rep").alias("component")), "set-classes")
     # both sides are read from files, so a set that very many rows have can be split between tasks
