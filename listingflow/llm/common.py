@@ -26,8 +26,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
+#: Bytes of a batch between the JVM and Python.  Documents differ in size by orders of magnitude, and a batch is held several
+#: times over on its way, so Spark's own bound of 64 MB is too much for small executors.
+BATCH_BYTES = 8 << 20
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Gives the executors this package, once per application, through Spark's own file distribution."""
+    """Prepares a session: bounds its Arrow batches by ``BATCH_BYTES``, unless it asks for less, and gives the executors
+    this package, once per application, through Spark's own file distribution."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    bound = spark.conf.get(key).lower().rstrip("b")
+    if not bound.isdigit() or int(bound) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
     package, application = Path(__file__).resolve().parents[1], spark.sparkContext.applicationId
     if application in _shipped or not package.is_dir():
         return

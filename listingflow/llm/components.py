@@ -12,14 +12,15 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     """``node, component`` for every node with an edge: the smallest node it can reach.
 
     ``edges`` has columns ``a, b``.  Alternating star contraction: every node's larger neighbours are tied to the smallest node
-    it sees, then its smaller ones, until nothing changes; the number of rounds grows with the logarithm of the longest path.
+    it sees, then its smaller ones, until all components are stars; the rounds grow with the logarithm of the longest path.
     Smallest neighbours come from aggregates that combine before the shuffle, and are written before edges are joined to
     them, so that a node with very many edges can be split between tasks.
     """
-    spark = edges.sparkSession
     pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
-    pairs, mark = stored(pairs, "edges"), None
+    pairs = stored(pairs, "edges")
     for _ in range(most_rounds):
+        if _stars(pairs):
+            break
         both = pairs.union(pairs.select("b", "a"))
         least = stored(both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")), "low")
         large = both.join(least, "a").where("b > a").select(F.col("low").alias("a"), "b")
@@ -27,12 +28,13 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         least = stored(large.groupBy("b").agg(F.min("a").alias("low")), "low")
         tied = large.join(least, "b").select(F.explode(F.array("a", "b")).alias("b"), F.col("low").alias("a")).where("a < b")
         pairs = stored(tied.select("a", "b").distinct(), "edges")
-        last, mark = mark, pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == last:
-            break
     else:
         raise RuntimeError("components did not settle")
-    if mark[0] == 0:
-        return spark.createDataFrame([], "node long, component long")
     roots = pairs.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return pairs.select(F.col("b").alias("node"), F.col("a").alias("component")).union(roots)
+
+
+def _stars(pairs: DataFrame) -> bool:
+    """Whether every larger node is tied to one smaller node, and that to none."""
+    total, larger = pairs.agg(F.count("*"), F.countDistinct("b")).first()
+    return total == larger and pairs.join(pairs.select(F.col("b").alias("a")), "a", "left_semi").isEmpty()

@@ -75,7 +75,8 @@ class DigestIndex:
 def deduplicate(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text"):
     """``index.absorb`` with a new, empty index in the shared folder unless one is given."""
     spark = docs.sparkSession
-    return (index or DigestIndex(spark, new_folder(spark, "digest-index"))).absorb(docs, id_col, text_col)
+    # an index for one batch has few, larger files; one that is to grow should get buckets for what it will hold
+    return (index or DigestIndex(spark, new_folder(spark, "digest-index"), 16)).absorb(docs, id_col, text_col)
 
 
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
