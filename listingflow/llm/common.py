@@ -26,6 +26,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
+def sent_if_small(frame: DataFrame, most_rows: int = 500_000) -> DataFrame:
+    """A stored frame of short rows, marked to be sent to every task if it has at most ``most_rows``; else it is shuffled."""
+    return F.broadcast(frame) if frame.count() <= most_rows else frame
+
+
 #: Bytes of a batch between the JVM and Python.  Documents differ in size by orders of magnitude, and a batch is held several
 #: times over on its way, so Spark's own bound of 64 MB is too much for small executors.
 BATCH_BYTES = 8 << 20

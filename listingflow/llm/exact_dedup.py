@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, new_folder, stored
+from .common import id_and_text, new_folder, sent_if_small, stored
 
 
 def text_digest(text: Column) -> Column:
@@ -88,8 +88,9 @@ def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     marked = stored(marked.where("not kept or n > 1").select("__key__", "__digest__", "kept"), "marked")
     own = F.coalesce(F.col(f"`{id_col}`").cast("long").cast("string"), F.lit("null"))
     held = docs.withColumns({"__key__": own, "__digest__": text_digest(F.col(f"`{text_col}`").cast("string"))})
-    out = held.join(marked.select("__key__", "__digest__"), ["__key__", "__digest__"], "left_anti")
+    # some 60 bytes a row, so 30 MB at most are sent to a task
+    out = held.join(sent_if_small(marked.select("__key__", "__digest__")), ["__key__", "__digest__"], "left_anti")
     again = marked.where("kept").select("__key__", "__digest__")
     if not again.isEmpty():
-        out = out.unionByName(held.join(again, ["__key__", "__digest__"], "left_semi").dropDuplicates(["__key__", "__digest__"]))
+        out = out.unionByName(held.join(sent_if_small(again), ["__key__", "__digest__"], "left_semi").dropDuplicates(["__key__", "__digest__"]))
     return out.drop("__key__", "__digest__")

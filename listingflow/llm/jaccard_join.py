@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import binary_views, block_pairs, each_block, forest, overlaps
-from .common import id_and_text, stored
+from .common import id_and_text, sent_if_small, stored
 from .components import components
 from .words import shingle_hashes, text_slices, words_of
 
@@ -231,4 +231,4 @@ def keep_one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     found = near_duplicates(docs, n, percent, id_col=id_col, text_col=text_col)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone__")).distinct()
     gone = stored(gone, "near-duplicates")
-    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__gone__"), "left_anti")
+    return docs.join(sent_if_small(gone, 2_000_000), F.col(f"`{id_col}`").cast("long") == F.col("__gone__"), "left_anti")
