@@ -4,8 +4,9 @@ Vectors with the same label and components are one vector with a weight.  Each o
 halves; each half has its own codebook, fitted on a bounded sample, and the pairs of codewords are the cells of a grid.  Every
 vector is filed in the cell of its nearest codewords and looks for partners in the cells nearest to it, in the order of
 the sum of both distances (multi-sequence traversal).  How many cells are visited is found by brute force: a bounded set of
-query vectors is compared with all vectors, and the traversal goes on until ``target_recall`` of the pairs found are reached
-from either side.  What is found is verified in double precision.
+query vectors, enlarged where few of them have partners, is compared with all vectors, and the traversal goes on until
+``target_recall`` of the pairs found are reached from either side, on average over pairs, queries and groups of near copies.
+What is found is verified in double precision.
 
 Only vectors with the same label meet.  A cell with many vectors is cut into parts, and so are those that visit it, so no task
 sees more than a bounded part of a hot label, cell or source.
@@ -56,14 +57,17 @@ class Grid(NamedTuple):
         The cell of the i-th and j-th nearest codewords comes after (i + 1) x (j + 1) - 1 others at least, so only cells with that
         below ``visits`` are weighed.
         """
-        left, right = self.distances(vectors)
-        i, j = np.divmod(np.arange(len(self.left) * len(self.right)), len(self.right))
-        early = (i + 1) * (j + 1) <= max(visits, 1)
-        i, j = i[early], j[early]
-        by_left, by_right = np.argsort(left, 1, kind="stable"), np.argsort(right, 1, kind="stable")
-        total = np.take_along_axis(left, by_left[:, i], 1) + np.take_along_axis(right, by_right[:, j], 1)
-        order = np.argsort(total, 1, kind="stable")[:, :visits]
-        return np.take_along_axis(by_left[:, i] * len(self.right) + by_right[:, j], order, 1)
+        columns = [min(len(self.right), max(visits, 1) // (k + 1)) for k in range(min(len(self.left), max(visits, 1)))]
+        i, j = np.repeat(np.arange(len(columns)), columns), np.concatenate([np.arange(n) for n in columns])
+        # a bounded number of sums at a time
+        step, out = max(1, (1 << 21) // len(i)), []
+        for begin in range(0, max(len(vectors), 1), step):
+            left, right = self.distances(vectors[begin : begin + step])
+            by_left, by_right = np.argsort(left, 1, kind="stable"), np.argsort(right, 1, kind="stable")
+            total = np.take_along_axis(left, by_left[:, i], 1) + np.take_along_axis(right, by_right[:, j], 1)
+            order = np.argsort(total, 1, kind="stable")[:, :visits]
+            out.append(np.take_along_axis(by_left[:, i] * len(self.right) + by_right[:, j], order, 1))
+        return np.concatenate(out)
 
 
 def _codebook(points: np.ndarray, size: int, rounds: int = 12) -> np.ndarray:
@@ -112,38 +116,76 @@ def _prepared(table: DataFrame, id_col: str, vector_col: str, label_col: str, dt
     return chosen.mapInArrow(run, "vec_id long, label long, vector binary, key binary")
 
 
-def _visits(vectors: DataFrame, queries: pa.Table, grid: Grid, dtype: str, cosine: float, target: float, most: int) -> int:
-    """Cells to visit so that at least ``target`` of the queries' pairs are found from one of their two sides."""
+def _found(vectors: DataFrame, queries: pa.Table, grid: Grid, dtype: str, cosine: float, most: int) -> np.ndarray:
+    """For each query, how many of its pairs are found from one of their two sides at the first, second ... cell visited.
+
+    The last column has those that ``most`` visits don't find.
+    """
     labels, reps = queries.column("label").to_numpy(), queries.column("rep").to_numpy()
     units = _unit(queries.column("vector"), dtype)
     orders, homes = grid.nearest(units, most), grid.cells(units)
+    step, pairs = max(1, (1 << 21) // max(len(units), 1)), max(1, (1 << 22) // most)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = _unit(batch.column("vector"), dtype)
-            close = (x @ units.T >= cosine) & (batch.column("label").to_numpy()[:, None] == labels) & (batch.column("rep").to_numpy()[:, None] != reps)
-            row, query = np.nonzero(close)
-            there, back = orders[query] == grid.cells(x)[row][:, None], grid.nearest(x[row], most) == homes[query][:, None]
-            rank = np.minimum(*(np.where(found.any(1), found.argmax(1), most) for found in (there, back)))
-            values, counts = np.unique(rank, return_counts=True)
+        for part in (b.slice(begin, step) for b in batches for begin in range(0, len(b), step)):
+            x = _unit(part.column("vector"), dtype)
+            close = (x @ units.T >= cosine) & (part.column("label").to_numpy()[:, None] == labels) & (part.column("rep").to_numpy()[:, None] != reps)
+            own = np.flatnonzero(close.any(1))
+            row, query = np.nonzero(close[own])
+            cells, visited = grid.cells(x[own]), grid.nearest(x[own], most)
+            ranks = [np.zeros(0, np.int64)]
+            for begin in range(0, len(row), pairs):
+                r, q = row[begin : begin + pairs], query[begin : begin + pairs]
+                there, back = orders[q] == cells[r][:, None], visited[r] == homes[q][:, None]
+                ranks.append(np.minimum(*(np.where(found.any(1), found.argmax(1), most) for found in (there, back))))
+            values, counts = np.unique(query * (most + 1) + np.concatenate(ranks), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["rank", "n"])
 
-    found = vectors.mapInArrow(run, "rank long, n long").groupBy("rank").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(most + 1)
-    for r in found:
-        counts[r["rank"]] = r["n"]
-    if not counts.sum():
-        return min(4, most)
-    return int(min(most, np.searchsorted(np.cumsum(counts) / counts.sum(), target) + 1))
+    found = vectors.mapInArrow(run, "rank long, n long").groupBy("rank").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(units) * (most + 1))
+    counts[found.column("rank").to_numpy()] = found.column("n").to_numpy()
+    return counts.reshape(len(units), most + 1)
+
+
+def _group_shares(queries: pa.Table, dtype: str, cosine: float) -> np.ndarray:
+    """One over the number of queries that are near a query, itself included: queries of one tight group add up to one."""
+    labels, units = queries.column("label").to_numpy(), _unit(queries.column("vector"), dtype)
+    near = [
+        ((units[i : i + 512] @ units.T >= cosine) & (labels[i : i + 512][:, None] == labels)).sum(1) for i in range(0, len(units), 512)
+    ]
+    return 1 / np.maximum(np.concatenate(near), 1)
+
+
+def _needed(counts: np.ndarray, shares: np.ndarray, target: float) -> int:
+    """Visits at which ``target`` is reached per pair, per query and per group; one more than were tried where it is not.
+
+    Pairs alone would let one large group of near copies speak for all rows, and queries alone one with many rows.
+    """
+    own = counts.sum(1)
+    if not own.any():
+        return 1
+    reached = np.cumsum(counts[own > 0], 1)
+    recall, shares = reached / own[own > 0][:, None], shares[own > 0]
+    means = (reached.sum(0) / own.sum(), recall.mean(0), shares @ recall / shares.sum())
+    return max(int(np.searchsorted(m, target - 1e-12)) + 1 for m in means)
 
 
 def fit_grid(
-    vectors: DataFrame, dtype: str, cosine: float, target_recall: float, sample_rows: int, query_rows: int, most_visits: int
+    vectors: DataFrame,
+    dtype: str,
+    cosine: float,
+    target_recall: float,
+    sample_rows: int,
+    query_rows: int,
+    most_visits: int,
+    least_groups: int = 256,
 ) -> Grid:
-    """Codebooks from at most ``sample_rows`` vectors, visits from at most ``query_rows`` against all vectors.
+    """Codebooks from at most ``sample_rows`` vectors, visits from ``query_rows`` or more of them against all vectors.
 
     The number of codewords grows with the square root of the largest label's count, so that a cell's share of a label stays
-    small, up to an eighth of the sample.
+    small, up to an eighth of the sample.  Queries are added, up to the whole sample, until they have partners in
+    ``least_groups`` groups; where the sample is not the whole table and still has fewer, no less than ``most_visits`` cells
+    are visited.
     """
     largest = vectors.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     sample = vectors.orderBy(F.xxhash64("rep", F.lit(7)), "rep").limit(sample_rows).toArrow()
@@ -152,7 +194,18 @@ def fit_grid(
     half = units.shape[1] // 2
     grid = Grid(_codebook(units[:, :half], size), _codebook(units[:, half:], size), 0)
     most = min(most_visits, len(grid.left) * len(grid.right))
-    return grid._replace(visits=_visits(vectors, sample.slice(0, query_rows), grid, dtype, cosine, target_recall, most))
+    rows = min(query_rows, len(sample))
+    while True:
+        queries = sample.slice(0, rows)
+        counts, shares = _found(vectors, queries, grid, dtype, cosine, most), _group_shares(queries, dtype, cosine)
+        enough = shares[counts.sum(1) > 0].sum() >= least_groups
+        if enough or rows == len(sample):
+            break
+        rows = min(4 * rows, len(sample))
+    visits = _needed(counts, shares, target_recall)
+    if not enough and len(sample) == sample_rows:
+        visits = max(visits, most)
+    return grid._replace(visits=min(visits, most))
 
 
 def near_vectors(

@@ -198,6 +198,45 @@ def test_near_vectors(spark, kind):
     assert all((got[r[0]].n_links, got[r[0]].component_id) == (0, r[0]) for r in odd)
 
 
+def _fitted(spark, x, **bounds):
+    """The grid of unit vectors of one label, and the share of pairs (first, last row) that its visits find."""
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    rows = pa.table({"rep": np.arange(len(x)), "label": np.zeros(len(x), np.int64), "weight": np.ones(len(x), np.int64), "vector": [v.tobytes() for v in x]})
+    table = spark.createDataFrame(rows).repartition(4)
+    grid = embedding_dedup.fit_grid(table, "<f8", 0.93, 0.999, **bounds)
+
+    def share(pairs):
+        a, b = np.array(pairs).T
+        there, back = ((grid.nearest(x[i], grid.visits) == grid.cells(x[j])[:, None]).any(1) for i, j in ((a, b), (b, a)))
+        return (there | back).mean()
+
+    return grid, share
+
+
+def _planted(rnd, base, cosine):
+    noise = rnd.normal(size=base.shape)
+    base = base / np.linalg.norm(base, axis=1)[:, None]
+    noise -= (noise * base).sum(1)[:, None] * base
+    return cosine * base + (1 - cosine**2) ** 0.5 * noise / np.linalg.norm(noise, axis=1)[:, None]
+
+
+def test_rare_pairs_get_enough_visits(spark):
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=(8000, 32))
+    x = np.concatenate([x, _planted(rnd, x[:20], 0.94)])
+    grid, share = _fitted(spark, x, sample_rows=1024, query_rows=64, most_visits=64)
+    assert grid.visits == 64 and share([(i, 8000 + i) for i in range(20)]) >= 0.9
+
+
+def test_one_tight_group_does_not_set_the_visits(spark):
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(4000, 32))
+    hot = x[:1] + rnd.normal(size=(2000, 32)) * 0.01
+    x = np.concatenate([x, hot, _planted(rnd, x[1000:1600], 0.94)])
+    _, share = _fitted(spark, x, sample_rows=2048, query_rows=512, most_visits=300)
+    assert share([(1000 + i, 6000 + i) for i in range(600)]) >= 0.99
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.integers(1, 30), st.integers(0, 10**6))
 def test_traversal_visits_nearest_cells_first(visits, seed):
