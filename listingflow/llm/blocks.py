@@ -40,11 +40,15 @@ def block_pairs(members: DataFrame, group: str, member: str, most: int) -> DataF
     """
     sizes = members.groupBy(group).agg(F.count("*").alias("_size")).where("_size > 1")
     dealt = members.join(sizes, group).withColumn("_parts", F.ceil(F.col("_size") / most).cast("int"))
-    dealt = dealt.withColumn("_part", F.pmod(F.xxhash64(member), F.col("_parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    return in_blocks(dealt, group, member, "_parts").drop("_size", "_parts")
+
+
+def in_blocks(members: DataFrame, group: str, member: str, parts: str) -> DataFrame:
+    """``members`` with a column ``block``, a row for each pair of its group's ``parts`` that has the member's own."""
+    dealt = members.withColumn("_part", F.pmod(F.xxhash64(member), F.col(parts)).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
     pair = (F.least("_part", "_other"), F.greatest("_part", "_other"))
-    dealt = dealt.withColumn("_other", other).withColumn("block", F.xxhash64(group, *pair))
-    return dealt.drop("_size", "_parts", "_part", "_other")
+    return dealt.withColumn("_other", other).withColumn("block", F.xxhash64(group, *pair)).drop("_part", "_other")
 
 
 def each_block(rows: DataFrame, run: Callable[[pa.Table], dict[str, np.ndarray]], schema: str) -> DataFrame:

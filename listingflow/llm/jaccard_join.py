@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import binary_views, block_pairs, each_block, forest, overlaps
+from .blocks import binary_views, block_pairs, each_block, forest, in_blocks, overlaps
 from .common import id_and_text, sent_if_small, stored
 from .components import components
 from .words import shingle_hashes, text_slices, words_of
@@ -188,11 +188,11 @@ def near_duplicates(
     wanted = rows.join(families.withColumnRenamed("node", "rep"), "rep").select("key", "rep", "component")
     sources = seen.join(wanted, "key").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("rep").alias("rep"), F.first("component").alias("family"))
     sources = stored(sources.select("doc_id", "key", "rep", "family"), "families-rows")
-    dealt = block_pairs(sources.select("family", "rep").distinct(), "family", "rep", block_rows)
-    dealt = dealt.groupBy("rep").agg(F.collect_list("block").alias("blocks"))  # as many as the family has parts
-    sources = stored(sources.join(dealt, "rep").select("doc_id", "key", "rep", "blocks"), "wanted")
-    few = sources.count() <= 1_000_000  # 64 bytes a row: a table that may be sent to every task; beyond, texts are shuffled
-    texts = docs.join(F.broadcast(sources) if few else sources, "doc_id").select("rep", "blocks", "key", "text")
+    # a row carries the number of parts of its family; which blocks that means is worked out where the sets are
+    parts = sources.groupBy("family").agg(F.ceil(F.countDistinct("rep") / block_rows).cast("int").alias("parts"))
+    sources = stored(sources.join(parts, "family").select("doc_id", "key", "rep", "family", "parts"), "wanted")
+    few = sources.count() <= 1_000_000  # some 80 bytes a row: a table that may be sent to every task; beyond, texts are shuffled
+    texts = docs.join(F.broadcast(sources) if few else sources, "doc_id").select("rep", "family", "parts", "key", "text")
 
     def whole_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,12 +201,12 @@ def near_duplicates(
                 sets = [s.tobytes() for s in element_sets(some, n)]
                 # an id may have several texts: only the one that was asked for
                 own = [hashlib.blake2b(s, digest_size=16).digest() == k for s, k in zip(sets, keys, strict=True)]
-                part = [batch.column(c).slice(row, len(some)).filter(pa.array(own)) for c in ("rep", "blocks")]
+                part = [batch.column(c).slice(row, len(some)).filter(pa.array(own)) for c in ("rep", "family", "parts")]
                 kept = pa.array([s for s, ok in zip(sets, own, strict=True) if ok], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part, kept], ["rep", "blocks", "elements"])
+                yield pa.RecordBatch.from_arrays([*part, kept], ["rep", "family", "parts", "elements"])
 
-    sets = texts.mapInArrow(whole_sets, "rep long, blocks array<long>, elements binary")
-    sets = sets.select("rep", F.explode("blocks").alias("block"), "elements")
+    sets = texts.mapInArrow(whole_sets, "rep long, family long, parts int, elements binary")
+    sets = in_blocks(sets, "family", "rep", "parts").select("rep", "block", "elements")
 
     def links(table: pa.Table) -> dict[str, np.ndarray]:
         sets = binary_views(table.column("elements"), np.uint64)

@@ -104,6 +104,16 @@ def test_ids_with_several_texts_and_repeats(spark):
     assert {r.doc_id for r in kept.collect()} == {5} and kept.columns == frame(spark, rows).columns
 
 
+def test_rows_sent_to_tasks_do_not_grow_with_their_family(spark, monkeypatch):
+    sent, own = [], jaccard_join.F.broadcast
+    monkeypatch.setattr(jaccard_join.F, "broadcast", lambda frame: sent.append(frame) or own(frame))
+    words_ = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words_[:i], "x", *words_[i:]])) for i in range(60)]
+    got = jaccard_join.near_duplicates(frame(spark, rows), 2, 60, block_rows=3).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == 60
+    assert len(sent) == 1 and not [t for _, t in sent[0].dtypes if t.startswith("array")]
+
+
 def test_one_of_each_near_group_stays(spark):
     rows = _unique_ids(ROWS)
     sets = {i: shingles(t, 5) for i, t in rows if i is not None}
