@@ -116,14 +116,33 @@ def _prepared(table: DataFrame, id_col: str, vector_col: str, label_col: str, dt
     return chosen.mapInArrow(run, "vec_id long, label long, vector binary, key binary")
 
 
-def _found(vectors: DataFrame, queries: pa.Table, grid: Grid, dtype: str, cosine: float, most: int) -> np.ndarray:
-    """For each query, how many of its pairs are found from one of their two sides at the first, second ... cell visited.
+class Ranks(NamedTuple):
+    """``n`` pairs of a query that are found from one of their two sides at the ``rank``-th cell visited, counted from 0."""
 
-    The last column has those that ``most`` visits don't find.
-    """
+    query: np.ndarray
+    rank: np.ndarray
+    n: np.ndarray
+
+    def of(self, chosen: np.ndarray) -> Ranks:
+        return Ranks(*(x[chosen] for x in self))
+
+    def needed(self, shares: np.ndarray, target: float) -> int:
+        """Visits at which ``target`` is reached per pair, per query and per group.
+
+        Pairs alone would let one large group of near copies speak for all rows, and queries alone one with many rows.
+        """
+        if not len(self.n):
+            return 1
+        recall = self.n / np.bincount(self.query, self.n)[self.query]
+        reached = (np.cumsum(np.bincount(self.rank, w)) / w.sum() for w in (self.n, recall, recall * shares[self.query]))
+        return max(int(np.searchsorted(m, target - 1e-12)) + 1 for m in reached)
+
+
+def _found(vectors: DataFrame, queries: pa.Table, grid: Grid, dtype: str, cosine: float, most: int) -> Ranks:
+    """How early the pairs of queries with any vector are found; the rank ``most`` stands for those that many visits don't find."""
     labels, reps = queries.column("label").to_numpy(), queries.column("rep").to_numpy()
     units = _unit(queries.column("vector"), dtype)
-    orders, homes = grid.nearest(units, most), grid.cells(units)
+    orders, homes = grid.nearest(units, most).astype(np.int32), grid.cells(units)
     step, pairs = max(1, (1 << 21) // max(len(units), 1)), max(1, (1 << 22) // most)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,9 +161,30 @@ def _found(vectors: DataFrame, queries: pa.Table, grid: Grid, dtype: str, cosine
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["rank", "n"])
 
     found = vectors.mapInArrow(run, "rank long, n long").groupBy("rank").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(len(units) * (most + 1))
-    counts[found.column("rank").to_numpy()] = found.column("n").to_numpy()
-    return counts.reshape(len(units), most + 1)
+    query, rank = np.divmod(found.column("rank").to_numpy(), most + 1)
+    return Ranks(query, rank, found.column("n").to_numpy())
+
+
+def _planted(units: np.ndarray, grid: Grid, cosine: float, target: float, most: int) -> int:
+    """Visits, ``most`` or more, that find ``target`` of partners made up for unit vectors.
+
+    Each is at ``cosine``, the farthest a partner can be, on the way to another of the vectors.
+    """
+    away = np.roll(units, 1, 0)
+    away = away - (away * units).sum(1)[:, None] * units
+    length = np.sqrt((away * away).sum(1))
+    units, away = units[length > 1e-6], away[length > 1e-6] / length[length > 1e-6][:, None]
+    near = cosine * units + max(0.0, 1 - cosine * cosine) ** 0.5 * away
+    late, least, cells = np.arange(len(units)), most, len(grid.left) * len(grid.right)
+    allowed = int((1 - target) * len(units))
+    while len(late):
+        sides = ((units[late], near[late]), (near[late], units[late]))
+        found = [grid.nearest(x, most) == grid.cells(y)[:, None] for x, y in sides]
+        rank = np.minimum(*(np.where(f.any(1), f.argmax(1), most) for f in found))
+        if (rank == most).sum() <= allowed:
+            return max(least, int(np.sort(rank)[len(rank) - 1 - allowed]) + 1)
+        late, most = late[rank == most], min(4 * most, cells)
+    return least
 
 
 def _group_shares(queries: pa.Table, dtype: str, cosine: float) -> np.ndarray:
@@ -156,20 +196,6 @@ def _group_shares(queries: pa.Table, dtype: str, cosine: float) -> np.ndarray:
     return 1 / np.maximum(np.concatenate(near), 1)
 
 
-def _needed(counts: np.ndarray, shares: np.ndarray, target: float) -> int:
-    """Visits at which ``target`` is reached per pair, per query and per group; one more than were tried where it is not.
-
-    Pairs alone would let one large group of near copies speak for all rows, and queries alone one with many rows.
-    """
-    own = counts.sum(1)
-    if not own.any():
-        return 1
-    reached = np.cumsum(counts[own > 0], 1)
-    recall, shares = reached / own[own > 0][:, None], shares[own > 0]
-    means = (reached.sum(0) / own.sum(), recall.mean(0), shares @ recall / shares.sum())
-    return max(int(np.searchsorted(m, target - 1e-12)) + 1 for m in means)
-
-
 def fit_grid(
     vectors: DataFrame,
     dtype: str,
@@ -184,8 +210,9 @@ def fit_grid(
 
     The number of codewords grows with the square root of the largest label's count, so that a cell's share of a label stays
     small, up to an eighth of the sample.  Queries are added, up to the whole sample, until they have partners in
-    ``least_groups`` groups; where the sample is not the whole table and still has fewer, no less than ``most_visits`` cells
-    are visited.
+    ``least_groups`` groups; where the sample is not the whole table and still has fewer, partners are made up for it and no
+    less than ``most_visits`` cells are visited.  ``most_visits`` are tried at first, and more, up to the whole grid, until
+    ``target_recall`` is reached.
     """
     largest = vectors.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     sample = vectors.orderBy(F.xxhash64("rep", F.lit(7)), "rep").limit(sample_rows).toArrow()
@@ -193,19 +220,25 @@ def fit_grid(
     size = int(np.clip(round((largest / 24) ** 0.5), 4, max(4, sample_rows // 8)))
     half = units.shape[1] // 2
     grid = Grid(_codebook(units[:, :half], size), _codebook(units[:, half:], size), 0)
-    most = min(most_visits, len(grid.left) * len(grid.right))
+    cells = len(grid.left) * len(grid.right)
+    most = min(most_visits, cells)
     rows = min(query_rows, len(sample))
     while True:
         queries = sample.slice(0, rows)
-        counts, shares = _found(vectors, queries, grid, dtype, cosine, most), _group_shares(queries, dtype, cosine)
-        enough = shares[counts.sum(1) > 0].sum() >= least_groups
+        found, shares = _found(vectors, queries, grid, dtype, cosine, most), _group_shares(queries, dtype, cosine)
+        enough = shares[np.unique(found.query)].sum() >= least_groups
         if enough or rows == len(sample):
             break
         rows = min(4 * rows, len(sample))
-    visits = _needed(counts, shares, target_recall)
-    if not enough and len(sample) == sample_rows:
-        visits = max(visits, most)
-    return grid._replace(visits=min(visits, most))
+    visits = 1 if enough or len(sample) < sample_rows else _planted(units[:512], grid, cosine, target_recall, most)
+    while (needed := found.needed(shares, target_recall)) > most:
+        # only queries with pairs that were not found are compared again
+        late = np.unique(found.query[found.rank == most])
+        most = min(4 * most, cells)
+        again = _found(vectors, queries.take(late), grid, dtype, cosine, most)
+        known = found.of(~np.isin(found.query, late))
+        found = Ranks(*map(np.concatenate, zip(known, again._replace(query=late[again.query]), strict=True)))
+    return grid._replace(visits=max(visits, needed))
 
 
 def near_vectors(
