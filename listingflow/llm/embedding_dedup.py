@@ -8,11 +8,12 @@ query vectors, enlarged where few of them have partners, is compared with all ve
 ``target_recall`` of the pairs found are reached from either side, on average over pairs, queries and groups of near copies.
 What is found is verified in double precision.
 
-Only vectors with the same label meet.  A cell with many vectors is cut into parts, and so are those that visit it, so no task
+Only vectors with the same label and length meet; each length has its own grid, and vectors of a length that at most
+``block_rows`` have are all compared with each other.  A cell with many vectors is cut into parts, and so are those that visit it, so no task
 sees more than a bounded part of a hot label, cell or source.
 
-Defined results: a vector that is null, empty, zero or has null or non-finite components, has another dimension than the
-majority's sample, or has a null label or id, links with nothing; repeated rows are vectors of their own with cosine 1; an empty
+Defined results: a vector that is null, empty, zero or has null or non-finite components, or has a null label or id, links with
+nothing; repeated rows are vectors of their own with cosine 1; an empty
 table gives an empty result; other columns are not read.
 """
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import runs
+from .blocks import block_pairs, each_block, runs
 from .common import ship_code, stored
 from .components import components
 
@@ -257,17 +258,17 @@ def near_vectors(
     single = dict(table.dtypes)[vector_col] == "array<float>"
     dtype = "<f4" if single else "<f8"
     rows = stored(_prepared(table, id_col, vector_col, label_col, dtype), "vectors")
-    usual = rows.where("key is not null").groupBy(F.length("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    width = usual["n"] if usual else 0
-    groups = rows.where(F.length("vector") == width).groupBy("key")
+    groups = rows.where("key is not null").groupBy("key")
     first = [F.min("vec_id").alias("rep"), F.first("label").alias("label"), F.count("*").alias("weight"), F.first("vector").alias("vector")]
     keyed = stored(groups.agg(*first), "distinct-vectors")
-    vectors = keyed.select("rep", "label", "weight", "vector")
-    if usual is None:
-        links = table.sparkSession.createDataFrame([], "a long, b long, weight_a long, weight_b long")
-    else:
-        grid = fit_grid(vectors, dtype, cosine, target_recall, sample_rows, query_rows, most_visits)
-        links = stored(_links(vectors, grid, dtype, cosine, block_rows), "links")
+    vectors, width = keyed.select("rep", "label", "weight", "vector"), F.length("vector")
+    large = [r["n"] for r in keyed.groupBy(width.alias("n")).count().where(F.col("count") > block_rows).orderBy("n").collect()]
+    links = _all_links(vectors.where(~width.isin(large)), dtype, cosine, block_rows)
+    for n in large:
+        own = vectors.where(width == n)
+        grid = fit_grid(own, dtype, cosine, target_recall, sample_rows, query_rows, most_visits)
+        links = links.union(_links(own, grid, dtype, cosine, block_rows))
+    links = stored(links, "links")
     found = components(links)
     each = links.select(F.col("a").alias("rep"), F.col("weight_b").alias("n"))
     each = each.union(links.select(F.col("b").alias("rep"), F.col("weight_a").alias("n")))
@@ -282,6 +283,26 @@ def near_vectors(
     return out.select("vec_id", F.coalesce("linked", F.lit(0)).alias("n_links"), component, kept)
 
 
+def _all_links(vectors: DataFrame, dtype: str, cosine: float, block_rows: int) -> DataFrame:
+    """``a, b, weight_a, weight_b`` of all pairs, for vectors of lengths that few have: those of one length are a block."""
+
+    def compare(table: pa.Table) -> dict[str, np.ndarray]:
+        length, label = table.column("width").to_numpy(), table.column("label").to_numpy()
+        found = [(np.zeros(0, np.int64),) * 2]
+        for n in np.unique(length):
+            own = np.flatnonzero(length == n)
+            unit = _unit(table.column("vector").take(pa.array(own)), dtype)
+            x, y = np.nonzero(np.triu((unit @ unit.T >= cosine) & (label[own][:, None] == label[own]), 1))
+            found.append((own[x], own[y]))
+        x, y = map(np.concatenate, zip(*found, strict=True))
+        rep, weight = table.column("rep").to_numpy(), table.column("weight").to_numpy()
+        x, y = np.where(rep[x] < rep[y], x, y), np.where(rep[x] < rep[y], y, x)
+        return {"a": rep[x], "b": rep[y], "weight_a": weight[x], "weight_b": weight[y]}
+
+    dealt = block_pairs(vectors.withColumn("width", F.length("vector")), "width", "rep", block_rows)
+    return each_block(dealt, compare, "a long, b long, weight_a long, weight_b long")
+
+
 def _links(vectors: DataFrame, grid: Grid, dtype: str, cosine: float, block_rows: int) -> DataFrame:
     """``a, b, weight_a, weight_b`` of the pairs that the search finds, each once."""
     sent = vectors.sparkSession.sparkContext.broadcast(grid)

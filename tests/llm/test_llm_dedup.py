@@ -256,6 +256,23 @@ def test_visits_go_on_until_the_target_is_reached(spark, pairs):
     assert grid.visits > 2 and share([(i, 6000 + i) for i in range(pairs)]) >= 0.99
 
 
+@pytest.mark.parametrize("most", [16, 2048])
+def test_vectors_of_every_length_link(spark, most):
+    rnd = np.random.default_rng(6)
+    rows = []
+    for width, n in ((16, 200), (12, 80), (1, 3), (5, 6)):
+        x = rnd.normal(size=(n, width))
+        x = np.concatenate([x, x + rnd.normal(size=x.shape) * 0.05, x[:2]]).astype(np.float32)
+        rows += [(len(rows) + i, [float(c) for c in v], i % 2 if width == 5 else 0) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r for r in embedding_dedup.near_vectors(table, 0.93, block_rows=most).collect()}
+    unit = [np.array(v) / np.linalg.norm(v) for _, v, _ in rows]
+    links = [(i, j) for i, _, m in rows for j, _, n in rows[i + 1 :] if m == n and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.93]
+    expected = collections.Counter(i for pair in links for i in pair)
+    assert {i: got[i].n_links for i, *_ in rows} == {i: expected[i] for i, *_ in rows}
+    assert {i: got[i].component_id for i, *_ in rows} == classes([i for i, *_ in rows], links)
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.integers(1, 30), st.integers(0, 10**6))
 def test_traversal_visits_nearest_cells_first(visits, seed):
