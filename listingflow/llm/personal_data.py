@@ -94,7 +94,8 @@ def addresses(text: str) -> Iterator[tuple[int, int]]:
         for first in range(0, len(parts) - 3, 4):
             own = parts[first : first + 4]
             end = start + sum(map(len, own)) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in own):
+            # zeros in front are cut, as int() refuses texts of thousands of digits
+            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in own):
                 yield start, end
             start = end + 1
 

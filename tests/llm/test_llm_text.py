@@ -49,6 +49,12 @@ def test_patterns_take_linear_time():
         personal_data.find(run * 200_000 + "@a.b")
 
 
+def test_parts_of_thousands_of_zeros():
+    zeros = "0" * 5000
+    for text, found in ((f"{zeros}.1.1.1", True), (f"{zeros}1.{zeros}.0.{zeros}255", True), (f"{zeros}256.1.1.1", False)):
+        assert [s[:3] for s in personal_data.find(text) if s.kind == "ip"] == [("ip", 0, len(text))] * found
+
+
 def test_other_kinds_need_checksum_or_context():
     find = lambda text: [(s.kind, text[s.start : s.end]) for s in personal_data.find(text)]
     assert find("pay to GB82 WEST 1234 5698 7654 32 now") == [("iban", "GB82 WEST 1234 5698 7654 32")]
