@@ -6,7 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, jaccard_join, packing, personal_data, quality, sentencepiece_codec, substring_dedup, token_counts, token_store
+from . import (
+    embedding_dedup,
+    exact_dedup,
+    filter_audit,
+    jaccard_join,
+    merkle_manifest,
+    packing,
+    personal_data,
+    quality,
+    sentencepiece_codec,
+    substring_dedup,
+    token_counts,
+    token_store,
+)
 from .common import documents, id_and_text, new_folder, table
 
 PIECES = "piece_bpe_32k.model"
@@ -62,12 +75,121 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    shown = F.when(chosen, merkle_manifest.lowered(F.col("text").cast("string")))
+    return merkle_manifest.verification(merkle_manifest.manifest(documents(spark, sf_dir), shown))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conditions = filter_audit.text_conditions()
+    failing = filter_audit.failing_sets(documents(spark, sf_dir), conditions, repeats="E")
+    counts = filter_audit.counts_by_set(failing, table(spark, sf_dir, "labels"))
+    return filter_audit.audit(counts, "".join(conditions) + "E")
+
+
 OP7_SQL = """
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
            sha256(coalesce(text, '')) AS text_sha256
     FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
+
+def _op12_sql(levels: int = 6, fan_out: int = 16) -> str:
+    """Trees of up to fan_out^levels leaves a source, and as many sources, level by level."""
+    parts = [
+        # crc32 of the id's decimal digits, a bit at a time
+        """
+        WITH crc AS (
+            SELECT *, xor(list_reduce(
+                list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii((doc_id::VARCHAR)[i])::BIGINT),
+                lambda c, b: list_reduce(range(0, 8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)),
+                4294967295::BIGINT), 4294967295::BIGINT) % 5 = 0 AS chosen
+            FROM (SELECT * FROM documents)
+        ), texts AS (
+            SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i,
+                concat_ws('', coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                          coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+                text, CASE WHEN chosen THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS shown
+            FROM crc
+        ), s0 AS (
+            SELECT doc_id, source, i, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS h,
+                   sha256(head || coalesce(strlen(shown) || ':' || shown, '-')) AS claimed, count(*) OVER (PARTITION BY source) AS n
+            FROM texts
+        )"""
+    ]
+
+    def climb(prefix: str, keys: str) -> None:
+        for k in range(levels):
+            width, by = fan_out**k, ", ".join([*keys.split(), "n"])
+            parts.append(f"""
+        , {prefix}g{k} AS (SELECT {by}, i // {fan_out} AS i, list(h ORDER BY i) AS hs FROM {prefix}{k} GROUP BY {by}, i // {fan_out})
+        , {prefix}{k + 1} AS (SELECT {by}, i, CASE WHEN n <= {width} THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h FROM {prefix}g{k})""")
+
+    climb("s", "source")
+    parts.append(f"""
+        , t0 AS (SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM s{levels})""")
+    climb("t", "")
+    # a step: the run of a node's level, its place there, and whether the tree has that level at all
+    parts.append("""
+        , f0 AS (SELECT s0.doc_id, s0.source, s0.i, s0.n, s0.h AS leaf, t0.h AS subroot, t0.i AS ti, t0.n AS tn, s0.claimed AS folded, '' AS proof
+                 FROM s0 JOIN t0 ON s0.source IS NOT DISTINCT FROM t0.source)""")
+    for step in range(2 * levels):
+        k, top = step % levels, step >= levels
+        place, size, runs = ("f.ti", "f.tn", f"tg{k}") if top else ("f.i", "f.n", f"sg{k}")
+        same = "" if top else "g.source IS NOT DISTINCT FROM f.source AND "
+        width = fan_out**k
+        at = f"(({place} // {width}) % {fan_out})"
+        before, after = f"array_to_string(g.hs[1:{at}], '')", f"array_to_string(g.hs[{at} + 2:], '')"
+        parts.append(f"""
+        , f{step + 1} AS (
+            SELECT f.* EXCLUDE (folded, proof), CASE WHEN {size} <= {width} THEN folded ELSE sha256({before} || folded || {after}) END AS folded,
+                   CASE WHEN {size} <= {width} THEN proof ELSE proof || {before} || {after} END AS proof
+            FROM f{step} f JOIN {runs} g ON {same}g.i = {place} // {width * fan_out})""")
+    parts.append(f"""
+        SELECT doc_id, leaf, subroot, t.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t.h AS verified
+        FROM f{2 * levels} JOIN t{levels} t ON true""")
+    return "".join(parts)
+
+
+OP13_SQL = """
+    WITH texts AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+            list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+        FROM documents
+    ), marks AS (
+        SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+    ), failing AS (
+        SELECT part, (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+            + 4 * (100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * len(text))::INT + 8 * regexp_matches(text, '[#$%&*|]')::INT
+            + 16 * coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), false)::INT AS failing,
+            coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+        FROM texts t LEFT JOIN marks m ON m.doc_id = t.doc_id
+    ), counts AS (
+        SELECT part, failing, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failing GROUP BY ALL
+    ), letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(letter, bit)
+    ), orders AS (
+        SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+        FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+    ), steps AS (
+        SELECT filter_order, step::INT AS step, bits[step] AS bit, list_sum(bits[1:step - 1])::INT AS state
+        FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+    ), each_step AS (
+        SELECT part, filter_order, step, bit,
+            sum(n) FILTER (failing & (coalesce(state, 0) | bit) = 0) AS kept,
+            sum(n) FILTER (failing & coalesce(state, 0) = 0 AND failing & bit > 0) AS removed,
+            sum(n) FILTER (failing & coalesce(state, 0) > 0 AND failing & bit > 0) AS redundant,
+            sum(n) FILTER (failing = bit) AS unique_fails,
+            sum(good) FILTER (failing & coalesce(state, 0) = 0 AND failing & bit > 0) AS good_lost,
+            sum(toxic) FILTER (failing & coalesce(state, 0) = 0 AND failing & bit > 0) AS toxic_lost
+        FROM counts, steps GROUP BY ALL
+    )
+    SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+        coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+        coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+    FROM each_step
+"""
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_jaccard_join": op2_jaccard_join,
@@ -79,5 +201,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality": op10_quality,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_filter_audit": op13_filter_audit,
 }
-ORACLES = {"op7_exact_dedup": OP7_SQL}
+ORACLES = {"op7_exact_dedup": OP7_SQL, "op12_merkle_manifest": _op12_sql(), "op13_filter_audit": OP13_SQL}
