@@ -10,6 +10,7 @@ from . import (
     embedding_dedup,
     exact_dedup,
     filter_audit,
+    fingerprints,
     jaccard_join,
     merkle_manifest,
     packing,
@@ -75,6 +76,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     shown = F.when(chosen, merkle_manifest.lowered(F.col("text").cast("string")))
@@ -201,6 +206,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality": op10_quality,
+    "op11_fingerprints": op11_fingerprints,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_filter_audit": op13_filter_audit,
 }
