@@ -69,15 +69,21 @@ def placed(rows: DataFrame, order: list[Column], label: str) -> DataFrame:
     return held.withColumn("_part", part).join(offsets, "_part").withColumn("rank", rank).drop("_part", "_place", "_before")
 
 
+def few(frame: DataFrame, rows: float, each: int = 5_000) -> DataFrame:
+    """A frame of so many rows, to be worked out by a task for each ``each`` of them: levels shrink, their files shall not."""
+    return frame.coalesce(max(1, -(-int(rows) // each)))
+
+
 class Forest(NamedTuple):
     """The nodes above the leaves: ``families[k]`` has a row for every node of level k + 1, with its children.
 
     Columns: ``tree, tree_hi, lo, hi, digest, children``; a child is ``lo, hi, digest`` and, at the first level, what the leaves carry.
-    ``heights`` maps a number of leaves to the levels above them.
+    ``sizes`` has the number of nodes of each level, or a little more.
     """
 
     families: list[DataFrame]
     roots: DataFrame
+    sizes: list[int]
 
 
 def levels_above(n: int, fan_out: int) -> int:
@@ -93,13 +99,13 @@ def bucket(level: int, fan_out: int) -> Column:
     return F.expr(f"(rank - tree) div {fan_out**level}")
 
 
-def grow(nodes: DataFrame, longest: int, fan_out: int, label: str) -> Forest:
+def grow(nodes: DataFrame, longest: int, leaf_count: int, trees: int, fan_out: int, label: str) -> Forest:
     """Trees over leaves ``tree, tree_hi, rank, lo, hi, digest`` (and more, kept in the first level's children).
 
     ``rank`` counts a tree's leaves from ``tree`` on, ``tree_hi`` is the rank after its last one; ``lo`` and ``hi`` are the interval that
     a leaf covers, which for a tree over trees is that of a whole tree.  ``longest`` is the most leaves that a tree has.
     """
-    families, roots = [], []
+    families, roots, sizes = [], [], []
     own = [c for c in nodes.columns if c not in ("tree", "tree_hi", "rank", "lo", "hi", "digest")]
     for level in range(1, levels_above(longest, fan_out) + 1):
         kin = F.sort_array(F.collect_list(F.struct("lo", "hi", "digest", "rank", *own))).alias("children")
@@ -110,13 +116,15 @@ def grow(nodes: DataFrame, longest: int, fan_out: int, label: str) -> Forest:
             "tree", "tree_hi", F.col("children")[0]["rank"].alias("rank"), F.col("children")[0]["lo"].alias("lo"),
             F.element_at("children", -1)["hi"].alias("hi"), F.when(lone, digests[0]).otherwise(digest_of(F.array_join(digests, ""))).alias("digest"), "children",
         )
-        families.append(stored(made, f"{label}-{level}"))
+        # every tree has at most one node that is not full; a family is as large as all its children
+        sizes.append(leaf_count // fan_out**level + trees)
+        families.append(stored(few(made, sizes[-1]), f"{label}-{level}"))
         # trees that end at this level have one node, and the others go on
         size = F.col("tree_hi") - F.col("tree")
         tops = families[-1].drop("children")
         roots.append(tops.where(size <= fan_out**level))
         nodes, own = tops.where(size > fan_out**level), []
-    return Forest(families, reduce(DataFrame.unionByName, roots))
+    return Forest(families, reduce(DataFrame.unionByName, roots), sizes)
 
 
 def siblings(child: Column, parent_lo: Column, parent_hi: Column, kin: Column) -> Column:
@@ -153,7 +161,7 @@ def hand_down(forest: Forest, above: DataFrame, fan_out: int) -> DataFrame:
             step = siblings(F.struct("lo", "hi"), F.col("p_lo"), F.col("p_hi"), F.col("kin"))
             path = F.concat(F.array(step), F.col("p_path")).alias("path")
             attached = tops.unionByName(met.select(*family.columns, path, *more))
-        known = stored(attached, f"paths-{level}") if level > 1 else attached
+        known = stored(few(attached, forest.sizes[level - 1]), f"paths-{level}") if level > 1 else attached
     each = known.select("tree", "tree_hi", F.col("lo").alias("p_lo"), F.col("hi").alias("p_hi"), "children", "path", *more, F.explode("children").alias("child"))
     own = F.array(siblings(F.col("child"), F.col("p_lo"), F.col("p_hi"), F.col("children")))
     # a lone leaf is its tree's root, so no step leads from it to the root
@@ -176,23 +184,24 @@ def manifest(docs: DataFrame, tampered: Column | None = None, fan_out: int = FAN
     proof, a list of the siblings' digests ``before`` and ``after`` at every level."""
     spark = docs.sparkSession
     first = F.asc_nulls_first
-    rows = placed(leaves(docs, tampered), [first("source"), first("doc_id"), first("leaf"), first("claimed")], "leaves")
+    # stored, as the bounds of a range partitioning come from a look at its whole input
+    rows = placed(stored(leaves(docs, tampered), "digests"), [first("source"), first("doc_id"), first("leaf"), first("claimed")], "leaves")
     per_source = rows.groupBy("source").agg(F.min("rank").alias("tree"), (F.max("rank") + 1).alias("tree_hi"))
     per_source = stored(per_source.withColumnRenamed("source", "_source"), "sources")
-    longest, sources = per_source.agg(F.max(F.col("tree_hi") - F.col("tree")), F.count("*")).first()
+    longest, sources, total = per_source.agg(F.max(F.col("tree_hi") - F.col("tree")), F.count("*"), F.max("tree_hi")).first()
     if not sources:
         path = "array<struct<before: string, after: string>>"
         return spark.createDataFrame([], f"doc_id long, leaf string, subroot string, root string, path {path}, claimed string")
     held = rows.join(sent_if_small(per_source), F.col("source").eqNullSafe(F.col("_source")))
     interval = [F.col("rank").alias("lo"), (F.col("rank") + 1).alias("hi")]
-    trees = grow(held.select("tree", "tree_hi", "rank", *interval, F.col("leaf").alias("digest"), "doc_id", "claimed"), longest, fan_out, "nodes")
+    trees = grow(held.select("tree", "tree_hi", "rank", *interval, F.col("leaf").alias("digest"), "doc_id", "claimed"), longest, total, sources, fan_out, "nodes")
     # sources are ordered as their intervals are; each interval is a leaf of the tree over the sources
-    tops = placed(trees.roots.select(F.col("tree").alias("lo"), F.col("tree_hi").alias("hi"), "digest"), [F.asc("lo")], "roots")
-    above = grow(tops.select(F.lit(0).cast("long").alias("tree"), F.lit(sources).cast("long").alias("tree_hi"), "rank", "lo", "hi", "digest"), sources, fan_out, "top")
+    tops = placed(few(trees.roots.select(F.col("tree").alias("lo"), F.col("tree_hi").alias("hi"), "digest"), sources), [F.asc("lo")], "roots")
+    above = grow(tops.select(F.lit(0).cast("long").alias("tree"), F.lit(sources).cast("long").alias("tree_hi"), "rank", "lo", "hi", "digest"), sources, sources, 1, fan_out, "top")
     root = above.roots.first().digest
     begin = spark.createDataFrame([(0, [], root)], "tree long, path array<struct<before: string, after: string>>, root string")
     over = hand_down(above, begin, fan_out).select(F.col("lo").alias("tree"), F.col("digest").alias("subroot"), "path", "root")
-    out = hand_down(trees, stored(over, "over"), fan_out)
+    out = hand_down(trees, stored(few(over, sources), "over"), fan_out)
     return out.select("doc_id", F.col("digest").alias("leaf"), "subroot", "root", "path", "claimed")
 
 
