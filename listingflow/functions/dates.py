@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -10,13 +11,13 @@ from .text import col_of, strip
 
 # Accepted shapes, and the layouts tried for each.  Separators are brought to one form first.  A text is
 # handed only to parsers that can succeed.
-_ISO_SHAPE = r"^\d{4}(-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,6})?)?)?)?)?$"
+_ISO_SHAPE = r"^\d{4}(-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?)?)?)?$"
 _NUMERIC_SHAPE = r"^\d{1,2}([/.-])\d{1,2}\1\d{4}$"
 _NUMERIC_SHORT_SHAPE = r"^\d{1,2}([/.-])\d{1,2}\1\d{2}$"
 _MONTH_NAME_SHAPE = r"^[A-Za-z]{3,9} \d{1,2},? \d{4}$"
 _DAY_NAME_SHAPE = r"^\d{1,2}[ -][A-Za-z]{3,9}[ -]\d{4}$"
 _DAY_NAME_SHORT_SHAPE = r"^\d{1,2}[ -][A-Za-z]{3,9}[ -]\d{2}$"
-_YEAR_FIRST_SHAPE = r"^\d{4}/\d{1,2}/\d{1,2}$"
+_YEAR_FIRST_SHAPE = r"^\d{4}([/.])\d{1,2}\1\d{1,2}$"
 _DIGITS_SHAPE = r"^\d{8}$"
 _OVER_TWELVE_FIRST = r"^(1[3-9]|[2-9]\d)/"
 _OVER_TWELVE_SECOND = r"^\d{1,2}/(1[3-9]|[2-9]\d)/"
@@ -32,9 +33,42 @@ _MONTH_YEAR = ("MMM yyyy", "MMMM yyyy")
 # What may stand around a date and is cut away before the layouts are tried again.
 _WEEKDAY = r"(?i)^(mon|tue|tues|wed|thu|thur|thurs|fri|sat|sun|monday|tuesday|wednesday|thursday|friday|saturday|sunday)[.,]* +"
 _ORDINAL = r"(?i)\b(\d{1,2})(st|nd|rd|th)\b"
-_SEPT = r"(?i)\bsept\b"
 _MONTH_DOT = r"\b([A-Za-z]{3,9})\."
-_CLOCK = r"(?i)[ T,]+(\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?))?(?: ?([ap])\.?m\.?)?(?: ?(Z|UTC|GMT|[+-]\d{2}:?\d{2}))?$"
+_CLOCK = (
+    r"(?i)[ T,]+(?:at +)?(?:(\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,9})?))?(?: ?([ap])\.?m\.?)?|(\d{1,2}) ?([ap])\.?m\.?)"
+    r"(?: ?(Z|UTC|GMT|[+-]\d{2}:?\d{2}))?$"
+)
+# A word that may be a month's name, what is written between day, month and year in some languages, a dot after
+# the day, and year, month and day in signs of East Asia.
+_NAME = r"(?U)(\p{L}{3,})"
+_BETWEEN = r"(?i) (de|del|di|of) "
+_DAY_DOT = r"^(\d{1,2})\. ?(?=\p{L})"
+_EAST_ASIAN = r"^(\d{4}) ?[年년] ?(\d{1,2}) ?[月월] ?(\d{1,2}) ?[日일]$"
+# Names of the months, in lower case.
+_MONTHS = {
+    "English": "january february march april may june july august september october november december",
+    "German": "januar februar märz april mai juni juli august september oktober november dezember",
+    "French": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "Spanish": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+    "Italian": "gennaio febbraio marzo aprile maggio giugno luglio agosto settembre ottobre novembre dicembre",
+    "Portuguese": "janeiro fevereiro março abril maio junho julho agosto setembro outubro novembro dezembro",
+    "Dutch": "januari februari maart april mei juni juli augustus september oktober november december",
+    "Swedish": "januari februari mars april maj juni juli augusti september oktober november december",
+    "Danish": "januar februar marts april maj juni juli august september oktober november december",
+}
+_ENGLISH = [m[:3].title() for m in _MONTHS["English"].split()]
+
+
+def _month_names() -> dict[str, str]:
+    """Every name of a month, and every beginning of one of three letters or more that belongs to no other month."""
+    found: dict[str, set[str]] = {}
+    for names in _MONTHS.values():
+        for name, english in zip(names.split(), _ENGLISH, strict=True):
+            for end in range(3, len(name) + 1):
+                found.setdefault(name[:end], set()).add(english)
+    return {name: months.pop() for name, months in found.items() if len(months) == 1}
+
+
 # Two-digit years from this one on are of the last century.
 _PIVOT = 69
 
@@ -72,36 +106,85 @@ def parse_stamp(value: Column | str, dayfirst: bool = False) -> Column:
     """Tolerant parse: null when no layout fits.
 
     An ambiguous text is read by the asked-for convention, any other by the one that gives a date.  Texts that fit no layout
-    are tried again without weekday, ordinal endings, dots after months, time of day and zone; a zoned time is read as UTC.
-    The value is looked at several times; put anything costlier than a column into a column of its own first.
+    are tried again without weekday, ordinal endings, dots after months, time of day and zone, with month names of several
+    languages; a zoned time is read as UTC.
+
+    One expression can hold an intermediate text only as the element of an array, which keeps its projection out of generated
+    code.  For columns of a frame use ``parse_stamps``, which gives the same in generated code.
     """
     text = strip(value)
-    return F.coalesce(_read_plain(text, dayfirst), F.when(text.rlike(r"\d"), _read_loose(text, dayfirst)))
+    held = lambda c, use: F.get(F.transform(F.array(c), use), F.lit(0))
+    inside = held(_bare(text), lambda bare: held(_day(bare), lambda day: _read_plain(day, dayfirst)) + _clock(bare))
+    return F.coalesce(_read_plain(text, dayfirst), F.when(_worth(text), inside))
 
 
-def _read_loose(text: Column, dayfirst: bool) -> Column:
-    """The date inside a text with other things around it, and its time of day.  The cut text is worked out once."""
+def parse_stamps(df: DataFrame, values: dict[str, tuple[Column | str, bool]]) -> DataFrame:
+    """``df`` with columns parsed as by ``parse_stamp``, given as new name -> (value, day first).
+
+    Every step is a column of its own, worked out once for a value however many conventions it is read by; steps stay in
+    generated code.  Only texts that fit no layout as they are get to the costly ones.
+    """
+    texts: dict[str, Column] = {}
+    step: dict[str, tuple[str, bool]] = {}
+    for name, (value, dayfirst) in values.items():
+        c = strip(value)
+        slot = next((k for k, known in texts.items() if str(known) == str(c)), f"_date{len(texts)}")
+        texts.setdefault(slot, c)
+        step[name] = (slot, dayfirst)
+    out = df.withColumns(texts)
+    out = out.withColumns({f"_as_is_{i}": _read_plain(F.col(slot), dayfirst) for i, (slot, dayfirst) in enumerate(step.values())})
+    missed = {slot: [F.col(f"_as_is_{i}").isNull() for i, (s, _) in enumerate(step.values()) if s == slot] for slot in texts}
+    out = out.withColumns({f"{s}_bare": F.when(reduce(lambda a, b: a | b, missed[s]) & _worth(F.col(s)), _bare(F.col(s))) for s in texts})
+    out = out.withColumns({f"{s}_day": _day(F.col(f"{s}_bare")) for s in texts} | {f"{s}_{i}": p for s in texts for i, p in enumerate(_clock_parts(F.col(f"{s}_bare")))})
+    found = {}
+    for i, (name, (slot, dayfirst)) in enumerate(step.items()):
+        inside = _read_plain(F.col(f"{slot}_day"), dayfirst) + _time_of_day([F.col(f"{slot}_{k}") for k in range(5)])
+        found[name] = F.coalesce(F.col(f"_as_is_{i}"), F.when(F.col(f"{slot}_bare").isNotNull(), inside))
+    new = [found[c].alias(c) for c in found if c not in df.columns]
+    return out.select(*[found[c].alias(c) if c in found else F.col(f"`{c}`") for c in df.columns], *new)
+
+
+def _worth(text: Column) -> Column:
+    """Whether a text may hold a date at all."""
+    return text.rlike(r"\d")
+
+
+def _bare(text: Column) -> Column:
+    """A text without what may stand around a date, its month in English."""
     bare = F.regexp_replace(F.regexp_replace(text, _WEEKDAY, ""), _ORDINAL, "$1")
-    bare = F.regexp_replace(F.regexp_replace(bare, _SEPT, "Sep"), _MONTH_DOT, "$1")
-    return F.get(F.transform(F.array(bare), lambda cut: _read_day(cut, dayfirst) + _clock(cut)), F.lit(0))
+    bare = F.regexp_replace(F.regexp_replace(bare, _EAST_ASIAN, "$1-$2-$3"), _BETWEEN, " ")
+    bare = F.regexp_replace(F.regexp_replace(bare, _MONTH_DOT, "$1"), _DAY_DOT, "$1 ")
+    word = F.regexp_extract(bare, _NAME, 1)
+    known = F.create_map(*[F.lit(x) for pair in _month_names().items() for x in pair])
+    return F.when(word == "", bare).otherwise(F.replace(bare, word, F.coalesce(F.element_at(known, F.lower(word)), word)))
 
 
-def _read_day(cut: Column, dayfirst: bool) -> Column:
-    day = F.transform(F.array(strip(F.regexp_replace(cut, _CLOCK, ""))), lambda d: _read_plain(d, dayfirst))
-    return F.get(day, F.lit(0))
+def _day(bare: Column) -> Column:
+    return strip(F.regexp_replace(bare, _CLOCK, ""))
 
 
-def _clock(cut: Column) -> Column:
+def _clock(bare: Column) -> Column:
     """The time of day in a text, as an interval in UTC; none is midnight."""
-    part = [F.regexp_extract(cut, _CLOCK, i) for i in range(6)]
-    number = lambda c: F.coalesce(c.try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
-    hour, half = number(part[1]).cast("int"), F.lower(part[4])
+    return _time_of_day(_clock_parts(bare))
+
+
+def _clock_parts(bare: Column) -> list[Column]:
+    """Hour, minute, second, half of the day and zone, empty where they are missing."""
+    whole = F.regexp_extract(bare, _CLOCK, 0)
+    part = lambda i: F.regexp_extract(whole, _CLOCK, i)
+    either = lambda a, b: F.coalesce(F.nullif(part(a), F.lit("")), part(b))
+    return [either(1, 5), part(2), part(3), F.lower(either(4, 6)), part(7)]
+
+
+def _time_of_day(parts: list[Column]) -> Column:
+    number = lambda c: F.coalesce(F.substring(c, 1, 9).try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
+    hour, half = number(parts[0]).cast("int"), parts[3]
     hour = F.when(half == "p", hour % 12 + 12).when(half == "a", hour % 12).otherwise(hour)
-    offset = F.regexp_extract(part[5], r"([+-])(\d{2}):?(\d{2})", 2), F.regexp_extract(part[5], r"([+-])(\d{2}):?(\d{2})", 3)
-    away = number(offset[0]).cast("int") * 60 + number(offset[1]).cast("int")
-    away = F.when(F.startswith(part[5], F.lit("+")), -away).otherwise(away)
-    minute = number(part[2]).cast("int")
-    return F.when((hour < 24) & (minute < 60), F.make_dt_interval(F.lit(0), hour, minute + away, number(part[3])))
+    offset = r"([+-])(\d{2}):?(\d{2})"
+    away = number(F.regexp_extract(parts[4], offset, 2)).cast("int") * 60 + number(F.regexp_extract(parts[4], offset, 3)).cast("int")
+    away = F.when(F.startswith(parts[4], F.lit("+")), -away).otherwise(away)
+    minute = number(parts[1]).cast("int")
+    return F.when((hour < 24) & (minute < 60), F.make_dt_interval(F.lit(0), hour, minute + away, number(parts[2])))
 
 
 def _read_plain(text: Column, dayfirst: bool) -> Column:
@@ -114,7 +197,7 @@ def _read_plain(text: Column, dayfirst: bool) -> Column:
         .when(text.rlike(_MONTH_NAME_SHAPE), _read_named(spaced, _MONTH_NAME))
         .when(text.rlike(_NUMERIC_SHORT_SHAPE), _read_numeric(slashed, _SHORT_YEAR, dayfirst))
         .when(text.rlike(_DAY_NAME_SHORT_SHAPE), _read_named(spaced, _DAY_NAME_SHORT))
-        .when(text.rlike(_YEAR_FIRST_SHAPE), _read(text, _YEAR_FIRST))
+        .when(text.rlike(_YEAR_FIRST_SHAPE), _read(slashed, _YEAR_FIRST))
         .when(text.rlike(_DIGITS_SHAPE), _read(text, _DIGITS))
         .when(text.rlike(_MONTH_YEAR_SHAPE), _read_named(F.replace(text, F.lit(","), F.lit("")), _MONTH_YEAR))
     )
@@ -127,13 +210,15 @@ def parse_date(value: Column | str, dayfirst: bool = False) -> Column:
 def parse_date_columns(df: DataFrame, columns: list[str], dayfirst: bool = False, stamp: bool = False) -> DataFrame:
     """Parse the listed columns that exist; columns already holding dates are only cast."""
     target = "timestamp_ntz" if stamp else "date"
-    changed = {}
-    for field in df.schema.fields:
-        if field.name in columns:
-            c = F.col(f"`{field.name}`")
-            parsed = parse_stamp(c, dayfirst) if isinstance(field.dataType, T.StringType) else c
-            changed[field.name] = parsed.cast(target)
-    return df.withColumns(changed) if changed else df
+    listed = [f for f in df.schema.fields if f.name in columns]
+    texts = {f.name: (F.col(f"`{f.name}`"), dayfirst) for f in listed if isinstance(f.dataType, T.StringType)}
+    parsed = parse_stamps(df, texts) if texts else df
+    return parsed.withColumns({f.name: F.col(f"`{f.name}`").cast(target) for f in listed}) if listed else df
+
+
+def parse_dates(df: DataFrame, values: dict[str, tuple[Column | str, bool]]) -> DataFrame:
+    """``parse_stamps``, as dates."""
+    return parse_stamps(df, values).withColumns({c: F.col(f"`{c}`").cast("date") for c in values})
 
 
 def shift_days(value: Column | str, days: int) -> Column:

@@ -228,7 +228,7 @@ def _read(first: str, second: str) -> str:
         CAST(CASE cell {_loose(2)} ELSE CASE WHEN regexp_matches(trim(cell), '^[0-9][0-9][0-9][0-9]-') THEN try_strptime(cell, '%Y-%m-%d') WHEN cell LIKE '%/%' THEN {_read('%d/%m/%Y', '%m/%d/%Y')} ELSE {_read('%d-%m-%Y', '%m-%d-%Y')} END END AS DATE) AS day_first FROM ({_TEXT_DATES})""",
 )
 def date_parse(t: Tables) -> DataFrame:
-    return t.sql(_TEXT_DATES).select("o_orderkey", dates.parse_date("cell").alias("month_first"), dates.parse_date("cell", dayfirst=True).alias("day_first"))
+    return dates.parse_dates(t.sql(_TEXT_DATES), {"month_first": ("cell", False), "day_first": ("cell", True)}).drop("cell")
 
 
 _MONTH_DAY = "SELECT o_orderkey, lpad(CAST(month(o_orderdate) AS STRING), 2, '0') || '-' || lpad(CAST(day(o_orderdate) AS STRING), 2, '0') AS cell FROM {orders}"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ...functions.dates import infer_year, parse_date
+from ...functions.dates import infer_year, parse_date_columns
 from ...functions.numbers import scaled, split_price, thousands, tolerant_double
 from ...functions.text import concat_blank, contains, extract, replace_pattern, replace_text, strip
 from ...operators.columns import blanks_to_null, placeholders_to_null, stack
@@ -178,7 +178,7 @@ def asx_raw(lines: DataFrame) -> DataFrame:
     parts = lines.withColumns(
         {"company_name": extract("listing_info", _ASX_NAME), "ipo_date": extract("listing_info", _ASX_DATE)}
     )
-    return parts.withColumns({"ipo_date": parse_date("ipo_date"), "exchange": F.lit("Australian Stock Exchange")})
+    return parse_date_columns(parts, ["ipo_date"]).withColumn("exchange", F.lit("Australian Stock Exchange"))
 
 
 def asx(raw: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ...functions.dates import null_unless_after, parse_date, text_on_or_after
+from ...functions.dates import null_unless_after, parse_date_columns, text_on_or_after
 from ...functions.numbers import ratio, thousands, tolerant_double
 from ...functions.text import contains, extract, is_not, replace_pattern, replace_text
 from ...operators.columns import move_when_prefixed, rename, update_where
@@ -122,9 +122,9 @@ def borsa_italiana(raw: DataFrame) -> DataFrame:
 def ipohub_raw(cards: DataFrame, as_of) -> DataFrame:
     """Cards from ``sources.records.cards``; a bare year reads as 1 January and is no date once that has passed."""
     text = F.col("price")
-    return cards.withColumns(
+    return parse_date_columns(cards, ["ipo_date"]).withColumns(
         {
-            "ipo_date": null_unless_after(parse_date("ipo_date"), as_of),
+            "ipo_date": null_unless_after("ipo_date", as_of),
             "price_range": F.when(contains(text, "-"), text),
             "currency": extract(text, _HUB_CURRENCY),
             "price": tolerant_double(replace_pattern(text, _HUB_CURRENCY)),

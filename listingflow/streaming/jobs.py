@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.health import RECENT_POLLS, health_report
+from ..operators.health import RECENT_POLLS
 from ..operators.history import HistoryStore
-from ..operators.joins import only_in_left
+from . import keyed
 
 
 def read_folder_stream(
@@ -52,34 +52,20 @@ def first_arrival(listings: DataFrame, keys: list[str], stamp: str, delay: str)
     """One row of each key, the first to arrive, not the earliest by its stamp.
 
     Copies are dropped for as long as ``delay`` and the state then freed, so a key that stays away longer comes out again; where
-    that matters use ``FirstSeenStore``.
+    that matters use ``first_seen``.
     """
     return listings.withWatermark(stamp, delay).dropDuplicatesWithinWatermark(keys)
 
 
-class FirstSeenStore:
-    """Every key ever seen, once, with its earliest stamp in the batch that brought it first; one folder per micro-batch.
+def first_seen(
+    listings: DataFrame, keys: list[str], stamp: str, path: str, checkpoint: str, every: str | None = None, known: DataFrame | None = None
+) -> StreamingQuery:
+    """Append the first sighting of each key to ``path``, for good (see ``keyed.first_seen``).
 
-    Keys known from earlier batches are left out by an anti join, so a replayed batch writes the same folder again.
+    ``known`` are keys seen before; they are read when the query first starts.
     """
-
-    def __init__(self, spark, root: str, keys: list[str], stamp: str):
-        self.spark, self.root, self.keys, self.stamp = spark, root.rstrip("/"), keys, stamp
-
-    def add(self, batch: DataFrame, number: int) -> None:
-        new = batch.groupBy(*self.keys).agg(F.min(self.stamp).alias(self.stamp))
-        if number > 0:
-            known = self.spark.read.schema(T.StructType([*new.schema.fields, T.StructField("batch", T.LongType())])).parquet(self.root)
-            new = only_in_left(new, known.where(F.col("batch") < number).select(*self.keys), self.keys, null_safe=True)
-        new.write.mode("overwrite").parquet(f"{self.root}/batch={number}")
-
-    def rows(self) -> DataFrame:
-        return self.spark.read.parquet(self.root).drop("batch")
-
-
-def first_seen(listings: DataFrame, store: FirstSeenStore, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Keep the first sighting of each key for good."""
-    return _start(listings.writeStream.foreachBatch(lambda batch, number: store.add(batch, number)), checkpoint, every)
+    with keyed.rocksdb_state(listings.sparkSession):
+        return to_files(keyed.first_seen(listings, keys, stamp, known), path, checkpoint, every)
 
 
 def health_windows(polls: DataFrame, stamp: str, width: str, delay: str, source: str = "source") -> DataFrame:
@@ -95,23 +81,16 @@ def to_files(stream: DataFrame, path: str, checkpoint: str, every: str | None =
     return _start(stream.writeStream.format("parquet").outputMode("append").option("path", path), checkpoint, every)
 
 
-class PollStore:
-    """Poll results kept for the last-N-polls report: one row per (source, poll), one folder per micro-batch."""
-
-    def __init__(self, spark, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def add(self, batch: DataFrame, number: int) -> None:
-        rows = batch.groupBy("source", "time_checked", "result").agg(F.count(F.lit(1)).alias("copies"))
-        rows.write.mode("overwrite").parquet(f"{self.root}/batch={number}")
-
-    def polls(self) -> DataFrame:
-        return self.spark.read.parquet(self.root).drop("batch")
-
-    def report(self, n: int = RECENT_POLLS) -> DataFrame:
-        """The health report over everything stored; copies of a poll row count as often as they arrived."""
-        return health_report(self.polls(), n, weight="copies")
-
+def source_health(
+    polls: DataFrame, checkpoint: str, n: int = RECENT_POLLS, every: str | None = None, forget_after: int | None = None, sink: str | None = None
+) -> StreamingQuery:
+    """Keep the last ``n`` polls of every source as state; ``keyed.health_so_far`` reports from the checkpoint.
 
-def polls_to_store(polls: DataFrame, store: PollStore, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    return _start(polls.writeStream.foreachBatch(lambda batch, number: store.add(batch, number)), checkpoint, every)
+    ``sink`` names a format that takes the changed sources of each batch; without it they are only kept as state.  Timers need
+    a query that goes on, so ``forget_after`` needs ``every``.
+    """
+    if forget_after is not None and every is None:
+        raise ValueError("forget_after needs every")
+    with keyed.rocksdb_state(polls.sparkSession):
+        changed = keyed.poll_health(polls, n, forget_after).writeStream.format(sink or "noop").outputMode("update")
+        return _start(changed, checkpoint, every)

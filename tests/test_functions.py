@@ -21,6 +21,53 @@ def test_dates_by_convention(spark):
     assert [r[1] for r in got][1:4] == [d(2021, 4, 3), d(2021, 12, 25), d(2021, 12, 25)]
 
 
+LOOSE = {
+    "2020.03.05": "2020-03-05 00:00:00",
+    "2020.3.5 10:00": "2020-03-05 10:00:00",
+    "2020-03-05 10:00:00.123456789": "2020-03-05 10:00:00.123456",
+    "2020-03-05T10:00:59.123456789Z": "2020-03-05 10:00:59.123456",
+    "March 5th, 2020 at 4pm": "2020-03-05 16:00:00",
+    "Thu, 5 Mar 2020 12 a.m.": "2020-03-05 00:00:00",
+    "Mar 5 2020 4:05 PM": "2020-03-05 16:05:00",
+    "2020-03-05 23:30:00-05:00": "2020-03-06 04:30:00",
+    "5. März 2020": "2020-03-05 00:00:00",
+    "5 de marzo de 2020": "2020-03-05 00:00:00",
+    "12 août 2021": "2021-08-12 00:00:00",
+    "1 Dez. 2021": "2021-12-01 00:00:00",
+    "3 juil. 2021": "2021-07-03 00:00:00",
+    "15 GENNAIO 2021": "2021-01-15 00:00:00",
+    "7 maj 2021": "2021-05-07 00:00:00",
+    "Sept 5, 2020": "2020-09-05 00:00:00",
+    "2020年3月5日": "2020-03-05 00:00:00",
+    "2020년 3월 5일": "2020-03-05 00:00:00",
+    "5 mar 2020 at 25:00": None,
+    "31 juin 2021": None,
+    "5 jui 2021": None,
+    "in 3 days": None,
+    "no digits here": None,
+    "": None,
+    None: None,
+}
+
+
+def test_loose_dates_in_a_column_and_in_one_expression(spark):
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(LOOSE)], "i int, c string")
+    wide = dates.parse_stamps(df, {"c": ("c", False), "d": (F.col("c"), True), "e": (F.concat("c", F.lit(" ")), False)})
+    assert wide.columns == ["i", "c", "d", "e"]
+    expected = [None if v is None else dt.datetime.fromisoformat(v) for v in LOOSE.values()]
+    got = wide.orderBy("i").collect()
+    assert [r.c for r in got] == [r.e for r in got] == expected
+    assert [r[0] for r in df.orderBy("i").select(dates.parse_stamp("c")).collect()] == expected
+    assert [r.d for r in got] == [r[0] for r in df.orderBy("i").select(dates.parse_stamp("c", dayfirst=True)).collect()]
+
+
+def test_columns_are_parsed_in_generated_code(spark, tmp_path):
+    spark.createDataFrame([("2020-03-05", "x")], "c string, d string").write.parquet(str(tmp_path / "t"))
+    plan = dates.parse_date_columns(spark.read.parquet(str(tmp_path / "t")), ["c", "d"])._jdf.queryExecution().executedPlan().toString()
+    assert [line for line in plan.split("\n") if "Project" in line]
+    assert all("*(" in line for line in plan.split("\n") if "Project" in line)
+
+
 def test_date_columns_already_typed_are_kept(spark):
     df = spark.sql("SELECT DATE '2021-01-02' AS a, TIMESTAMP_NTZ '2021-01-02 03:04:05' AS b, '1/2/2021' AS c")
     got = dates.parse_date_columns(df, ["a", "b", "c", "absent"]).first()

@@ -9,7 +9,6 @@ from listingflow.operators.columns import conform
 from listingflow.plans import batch
 from listingflow.session import run_folder
 from listingflow.sources.writers import VersionedTable
-from listingflow.streaming import jobs
 
 from conftest import rows
 
@@ -121,15 +120,6 @@ def test_health(spark):
     assert [r.source for r in health.worst_first(health.health_report(polls, 2)).collect()] == ["b", "a"]
 
 
-def test_poll_store_over_batches(spark, tmp_path):
-    polls = spark.createDataFrame([("a", 1, "3"), ("a", 1, "3"), ("a", 0, "2"), ("b", 0, "2"), ("b", 1, "1")], "source string, result int, time_checked string")
-    store = jobs.PollStore(spark, str(tmp_path / "polls"))
-    store.add(polls.where("time_checked < '3'"), 0)
-    store.add(polls.where("time_checked = '3'"), 1)
-    store.add(polls.where("time_checked = '3'"), 1)
-    assert rows(store.report(2)) == rows(health.health_report(polls, 2))
-
-
 def test_registry(spark, tmp_path):
     (tmp_path / "r.json").write_text('[{"source_name": "A", "source_type": "website", "cell_elem": ["th", "td"], "columns": ["x", "y"], "table_attrs": {"class": "c"}}, {"source_name": "B", "source_type": "other", "cell_elem": "td", "columns": ["z"]}]')
     made = registry.read_registry(spark, str(tmp_path / "r.json"))
