@@ -31,7 +31,11 @@ _DIGITS = "yyyyMMdd"
 _MONTH_YEAR_SHAPE = r"^[A-Za-z]{3,9},? \d{4}$"
 _MONTH_YEAR = ("MMM yyyy", "MMMM yyyy")
 # What may stand around a date and is cut away before the layouts are tried again.
-_WEEKDAY = r"(?i)^(mon|tue|tues|wed|thu|thur|thurs|fri|sat|sun|monday|tuesday|wednesday|thursday|friday|saturday|sunday)[.,]* +"
+_DAYS = "mon|tues?|wed|thu|thurs?|fri|sat|sun|monday|tuesday|wednesday|thursday|friday|saturday|sunday"
+_WEEKDAY = rf"(?i)^(?:{_DAYS})[.,]* +"
+# How a date with other things around it begins, and what only such a date holds.
+_BEGINS = rf"(?iU)^(?:(?:{_DAYS})[.,]* +)?(?:\d{{1,4}}[-/. 年년]|\d{{8}}[ T]|\d{{1,2}}(?:st|nd|rd|th)\b|\p{{L}}{{3,}}[.,]* ?\d)"
+_AROUND = r"[^-/.0-9]"
 _ORDINAL = r"(?i)\b(\d{1,2})(st|nd|rd|th)\b"
 _MONTH_DOT = r"\b([A-Za-z]{3,9})\."
 _CLOCK = (
@@ -145,8 +149,8 @@ def parse_stamps(df: DataFrame, values: dict[str, tuple[Column | str, bool]]) ->
 
 
 def _worth(text: Column) -> Column:
-    """Whether a text may hold a date at all."""
-    return text.rlike(r"\d")
+    """Whether a text that fits no layout may hold a date with other things around it."""
+    return text.rlike(_AROUND) & text.rlike(_BEGINS)
 
 
 def _bare(text: Column) -> Column:
