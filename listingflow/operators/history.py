@@ -172,52 +172,102 @@ def fold_polls(
     return first.select(*keys, F.coalesce("_was", "_seen").alias(ADDED), REMOVED)
 
 
+#: Parts into which a store's rows are dealt.
+SLOTS = 64
+
+
 class HistoryStore:
-    """A history on shared storage that grows by what changes.
+    """A history on shared storage in which a fold reads and writes only what its polls touch.
 
-    Every fold writes a folder of its own with the open rows and the rows it closed.  Closed rows are never rewritten: the
-    current history is the open part of the newest version and the closed parts of all.  Folding the same version again
-    gives the same folder.
+    Rows are dealt into ``slots`` folders: open rows by their source, closed rows by a hash of all their columns.  A fold reads
+    the open rows of the slots of its sources and writes these anew under its version; of the closed rows, which never
+    change, it reads the slots of rows that were sighted but are not open, so none where a poll brings nothing new, however
+    many rows were closed before, and adds the ones it closes.  A small table beside each version tells which version has the
+    open rows of each slot and which slots have closed rows; it also holds the number of slots, and another number is refused.
+
+    Folding the same version again reads what the version before left and writes the same folders.  Snapshots must keep
+    the types of their columns.
     """
 
-    def __init__(self, spark, root: str, source: str = "source"):
+    def __init__(self, spark, root: str, source: str = "source", slots: int = SLOTS):
         from ..sources.writers import VersionedTable
 
-        self.spark, self.source = spark, source
+        self.spark, self.source, self.slots = spark, source, slots
         self.root = root.rstrip("/")
         self.log = VersionedTable(spark, self.root)
 
-    def _data(self, current: int) -> DataFrame:
-        rows = self.spark.read.option("basePath", f"{self.root}/data").parquet(f"{self.root}/data")
-        return rows.where(F.col("version") <= current)
-
-    def open_rows(self, before: int | None = None) -> DataFrame | None:
+    def _places(self, before: int | None = None) -> tuple[dict[int, int], set[int]] | None:
+        """(version of each slot's open rows, slots with closed rows) as of the newest version; None where there is none."""
         current = self.log.current(before)
         if current is None:
             return None
-        rows = self._data(current).where((F.col("version") == current) & (F.col("closed") == 0))
-        return rows.drop("version", "closed")
-
-    def closed_rows(self, before: int | None = None) -> DataFrame | None:
-        current = self.log.current(before)
-        return None if current is None else self._data(current).where("closed = 1").drop("version", "closed")
+        rows = self.spark.read.parquet(f"{self.root}/slots/version={current}").collect()  # two rows a slot at most, and one
+        made_with = next(r.version for r in rows if r.kind == "slots")
+        if made_with != self.slots:
+            raise ValueError(f"the store has {made_with} slots, not {self.slots}")
+        return {r.slot: r.version for r in rows if r.kind == "open"}, {r.slot for r in rows if r.kind == "closed"}
+
+    def _read(self, kind: str, paths: list[str]) -> DataFrame | None:
+        if not paths:
+            return None
+        return self.spark.read.option("basePath", f"{self.root}/{kind}").parquet(*sorted(paths))
+
+    def open_rows(self, before: int | None = None, slots: set[int] | None = None) -> DataFrame | None:
+        """The open rows (of some slots); None where there are none."""
+        places = self._places(before)
+        wanted = {} if places is None else {k: v for k, v in places[0].items() if slots is None or k in slots}
+        rows = self._read("open", [f"{self.root}/open/version={v}/slot={k}" for k, v in wanted.items()])
+        return None if rows is None else rows.drop("version", "slot")
+
+    def closed_rows(self, before: int | None = None, slots: set[int] | None = None) -> DataFrame | None:
+        """The closed rows (of some slots); None where there are none."""
+        places = self._places(before)
+        wanted = set() if places is None else {k for k in places[1] if slots is None or k in slots}
+        rows = self._read("closed", [f"{self.root}/closed/slot={k}" for k in wanted])
+        return None if rows is None else rows.where(F.col("version") <= self.log.current(before)).drop("version", "slot")
 
     def history(self) -> DataFrame:
-        return self.open_rows().unionByName(self.closed_rows())
+        opened, closed = self.open_rows(), self.closed_rows()
+        if opened is None or closed is None:
+            return opened if closed is None else closed
+        return opened.unionByName(closed)
+
+    def _slot_of(self, columns: list[str]) -> Column:
+        parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")) for c in columns]
+        return F.pmod(F.xxhash64(*parts), F.lit(self.slots)).cast("int")
 
     def fold(self, snapshots: DataFrame, version: int, empty_polls: DataFrame | None = None) -> None:
         # the list of polls is stored first: read back, its size is known and Spark can tell whether to broadcast it
         times = poll_times(snapshots, self.source)
         if empty_polls is not None:
             times = times.unionByName(empty_polls.select(self.source, CHECKED))
-        polls = f"{self.root}/polls/version={version}"
-        times.write.mode("overwrite").parquet(polls)
-        folded = fold_polls(
-            snapshots,
-            self.source,
-            self.open_rows(version),
-            self.closed_rows(version),
-            self.spark.read.schema(times.schema).parquet(polls),
-        ).withColumn("closed", F.col(REMOVED).isNotNull().cast("int"))
-        folded.write.mode("overwrite").partitionBy("closed").parquet(f"{self.root}/data/version={version}")
+        folder = f"{self.root}/polls/version={version}"
+        times.write.mode("overwrite").parquet(folder)
+        polls = self.spark.read.schema(times.schema).parquet(folder)
+        keys = [c for c in snapshots.columns if c not in STAMPS]
+        slot = lambda rows, by: {r[0] for r in rows.select(self._slot_of(by)).distinct().collect()}  # noqa: E731  at most ``slots``
+        touched = slot(polls, [self.source])
+        before = self.open_rows(version, touched)
+        missed = snapshots.select(*keys)
+        if before is not None:
+            missed = keyed(missed, keys).join(keys_of(before, keys), ROW_KEY, "left_anti").drop(*ROW_KEY)
+        closed = self.closed_rows(version, slot(missed, keys))
+        folded = fold_polls(snapshots, self.source, before, closed, polls)
+        is_open = F.col(REMOVED).isNull()
+        place = F.when(is_open, self._slot_of([self.source])).otherwise(self._slot_of(keys)).alias("slot")
+        whole = f"{self.root}/folded/version={version}"
+        folded.select("*", is_open.alias("_open"), place).write.mode("overwrite").parquet(whole)
+        rows = self.spark.read.schema(folded.select("*", is_open.alias("_open"), place).schema).parquet(whole)
+        rows.where("_open").drop("_open").write.mode("overwrite").partitionBy("slot").parquet(f"{self.root}/open/version={version}")
+        gone = rows.where("not _open").drop("_open").withColumn("version", F.lit(version))
+        gone.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot", "version").parquet(f"{self.root}/closed")
+        self._record(version, touched, {(r.slot, r._open) for r in rows.select("slot", "_open").distinct().collect()})
+
+    def _record(self, version: int, touched: set[int], written: set[tuple[int, bool]]) -> None:
+        opened, closed = self._places(version) or ({}, set())
+        now = {k: v for k, v in opened.items() if k not in touched} | {k: version for k, is_open in written if is_open}
+        closed = closed | {k for k, is_open in written if not is_open}
+        rows = [("slots", None, self.slots), *(("open", k, v) for k, v in now.items()), *(("closed", k, None) for k in closed)]
+        table = self.spark.createDataFrame(rows, "kind string, slot int, version long").coalesce(1)
+        table.write.mode("overwrite").parquet(f"{self.root}/slots/version={version}")
         self.log.record(version)

@@ -1,6 +1,8 @@
 import datetime as dt
+import pathlib
 import random
 
+import pytest
 from pyspark.sql import types as T
 
 from listingflow.operators import history
@@ -79,6 +81,44 @@ def test_store_in_batches_equals_one_fold_and_survives_replay(spark, tmp_path):
     assert rows(store.history(), *columns) == rows(want, *columns)
 
 
+def test_a_fold_reads_as_much_however_many_rows_are_closed(spark, tmp_path):
+    store, read = HistoryStore(spark, str(tmp_path / "history"), slots=16), []
+    own = store._read
+
+    def recorded(kind, paths):
+        read.append((kind, sum(f.stat().st_size for p in paths for f in pathlib.Path(p).rglob("*.parquet"))))
+        return own(kind, paths)
+
+    store._read = recorded
+    rnd, bytes_read, closed = random.Random(3), [], []
+    kept = [("steady", f"k{i}") for i in range(50)]
+    for version in range(8):
+        at = T0 + dt.timedelta(hours=version)
+        passing = [("busy", f"v{version}-{i}-{rnd.random()}") for i in range(20 * 2**version)]
+        polled = [(s, n, at) for s, n in (kept if version % 2 else [*kept, *passing])]
+        empty = spark.createDataFrame([("busy", at)], "source string, time_checked timestamp_ntz")
+        read.clear()
+        store.fold(spark.createDataFrame(polled, SCHEMA), version, empty)
+        if version % 2:  # a poll that brings nothing new
+            bytes_read.append(sum(size for kind, size in read if kind == "closed"))
+        closed.append(store.closed_rows().count() if version else 0)
+    assert closed[-1] > 10 * closed[1] > 0 and bytes_read == [0] * 4
+    with pytest.raises(ValueError):
+        HistoryStore(spark, str(tmp_path / "history"), slots=8).history()
+
+
+def test_a_fold_leaves_other_sources_alone_and_keeps_closed_rows_closed(spark, tmp_path):
+    store = HistoryStore(spark, str(tmp_path / "history"), slots=1000)
+    at = [T0 + dt.timedelta(hours=h) for h in range(4)]
+    store.fold(spark.createDataFrame([("a", "x", at[0]), ("a", "y", at[0]), ("b", "z", at[0]), ("b", None, at[0])], SCHEMA), 0)
+    store.fold(spark.createDataFrame([("a", "x", at[1])], SCHEMA), 1)
+    store.fold(spark.createDataFrame([("a", "x", at[2]), ("a", "y", at[2])], SCHEMA), 2)  # y was closed
+    versions = {p.name: sorted(q.name for q in p.iterdir() if q.is_dir()) for p in (tmp_path / "history/open").iterdir() if p.is_dir()}
+    assert [len(versions[f"version={v}"]) for v in range(3)] == [2, 1, 1]
+    columns = ["source", "name", "time_added", "time_removed"]
+    assert rows(store.history(), *columns) == sorted([("a", "x", at[0], None), ("a", "y", at[0], at[1]), ("b", "z", at[0], None), ("b", None, at[0], None)], key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
 def test_an_empty_poll_closes_rows(spark):
     seen = spark.createDataFrame([("s", "a", T0)], SCHEMA)
     later = T0 + dt.timedelta(hours=1)
