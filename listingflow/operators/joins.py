@@ -5,7 +5,8 @@ a shuffle.  It cannot when an input was already partitioned by the join key (the
 it, or of an earlier join), on the right of a left outer join, or in a full outer join.  Therefore:
 
 * joins here run on two helper columns made from the key, so both inputs are always shuffled for the join;
-* a full outer join, and a left outer join to a side with hot keys, are put together from an inner join and anti joins;
+* in a full outer join, and in a left outer join to a side with hot keys, the rows of the keys that a sketch finds hot are
+  dealt over salts;
 * keys of different types are brought to the type in which Spark's own ``=`` compares them, before they are hashed;
 * rows with a null key, which match nothing, are spread over all tasks;
 * an OR of two equalities, which would plan as a nested loop, becomes two inner joins and two anti joins.
@@ -118,8 +119,8 @@ def left(
 ) -> DataFrame:
     """Left join on equal, non-null keys; clashing columns get suffixes.
 
-    A hot key on the left is split.  Say ``hot_right`` when a key may hold a large part of a large right side: the join is
-    then an inner join and an anti join, which costs a second look at the left and the right keys.
+    A hot key on the left is split.  Say ``hot_right`` when a key may hold a large part of a large right side: rows of its hot
+    keys are then dealt over salts, for a second look at its keys (see ``full_outer``).
     """
     on = _listed(on)
     a, b = _suffixed(left_df, right_df, on, suffixes)
@@ -127,8 +128,11 @@ def left(
     a, others = keyed(a, on, True, types), keyed(_present(b, on), on, types=types).drop(*on)
     if not hot_right:
         return a.join(others, ROW_KEY, "left").drop(*ROW_KEY)
-    rest = a.join(keys_of(_present(b, on), on, types), ROW_KEY, "left_anti")
-    return a.join(others, ROW_KEY, "inner").unionByName(rest, allowMissingColumns=True).drop(*ROW_KEY)
+    keys = keyed(_present(b.select(*on), on), on, types=types).select("_hash")
+    hot = hot_keys(keys, None).withColumn("_side", F.lit(1))
+    x, y = salted(a, hot, 0), salted(others, hot, 1).drop("_again").withColumn("_in_b", F.lit(True))
+    joined = x.join(y, [*ROW_KEY, "_salt"], "left")
+    return joined.where(~(F.col("_again") & F.col("_in_b").isNull())).drop(*ROW_KEY, "_salt", "_again", "_in_b")
 
 
 def left_folded(left_df: DataFrame, right_df: DataFrame, on: list[str] | str) -> DataFrame:
@@ -192,19 +196,74 @@ def first_known(
     return stack([frames[0], added])
 
 
+#: A key is hot if it holds one row of so many of its side, and as many frequent keys a side are looked for.
+HOT_SHARE, HOT_KEYS = 64, 64
+
+
+def hot_keys(left_keys: DataFrame, right_keys: DataFrame | None, share: int = HOT_SHARE, most: int = HOT_KEYS) -> DataFrame:
+    """``_hash, _side, _salts`` of the hot keys of frames with a column ``_hash``: the side that has many rows of the key (0 left,
+    1 right; left if both do), and in how many parts to deal them.
+
+    One sketch of bounded size a side, combined before the shuffle; ``most`` rows a side at most come out.  A key that is found
+    does occur on its side, which ``salted`` relies on; one that is missed only stays in one piece.
+    """
+    sides = []
+    for number, keys in enumerate([left_keys, right_keys]):
+        if keys is not None:
+            sketch = keys.agg(F.expr(f"approx_top_k(_hash, {most}, {most * 64})").alias("_top"), F.count(F.lit(1)).alias("_rows"))
+            sides.append(sketch.select("_rows", F.lit(number).alias("_side"), F.inline("_top")))
+    found = reduce(lambda x, y: x.unionByName(y), sides).where(F.col("count") * share >= F.col("_rows"))
+    salts = F.ceil(F.col("count") * share / F.col("_rows")).cast("int")
+    picked = found.groupBy(F.col("item").alias("_hash")).agg(F.min(F.struct(F.col("_side"), salts.alias("_salts"))).alias("_hot"))
+    return picked.select("_hash", "_hot.*").where("_salts > 1")
+
+
+def salted(df: DataFrame, hot: DataFrame, side: int) -> DataFrame:
+    """``df`` with ``_salt``, and ``_again`` for rows that stand once for each salt.
+
+    Rows of a key that is hot on their own side are dealt over its salts by a hash; rows of a key that is hot on the other side
+    are repeated for each of them, so that every pair meets once.
+    """
+    known = df.join(F.broadcast(hot), "_hash", "left")  # a bounded number of rows
+    others = F.coalesce(F.col("_side") != side, F.lit(False))
+    whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+    own = F.when(F.col("_side") == side, F.pmod(whole, F.col("_salts")).cast("int")).otherwise(F.lit(0))
+    salts = F.when(others, F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(F.array(own))
+    return known.select(*df.columns, others.alias("_again"), F.explode(salts).alias("_salt"))
+
+
 def full_outer(left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("_left", "_right")) -> DataFrame:
     """Full outer join; null keys never match.  Clashing columns get suffixes.
 
-    Both sides are read three times, the keys alone twice of them: store what is costly to work out first.  Keys of different
-    types come out in the common one, or as text where one side's are.
+    Each side is read once, and its keys once more for a sketch of the hot ones.  Adaptive execution never splits a full outer join,
+    so rows of a hot key are dealt over several salts and the other side's rows of that key repeated for each.  A repeated row
+    that finds no partner under one salt has one under another, as the key does occur on the side it is hot on, so it is dropped.
+    Keys of different types come out in the common one, or as text where one side's are.
     """
     on = _listed(on)
     a, b = _suffixed(left_df, right_df, on, suffixes)
     types = common_types(a, b, on, on)
     shown = {c: T.StringType() if _is_text(a, c) or _is_text(b, c) else t for c, t in zip(on, types, strict=True) if t}
-    both, rest, others = inner(a, b, on), only_in_left(a, b, on), only_in_left(b, a, on)
-    parts = [p.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in shown.items()}) for p in (both, rest, others)]
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    lefts, rights = keyed(a, on, True, types), keyed(b, on, True, types)
+    hot = hot_keys(*[keyed(_present(x.select(*on), on), on, types=types).select("_hash") for x in (a, b)])
+    x, y = (_never_equal(salted(k, hot, n), on) for n, k in enumerate((lefts, rights)))
+    y = y.select(*ROW_KEY, "_salt", F.col("_again").alias("_again_b"), *[F.col(f"`{c}`").alias(f"_on_{i}") for i, c in enumerate(on)], F.lit(True).alias("_in_b"), *[c for c in b.columns if c not in on])
+    joined = x.withColumn("_in_a", F.lit(True)).join(y, [*ROW_KEY, "_salt"], "full_outer")
+    lone = (F.col("_again") & F.col("_in_b").isNull()) | (F.col("_again_b") & F.col("_in_a").isNull())
+    kept = joined.where(~F.coalesce(lone, F.lit(False)))
+    keys = []
+    for i, c in enumerate(on):
+        mine, theirs = F.col(f"`{c}`"), F.col(f"_on_{i}")
+        kind = shown.get(c)
+        mine, theirs = (mine, theirs) if kind is None else (mine.cast(kind), theirs.cast(kind))
+        keys.append(F.when(F.col("_in_a"), mine).otherwise(theirs).alias(c))
+    key_of = dict(zip(on, keys, strict=True))
+    return kept.select(*[key_of.get(c, F.col(f"`{c}`")) for c in a.columns], *[F.col(f"`{c}`") for c in b.columns if c not in on])
+
+
+def _never_equal(df: DataFrame, on: list[str]) -> DataFrame:
+    """Rows that miss a part of their key get a key that no row of the other side has: null, which equals nothing."""
+    return df.withColumn("_key", F.when(~_any_null(on), F.col("_key")))
 
 
 def _is_text(df: DataFrame, column: str) -> bool:

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from listingflow.operators import aggregates, columns, dedupe, filters, joins, ordering
@@ -20,6 +21,37 @@ def test_or_join_equals_the_literal_one(spark):
         assert rows(joins.left_on_either(a, b, [("a1", "b1"), ("a2", "b2")])) == rows(literal)
 
 
+@pytest.mark.parametrize("hot", ["left", "right", "both", "none"])
+def test_hot_keys_are_dealt_over_salts(spark, hot):
+    def side(name, many):
+        data = [(7, f"{name}{i}") for i in range(400 if many else 1)] + [(i, f"{name}{i}") for i in range(8, 300, 2 if name == "l" else 3)]
+        data += [(None, f"{name}{i}") for i in range(5)] + [(1001 if name == "l" else 1000, f"{name}!{i}") for i in range(200 if many else 1)]
+        return spark.createDataFrame(data, f"k long, {name} string")
+
+    a, b = side("l", hot in ("left", "both")), side("r", hot in ("right", "both"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for kind, got in (("full_outer", joins.full_outer(a, b, "k")), ("left", joins.left(a, b, "k", hot_right=True))):
+            assert rows(got, "k", "l", "r") == rows(a.join(b, "k", kind), "k", "l", "r")
+        keys = [joins.keyed(joins._present(x, ["k"]), ["k"]).select("_hash") for x in (a, b)]
+        found = joins.hot_keys(*keys)
+        assert found.count() == {"left": 2, "right": 2, "both": 3, "none": 0}[hot]
+        dealt = joins.salted(joins.keyed(a, ["k"], True), found, 0)
+        if hot == "left":
+            assert dealt.count() == a.count() and dealt.where("k = 7").groupBy("_salt").count().agg({"count": "max"}).first()[0] < 60
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_full_outer_reads_each_side_once(spark, tmp_path):
+    for name in "ab":
+        spark.createDataFrame([(1, "x")], f"k long, {name} string").write.parquet(str(tmp_path / name))
+    plan = joins.full_outer(*[spark.read.parquet(str(tmp_path / n)) for n in "ab"], "k")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line]
+    assert len([s for s in scans if "a:string" in s]) == len([s for s in scans if "b:string" in s]) == 1
+    assert len(scans) == 4 and len([s for s in scans if "ReadSchema: struct<k:bigint>" in s]) == 2
+
+
 def test_full_outer_equals_sparks(spark):
     a, b = random_frame(spark, 4, ["k", "x"]), random_frame(spark, 5, ["k", "x"])
     want = a.withColumnRenamed("x", "x_left").join(b.withColumnRenamed("x", "x_right"), "k", "full_outer")
