@@ -7,7 +7,7 @@ any other.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from .columns import stack
 from .ordering import sort_columns
@@ -81,3 +81,26 @@ def audit(tables: dict[str, DataFrame]) -> DataFrame:
             ).withColumn("duplicate_rows", F.col("row_count") - F.col("distinct_rows"))
         )
     return stack(reports)
+
+
+def checksum(columns: list[str]) -> Column:
+    """A number that any order of the same rows gives: the sum of their hashes."""
+    return F.coalesce(F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in columns]).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+
+
+def clean(tables: dict[str, DataFrame], root: str) -> DataFrame:
+    """Each table without its duplicates saved as ``root``/name, and the report of ``audit`` with a checksum of what was saved.
+
+    A table is read once: the counts are gathered by the pass that writes it.  A folder must not be one the table is read from.
+    Run again it gives the same tables and report.  ``checksum`` over a saved table tells later whether it is still whole.
+    """
+    report = []
+    for name, df in tables.items():
+        groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+        seen = Observation(f"clean-{name}")
+        counts = (F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("distinct"), checksum(df.columns).alias("checksum"))
+        groups.observe(seen, *counts).drop("_n").write.mode("overwrite").parquet(f"{root}/{name}")
+        got = seen.get
+        report.append((name, got["rows"], got["distinct"], got["rows"] - got["distinct"], got["checksum"]))
+    schema = "table_name string, row_count long, distinct_rows long, duplicate_rows long, checksum decimal(38,0)"
+    return next(iter(tables.values())).sparkSession.createDataFrame(report, schema)

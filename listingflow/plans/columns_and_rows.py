@@ -503,6 +503,28 @@ def duplicate_audit(t: Tables) -> DataFrame:
     return dedupe.audit({"lines": t.lineitem.select("l_orderkey", "l_linenumber"), "orders": t.orders, "texts": t.documents.select("text")})
 
 
+@query(
+    "dedupe_saved",
+    """SELECT 'lines' AS table_name, count(*) AS row_count, count(DISTINCT (l_partkey, l_suppkey)) AS distinct_rows, count(*) - count(DISTINCT (l_partkey, l_suppkey)) AS duplicate_rows, count(DISTINCT (l_partkey, l_suppkey)) AS saved_rows, true AS whole FROM lineitem
+       UNION ALL SELECT 'texts', count(*), count(DISTINCT text), count(*) - count(DISTINCT text), count(DISTINCT text), true FROM documents""",
+)
+def dedupe_saved(t: Tables) -> DataFrame:
+    """Two tables saved without duplicates; the report says what was read, the saved tables that nothing is missing."""
+    folder = run_folder(t.spark, "cleaned")
+    tables = {"lines": t.lineitem.select("l_partkey", "l_suppkey"), "texts": t.documents.select("text")}
+    report = dedupe.clean(tables, folder)
+    saved = [t.spark.read.parquet(f"{folder}/{n}").agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("saved_rows"), dedupe.checksum(df.columns).alias("now")) for n, df in tables.items()]
+    both = report.join(columns.stack(saved), "table_name")
+    return both.withColumn("whole", F.col("checksum") == F.col("now")).drop("checksum", "now")
+
+
+@query("deep_page", "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber LIMIT 50 OFFSET 5000")
+def deep_page(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")
+    pages = ordering.Pages(rows, [("l_extendedprice", "desc"), ("l_orderkey", "asc"), ("l_linenumber", "asc")], run_folder(t.spark, "pages"), ranges=16)
+    return pages.page(100, 50)
+
+
 _UPDATES = "SELECT l_orderkey AS o_orderkey, 'S' AS o_orderstatus, max(l_extendedprice) AS o_totalprice FROM {lineitem} GROUP BY l_orderkey"
 
 

@@ -142,6 +142,23 @@ def json_nested_flatten(t: Tables) -> DataFrame:
     return readers.json_column(made, "j", "data struct<customer: struct<id: long, status: string>, price: double>", ["o_orderkey"])
 
 
+@query(
+    "json_unknown_flatten",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN o_custkey END AS "customer.id", CASE WHEN o_orderkey % 5 > 0 THEN o_totalprice END AS "price",
+              CASE WHEN o_orderkey % 5 > 1 THEN o_orderstatus END AS "customer.more.status", CASE WHEN o_orderkey % 5 > 1 THEN CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS STRING) ELSE 'none' END END AS "mixed",
+              CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority END AS other_json FROM orders""",
+)
+def json_unknown_flatten(t: Tables) -> DataFrame:
+    """Texts whose keys nobody has told of: some nested, some in few texts, one with numbers and words, and texts that are no JSON."""
+    status = F.when(F.col("o_orderkey") % 5 > 1, F.struct(F.col("o_orderstatus").alias("status")))
+    price = F.col("o_totalprice").cast("string")
+    shape = F.struct(F.struct(F.col("o_custkey").alias("id"), status.alias("more")).alias("customer"))
+    mixed = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit(', "mixed": '), F.col("o_custkey").cast("string"))).otherwise(F.lit(', "mixed": "none"'))
+    body = F.concat(F.to_json(shape).substr(F.lit(1), F.length(F.to_json(shape)) - 1), F.lit(', "price": '), price, F.when(F.col("o_orderkey") % 5 > 1, mixed).otherwise(F.lit("")), F.lit("}"))
+    made = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, F.col("o_orderpriority")).otherwise(body).alias("j"))
+    return readers.json_unknown(made, "j", ["o_orderkey"])
+
+
 @query(
     "json_stacked_lists",
     """SELECT page_id, 'HARD' AS list_name, unnest(string_split(url, '/')) AS name, CAST(NULL AS INTEGER) AS width FROM pages
@@ -202,6 +219,22 @@ def csv_round_trip(t: Tables) -> DataFrame:
     return readers.read_csv(t.spark, folder, noted.schema)
 
 
+@query(
+    "csv_misfits",
+    """SELECT p_partkey, CASE WHEN p_size % 10 <> 0 THEN p_size END AS p_size, CASE WHEN p_size % 10 IN (0, 1) THEN line END AS misfit
+       FROM (SELECT *, p_partkey || ',' || CASE WHEN p_size % 10 = 0 THEN 'n/a' ELSE CAST(p_size AS STRING) END || ',' || p_brand || CASE WHEN p_size % 10 = 1 THEN ',surplus' ELSE '' END AS line FROM part)""",
+)
+def csv_misfits(t: Tables) -> DataFrame:
+    """Lines of which some have a cell of another type and some a cell too many."""
+    folder = run_folder(t.spark, "csv-misfits")
+    size = F.when(F.col("p_size") % 10 == 0, "n/a").otherwise(F.col("p_size").cast("string"))
+    surplus = F.when(F.col("p_size") % 10 == 1, ",surplus").otherwise("")
+    lines = t.part.select(F.concat(F.col("p_partkey").cast("string"), F.lit(","), size, F.lit(","), F.col("p_brand"), surplus).alias("p_partkey,p_size,p_brand"))
+    lines.write.option("header", True).option("sep", "\u0001").csv(folder)  # whole lines
+    read = readers.read_csv(t.spark, folder, "p_partkey long, p_size long, p_brand string", rescue="misfit")
+    return read.select("p_partkey", "p_size", "misfit")
+
+
 @query("csv_folder", "SELECT p_partkey, p_name, 'parts' AS source_name FROM part UNION ALL SELECT s_suppkey, s_name, 'suppliers' FROM supplier")
 def csv_folder(t: Tables) -> DataFrame:
     """Two sources, each in files named after it."""

@@ -93,3 +93,60 @@ def test_versioned_table(spark, tmp_path):
     table.write(spark.range(3))
     assert table.write(table.read().where("id > 0")) == 2
     assert table.read().count() == 2 and table.read(before=2).count() == 3
+
+
+def test_json_of_unknown_shape(spark):
+    texts = ['{"a":1,"A":"x","b":{"c d":2.5,"e.f":[1,2],"g":null}}', '{"a":"t","b":{"c d":3},"l":[{"q":1},{"r":"s"}],"it\'s":true}', "no json", None, "[1, 2]", "{}", '{"a":{"deep":1}}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, j string")
+    got = readers.json_unknown(df, "j", ["i"])
+    assert got.columns == ["i", "A", "a", "b.c d", "b.e.f", "b.g", "it's", "l", "other_json"]
+    by = {r[0]: tuple(r[1:]) for r in got.collect()}
+    assert by[0] == ("x", "1", 2.5, [1, 2], None, None, None, None)
+    assert by[1][:7] == (None, "t", 3.0, None, None, True, [(1, None), (None, "s")])
+    assert by[6][1] == '{"deep":1}' and by[5] == (None,) * 8
+    assert [by[i][-1] for i in (2, 3, 4)] == ["no json", None, "[1, 2]"]
+    assert readers.json_unknown(df.where("i = 2"), "j").columns == ["other_json"]
+
+
+def test_records_that_do_not_fit_are_kept(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('n,s\n1,x\nbad,y\n2,z,more\n3\n"4","q, r"\n')
+    df = readers.read_csv(spark, str(tmp_path / "a.csv"), "n int, s string", rescue="misfit")
+    assert rows(df, "n", "s", "misfit") == [(1, "x", None), (2, "z", "2,z,more"), (3, None, "3"), (4, "q, r", None), (None, "y", "bad,y")]
+    assert rows(df.select("s", "misfit").where("misfit is not null"), "s") == [("y",), ("z",), (None,)]
+    report = readers.misfits(df, "misfit")
+    assert rows(report, "record") == [("2,z,more",), ("3",), ("bad,y",)] and report.first().file.endswith("/a.csv")
+    narrow = readers.read_csv(spark, str(tmp_path / "a.csv"), "n int, s string", columns=["s"], rescue="misfit")
+    assert narrow.where("misfit is not null").count() == 3
+    (tmp_path / "b.json").write_text('{"n": 1}\n{"n": "word"}\n{broken\n')
+    read = readers.read_files(spark, str(tmp_path / "b.json"), "n int", "json", rescue="misfit")
+    assert rows(read, "n", "misfit") == [(1, None), (None, '{"n": "word"}'), (None, "{broken")]
+
+
+def test_saved_tables_without_duplicates(spark, tmp_path):
+    from listingflow.operators import dedupe
+
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (None, None)], "k int, `odd name` string")
+    empty = spark.createDataFrame([], "v string")
+    for _ in range(2):
+        report = dedupe.clean({"a": a, "empty": empty}, str(tmp_path / "clean"))
+        assert rows(report.drop("checksum")) == [("a", 4, 3, 1), ("empty", 0, 0, 0)]
+        saved = spark.read.parquet(str(tmp_path / "clean/a"))
+        assert rows(saved) == [(1, None), (2, "x"), (None, None)]
+        sums = dict(rows(report.select("table_name", "checksum")))
+        assert saved.repartition(3).agg(dedupe.checksum(saved.columns)).first()[0] == sums["a"] != 0
+        assert spark.read.parquet(str(tmp_path / "clean/a")).where("k = 1").agg(dedupe.checksum(saved.columns)).first()[0] != sums["a"]
+
+
+def test_pages_of_any_depth(spark, tmp_path):
+    from listingflow.operators import ordering
+
+    df = spark.createDataFrame([(i * 7919 % 1000 // 3 if i % 50 else None, i) for i in range(1000)], "a int, b int").repartition(5)
+    keys = [("a", "desc"), ("b", "asc")]
+    whole = [tuple(r) for r in ordering.order(df, keys).collect()]
+    pages = ordering.Pages(df, keys, str(tmp_path / "pages"), ranges=8)
+    assert len(pages) == 1000 and len(pages.counts) > 4
+    for number, size in ((0, 10), (3, 100), (9, 100), (10, 100), (99, 10), (0, 1000), (1, 999), (200, 7), (142, 7)):
+        assert [tuple(r) for r in pages.page(number, size).collect()] == whole[number * size : (number + 1) * size]
+    plan = pages.page(50, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
+    assert ordering.Pages(df.limit(0), keys, str(tmp_path / "none")).page(0).count() == 0

