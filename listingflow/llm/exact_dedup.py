@@ -11,55 +11,104 @@ in id and text are copies of which one stays; an empty batch changes nothing; ot
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import id_and_text, new_folder, sent_if_small, stored
 
+#: Buckets of an index that is made without saying how many.
+BUCKETS = 64
+
 
 def text_digest(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
 
 
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return id_and_text(docs, id_col, text_col).select("doc_id", text_digest(F.col("text")).alias("digest"))
+
+
 class DigestIndex:
     """The digests of all texts accepted so far, with the row that stays for each.
 
-    ``location`` names the table's folder; an index that exists there is opened again, so it outlives the session.
+    ``location`` names the index's folder; an index that exists there is opened again, so it outlives the session and the
+    catalog.  A small table in it holds the number of buckets, without which its files cannot be read whole: opened without
+    ``buckets`` it has the number it was made with, and another number is refused.
     """
 
-    def __init__(self, spark: SparkSession, location: str, buckets: int = 64):
-        self.spark, self.location, self.buckets = spark, location, buckets
-        self.name = "digest_index_" + "".join(c if c.isalnum() else "_" for c in location)[-80:]
+    def __init__(self, spark: SparkSession, location: str, buckets: int | None = None):
+        self.spark, self.location = spark, location.rstrip("/")
+        self.buckets = self._settled(buckets)
+        # the whole location, so that no two share a table of the catalog
+        self.name = "digest_index_" + hashlib.sha256(self.location.encode()).hexdigest()
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{self.name}` (digest BINARY, keep_id BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {int(buckets)} BUCKETS LOCATION '{location}'"
+            f"CREATE TABLE IF NOT EXISTS `{self.name}` (digest BINARY, keep_id BIGINT, batch STRING) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.location}/digests'"
         )
+        spark.catalog.refreshTable(self.name)
+
+    def _settled(self, buckets: int | None) -> int:
+        """The number of buckets the index was made with, written down for a new one."""
+        folder = f"{self.location}/buckets"
+        try:
+            made_with = self.spark.read.schema("buckets int").parquet(folder).agg(F.min("buckets")).first()[0]
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            made_with = None
+        if made_with is None:
+            made_with = int(buckets or BUCKETS)
+            self.spark.createDataFrame([(made_with,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(folder)
+        if buckets is not None and buckets != made_with:
+            raise ValueError(f"the index at {self.location} has {made_with} buckets, not {buckets}")
+        return made_with
 
     def rows(self) -> DataFrame:
+        """``digest, keep_id, batch``.  A batch that was lost after part of it was appended, and absorbed again, may stand twice."""
         return self.spark.table(self.name)
 
-    def append(self, fresh: DataFrame) -> None:
-        """Adds digests the index does not hold; one file per bucket and batch."""
-        fresh.select("digest", "keep_id").repartition(self.buckets, "digest").write.insertInto(self.name)
+    def append(self, fresh: DataFrame, batch: str) -> None:
+        """Adds digests that no other batch has; one file per bucket and batch."""
+        rows = fresh.select("digest", "keep_id", F.lit(batch).alias("batch"))
+        rows.repartition(self.buckets, "digest").write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
 
-    def absorb(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def absorb(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None) -> DataFrame:
         """De-duplicates one batch and appends what is new.
 
         One row per row of ``docs``: ``doc_id, digest, keep_id, group_size, kept``.  Of equal texts within the batch the row
         with the largest id stays, unless the index holds the text already: then ``keep_id`` is the indexed row's and no
         row of the batch stays.  ``group_size`` counts rows of this batch.
+
+        ``batch`` names the batch.  One whose result was lost may be absorbed again under its name, with the same rows: what it
+        appended itself counts as unknown and is not appended again, so it gets the same result.  Without a name a batch is new.
         """
-        texts = id_and_text(docs, id_col, text_col).select("doc_id", text_digest(F.col("text")).alias("digest"))
+        return self.absorb_digests(digests(docs, id_col, text_col), batch)
+
+    def absorb_digests(self, texts: DataFrame, batch: str | None = None) -> DataFrame:
+        """``absorb`` for rows ``doc_id, digest``."""
+        batch = batch or uuid.uuid4().hex
         rows = stored(texts.groupBy("digest", "doc_id").agg(F.count("*").alias("copies")), "digests")
         # stored, so that this side has no partitioning of its own and the bucketed index need not be shuffled to match it
         groups = stored(
             rows.groupBy("digest").agg(F.max("doc_id").alias("last_id"), F.sum("copies").alias("group_size")), "groups"
         )
-        known = self.rows().select("digest", F.col("keep_id").alias("known_id"), F.lit(True).alias("known"))
+        held = self.rows()
+        # a batch's own rows have been appended by an attempt that was lost
+        mine = F.col("batch") == batch
+        known = held.where(~mine).select("digest", F.col("keep_id").alias("known_id"), F.lit(True).alias("known"))
         met = stored(groups.hint("merge").join(known.hint("merge"), "digest", "left"), "groups-met")
         # the anti-join of the batch with the index: the left join's unmatched rows
-        self.append(met.where(F.col("known").isNull()).select("digest", F.col("last_id").alias("keep_id")))
+        fresh = met.where(F.col("known").isNull()).select("digest", F.col("last_id").alias("keep_id"))
+        again = held.where(mine).select("digest")
+        if not again.isEmpty():
+            fresh = stored(fresh.join(again.distinct(), "digest", "left_anti"), "fresh")
+        self.append(fresh, batch)
         fate = met.select(
             "digest",
             F.when(F.col("known"), F.col("known_id")).otherwise(F.col("last_id")).alias("keep_id"),
@@ -72,11 +121,39 @@ class DigestIndex:
         return wide.withColumn("copy", each).select("doc_id", "digest", "keep_id", "group_size", kept.alias("kept"))
 
 
-def deduplicate(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text"):
+def deduplicate(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None):
     """``index.absorb`` with a new, empty index in the shared folder unless one is given."""
     spark = docs.sparkSession
     # an index for one batch has few, larger files; one that is to grow should get buckets for what it will hold
-    return (index or DigestIndex(spark, new_folder(spark, "digest-index"), 16)).absorb(docs, id_col, text_col)
+    return (index or DigestIndex(spark, new_folder(spark, "digest-index"), 16)).absorb(docs, id_col, text_col, batch)
+
+
+def in_batches(docs: DataFrame, index: DigestIndex, batches: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All of ``docs`` absorbed by one index in several batches, those of larger ids first: a row each, as ``absorb`` gives them
+    for the whole, ``group_size`` over all batches.
+
+    The ids are cut at quantiles, so batches have about as many rows each; every batch but the first meets what the ones before
+    it left in the index.  As larger ids come first, the row that stays is the one with the largest id of all.  The index
+    must be empty, or hold no text of ``docs``: otherwise a group's size counts rows of ``docs`` alone.
+    """
+    texts = stored(digests(docs, id_col, text_col), "texts")  # texts are read once, not for every batch
+    shares = [i / batches for i in range(1, batches)]
+    cuts = sorted(set(texts.agg(F.percentile_approx("doc_id", shares, 1000)).first()[0] or []), reverse=True) if shares else []
+    own = F.col("doc_id")
+    results = []
+    for number in range(len(cuts) + 1):
+        above, below = (cuts[number] if number < len(cuts) else None), (cuts[number - 1] if number else None)
+        part = F.lit(True) if above is None else own > above
+        if below is not None:
+            part = part & (own <= below)
+        chosen = F.coalesce(part, F.lit(above is None))  # null ids come last
+        results.append(stored(index.absorb_digests(texts.where(chosen), f"part-{number}"), "absorbed"))
+    whole = reduce(DataFrame.unionByName, results)
+    # one row a digest and batch; stored, so that rows of a frequent text can be split when they learn their group's size
+    sizes = whole.groupBy("digest").agg(F.count("*").alias("group_size"))
+    sizes = stored(sizes.where("group_size > 1"), "sizes")
+    met = whole.drop("group_size").hint("merge").join(sizes.hint("merge"), "digest", "left")
+    return met.select("doc_id", "digest", "keep_id", F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), "kept")
 
 
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

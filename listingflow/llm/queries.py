@@ -55,7 +55,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = exact_dedup.deduplicate(documents(spark, sf_dir))
+    # four batches, of which the later three meet an index that holds the earlier ones
+    index = exact_dedup.DigestIndex(spark, new_folder(spark, "digest-index"), buckets=16)
+    found = exact_dedup.in_batches(documents(spark, sf_dir), index, batches=4)
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 

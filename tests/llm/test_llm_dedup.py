@@ -48,6 +48,47 @@ def test_index_outlives_a_batch(spark):
     assert third.where("kept").count() == 0 and again.rows().count() == 5
 
 
+def test_an_index_keeps_its_number_of_buckets(spark):
+    place = new_folder(spark, "index")
+    texts = [(i, f"text {i}") for i in range(300)]
+    index = exact_dedup.DigestIndex(spark, place, buckets=64)
+    assert index.absorb(frame(spark, texts)).where("kept").count() == 300
+    spark.sql(f"DROP TABLE `{index.name}`")  # as in another catalog; the files stay
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(spark, place, buckets=16)
+    again = exact_dedup.DigestIndex(spark, place)
+    assert again.buckets == 64 and exact_dedup.deduplicate(frame(spark, texts), again).where("kept").count() == 0
+
+
+def test_indexes_with_alike_locations_are_apart(spark):
+    end = "x" * 90
+    a, b = (exact_dedup.DigestIndex(spark, f"{new_folder(spark, 'index')}/{end}", buckets=2) for _ in range(2))
+    a.absorb(frame(spark, [(1, "a")]))
+    assert a.rows().count() == 1 and b.rows().count() == 0
+
+
+def test_a_lost_batch_is_absorbed_again(spark):
+    index = exact_dedup.DigestIndex(spark, new_folder(spark, "index"), buckets=4)
+    index.absorb(frame(spark, [(1, "a"), (2, "b")]), batch="first").count()
+    second = frame(spark, [(3, "a"), (4, "c"), (5, "c"), (6, None), (7, "d")])
+    results = [ordered(index.absorb(second, batch="second").drop("digest").collect()) for _ in range(3)]
+    assert results[0] == results[1] == results[2] and len([r for r in results[0] if r[-1]]) == 3
+    assert index.rows().count() == 5
+    # an attempt that appended a part only
+    other = exact_dedup.DigestIndex(spark, new_folder(spark, "index"), buckets=4)
+    other.absorb(frame(spark, [(4, "c"), (5, "c")]), batch="second").count()
+    got = other.absorb(second, batch="second")
+    assert got.where("kept").count() == 4 and other.rows().select("digest").distinct().count() == other.rows().count() == 4
+
+
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_copies_found_in_batches(spark, batches):
+    index = exact_dedup.DigestIndex(spark, new_folder(spark, "index"), buckets=4)
+    got = exact_dedup.in_batches(frame(spark, ROWS), index, batches).collect()
+    assert ordered((r.doc_id, bytes(r.digest), r.keep_id, r.group_size, r.kept) for r in got) == ordered(_expected_copies(ROWS))
+    assert exact_dedup.in_batches(frame(spark, []), exact_dedup.DigestIndex(spark, new_folder(spark, "index"), 2)).count() == 0
+
+
 def test_the_index_is_not_shuffled(spark):
     index = exact_dedup.DigestIndex(spark, new_folder(spark, "index"), buckets=4)
     index.absorb(frame(spark, [(1, "a")]))
