@@ -6,12 +6,14 @@ with a close rival is trusted less.
 
 No name pair is compared because it merely sits in the same block.  Copies are folded first, equal names are matched by
 an equi-join, and the rest meet on keys that any pair within the threshold provably shares, so no candidate is lost and none
-needs to be capped.  How many edits a pair may have follows from the longer name's length:
-
-* up to two edits: the two names become equal when each loses as many letters as its share of the edits, so they meet on what
-  is left of them (with both lengths in the key).  Such keys collide for hardly any names but those wanted;
-* more edits: two names within k edits share at least one of the k*q+1 rarest q-grams of each, at most k places apart.  q is
-  the greatest length for which that holds at the threshold.
+needs to be capped.
+
+A pair may have k edits, which follow from the longer name's length.  The known name is cut into k + 1 even pieces.  k edits
+leave at least one of them whole, so it occurs in the other name, and not far from its own place: edits that moved it count
+towards those before it, the rest to those behind it, and each piece takes no more of them than would be left if the pieces
+before it, or those behind it, had one each.  So a name meets the known ones of each length on its substrings in these
+places.  A key has the known name's length, the edits, the number of the piece and the piece, some four or five letters at
+the usual threshold of 0.8.
 """
 
 from __future__ import annotations
@@ -24,15 +26,6 @@ from ..functions.text import col_of, normalise_company
 from ..sources.writers import unstaged
 from .joins import left
 
-#: Edits up to which names meet on what is left after deletions.
-_DELETIONS = 2
-
-
-def gram_length(threshold: float) -> int:
-    """The greatest q up to 4 at which k edits leave a q-gram of every name long enough to have more than two edits."""
-    return max(2, min(4, int(0.75 * threshold / (1 - threshold) + 1e-9))) if threshold < 1 else 4
-
-
 def _edits(length: Column, threshold: float) -> Column:
     """Edits that a pair may have whose longer name has this length."""
     return F.floor(length * F.lit(1 - threshold) + F.lit(1e-9)).cast("int")
@@ -44,77 +37,46 @@ def similarity(a: Column | str, b: Column | str) -> Column:
     return F.lit(1.0) - F.levenshtein(left, right) / longer
 
 
-def _without_letters(name: Column, letters: Column) -> Column:
-    """All texts that are left when exactly 0, 1 or 2 letters of a name go."""
-    n = F.length(name)
-    cut = lambda i: F.concat(F.substring(name, F.lit(1), i - 1), F.substring(name, i + 1, n))
-    pairs = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), n - 1),
-            lambda i: F.transform(
-                F.sequence(i + 1, n),
-                lambda j: F.concat(
-                    F.substring(name, F.lit(1), i - 1), F.substring(name, i + 1, j - i - 1), F.substring(name, j + 1, n)
-                ),
-            ),
-        )
-    )
-    one = F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), cut))
-    left = F.when(letters == 0, F.array(name)).when(letters == 1, one).otherwise(F.when(n >= 2, pairs).when(n < 2, F.array(F.lit(""))))
-    return F.array_distinct(left)
+def _piece(length: Column, edits: Column, number: Column) -> tuple[Column, Column]:
+    """(place from 0, length) of a piece of a name of this length that is cut into ``edits`` + 1; the last ones are longer."""
+    pieces = edits + 1
+    short, rest = F.floor(length / pieces).cast("int"), length % pieces
+    beyond = F.greatest(number - (pieces - rest), F.lit(0))
+    return number * short + beyond, short + F.when(number >= pieces - rest, 1).otherwise(0)
 
 
-def _remains(names: DataFrame, threshold: float) -> DataFrame:
-    """One row per (name, other name's length, what is left of the name) for lengths that allow up to two edits."""
+def _pieces(known: DataFrame, threshold: float) -> DataFrame:
+    """``candidate, length, edits, number, piece``: the pieces of each known name for all numbers of edits that a pair with it may have."""
     n = F.length("name")
-    lengths = F.sequence(F.greatest(n - _DELETIONS, F.lit(1)), n + _DELETIONS)
-    each = names.select("name", F.explode(lengths).alias("other"))
-    longer, apart = F.greatest(n, F.col("other")), F.abs(n - F.col("other"))
-    allowed = _edits(longer, threshold)
-    each = each.where((allowed <= _DELETIONS) & (apart <= allowed))
-    letters = F.when(n >= F.col("other"), allowed).otherwise(allowed - apart)
-    return each.select(
-        "name", F.least(n, F.col("other")).alias("shorter"), longer.alias("longer"), F.explode(_without_letters(F.col("name"), letters)).alias("rest")
-    )
-
-
-def _grams(names: DataFrame, q: int) -> DataFrame:
-    """One row per (name, gram, place)."""
-    places = F.sequence(F.lit(1), F.length("name") - F.lit(q - 1))
-    grams = F.transform(places, lambda i: F.struct(F.col("name").substr(i, F.lit(q)).alias("gram"), i.alias("place")))
-    return names.where(F.length("name") >= q).select("name", F.inline(grams))
-
-
-def _signature(grams: DataFrame, counts: DataFrame, threshold: float, q: int) -> DataFrame:
-    """The rarest grams of each name, as many as the edit bound calls for (the window spans one name only)."""
-    reach = F.floor(F.length("name") * F.lit((1 - threshold) / threshold) + F.lit(1e-9))
-    rarity = Window.partitionBy("name").orderBy("n", "gram", "place")
-    ranked = grams.join(counts, "gram").withColumn("rank", F.row_number().over(rarity))
-    return ranked.where(F.col("rank") <= reach * q + 1).select("name", "gram", "place", reach.cast("int").alias("reach"))
+    longest = F.floor(n / F.lit(threshold) + F.lit(1e-9)).cast("int")
+    each = known.select("name", n.alias("length"), F.explode(F.sequence(_edits(n, threshold), _edits(longest, threshold))).alias("edits"))
+    each = each.where("edits > 0").withColumn("number", F.explode(F.sequence(F.lit(0), F.col("edits"))))
+    place, width = _piece(F.col("length"), F.col("edits"), F.col("number"))
+    return each.select(F.col("name").alias("candidate"), "length", "edits", "number", F.substring("name", place + 1, width).alias("piece"))
+
+
+def _places(names: DataFrame, threshold: float, lengths: DataFrame) -> DataFrame:
+    """``name, length, edits, number, piece``: the substrings on which each name meets known names of each of the ``lengths``."""
+    m = F.length("name")
+    shortest, longest = F.ceil(m * F.lit(threshold) - F.lit(1e-9)).cast("int"), F.floor(m / F.lit(threshold) + F.lit(1e-9)).cast("int")
+    each = names.withColumn("length", F.explode(F.sequence(F.greatest(shortest, F.lit(1)), longest)))
+    each = each.join(lengths, "length")
+    each = each.withColumn("edits", _edits(F.greatest(m, F.col("length")), threshold)).where("edits > 0")
+    each = each.where(F.abs(m - F.col("length")) <= F.col("edits")).withColumn("number", F.explode(F.sequence(F.lit(0), F.col("edits"))))
+    place, width = _piece(F.col("length"), F.col("edits"), F.col("number"))
+    each = each.withColumns({"place": place, "width": width})
+    ahead, behind, shift = F.col("number"), F.col("edits") - F.col("number"), m - F.col("length")
+    first = F.greatest(F.lit(0), F.col("place") - ahead, F.col("place") + shift - behind)
+    last = F.least(m - F.col("width"), F.col("place") + ahead, F.col("place") + shift + behind)
+    each = each.withColumns({"first": first, "last": last}).where("first <= last").withColumn("at", F.explode(F.sequence("first", "last")))
+    return each.select("name", "length", "edits", "number", F.substring("name", F.col("at") + 1, F.col("width")).alias("piece"))
 
 
 def met_pairs(names: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     """The (name, candidate) pairs of unequal names that meet on some key, once for each key; ``allowed`` edits of the pair."""
-    by_rest = _remains(names, threshold).join(
-        _remains(known, threshold).withColumnRenamed("name", "candidate"), ["shorter", "longer", "rest"]
-    )
-    few = by_rest.select("name", "candidate", _edits(F.col("longer"), threshold).alias("allowed")).where("name <> candidate")
-
-    q = gram_length(threshold)
-    many = _edits(F.length("name") + F.floor(F.length("name") * F.lit((1 - threshold) / threshold) + 1), threshold) > _DELETIONS
-    left_grams, right_grams = _grams(names.where(many), q), _grams(known.where(many), q)
-    counts = right_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    # only grams the universe has can meet; a left gram it lacks still takes up its place in the ranking, so count it as 0
-    both = left_grams.select("gram").distinct().join(counts, "gram", "full_outer").na.fill(0, ["n"])
-    a = _signature(left_grams, both, threshold, q)
-    b = _signature(right_grams, both, threshold, q)
-    # the place goes into the join key, so a frequent gram spreads over as many keys as it has places
-    a = a.withColumn("at", F.explode(F.sequence(F.greatest(F.col("place") - F.col("reach"), F.lit(1)), F.col("place") + F.col("reach"))))
-    b = b.select(F.col("name").alias("candidate"), "gram", F.col("place").alias("at"))
-    n, c = F.length("name"), F.length("candidate")
-    allowed = _edits(F.greatest(n, c), threshold)
-    met = a.join(b, ["gram", "at"]).where((F.abs(n - c) <= allowed) & (allowed > _DELETIONS) & (F.col("name") != F.col("candidate")))
-    return few.unionByName(met.select("name", "candidate", allowed.alias("allowed")))
+    lengths = known.select(F.length("name").alias("length")).distinct()
+    met = _places(names, threshold, lengths).join(_pieces(known, threshold), ["length", "edits", "number", "piece"])
+    return met.where("name <> candidate").select("name", "candidate", F.col("edits").alias("allowed"))
 
 
 def candidate_pairs(names: DataFrame, known: DataFrame, threshold: float) -> DataFrame:

@@ -64,20 +64,18 @@ def html_named_cells(t: Tables) -> DataFrame:
     _NAV_SQL.replace("'https://site.example' || ", "")
     + """, r AS (SELECT page_id, list_transform(list_concat(texts, links), lambda x: nullif(x, '')) AS cells FROM c WHERE len(texts) + len(links) > 1)
        SELECT array_to_string(list_transform(cells, lambda x: coalesce(x, '-')), '|') AS cells,
-              CASE WHEN min(page_id % 2) = 0 THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-01-02' END AS time_added,
-              CASE WHEN max(page_id % 3) = 0 THEN TIMESTAMP '2024-01-02' END AS time_removed
-       FROM r WHERE page_id % 2 = 0 OR page_id % 3 > 0 GROUP BY cells""".replace(
-        "max(page_id % 3) = 0", "max(CASE WHEN page_id % 3 > 0 THEN 1 ELSE 0 END) = 0"
-    ),
+              CASE WHEN min(CASE WHEN page_id % 6 <> 3 THEN 0 ELSE 1 END) = 0 THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-01-02' END AS time_added,
+              CASE WHEN max(CASE WHEN page_id % 3 > 0 OR page_id % 6 = 3 THEN 1 ELSE 0 END) = 0 THEN TIMESTAMP '2024-01-02' END AS time_removed
+       FROM r GROUP BY cells""",
 )
 def registry_history(t: Tables) -> DataFrame:
-    """Two polls of one source that the registry describes: the first sees even pages, the second those not divisible by three."""
+    """Two polls of one source that the registry describes: the first sees all pages but a sixth, the second that sixth and those not divisible by three."""
     setting = {**{k: v for k, v in _NAV.items() if k != "link_base"}, "source_name": "nav", "columns": ["first", "no header"]}
     registry = t.spark.createDataFrame([{**setting, "table_elem": "nav"}], "source_name string, table_elem string, row_elem string, cell_elem array<string>, link_elem string, link_key string, columns array<string>")
     pages = t.pages.withColumn("source_name", F.lit("nav"))
     stage = writers.staged(run_folder(t.spark, "registry-history"))
-    first = batch.collect_histories(registry, pages.where("page_id % 2 = 0"), {}, "2024-01-01", stage=lambda df, n: stage(df, f"{n}-1"))
-    both = batch.collect_histories(registry, pages.where("page_id % 3 > 0"), first, "2024-01-02", stage=lambda df, n: stage(df, f"{n}-2"))["nav"]
+    first = batch.collect_histories(registry, pages.where("page_id % 6 <> 3"), {}, "2024-01-01", stage=lambda df, n: stage(df, f"{n}-1"))
+    both = batch.collect_histories(registry, pages.where("page_id % 3 > 0 OR page_id % 6 = 3"), first, "2024-01-02", stage=lambda df, n: stage(df, f"{n}-2"))["nav"]
     names = [c for c in both.columns if not c.startswith("time_")]
     last = F.greatest(*[F.when(F.col(f"`{c}`").isNotNull(), i + 1).otherwise(0) for i, c in enumerate(names)])
     shown = [F.when(last > i, F.coalesce(F.col(f"`{c}`"), F.lit("-"))) for i, c in enumerate(names)]
