@@ -120,6 +120,16 @@ def marker_records(t: Tables) -> DataFrame:
     return found.withColumn("more_cells", F.array_join("more_cells", " "))
 
 
+@query(
+    "marker_further_cells",
+    f"""WITH w AS ({_WORDS}), r AS (SELECT *, coalesce(max(CASE WHEN contains(cell, '.') THEN pos END) OVER (PARTITION BY doc_id ORDER BY pos), 0) AS record_start FROM w)
+        SELECT doc_id, record_start, pos - record_start AS place, replace(cell, '.', '') AS cell FROM r WHERE pos - record_start >= 3""",
+)
+def marker_further_cells(t: Tables) -> DataFrame:
+    cells = t.documents.select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "cell"))
+    return records.further_cells(cells.withColumn("pos", F.col("pos").cast("long")), ["doc_id"], "pos", "cell", ".", ["a", "b", "c"], block=1000)
+
+
 # --- nested and delimited text -----------------------------------------------------------------------------------
 
 
