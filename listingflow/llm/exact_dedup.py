@@ -92,8 +92,14 @@ class DigestIndex:
 
     def absorb_digests(self, texts: DataFrame, batch: str | None = None) -> DataFrame:
         """``absorb`` for rows ``doc_id, digest``."""
-        batch = batch or uuid.uuid4().hex
-        rows = stored(texts.groupBy("digest", "doc_id").agg(F.count("*").alias("copies")), "digests")
+        rows = stored(folded(texts), "digests")
+        return _fates(rows, self.meet(rows, batch or uuid.uuid4().hex))
+
+    def meet(self, rows: DataFrame, batch: str) -> DataFrame:
+        """``digest, last_id, group_size, known_id, known`` of every digest of a batch, having appended what is new.
+
+        ``rows`` are ``digest, doc_id, copies``, stored.
+        """
         # stored, so that this side has no partitioning of its own and the bucketed index need not be shuffled to match it
         groups = stored(
             rows.groupBy("digest").agg(F.max("doc_id").alias("last_id"), F.sum("copies").alias("group_size")), "groups"
@@ -109,16 +115,25 @@ class DigestIndex:
         if not again.isEmpty():
             fresh = stored(fresh.join(again.distinct(), "digest", "left_anti"), "fresh")
         self.append(fresh, batch)
-        fate = met.select(
-            "digest",
-            F.when(F.col("known"), F.col("known_id")).otherwise(F.col("last_id")).alias("keep_id"),
-            F.col("known").isNull().alias("new"),
-            "group_size",
-        )
-        wide = rows.hint("merge").join(fate.hint("merge"), "digest")
-        each = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-        kept = F.col("new") & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
-        return wide.withColumn("copy", each).select("doc_id", "digest", "keep_id", "group_size", kept.alias("kept"))
+        return met
+
+
+def folded(texts: DataFrame) -> DataFrame:
+    return texts.groupBy("digest", "doc_id").agg(F.count("*").alias("copies"))
+
+
+def _fates(rows: DataFrame, met: DataFrame) -> DataFrame:
+    """What became of every row, given what its digest met: ``doc_id, digest, keep_id, group_size, kept``."""
+    fate = met.select(
+        "digest",
+        F.when(F.col("known"), F.col("known_id")).otherwise(F.col("last_id")).alias("keep_id"),
+        F.col("known").isNull().alias("new"),
+        "group_size",
+    )
+    wide = rows.hint("merge").join(fate.hint("merge"), "digest")
+    each = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    kept = F.col("new") & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
+    return wide.withColumn("copy", each).select("doc_id", "digest", "keep_id", "group_size", kept.alias("kept"))
 
 
 def deduplicate(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None):
@@ -136,24 +151,26 @@ def in_batches(docs: DataFrame, index: DigestIndex, batches: int = 4, id_col: st
     it left in the index.  As larger ids come first, the row that stays is the one with the largest id of all.  The index
     must be empty, or hold no text of ``docs``: otherwise a group's size counts rows of ``docs`` alone.
     """
-    texts = stored(digests(docs, id_col, text_col), "texts")  # texts are read once, not for every batch
+    rows = stored(folded(digests(docs, id_col, text_col)), "digests")  # texts are read once, not for every batch
     shares = [i / batches for i in range(1, batches)]
-    cuts = sorted(set(texts.agg(F.percentile_approx("doc_id", shares, 1000)).first()[0] or []), reverse=True) if shares else []
-    own = F.col("doc_id")
-    results = []
+    cuts = sorted(set(rows.agg(F.percentile_approx("doc_id", shares, 1000)).first()[0] or []), reverse=True) if shares else []
+    met = []
     for number in range(len(cuts) + 1):
         above, below = (cuts[number] if number < len(cuts) else None), (cuts[number - 1] if number else None)
-        part = F.lit(True) if above is None else own > above
+        part = F.lit(True) if above is None else F.col("doc_id") > above
         if below is not None:
-            part = part & (own <= below)
+            part = part & (F.col("doc_id") <= below)
         chosen = F.coalesce(part, F.lit(above is None))  # null ids come last
-        results.append(stored(index.absorb_digests(texts.where(chosen), f"part-{number}"), "absorbed"))
-    whole = reduce(DataFrame.unionByName, results)
-    # one row a digest and batch; stored, so that rows of a frequent text can be split when they learn their group's size
-    sizes = whole.groupBy("digest").agg(F.count("*").alias("group_size"))
-    sizes = stored(sizes.where("group_size > 1"), "sizes")
-    met = whole.drop("group_size").hint("merge").join(sizes.hint("merge"), "digest", "left")
-    return met.select("doc_id", "digest", "keep_id", F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), "kept")
+        met.append(index.meet(rows.where(chosen), f"part-{number}"))
+    # a digest that is new to its first batch is known to the later ones, with the row that stays
+    fresh = F.col("known").isNull()
+    whole = reduce(DataFrame.unionByName, met).groupBy("digest").agg(
+        F.max("known_id").alias("known_id"),
+        F.max(F.when(fresh, F.col("last_id"))).alias("last_id"),
+        F.sum("group_size").alias("group_size"),
+        F.when(~F.bool_or(fresh), True).alias("known"),
+    )
+    return _fates(rows, stored(whole, "groups-met"))
 
 
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

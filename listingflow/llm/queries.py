@@ -55,9 +55,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # four batches, of which the later three meet an index that holds the earlier ones
+    # three batches, of which the later two meet an index that holds the earlier ones
     index = exact_dedup.DigestIndex(spark, new_folder(spark, "digest-index"), buckets=16)
-    found = exact_dedup.in_batches(documents(spark, sf_dir), index, batches=4)
+    found = exact_dedup.in_batches(documents(spark, sf_dir), index, batches=3)
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
@@ -102,6 +102,72 @@ OP7_SQL = """
 """
 
 
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2_SQL = f"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, {_WORDS.format(_LOWER)} AS words FROM documents
+    ), s AS (
+        SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles
+        FROM w
+    ), one AS (
+        SELECT doc_id, unnest(shingles) AS shingle FROM s
+    ), shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM one a JOIN one b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+    ), links AS (
+        SELECT a, b FROM shared JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * n >= 85 * (len(x.shingles) + len(y.shingles) - n)
+    ), edges AS (
+        SELECT a, b FROM links UNION SELECT b, a FROM links
+    ), reach AS (
+        SELECT doc_id AS node, doc_id AS low FROM documents
+        UNION SELECT edges.b, reach.low FROM reach JOIN edges ON edges.a = reach.node WHERE reach.low < edges.b
+    )
+    SELECT s.doc_id, len(s.shingles) AS n_shingles, min(reach.low) AS component_id FROM s JOIN reach ON reach.node = s.doc_id GROUP BY s.doc_id, n_shingles
+"""
+
+OP8_SQL = f"""
+    WITH w AS (
+        SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS words FROM documents
+    ), places AS (
+        SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w
+    ), one AS (
+        SELECT doc_id, i, words[i] AS word, CASE WHEN i + 34 <= len(words) THEN sha256(array_to_string(words[i:i + 34], ' ')) END AS passage FROM places
+    ), counted AS (
+        SELECT *, passage IS NOT NULL AND count(*) OVER (PARTITION BY passage) > 1 AS again FROM one
+    ), covered AS (
+        SELECT doc_id, i, word, max(again::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM counted
+    ), kept AS (
+        SELECT doc_id, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS text FROM covered GROUP BY doc_id
+    )
+    SELECT w.doc_id, len(w.words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
+
+OP9_SQL = """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+    ), fit AS (
+        SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    ), usable AS (
+        SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM fit WHERE list_dot_product(e, e) > 0
+    ), links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+        WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+    ), reach AS (
+        SELECT vec_id AS node, vec_id AS low FROM embeddings
+        UNION SELECT links.b, reach.low FROM reach JOIN links ON links.a = reach.node WHERE reach.low < links.b
+    ), roots AS (
+        SELECT node, min(low) AS component_id FROM reach GROUP BY node
+    ), counted AS (
+        SELECT a, count(*) AS n_links FROM links GROUP BY a
+    )
+    SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN roots ON node = vec_id LEFT JOIN counted ON a = vec_id
+"""
+
+
 def _op12_sql(levels: int = 6, fan_out: int = 16) -> str:
     """Trees of up to fan_out^levels leaves a source, and as many sources, level by level."""
     parts = [
@@ -212,4 +278,11 @@ QUERIES = {
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_filter_audit": op13_filter_audit,
 }
-ORACLES = {"op7_exact_dedup": OP7_SQL, "op12_merkle_manifest": _op12_sql(), "op13_filter_audit": OP13_SQL}
+ORACLES = {
+    "op2_jaccard_join": OP2_SQL,
+    "op7_exact_dedup": OP7_SQL,
+    "op8_substring_dedup": OP8_SQL,
+    "op9_embedding_dedup": OP9_SQL,
+    "op12_merkle_manifest": _op12_sql(),
+    "op13_filter_audit": OP13_SQL,
+}

@@ -188,7 +188,8 @@ def repeated_ranges(docs: DataFrame, width: int = 50, id_col: str = "doc_id", te
     seen = stored(_first_level(docs, first, width), "short-windows")
     windows = seen.select("key", F.explode(F.arrays_zip("grams", "places")).alias("w"))
     windows = windows.select("key", F.col("w.grams").alias("gram"), F.col("w.places").alias("place"))
-    repeated = windows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # stored, so that neither side of the join is partitioned by its aggregate and the places of a frequent window can be split
+    repeated = stored(windows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "repeated")
     places = windows.join(repeated, "gram").groupBy("key").agg(F.collect_set("place").alias("places"))
     texts = stored(docs.groupBy("key").agg(F.min("doc_id").alias("own_id"), F.count("*").alias("copies")), "texts")
     wanted = stored(texts.join(places, "key").select("key", "own_id", "places"), "wanted")
