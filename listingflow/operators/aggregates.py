@@ -45,7 +45,7 @@ def aligned(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Two per-key aggregates of different tables side by side."""
     from .joins import full_outer
 
-    return full_outer(left, right, key)
+    return full_outer(left, right, key, unique=True)
 
 
 def distinct_counts_where(df: DataFrame, key: str, counts: dict[str, tuple[Column, str]]) -> DataFrame:

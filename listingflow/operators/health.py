@@ -19,11 +19,11 @@ def recent_polls(polls: DataFrame, n: int = RECENT_POLLS) -> DataFrame:
 def health_report(polls: DataFrame, n: int = RECENT_POLLS, weight: str | None = None) -> DataFrame:
     """Per source: successes in the last n polls, their rate, last failure and last success.
 
-    One pass: the n newest poll stamps are a list of known length, joined as a flag.  Sources not polled lately are left
+    One pass: the n newest poll stamps are joined as a flag; Spark knows how many there are and sends a short list.  Sources not polled lately are left
     out.  The rate is over n even when fewer polls exist.  ``weight`` names a column telling how often a row counts.
     """
     stamps = top_distinct(polls, "time_checked", n).withColumn("_recent", F.lit(True))
-    flagged = polls.join(F.broadcast(stamps), "time_checked", "left")
+    flagged = polls.join(stamps, "time_checked", "left")
     successes = F.col("result") * F.col(weight) if weight else F.col("result")
     per_source = flagged.groupBy("source").agg(
         F.sum(F.when(F.col("_recent"), successes)).alias("result"),

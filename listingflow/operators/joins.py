@@ -130,7 +130,7 @@ def left(
         return a.join(others, ROW_KEY, "left").drop(*ROW_KEY)
     keys = keyed(_present(b.select(*on), on), on, types=types).select("_hash")
     hot = hot_keys(keys, None).withColumn("_side", F.lit(1))
-    x, y = salted(a, hot, 0), salted(others, hot, 1).drop("_again").withColumn("_in_b", F.lit(True))
+    x, y = salted(a, hot, 0, ~_any_null(on)), salted(others, hot, 1).drop("_again").withColumn("_in_b", F.lit(True))
     joined = x.join(y, [*ROW_KEY, "_salt"], "left")
     return joined.where(~(F.col("_again") & F.col("_in_b").isNull())).drop(*ROW_KEY, "_salt", "_again", "_in_b")
 
@@ -218,13 +218,16 @@ def hot_keys(left_keys: DataFrame, right_keys: DataFrame | None, share: int = HO
     return picked.select("_hash", "_hot.*").where("_salts > 1")
 
 
-def salted(df: DataFrame, hot: DataFrame, side: int) -> DataFrame:
+def salted(df: DataFrame, hot: DataFrame, side: int, present: Column | None = None) -> DataFrame:
     """``df`` with ``_salt``, and ``_again`` for rows that stand once for each salt.
 
     Rows of a key that is hot on their own side are dealt over its salts by a hash; rows of a key that is hot on the other side
-    are repeated for each of them, so that every pair meets once.
+    are repeated for each of them, so that every pair meets once.  ``present`` tells which rows have a key at all: the others'
+    hash is that of a whole row and may be that of a key by chance, or where the row holds nothing else.
     """
     known = df.join(F.broadcast(hot), "_hash", "left")  # a bounded number of rows
+    if present is not None:
+        known = known.withColumn("_side", F.when(present, F.col("_side")))
     others = F.coalesce(F.col("_side") != side, F.lit(False))
     whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
     own = F.when(F.col("_side") == side, F.pmod(whole, F.col("_salts")).cast("int")).otherwise(F.lit(0))
@@ -232,21 +235,27 @@ def salted(df: DataFrame, hot: DataFrame, side: int) -> DataFrame:
     return known.select(*df.columns, others.alias("_again"), F.explode(salts).alias("_salt"))
 
 
-def full_outer(left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("_left", "_right")) -> DataFrame:
+def full_outer(
+    left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("_left", "_right"), unique: bool = False
+) -> DataFrame:
     """Full outer join; null keys never match.  Clashing columns get suffixes.
 
     Each side is read once, and its keys once more for a sketch of the hot ones.  Adaptive execution never splits a full outer join,
     so rows of a hot key are dealt over several salts and the other side's rows of that key repeated for each.  A repeated row
     that finds no partner under one salt has one under another, as the key does occur on the side it is hot on, so it is dropped.
-    Keys of different types come out in the common one, or as text where one side's are.
+    Say ``unique`` where no key repeats on either side: then nothing is looked for.  Keys of different types come out in the common one, or as text where one side's are.
     """
     on = _listed(on)
     a, b = _suffixed(left_df, right_df, on, suffixes)
     types = common_types(a, b, on, on)
     shown = {c: T.StringType() if _is_text(a, c) or _is_text(b, c) else t for c, t in zip(on, types, strict=True) if t}
     lefts, rights = keyed(a, on, True, types), keyed(b, on, True, types)
-    hot = hot_keys(*[keyed(_present(x.select(*on), on), on, types=types).select("_hash") for x in (a, b)])
-    x, y = (_never_equal(salted(k, hot, n), on) for n, k in enumerate((lefts, rights)))
+    if unique:
+        x, y = (k.withColumns({"_again": F.lit(False), "_salt": F.lit(0)}) for k in (lefts, rights))
+    else:
+        hot = hot_keys(*[keyed(_present(x.select(*on), on), on, types=types).select("_hash") for x in (a, b)])
+        x, y = (salted(k, hot, n, ~_any_null(on)) for n, k in enumerate((lefts, rights)))
+    x, y = _never_equal(x, on), _never_equal(y, on)
     y = y.select(*ROW_KEY, "_salt", F.col("_again").alias("_again_b"), *[F.col(f"`{c}`").alias(f"_on_{i}") for i, c in enumerate(on)], F.lit(True).alias("_in_b"), *[c for c in b.columns if c not in on])
     joined = x.withColumn("_in_a", F.lit(True)).join(y, [*ROW_KEY, "_salt"], "full_outer")
     lone = (F.col("_again") & F.col("_in_b").isNull()) | (F.col("_again_b") & F.col("_in_a").isNull())
@@ -278,10 +287,14 @@ def left_on_either(left_df: DataFrame, right_df: DataFrame, pairs: list[tuple[st
     multiplicities included; the left is read twice, the right twice, of which once its keys only.  Column names must not clash.
     """
     types = common_types(left_df, right_df, [a for a, _ in pairs], [b for _, b in pairs])
+    compared = [t or left_df.schema[a].dataType for t, (a, _) in zip(types, pairs, strict=True)]
+    # keys of one type share a column as they are, others as text
+    alike = all(t == compared[0] for t in compared)
 
     def key(column: str, number: int) -> Column:
         value = F.col(f"`{column}`")
-        return (value if types[number] is None else value.try_cast(types[number])).cast("string")
+        value = value if types[number] is None else value.try_cast(types[number])
+        return value if alike else value.cast("string")
 
     def each_key(df: DataFrame, names: list[str]) -> DataFrame:
         keys = [F.struct(F.lit(i).alias("_which"), key(n, i).alias("_on")) for i, n in enumerate(names)]
@@ -294,10 +307,9 @@ def left_on_either(left_df: DataFrame, right_df: DataFrame, pairs: list[tuple[st
         same = F.coalesce(key(a, i) == key(b, i), F.lit(False))
         earlier = earlier | ((F.col("_which") > i) & same)
     matched = both.where(~earlier).drop("_which", "_on")
-    known = each_key(right_df.select(*dict.fromkeys(rights)), rights).select("_which", "_on").distinct()
     rest = left_df
     for i, name in enumerate(lefts):
-        mine = known.where(F.col("_which") == i).select("_on")
+        mine = right_df.select(key(rights[i], i).alias("_on")).where(F.col("_on").isNotNull())
         rest = only_in_left(rest.withColumn("_on", key(name, i)), mine, ["_on"]).drop("_on")
     return matched.unionByName(rest, allowMissingColumns=True)
 
