@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import id_and_text
+from .common import id_and_text, sent_if_small, stored
 from .library_tokens import ByteLevelTokens, load
 from .words import text_slices
 
@@ -191,3 +191,42 @@ def directory(shards: DataFrame) -> DataFrame:
     parts = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("before"))
     start = (F.col("before") + F.col("start_in_part")).alias("start")
     return docs.join(parts, "part").select("doc_id", start, "n_tokens", "ids_crc32")
+
+
+def tokens(shards: DataFrame, wanted: DataFrame, most_parts: int = 1_000) -> DataFrame:
+    """``doc_id, begin, ids``: some ids of some documents, for every row ``doc_id, begin, end`` of ``wanted``.
+
+    ``begin`` counts from 0 within the document, ``end`` is exclusive; a range that reaches past a document's last id ends there.
+    The codes' column is left unread but for the shards that hold a wanted document (files of other parts are skipped while these
+    are at most ``most_parts``), and in a shard only the wanted ids are decoded.  Ids of documents that the store does not have
+    give no row, null ids match nothing, and an id that the store has repeatedly gives a row for each.
+    """
+
+    def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                n = len(row["doc_ids"])
+                ends = np.cumsum([0, *row["doc_tokens"]])
+                columns = [[row["part"]] * n, [row["first_token"]] * n, row["doc_ids"], ends[:-1], row["doc_tokens"]]
+                kinds = [pa.int32(), *[pa.int64()] * 4]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["part", "first_token", "doc_id", "at", "n"])
+
+    where = shards.select("part", "first_token", "doc_ids", "doc_tokens").mapInArrow(places, "part int, first_token long, doc_id long, at long, n long")
+    asked = wanted.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("begin").cast("long").alias("begin"), F.col("end").cast("long").alias("end"))
+    end = F.greatest(F.least("end", "n"), F.col("begin"))
+    one = F.struct("doc_id", "begin", (F.col("at") + F.col("begin")).alias("low"), (F.col("at") + end).alias("high"))
+    met = where.join(asked, "doc_id").where("begin between 0 and n").groupBy("part", "first_token").agg(F.collect_list(one).alias("ranges"))
+    met = stored(met, "ranges")
+    parts = [r.part for r in met.select("part").distinct().limit(most_parts + 1).collect()]
+    held = shards.select("part", "first_token", "codes")
+    held = held.where(F.col("part").isin(parts)) if len(parts) <= most_parts else held
+
+    def sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for codes, ranges in zip(batch.column("codes"), batch.column("ranges").to_pylist(), strict=True):
+                held = Codes(codes.as_py())
+                found = [held.slice(r["low"], r["high"]).astype(np.int64) for r in ranges]
+                columns = [pa.array([r[k] for r in ranges], pa.int64()) for k in ("doc_id", "begin")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.int64()))], ["doc_id", "begin", "ids"])
+
+    return held.join(sent_if_small(met, 10_000), ["part", "first_token"]).select("codes", "ranges").mapInArrow(sliced, "doc_id long, begin long, ids array<long>")

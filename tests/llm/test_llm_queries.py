@@ -13,7 +13,8 @@ from llm_cases import SMALL, crc, ordered, small_rows
 from test_llm_text import _base
 from tokenizers import Tokenizer
 
-from listingflow.llm import quality, queries
+from listingflow.llm import quality, queries, token_store
+from listingflow.llm.common import documents, new_folder
 
 DOCS = [(i, t or "") for i, t in small_rows()]
 TABLES = ("documents", "labels", "embeddings")
@@ -40,6 +41,25 @@ def test_token_store(spark):
     assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in _rows(spark, "op1_token_store")) == expected
 
 
+def test_some_tokens_of_some_documents(spark, monkeypatch):
+    folder, decoded = new_folder(spark, "token-store"), []
+    token_store.write(documents(spark, SMALL), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, shard_tokens=3000)
+    shards, library = token_store.read(spark, folder), _library("byte_bpe_50k.json")
+    assert shards.count() > 20
+    ids = {i: [*library.encode(t, add_special_tokens=False).ids, 0] for i, t in DOCS}
+    some = [i for i, _ in DOCS][::7]
+    wanted = [(i, b, e) for i in some for b, e in ((0, 1), (3, 9), (0, 10**6), (len(ids[i]) - 1, len(ids[i])), (5, 5))] + [(-77, 0, 5), (None, 0, 1), (some[0], 10**7, 10**8)]
+    frame = spark.createDataFrame(wanted, "doc_id long, begin long, end long")
+    got = sorted((r.doc_id, r.begin, tuple(r.ids)) for r in token_store.tokens(shards, frame).collect())
+    assert got == sorted((i, b, tuple(ids[i][b:e])) for i, b, e in wanted if i in ids and b <= len(ids[i]))
+    # in a shard only what is asked for is decoded
+    codes = token_store.Codes(shards.first().codes)
+    unpack = np.unpackbits
+    monkeypatch.setattr(token_store.np, "unpackbits", lambda bits, **kw: decoded.append(len(bits)) or unpack(bits, **kw))
+    codes.slice(1000, 1008)
+    assert sum(decoded) <= 2 * len(codes.levels)
+
+
 def test_personal_data(spark):
     got = {r.doc_id: r for r in _rows(spark, "op3_personal_data")}
     kinds = ("email", "ip", "card", "phone")
