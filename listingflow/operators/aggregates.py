@@ -87,21 +87,25 @@ def grand_total(df: DataFrame, column: str) -> DataFrame:
 
 
 def running_last(
-    df: DataFrame, partition: list[str], position: str, value: Column, name: str, block: int = 10_000
+    df: DataFrame, partition: list[str], position: str, value: Column, name: str, block: int = 10_000, tasks: int | None = None
 ) -> DataFrame:
     """Greatest value so far, by position, without putting a whole partition into one task.
 
     Positions are cut into blocks.  Each block is summed up first, the block summaries (few rows) are run through a window,
-    and the rows are then windowed inside their own block only.
+    and the rows are then windowed inside their own block only, behind a row that brings what was before the block; so the rows
+    are shuffled and sorted once and no join holds them.  ``tasks`` is into how many parts they are dealt, where the caller knows
+    how many rows there are; else it is the session's number.
     """
     from pyspark.sql import Window
 
-    tagged = df.withColumn("_block", F.floor(F.col(position) / F.lit(block))).withColumn("_value", value)
+    tagged = df.withColumns({"_block": F.floor(F.col(position) / F.lit(block)), "_value": value, "_own": F.lit(1)})
     blocks = tagged.groupBy(*partition, "_block").agg(F.max("_value").alias("_block_max"))
     before = Window.partitionBy(*partition).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_before", F.max("_block_max").over(before)).drop("_block_max")
-    inside = Window.partitionBy(*partition, "_block").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
-    joined = tagged.join(blocks, [*partition, "_block"], "left")
-    running = F.greatest(F.max("_value").over(inside), F.col("_before"))
-    return joined.withColumn(name, running).drop("_block", "_value", "_before")
-
+    blocks = blocks.withColumn("_value", F.max("_block_max").over(before)).drop("_block_max").withColumn("_own", F.lit(0))
+    # a null page or place has no blocks that follow each other
+    blocks = blocks.na.drop(subset=[*partition, "_block", "_value"])
+    inside = Window.partitionBy(*partition, "_block").orderBy("_own", position).rowsBetween(Window.unboundedPreceding, 0)
+    rows = tagged.unionByName(blocks, allowMissingColumns=True)
+    rows = rows.repartition(tasks, *partition, "_block") if tasks else rows
+    running = rows.withColumn(name, F.max("_value").over(inside))
+    return running.where("_own = 1").drop("_block", "_value", "_own")

@@ -20,21 +20,21 @@ def cards(options: DataFrame, card: list[str], label: str, value: str, position:
     )
 
 
-def placed_cells(cells: DataFrame, page: list[str], position: str, cell: str, marker: str, block: int = 10_000) -> DataFrame:
+def placed_cells(cells: DataFrame, page: list[str], position: str, cell: str, marker: str, block: int = 10_000, tasks: int | None = None) -> DataFrame:
     """``page, record_start, place, cell``: every cell with the record it belongs to and its place there, the marker cut away.
 
     A cell holding the marker starts a record; cells before the first one form a record of their own.  The start of a record
-    is a running maximum taken block by block, so a long page need not fit into a task.
+    is a running maximum taken block by block, so a long page need not fit into a task (``tasks``: see ``running_last``).
     """
     starts = F.when(F.col(cell).contains(marker), F.col(position))
-    placed = running_last(cells, page, position, starts, "record_start", block)
+    placed = running_last(cells, page, position, starts, "record_start", block, tasks)
     placed = placed.withColumn("record_start", F.coalesce("record_start", F.lit(0).cast("long")))
     text = F.replace(F.col(cell), F.lit(marker), F.lit(""))
     return placed.select(*page, "record_start", (F.col(position) - F.col("record_start")).alias("place"), text.alias("cell"))
 
 
 def marked_records(
-    cells: DataFrame, page: list[str], position: str, cell: str, marker: str, names: list[str], block: int = 10_000, more: bool = True
+    cells: DataFrame, page: list[str], position: str, cell: str, marker: str, names: list[str], block: int = 10_000, more: bool = True, tasks: int | None = None
 ) -> DataFrame:
     """Records of a flat cell sequence in which a cell holding the marker starts a record.
 
@@ -42,7 +42,7 @@ def marked_records(
     array ``more_cells``, so a record, as a row, has to fit into a task; say ``more=False`` where records may be of any
     length, and take them as rows from ``further_cells``.
     """
-    placed = placed_cells(cells, page, position, cell, marker, block)
+    placed = placed_cells(cells, page, position, cell, marker, block, tasks)
     place = F.col("place")
     past = F.collect_list(F.when(place >= len(names), F.struct(place, F.col("cell"))))
     return placed.groupBy(*page, "record_start").agg(

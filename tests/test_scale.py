@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from listingflow.operators import entities
+from listingflow.operators import aggregates, entities
 from listingflow.plans import catalog, matching
+from listingflow.sources import records
 
 
 def _tables(spark, folder, **tables):
@@ -42,3 +43,28 @@ def test_best_decision_of_a_name_that_several_clients_share(spark):
     df = spark.createDataFrame(rows, "clientId string, mapStatus string, entityId string, entityName string, confidenceScore double, similarityScore double")
     got = {(r.company_name, r.ticker, r.entity_id, r.mapstatus) for r in entities.decisions_to_map(df).collect()}
     assert got == {("Acme", "T1", "000002-E", "mapped"), ("Bolt", "T3", None, "UNMAPPED"), (None, None, "000007-E", "MAPPED")}
+
+
+def _spied(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_running_value_needs_no_join_and_one_shuffle_of_the_rows(spark):
+    rows = [(p, i, i if i % 7 == 3 else None, "x" * (i % 3)) for p in ("a", "b") for i in range(40)] + [(None, 1, 5, "n"), (None, 25, None, "m"), ("c", None, 9, "z")]
+    df = spark.createDataFrame(rows, "page string, pos long, v long, cell string")
+    ran = aggregates.running_last(df, ["page"], "pos", F.col("v"), "last", 10)
+    assert "Join" not in _spied(ran)
+    got = {(r.page, r.pos): r["last"] for r in ran.collect()}
+    assert ran.columns == ["page", "pos", "v", "cell", "last"] and len(got) == len(rows)
+    for p in ("a", "b"):
+        for i in range(40):
+            assert got[p, i] == max([j for j in range(i + 1) if j % 7 == 3], default=None)
+    assert got[None, 1] == 5 and got[None, 25] is None and got["c", None] == 9
+
+
+def test_cells_are_dealt_over_as_many_tasks_as_asked_for(spark):
+    cells = spark.createDataFrame([("a", i, f"c{i}" + ("#" if i % 5 == 0 else "")) for i in range(100)], "page string, pos long, cell string")
+    made = records.marked_records(cells, ["page"], "pos", "cell", "#", ["x", "y"], block=10, tasks=7)
+    assert "REPARTITION_BY_NUM" in _spied(made)
+    plain = records.marked_records(cells, ["page"], "pos", "cell", "#", ["x", "y"], block=10)
+    assert sorted(map(str, made.collect())) == sorted(map(str, plain.collect())) and made.count() == 20
