@@ -115,24 +115,31 @@ def inner(left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes
 
 
 def left(
-    left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("", "_right"), hot_right: bool = False
+    left_df: DataFrame, right_df: DataFrame, on: list[str] | str, suffixes=("", "_right"), hot_right: bool = False, distinct: bool = False
 ) -> DataFrame:
     """Left join on equal, non-null keys; clashing columns get suffixes.
 
     A hot key on the left is split.  Say ``hot_right`` when a key may hold a large part of a large right side: rows of its hot
-    keys are then dealt over salts, for a second look at its keys (see ``full_outer``).
+    keys are then dealt over salts, for a second look at its keys (see ``full_outer``).  With ``distinct`` each row comes out once;
+    equal rows have the same key and salt, so they are found in the task that joined them.
     """
     on = _listed(on)
     a, b = _suffixed(left_df, right_df, on, suffixes)
     types = common_types(a, b, on, on)
     a, others = keyed(a, on, True, types), keyed(_present(b, on), on, types=types).drop(*on)
     if not hot_right:
-        return a.join(others, ROW_KEY, "left").drop(*ROW_KEY)
-    keys = keyed(_present(b.select(*on), on), on, types=types).select("_hash")
-    hot = hot_keys(keys, None).withColumn("_side", F.lit(1))
+        return _once(a.join(others, ROW_KEY, "left"), ROW_KEY, distinct)
+    keys = [keyed(_present(side.select(*on), on), on, types=types).select("_hash") for side in (a, b)]
+    # rows that are compared afterwards stay where the join puts them, so a hot key on the left is dealt over salts as well
+    hot = hot_keys(*keys) if distinct else hot_keys(keys[1], None).withColumn("_side", F.lit(1))
     x, y = salted(a, hot, 0, ~_any_null(on)), salted(others, hot, 1).drop("_again").withColumn("_in_b", F.lit(True))
     joined = x.join(y, [*ROW_KEY, "_salt"], "left")
-    return joined.where(~(F.col("_again") & F.col("_in_b").isNull())).drop(*ROW_KEY, "_salt", "_again", "_in_b")
+    return _once(joined.where(~(F.col("_again") & F.col("_in_b").isNull())).drop("_again", "_in_b"), [*ROW_KEY, "_salt"], distinct)
+
+
+def _once(joined: DataFrame, helpers: list[str], distinct: bool) -> DataFrame:
+    """Joined rows without the columns they met on, and without copies where asked; these share all helper columns."""
+    return (joined.distinct() if distinct else joined).drop(*helpers)
 
 
 def left_folded(left_df: DataFrame, right_df: DataFrame, on: list[str] | str) -> DataFrame:

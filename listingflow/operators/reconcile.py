@@ -129,17 +129,27 @@ def matches(internal: Column, external: Column) -> Column:
 
 
 def match_report(external: DataFrame, deals: DataFrame) -> DataFrame:
-    """Which external dates and prices agree with the internal deal."""
-    joined = left(external.drop("ticker"), deals, "iconum", ("_external", "_internal"), hot_right=True)
-    dates = [f.name for f in joined.schema.fields if "date" in f.name.lower()]
-    joined = joined.withColumns({c: F.col(c).cast("date") for c in dates})
+    """Which external dates and prices agree with the internal deal.
+
+    Only what is shown is joined, dates as they are shown, and the copies left by that are dropped where the join put them: rows
+    equal in all columns met under the same key and salt, so the report is not shuffled again.
+    """
+    shown = [
+        ["company_name", "exchange", "ipo_date", "price", "price_range", "status", "notes", "time_added"],
+        [f.name for f in schemas.DEALS.fields if f.name != "iconum"],
+    ]
+    sides = []
+    for df, columns in zip((external, deals), shown, strict=True):
+        cast = [F.col(c).cast("date").alias(c) if "date" in c.lower() else F.col(c) for c in columns]
+        sides.append(df.select("iconum", *cast))
+    joined = left(*sides, "iconum", ("_external", "_internal"), hot_right=True, distinct=True)
     flagged = joined.withColumns(
         {
             "ipo_dates_match": matches(F.col("trading_date"), F.col("ipo_date")),
             "ipo_prices_match": matches(F.col("price_internal"), F.col("price_external")),
         }
     )
-    return flagged.select(*MATCH_COLUMNS).distinct()
+    return flagged.select(*MATCH_COLUMNS)
 
 
 def ticket_listings(reconciled: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import functions as F
 
-from listingflow.operators import aggregates, entities
+from listingflow.operators import aggregates, entities, reconcile
 from listingflow.plans import catalog, matching
 from listingflow.sources import records
 
@@ -62,6 +64,40 @@ def test_running_value_needs_no_join_and_one_shuffle_of_the_rows(spark):
     assert got[None, 1] == 5 and got[None, 25] is None and got["c", None] == 9
 
 
+def _match_sides(spark, hot):
+    listing = "company_name string, ticker string, exchange string, ipo_date date, price double, price_range string, shares_offered double, status string, notes string, time_added timestamp_ntz, time_removed timestamp_ntz, entityname string, iconum long"
+    external = [(f"L{k}", "T", "X", date(2000, 1, 1 + k % 3), 1.0 * (k % 2), None, float(k), None, None, None, None, None, k % 5 if k % 7 else None) for k in range(20)]
+    external += [(None, "T", "X", date(2000, 1, 1), 1.0, None, float(i), None, None, datetime(2000, 1, 1, i % 2), None, None, 1) for i in range(hot)]
+    deal = "iconum long, company_name string, master_deal long, cusip string, client_deal_id string, ticker string, exchange string, price double, min_offering_price double, max_offering_price double, announcement_date timestamp_ntz, pricing_date timestamp_ntz, trading_date timestamp_ntz, closing_date timestamp_ntz, deal_status string, last_updated_date_utc timestamp_ntz"
+    deals = [(k, "D", 10 * (k or 5), None, "c", "t", "X", 1.0, None, None, None, None, datetime(2000, 1, 1, h), None, "Open", datetime(2000, 1, 2, h)) for k in (0, 1, 2, None) for h in (1, 2)]
+    deals += [(2, "D", i % 9, None, "c", "t", "X", 0.0, None, None, None, None, None, None, "Open", datetime(2000, 1, 2, i % 24)) for i in range(hot)]
+    return spark.createDataFrame(external, listing), spark.createDataFrame(deals, deal)
+
+
+def test_match_report_is_not_shuffled_after_the_join(spark):
+    external, deals = _match_sides(spark, 300)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        report = reconcile.match_report(external, deals)
+        plan = _spied(report)
+        got = sorted(map(str, map(tuple, report.collect())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in plan[: plan.index("SortMergeJoin")]
+    a, b = external.select("*").alias("a"), deals.alias("b")
+    day = lambda c: F.col(c).cast("date")
+    joined = a.join(b, F.expr("a.iconum = b.iconum"), "left").select(
+        (F.coalesce(day("b.trading_date") == day("a.ipo_date"), F.lit(False)) | F.col("a.ipo_date").isNull()).alias("d"),
+        (F.coalesce(F.col("b.price") == F.col("a.price"), F.lit(False)) | F.col("a.price").isNull()).alias("p"),
+        "a.iconum", "a.company_name", "a.exchange", day("a.ipo_date").alias("i"), "a.price", "a.price_range", "a.status", "a.notes", "a.time_added",
+        F.col("b.company_name").alias("n"), "b.master_deal", "b.client_deal_id", "b.cusip", "b.ticker", F.col("b.exchange").alias("e"), F.col("b.price").alias("q"),
+        "b.min_offering_price", "b.max_offering_price", *[day(f"b.{c}").alias(c) for c in ("announcement_date", "pricing_date", "trading_date", "closing_date")],
+        "b.deal_status", day("b.last_updated_date_utc").alias("u"),
+    )
+    assert got == sorted(map(str, map(tuple, joined.distinct().collect())))
+
+
 def test_cells_are_dealt_over_as_many_tasks_as_asked_for(spark):
     cells = spark.createDataFrame([("a", i, f"c{i}" + ("#" if i % 5 == 0 else "")) for i in range(100)], "page string, pos long, cell string")
     made = records.marked_records(cells, ["page"], "pos", "cell", "#", ["x", "y"], block=10, tasks=7)
