@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -33,7 +35,7 @@ def sent_if_small(frame: DataFrame, most_rows: int = 500_000) -> DataFrame:
 
 #: Bytes of a batch between the JVM and Python.  Documents differ in size by orders of magnitude, and a batch is held several
 #: times over on its way, so Spark's own bound of 64 MB is too much for small executors.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -54,6 +56,19 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
+def released(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; when they are used up, memory that the worker's allocators hold free is given back to the system.
+
+    Workers live on from task to task and stage to stage, and would keep what the largest of them took.
+    """
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator reads, so other columns can't clash with its own."""
     ship_code(docs.sparkSession)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import binary_views, block_pairs, each_block, forest, in_blocks, overlaps
-from .common import id_and_text, sent_if_small, stored
+from .common import id_and_text, released, sent_if_small, stored
 from .components import components
 from .words import shingle_hashes, text_slices, words_of
 
@@ -82,7 +82,7 @@ def _described(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> D
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = sent.value
-        for batch in batches:
+        for batch in released(batches):
             for row, texts in text_slices(batch):
                 size, key, prefix = [], [], []
                 for found in element_sets(texts, n):
@@ -195,7 +195,7 @@ def near_duplicates(
     texts = docs.join(F.broadcast(sources) if few else sources, "doc_id").select("rep", "family", "parts", "key", "text")
 
     def whole_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for row, some in text_slices(batch):
                 keys = batch.column("key").slice(row, len(some)).to_pylist()
                 sets = [s.tobytes() for s in element_sets(some, n)]

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import id_and_text, stored
+from .common import id_and_text, released, stored
 from .library_tokens import WordTokens, load
 from .words import text_slices
 
@@ -126,7 +126,7 @@ def cut(
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part = load(WordTokens, tokenizer), TaskContext.get().partitionId()
         end, seen, number = np.array([end_id], "<u4").tobytes(), np.zeros(capacity + 1, np.int64), 0
-        for batch in batches:
+        for batch in released(batches):
             doc_ids = batch.column("doc_id").to_pylist()
             for row, texts in text_slices(batch):
                 out = [[] for _ in range(8)]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, ship_code
+from .common import id_and_text, released, ship_code
 
 
 class Span(NamedTuple):
@@ -167,7 +167,7 @@ def spans_of(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", te
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
-        for batch in batches:
+        for batch in released(batches):
             found = [[s._asdict() for s in find(t.as_py() or "", threshold)] for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, kind)], ["doc_id", "spans"])
 
@@ -198,7 +198,7 @@ def redacted(docs: DataFrame, text_col: str = "text", length_col: str | None = "
     names = docs.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             columns = {name: batch.column(i) for i, name in enumerate(names)}
             texts = columns[text_col].to_pylist()
             new = [None if t is None else redact(t, find(t, threshold)) for t in texts]

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_and_text, ship_code
+from .common import id_and_text, released, ship_code
 
 _MARKS = b"!?|*#$%&+=<>{}[]()/\\_-~^@:;.,'\"0123456789"
 STATISTICS = (
@@ -149,7 +149,7 @@ def learn(
     rows = id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").select("text", "label")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             values = _described(batch.column("text").to_pylist())
             lists = pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), len(STATISTICS)).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([lists, batch.column("label")], ["statistics", "label"])
@@ -170,7 +170,7 @@ def score(docs: DataFrame, trees: Trees, name: str = "score", text_col: str = "t
     names, sent = [*docs.columns, name], spark.sparkContext.broadcast(trees)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             texts = batch.column(names.index(text_col))
             scores = sent.value.score(_described(t.as_py() for t in texts))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names)

@@ -90,7 +90,7 @@ def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mixed(total + np.uint64(width))
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text", size: int = 1_000_000) -> Iterator[tuple[int, pa.Array]]:
+def text_slices(batch: pa.RecordBatch, column: str = "text", size: int = 400_000) -> Iterator[tuple[int, pa.Array]]:
     """(first row, texts) of consecutive rows with at most ``size`` bytes or one row; null texts are empty.
 
     Work on words takes some fifty bytes of memory for each byte of a slice.

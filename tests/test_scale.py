@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from listingflow.llm import common, words
 from listingflow.operators import aggregates, entities, reconcile
 from listingflow.plans import catalog, matching
 from listingflow.sources import records
@@ -104,3 +106,11 @@ def test_cells_are_dealt_over_as_many_tasks_as_asked_for(spark):
     assert "REPARTITION_BY_NUM" in _spied(made)
     plain = records.marked_records(cells, ["page"], "pos", "cell", "#", ["x", "y"], block=10)
     assert sorted(map(str, made.collect())) == sorted(map(str, plain.collect())) and made.count() == 20
+
+
+def test_slices_of_a_batch_are_small_and_batches_are_released():
+    batch = pa.RecordBatch.from_pydict({"text": ["word " * 20_000] * 10 + [None, "x" * 900_000]})
+    slices = [texts for _, texts in words.text_slices(batch)]
+    assert sum(map(len, slices)) == 12
+    assert all(len(texts) == 1 or sum(len(t.as_py()) for t in texts) <= 400_000 for texts in slices)
+    assert list(common.released(iter([batch, batch]))) == [batch, batch] and list(common.released(iter([]))) == []
