@@ -188,5 +188,5 @@ def test_stages_handle_odd_rows(spark, stage):
 
 
 def test_every_query_is_registered_and_runs(spark):
-    assert [int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES] == list(range(1, 14))
     assert corpus_pipeline.run(spark, SMALL).count() > 100
