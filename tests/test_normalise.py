@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -178,3 +179,13 @@ def test_final_format(spark):
     assert rows(got, "company_name", "status") == [("A Inc", "Listing Today"), ("B", "Upcoming Priced"), ("C", "Priced"), ("D", None)]
     assert [r[0] for r in final.newest_first(got).select("company_name").collect()] == ["B", "A Inc", "C", "D"]
     assert listings(got).columns[0] == "company_name"
+
+
+def test_code_made_for_a_source_is_small_enough_to_be_compiled(spark, tmp_path, capsys):
+    names = "ipo_date company_name ticker exchange deal_size shares_offered price_range"
+    raw(spark, names, ("6/30/2024", "A", "AC", "NYSE", "1,000", "1", "10-12"), ("Monday, 1st July 2024", "B", "B", "NYSE", None, "2", None)).write.parquet(f"{tmp_path}/nyse")
+    got = listings(americas.nyse(spark.read.parquet(f"{tmp_path}/nyse")))
+    assert rows(got, "company_name", "ipo_date") == [("A", dt.date(2024, 7, 1)), ("B", dt.date(2024, 7, 2))]
+    got.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000  # a JVM leaves larger methods interpreted
