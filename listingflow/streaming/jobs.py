@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.health import RECENT_POLLS
@@ -62,10 +63,30 @@ def first_seen(
 ) -> StreamingQuery:
     """Append the first sighting of each key to ``path``, for good (see ``keyed.first_seen``).
 
-    ``known`` are keys seen before; they are read when the query first starts.
+    ``known`` are keys seen before; they are read when the query first starts and never again.  They are stored beside its state,
+    where the first batch reads them, also when it has to be done again.
     """
-    with keyed.rocksdb_state(listings.sparkSession):
-        return to_files(keyed.first_seen(listings, keys, stamp, known), path, checkpoint, every)
+    spark, place = listings.sparkSession, f"{checkpoint}/known"
+    layout = T.StructType([listings.schema[k] for k in keys])
+    if _exists(spark, f"{checkpoint}/offsets"):
+        stored = _exists(spark, place)
+    else:
+        stored = known is not None
+        if stored:
+            known.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in layout]).distinct().write.mode("overwrite").parquet(place)
+    earlier = spark.readStream.schema(layout).parquet(place) if stored else None
+    with keyed.rocksdb_state(spark):
+        return to_files(keyed.first_seen(listings, keys, stamp, earlier), path, checkpoint, every)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def health_windows(polls: DataFrame, stamp: str, width: str, delay: str, source: str = "source") -> DataFrame:

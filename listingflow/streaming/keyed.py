@@ -34,55 +34,55 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_PROVIDER, before)
 
 
-def combined(rows: DataFrame, by: list[str], values: list[tuple[str, str, str]]) -> DataFrame:
+def combined(rows: DataFrame, by: list[str], values: list[tuple[str, str, str]], whole: bool = False) -> DataFrame:
     """Rows combined before a shuffle: of each key of an Arrow batch one row, with ``values`` given as (column, aggregate, name).
 
     What a built-in aggregate does before its shuffle, for streams, in which one may not stand before keyed state.  A key that
-    holds most of a micro-batch then sends one row for each Arrow batch.
+    holds most of a micro-batch then sends one row for each Arrow batch.  With ``whole`` of each key of a partition one row,
+    as after a shuffle; a task then holds the keys of its partition.
     """
     wide = rows.select(*[f"`{c}`" for c in by], *[F.col(f"`{c}`").alias(name) for c, _, name in values])
 
     def combine(batches):
         import pyarrow as pa
 
+        def least(tables):
+            found = pa.concat_tables(tables).group_by(by).aggregate([(name, kind) for _, kind, name in values])
+            found = found.select([*by, *[f"{name}_{kind}" for _, kind, name in values]]).rename_columns(tables[0].schema.names)
+            return found.cast(tables[0].schema)
+
+        held, limit = [], 0
         for batch in batches:
-            least = pa.Table.from_batches([batch]).group_by(by).aggregate([(name, kind) for _, kind, name in values])
-            least = least.select([*by, *[f"{name}_{kind}" for _, kind, name in values]]).rename_columns(batch.schema.names)
-            yield from least.cast(batch.schema).to_batches()
+            held.append(least([pa.Table.from_batches([batch])]))
+            if not whole:
+                yield from held.pop().to_batches()
+            elif sum(t.num_rows for t in held) > limit:
+                held = [least(held)]
+                limit = 2 * held[0].num_rows + _WAITING
+        if held:
+            yield from least(held).to_batches(max_chunksize=_BATCH)
 
     return wide.mapInArrow(combine, wide.schema)
 
 
+# Rows that wait to be combined, at least, and rows of an Arrow batch given back.
+_WAITING, _BATCH = 100_000, 10_000
+
+
 def first_seen(listings: DataFrame, keys: list[str], stamp: str, known: DataFrame | None = None) -> DataFrame:
     """A stream of every key's first sighting: its earliest stamp in the batch that brought it first, once and for good.
 
-    The state has a flag per key.  ``known`` holds keys seen before the stream began (columns ``keys``); it is read when
-    the query first starts and never again.  Null keys are keys; a sighting without a stamp counts, with a null stamp.
+    The sightings of a micro-batch are brought to one row per key, and ``dropDuplicates`` keeps the keys as its state, so no key
+    costs a call of Python.  ``known`` is a stream of keys (columns ``keys``) seen before; it must bring all of them in the first
+    batch.  Null keys are keys; a sighting without a stamp counts, with a null stamp.
     """
-    from pyspark.sql import Row
-    from pyspark.sql.streaming import StatefulProcessor
-
-    sighting = Row(*keys, stamp)
-
-    class FirstSighting(StatefulProcessor):
-        def init(self, handle) -> None:
-            self.seen = handle.getValueState("seen", "seen boolean")
-
-        def handleInitialState(self, key, row, timers) -> None:
-            self.seen.update((True,))
-
-        def handleInputRows(self, key, rows, timers):
-            if self.seen.exists():
-                return
-            self.seen.update((True,))
-            yield sighting(*key, min((r[-1] for r in rows if r[-1] is not None), default=None))
-
-        def close(self) -> None:
-            pass
-
-    earlier = None if known is None else known.select(*keys).distinct().groupBy(*keys)
-    thin = combined(listings, keys, [(stamp, "min", stamp)])
-    return thin.groupBy(*keys).transformWithState(FirstSighting(), thin.schema, "append", "none", earlier)
+    rows = listings.select(*[f"`{c}`" for c in [*keys, stamp]], F.lit(0).alias("_known"))
+    if known is not None:
+        no_stamp = F.lit(None).cast(listings.schema[stamp].dataType).alias(stamp)
+        rows = rows.unionByName(known.select(*[f"`{c}`" for c in keys], no_stamp, F.lit(1).alias("_known")))
+    values = [(stamp, "min", stamp), ("_known", "max", "_known")]
+    thin = combined(rows, keys, values).repartition(*[f"`{c}`" for c in keys])
+    return combined(thin, keys, values, whole=True).dropDuplicates(keys).where("_known = 0").drop("_known")
 
 
 def poll_health(polls: DataFrame, n: int = RECENT_POLLS, forget_after: int | None = None, source: str = "source", stamp: str = "time_checked") -> DataFrame:

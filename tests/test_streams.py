@@ -44,6 +44,32 @@ def test_first_sightings_are_kept_for_good(spark, tmp_path):
     assert rows(spark.read.parquet(place[0])) == rows(spark.createDataFrame([*first, ("new", 3, day(7))], SEEN))
 
 
+def test_first_sightings_need_no_python_state(spark, tmp_path):
+    place = (f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    data = [(f"k{i % 300}", i % 2, None if i % 5 == 0 else day(1 + i % 28)) for i in range(3000)]
+    known = spark.createDataFrame([("k1", 1), ("k3", 1), ("gone", None)], "name string, nr long")
+    jobs.first_seen(arrive(spark, tmp_path, SEEN, data), ["name", "nr"], "ts", *place, known=known).awaitTermination()
+    least = spark.createDataFrame(data, SEEN).groupBy("name", "nr").agg(F.min("ts").alias("ts"))
+    assert rows(spark.read.parquet(place[0])) == rows(least.join(known, ["name", "nr"], "left_anti"))
+    # the whole state is a row per key, held by Spark itself
+    state = spark.read.format("statestore").load(place[1])
+    assert rows(state.select("key.name", "key.nr")) == rows(least.select("name", "nr").union(known).distinct())
+    # known keys are those of the first start, whatever is given later
+    more = [("k1", 1, day(1)), ("late", 1, day(2)), ("gone", None, day(2))]
+    for i, given in enumerate([None, spark.createDataFrame([("again 1", 1)], "name string, nr long")]):
+        stream = arrive(spark, tmp_path, SEEN, [*more, (f"again {i}", 1, day(3))])
+        jobs.first_seen(stream, ["name", "nr"], "ts", *place, known=given).awaitTermination()
+    seen = spark.read.parquet(place[0]).where("name = 'late' OR name LIKE 'again%' OR name = 'gone'")
+    assert rows(seen) == [("again 0", 1, day(3)), ("again 1", 1, day(3)), ("late", 1, day(2))]
+
+
+def test_whole_pieces_have_one_row_per_key_of_a_partition(spark):
+    data = [(f"k{i % 7}", i % 2, None if i % 11 == 0 else day(1 + i % 28)) for i in range(30_000)]
+    frame = spark.createDataFrame(data, SEEN).repartition(3, "name", "nr")
+    thin = keyed.combined(frame, ["name", "nr"], [("ts", "min", "ts")], whole=True)
+    assert rows(thin) == rows(frame.groupBy("name", "nr").agg(F.min("ts").alias("ts")))
+
+
 def test_pieces_keep_the_earliest_of_each_key(spark):
     data = [(None if i % 5 == 0 else f"k{i % 7}", None if i % 3 == 0 else i % 2, None if i % 11 == 0 else day(1 + i % 28)) for i in range(2000)]
     frame = spark.createDataFrame(data, SEEN).repartition(3)
