@@ -68,6 +68,40 @@ def test_columns_are_parsed_in_generated_code(spark, tmp_path):
     assert all("*(" in line for line in plan.split("\n") if "Project" in line)
 
 
+def test_date_steps_share_projections(spark, tmp_path):
+    spark.createDataFrame([("2020-03-05", "x")], "c string, d string").write.parquet(str(tmp_path / "t"))
+    plan = dates.parse_stamps(spark.read.parquet(str(tmp_path / "t")), {"c": ("c", False), "d": ("d", True)})._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in plan.split("\n") if "Project" in line]) <= 4
+
+
+NUMERIC = {
+    "2/3/2020": ("2020-02-03", "2020-03-02"),
+    "13.2.2020": ("2020-02-13", "2020-02-13"),
+    "2-13-2020": ("2020-02-13", "2020-02-13"),
+    "2/30/2020": (None, None),
+    "30/2/2020": (None, None),
+    "31/4/2020": (None, None),
+    "0/4/2020": (None, None),
+    "13/13/2020": (None, None),
+    "2/3-2020": (None, None),
+    "\xa029/2/2020\t": ("2020-02-29", "2020-02-29"),
+    "29/2/2021": (None, None),
+    " 2/3/21": ("2021-02-03", "2021-03-02"),
+    "\u30002020-02-03": ("2020-02-03", "2020-02-03"),
+}
+
+
+def test_numeric_dates_by_both_conventions(spark):
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(NUMERIC)], "i int, c string")
+    got = dates.parse_dates(df, {"m": ("c", False), "d": ("c", True)}).orderBy("i").collect()
+    assert [(r.m and str(r.m), r.d and str(r.d)) for r in got] == list(NUMERIC.values())
+
+
+def test_symbols_are_cleaned_without_a_pattern(spark):
+    assert [one(spark, text.clean_symbol("v"), v) for v in ["a.b'c*d", "..", "", None]] == ["abcd", "", "", None]
+    assert "regexp" not in str(text.clean_symbol("v"))
+
+
 def test_date_columns_already_typed_are_kept(spark):
     df = spark.sql("SELECT DATE '2021-01-02' AS a, TIMESTAMP_NTZ '2021-01-02 03:04:05' AS b, '1/2/2021' AS c")
     got = dates.parse_date_columns(df, ["a", "b", "c", "absent"]).first()
